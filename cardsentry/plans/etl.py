@@ -1 +1,248 @@
-"""Placeholder."""
+"""Batch ETL: clean transactions -> snapshot, ledger, summaries, reconciliation.
+
+Order (one application, sequential): extract (anti join) -> snapshot the
+whole clean set (written once; every later step reads the written
+snapshot, which also cuts the lineage) -> insert-if-absent into the
+ledger -> summaries -> reconciliation row.  A rerun with the same run id
+rewrites its own partitions and nothing else.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import AMOUNT_TYPE, DEFAULT, RuleConfig
+from ..functions.money import normalize_amount
+from ..operators import aggregates as agg
+from ..operators import joins, rules
+from ..schemas import TXN_COLUMNS, TXN_VALUE_COLUMNS
+from ..session import ensure_utc, scratch_path
+from ..sinks.store import TableStore
+from ..sources import fixture
+from . import oracle
+from .catalog import register
+
+SNAPSHOT_COLUMNS = TXN_COLUMNS
+
+
+@dataclass
+class EtlResult:
+    run_id: int
+    snapshot_path: str
+    rows_extracted: int
+    rows_inserted: int
+    by_merchant: DataFrame
+    by_country: DataFrame
+    summary: DataFrame
+    reconciliation: DataFrame
+
+
+def extract_clean(store: TableStore) -> DataFrame:
+    return joins.clean_transactions(
+        store.read("all_transactions"), store.read("flagged_transactions")
+    )
+
+
+def run_etl(
+    spark: SparkSession, store: TableStore, cfg: RuleConfig = DEFAULT, run_id: int | None = None
+) -> EtlResult:
+    ensure_utc(spark)
+    if run_id is None:
+        run_id = store.next_id("reconciliation_log")
+
+    # extract + snapshot (amount as float, NULL -> 0.0), counted while written
+    extracted = Observation(f"extract_{run_id}")
+    clean = extract_clean(store).select(*SNAPSHOT_COLUMNS)
+    snap = clean.withColumn("amount", normalize_amount(F.col("amount")))
+    snap_path = store.snapshot_path(run_id)
+    snap.observe(extracted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+        snap_path
+    )
+    staged = spark.read.parquet(snap_path)
+
+    # ledger: keys not yet present (ignoring this run's own partition)
+    ledger = store.read("validated_ledger").where(F.col("run_id") != F.lit(run_id))
+    inserted = Observation(f"ledger_{run_id}")
+    batch = staged.withColumn("amount", F.col("amount").cast(AMOUNT_TYPE))
+    new_rows = joins.insert_if_absent(batch, ledger, "txn_ref", order_cols=("proc_ts",))
+    store.write_partition("validated_ledger", new_rows, run_id, observation=inserted)
+
+    n_extracted = int(extracted.get.get("rows", 0))
+    n_inserted = int(inserted.get.get("rows", 0))
+    metrics = spark.createDataFrame(
+        [(run_id, n_extracted, n_inserted, n_extracted)],
+        "run_id long, rows_extracted long, rows_inserted long, rows_snapshotted long",
+    )
+    store.write_partition("load_metrics", metrics, run_id)
+
+    recon = reconcile(spark, store, cfg, run_id)
+    store.write_partition("reconciliation_log", recon, run_id)
+
+    return EtlResult(
+        run_id=run_id,
+        snapshot_path=snap_path,
+        rows_extracted=n_extracted,
+        rows_inserted=n_inserted,
+        by_merchant=agg.clean_by(staged, "merchant_category"),
+        by_country=agg.clean_by(staged, "country"),
+        summary=agg.clean_summary(staged),
+        reconciliation=store.read("reconciliation_log").where(F.col("run_id") == run_id),
+    )
+
+
+def reconcile(
+    spark: SparkSession,
+    store: TableStore,
+    cfg: RuleConfig = DEFAULT,
+    run_id: int = 1,
+    distinct_alerts: bool = False,
+) -> DataFrame:
+    row = agg.reconcile_row(
+        store.read("all_transactions"),
+        store.read("flagged_transactions"),
+        store.read("validated_ledger"),
+        cfg.reconcile_tolerance,
+        distinct_alerts=distinct_alerts,
+    )
+    return row.select(
+        F.lit(run_id).cast("long").alias("run_id"), F.current_timestamp().alias("run_ts"), "*"
+    )
+
+
+def latest_reconciliation(store: TableStore) -> DataFrame:
+    return store.read("reconciliation_log").orderBy(F.desc("run_id")).limit(1)
+
+
+# -- fixture store ------------------------------------------------------------
+
+
+def seed_store(spark: SparkSession, sf_dir: str, cfg: RuleConfig = DEFAULT) -> TableStore:
+    """A fresh store holding the transactions and alerts of ``sf_dir``.
+
+    Both tables are written as batch 0, the state the stream sinks leave.
+    """
+    store = TableStore(spark, scratch_path(spark, "store"))
+    txns = fixture.transactions(spark, sf_dir)
+    store.write_partition(
+        "all_transactions", txns.withColumn("proc_ts", F.current_timestamp()), 0
+    )
+    written = store.read("all_transactions").select(*TXN_COLUMNS)
+    alerts = rules.all_alerts(
+        written.withColumn("event_time", F.try_to_timestamp(F.col("event_ts"))), cfg
+    ).withColumn("flag_id", F.concat(F.lit("0-"), F.monotonically_increasing_id().cast("string")))
+    store.write_partition("flagged_transactions", alerts, 0)
+    return store
+
+
+RECON_OUT = [
+    "run_id",
+    "total_ingested",
+    "fraud_amount",
+    "validated_amt",
+    "expected_valid",
+    "difference",
+    "status",
+]
+
+
+@register("validated_ledger")
+def q_validated_ledger(spark, sf_dir):
+    store = seed_store(spark, sf_dir)
+    run_etl(spark, store)
+    return store.read("validated_ledger").select(*TXN_VALUE_COLUMNS)
+
+
+@register("volume_validated")
+def q_volume_validated(spark, sf_dir):
+    store = seed_store(spark, sf_dir)
+    run_etl(spark, store)
+    return agg.volume(store.read("validated_ledger"))
+
+
+@register("reconcile")
+def q_reconcile(spark, sf_dir):
+    store = seed_store(spark, sf_dir)
+    res = run_etl(spark, store)
+    return res.reconciliation.select(*RECON_OUT)
+
+
+@register("reconcile_distinct")
+def q_reconcile_distinct(spark, sf_dir):
+    store = seed_store(spark, sf_dir)
+    res = run_etl(spark, store)
+    return reconcile(spark, store, run_id=res.run_id, distinct_alerts=True).select(*RECON_OUT)
+
+
+@register("latest_reconciliation")
+def q_latest_reconciliation(spark, sf_dir):
+    """ETL run twice; the second run is the latest and inserts nothing."""
+    store = seed_store(spark, sf_dir)
+    run_etl(spark, store)
+    run_etl(spark, store)
+    return latest_reconciliation(store).select(
+        "run_id", "total_ingested", "fraud_amount", "validated_amt", "status"
+    )
+
+
+@register("load_metrics")
+def q_load_metrics(spark, sf_dir):
+    store = seed_store(spark, sf_dir)
+    run_etl(spark, store)
+    run_etl(spark, store)
+    return store.read("load_metrics").select(
+        "run_id", "rows_extracted", "rows_inserted", "rows_snapshotted"
+    )
+
+
+_RECON_SQL = """
+tot AS (SELECT CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS t FROM txn),
+fr AS (SELECT CAST(COALESCE(SUM(t.amount), 0) AS DECIMAL(38,2)) AS f
+       FROM alerts a JOIN txn t ON a.txn_ref = t.txn_ref),
+frd AS (SELECT CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS f
+        FROM txn WHERE txn_ref IN (SELECT txn_ref FROM alerts)),
+val AS (SELECT CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS v FROM clean)
+SELECT CAST(1 AS BIGINT) AS run_id, tot.t AS total_ingested, {fraud}.f AS fraud_amount,
+       val.v AS validated_amt,
+       CAST(ROUND(tot.t - {fraud}.f, 2) AS DECIMAL(38,2)) AS expected_valid,
+       CAST(ROUND(ABS(CAST(ROUND(tot.t - {fraud}.f, 2) AS DECIMAL(38,2)) - val.v), 2)
+            AS DECIMAL(38,2)) AS difference,
+       CASE WHEN ROUND(ABS(ROUND(tot.t - {fraud}.f, 2) - val.v), 2) < 0.02
+            THEN 'PASS' ELSE 'FAIL' END AS status
+FROM tot, {fraud}, val
+"""
+
+oracle.add(
+    "validated_ledger",
+    "SELECT txn_ref, account_id, event_ts, merchant_category,"
+    " CAST(COALESCE(amount, 0) AS DECIMAL(14,2)) AS amount, country, channel, currency FROM clean",
+)
+oracle.add(
+    "volume_validated",
+    "SELECT count(*) AS txn_count, CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS total_amount"
+    " FROM clean",
+)
+oracle.add("reconcile", ", " + _RECON_SQL.format(fraud="fr"))
+oracle.add("reconcile_distinct", ", " + _RECON_SQL.format(fraud="frd"))
+oracle.add(
+    "latest_reconciliation",
+    ", "
+    + """tot AS (SELECT CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS t FROM txn),
+fr AS (SELECT CAST(COALESCE(SUM(t.amount), 0) AS DECIMAL(38,2)) AS f
+       FROM alerts a JOIN txn t ON a.txn_ref = t.txn_ref),
+val AS (SELECT CAST(COALESCE(SUM(amount), 0) AS DECIMAL(38,2)) AS v FROM clean)
+SELECT CAST(2 AS BIGINT) AS run_id, tot.t AS total_ingested, fr.f AS fraud_amount,
+       val.v AS validated_amt,
+       CASE WHEN ROUND(ABS(ROUND(tot.t - fr.f, 2) - val.v), 2) < 0.02
+            THEN 'PASS' ELSE 'FAIL' END AS status
+FROM tot, fr, val""",
+)
+oracle.add(
+    "load_metrics",
+    """SELECT CAST(1 AS BIGINT) AS run_id, count(*) AS rows_extracted,
+              count(*) AS rows_inserted, count(*) AS rows_snapshotted FROM clean
+       UNION ALL
+       SELECT CAST(2 AS BIGINT), count(*), CAST(0 AS BIGINT), count(*) FROM clean""",
+)

@@ -77,17 +77,29 @@ ALERTS_SCHEMA = StructType(
     ]
 )
 
+# Totals are NUMERIC(38,2): 18 digits overflow near 1e16 at full scale.
 RECON_SCHEMA = StructType(
     [
         StructField("run_id", LongType(), False),
         StructField("run_ts", TimestampType()),
-        StructField("total_ingested", DecimalType(18, 2)),
-        StructField("fraud_amount", DecimalType(18, 2)),
-        StructField("validated_amt", DecimalType(18, 2)),
+        StructField("total_ingested", DecimalType(38, 2)),
+        StructField("fraud_amount", DecimalType(38, 2)),
+        StructField("validated_amt", DecimalType(38, 2)),
+        StructField("expected_valid", DecimalType(38, 2)),
+        StructField("difference", DecimalType(38, 2)),
         StructField("status", StringType()),
     ]
 )
 
+LOAD_METRICS_SCHEMA = StructType(
+    [
+        StructField("run_id", LongType(), False),
+        StructField("rows_extracted", LongType()),
+        StructField("rows_inserted", LongType()),
+        StructField("rows_snapshotted", LongType()),
+    ]
+)
+
 REJECTED_SCHEMA = StructType(
     [
         StructField("txn_ref", StringType()),

@@ -1 +1,254 @@
-"""Placeholder."""
+"""Streaming detector: wire stream -> transactions table + alerts table.
+
+Two queries read the same source with the same explicit start position,
+each with its own checkpoint under the shared checkpoint root:
+
+* ``transactions``: decode -> quarantine split -> insert-if-absent into
+  ``all_transactions`` (stateless; the sink dedupes per batch and
+  anti-joins against earlier batches).
+* ``alerts``: decode -> valid rows -> rule 1 (stateless) UNION ALL rule 2
+  (watermarked, stateful window aggregate) -> ``flagged_transactions``.
+
+Sinks run in ``foreachBatch`` as distributed writes of partition
+``batch_id=<n>`` in overwrite mode, so a replayed batch replaces what its
+first attempt wrote instead of duplicating it.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import (
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+from ..config import DEFAULT, RuleConfig
+from ..functions.codec import decode_events
+from ..operators import joins, quality, rules
+from ..plans import oracle
+from ..plans.catalog import register
+from ..schemas import ALERT_COLUMNS, TXN_COLUMNS
+from ..session import ensure_utc, scratch_path
+from ..sinks.store import TableStore
+from ..sources import fixture
+from ..sources.kafka import kafka_stream
+
+EVENTS_SCHEMA = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("ts", TimestampNTZType()),
+        StructField("user_id", LongType()),
+        StructField("event_type", StringType()),
+        StructField("value", DoubleType()),
+        StructField("props", StringType()),
+    ]
+)
+
+
+# -- sources ------------------------------------------------------------------
+
+
+def events_file_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
+    """``events`` parquet files of a directory as a stream of wire values."""
+    events = (
+        spark.readStream.schema(EVENTS_SCHEMA)
+        .option("pathGlobFilter", "events*.parquet")
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(sf_dir)
+    )
+    return fixture.wire_from_transactions(fixture.transactions_from_events(events), faults=False)
+
+
+def json_file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
+    """Text files, one JSON document per line, as a stream of wire values."""
+    return (
+        spark.readStream.option("maxFilesPerTrigger", max_files)
+        .text(path)
+        .select(F.col("value").cast("binary").alias("value"))
+    )
+
+
+# -- plans ---------------------------------------------------------------------
+
+
+def decoded_stream(raw: DataFrame) -> DataFrame:
+    return decode_events(raw)
+
+
+def valid_transactions(decoded: DataFrame) -> DataFrame:
+    tagged = quality.with_reject_reason(decoded)
+    return quality.valid_rows(tagged)
+
+
+def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
+    """Both rules over the valid rows of a wire stream (or batch)."""
+    txns = valid_transactions(decoded_stream(raw))
+    if cfg.dedupe_within_watermark and txns.isStreaming:
+        txns = txns.withWatermark("event_time", cfg.watermark_delay).dropDuplicatesWithinWatermark(
+            ["txn_ref"]
+        )
+    return rules.all_alerts(txns, cfg)
+
+
+def travel_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
+    return rules.travel_alerts(valid_transactions(decoded_stream(raw)), cfg)
+
+
+# -- sinks ---------------------------------------------------------------------
+
+
+def transactions_sink(store: TableStore):
+    """foreachBatch body for ``all_transactions`` (first write of a key wins)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            tagged = quality.with_reject_reason(batch)
+            rows = quality.valid_rows(tagged).select(*TXN_COLUMNS)
+            # earlier batches only: a replay must not see its own first attempt
+            target = store.read("all_transactions").where(F.col("batch_id") < F.lit(batch_id))
+            fresh = joins.insert_if_absent(rows, target, "txn_ref", order_cols=("proc_ts",))
+            store.write_partition("all_transactions", fresh, batch_id)
+            store.write_partition("rejected_events", quality.rejected_rows(tagged), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def alerts_sink(store: TableStore):
+    """foreachBatch body for ``flagged_transactions`` (plain append)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        flag_id = F.concat(
+            F.lit(f"{batch_id}-"), F.monotonically_increasing_id().cast("string")
+        )
+        store.write_partition("flagged_transactions", batch.withColumn("flag_id", flag_id), batch_id)
+
+    return write
+
+
+@dataclass
+class Detector:
+    transactions: StreamingQuery
+    alerts: StreamingQuery
+
+    def await_all(self) -> None:
+        self.transactions.awaitTermination()
+        self.alerts.awaitTermination()
+
+    def stop(self) -> None:
+        for q in (self.transactions, self.alerts):
+            if q.isActive:
+                q.stop()
+
+
+def _trigger(writer, trigger: dict | None):
+    return writer.trigger(**(trigger or {"availableNow": True}))
+
+
+def start_detector(
+    raw_transactions: DataFrame,
+    raw_alerts: DataFrame,
+    store: TableStore,
+    checkpoint_dir: str,
+    cfg: RuleConfig = DEFAULT,
+    trigger: dict | None = None,
+) -> Detector:
+    """Start both queries; pass two reads of one source (same start)."""
+    q1 = _trigger(
+        decoded_stream(raw_transactions)
+        .writeStream.foreachBatch(transactions_sink(store))
+        .outputMode("append")
+        .option("checkpointLocation", f"{checkpoint_dir}/all_txn"),
+        trigger,
+    ).start()
+    q2 = _trigger(
+        alert_stream(raw_alerts, cfg)
+        .select(*ALERT_COLUMNS)
+        .writeStream.foreachBatch(alerts_sink(store))
+        .outputMode(cfg.output_mode)
+        .option("checkpointLocation", f"{checkpoint_dir}/flagged"),
+        trigger,
+    ).start()
+    return Detector(q1, q2)
+
+
+def run_kafka_detector(spark: SparkSession, store: TableStore, cfg: RuleConfig = DEFAULT) -> Detector:
+    """Production entry: Kafka source, default trigger, run until stopped."""
+    ensure_utc(spark)
+    ckpt = f"{store.root}/_checkpoints/detector"
+    return start_detector(
+        kafka_stream(spark, cfg), kafka_stream(spark, cfg), store, ckpt, cfg, trigger={}
+    )
+
+
+# -- registered stream queries -----------------------------------------------
+
+
+@register("stream_travel")
+def q_stream_travel(spark, sf_dir):
+    """Rule 2 as a stateful stream over ``events`` (availableNow), read back."""
+    store = TableStore(spark, scratch_path(spark, "stream-travel"))
+    q = (
+        travel_stream(events_file_stream(spark, sf_dir))
+        .writeStream.foreachBatch(alerts_sink(store))
+        .outputMode("append")
+        .option("checkpointLocation", f"{store.root}/_checkpoints/travel")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return store.read("flagged_transactions").select("txn_ref", "account_id", "fraud_type", "details")
+
+
+@register("stream_all_alerts")
+def q_stream_all_alerts(spark, sf_dir):
+    """The full two-query detector over ``events``; alerts read back."""
+    store = TableStore(spark, scratch_path(spark, "stream-detector"))
+    det = start_detector(
+        events_file_stream(spark, sf_dir),
+        events_file_stream(spark, sf_dir),
+        store,
+        f"{store.root}/_checkpoints",
+    )
+    det.await_all()
+    return store.read("flagged_transactions").select("txn_ref", "account_id", "fraud_type", "details")
+
+
+@register("stream_transactions")
+def q_stream_transactions(spark, sf_dir):
+    """The detector's transaction table after the stream drained."""
+    store = TableStore(spark, scratch_path(spark, "stream-detector"))
+    det = start_detector(
+        events_file_stream(spark, sf_dir),
+        events_file_stream(spark, sf_dir),
+        store,
+        f"{store.root}/_checkpoints",
+    )
+    det.await_all()
+    return store.read("all_transactions").select(*TXN_COLUMNS[:-1])
+
+
+# Append mode emits a window once the final watermark (max event time
+# minus the delay) has passed its end.
+_CLOSED = " WHERE we <= (SELECT max(event_time) - INTERVAL 2 MINUTE FROM txn)"
+oracle.add("stream_travel", "SELECT txn_ref, account_id, fraud_type, details FROM travel" + _CLOSED)
+oracle.add(
+    "stream_all_alerts",
+    "SELECT txn_ref, account_id, fraud_type, details FROM hv UNION ALL "
+    "SELECT txn_ref, account_id, fraud_type, details FROM travel" + _CLOSED,
+)
+oracle.add(
+    "stream_transactions",
+    "SELECT txn_ref, account_id, event_ts, merchant_category, amount, country, channel, currency"
+    " FROM txn",
+)
