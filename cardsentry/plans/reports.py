@@ -10,6 +10,8 @@ from pre-aggregated alert weights.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,9 +163,15 @@ def data_lines(store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
     )
 
 
-def full_report(spark: SparkSession, store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    """The whole text report as ordered lines."""
+def full_report(
+    spark: SparkSession,
+    store: TableStore,
+    cfg: RuleConfig = DEFAULT,
+    generated_at: datetime | None = None,
+) -> DataFrame:
+    """The whole text report as ordered lines (generation time pinned)."""
     ensure_utc(spark)
+    stamp = (generated_at or datetime.now(timezone.utc)).strftime("%Y-%m-%d %H:%M:%S")
 
     def h2(section: int, title: str) -> DataFrame:
         return _fixed(spark, section, 0, ["", H2, f"  {title}", H2])
@@ -174,7 +182,7 @@ def full_report(spark: SparkSession, store: TableStore, cfg: RuleConfig = DEFAUL
         _rows(
             spark.range(1),
             0,
-            fmt.line("Generated : ", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"), " UTC"),
+            fmt.line("Generated : ", F.lit(stamp), " UTC"),
             pos=1,
         ),
         h2(1, "1. TRANSACTION VOLUME"),

@@ -1,0 +1,147 @@
+"""Rule cases: the reference's unit cases plus slide edges and both-rule hits."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cardsentry.config import DEFAULT
+from cardsentry.operators import rules
+from helpers import base, plus, txn, txn_frame
+
+TUMBLING = DEFAULT.tumbling()
+
+
+def refs(df):
+    return sorted(r["txn_ref"] for r in df.select("txn_ref").collect())
+
+
+# -- rule 1 -------------------------------------------------------------------
+
+
+def test_flags_amount_above_threshold(spark):
+    df = txn_frame(spark, [txn("t1", "a1", base(), "US", 7500.00), txn("t2", "a2", base(), "UK", 300.00)])
+    assert refs(rules.high_value(df)) == ["t1"]
+
+
+def test_does_not_flag_exactly_threshold(spark):
+    df = txn_frame(spark, [txn("t3", "a3", base(), "DE", 5000.00)])
+    assert rules.high_value(df).count() == 0
+
+
+def test_flags_several(spark):
+    df = txn_frame(
+        spark,
+        [txn("t4", "a4", base(), "SG", 6000.0), txn("t5", "a5", base(), "AU", 12000.0),
+         txn("t6", "a6", base(), "IN", 99.0)],
+    )
+    assert refs(rules.high_value(df)) == ["t4", "t5"]
+
+
+def test_null_amount_not_flagged(spark):
+    df = txn_frame(spark, [txn("t7", "a7", base(), "SG", None)])
+    assert rules.high_value(df).count() == 0
+
+
+def test_high_value_alert_shape(spark):
+    df = txn_frame(spark, [txn("t1", "a1", base(), "US", 7500.0, merchant="Wire Transfer")])
+    row = rules.high_value_alerts(df).first()
+    assert row["fraud_type"] == "HIGH_VALUE"
+    assert row["details"] == '{"amount":7500.0,"country":"US","merchant_category":"Wire Transfer"}'
+    assert row["detection_ts"] is not None
+
+
+# -- rule 2 -------------------------------------------------------------------
+
+
+def test_two_countries_in_one_tumbling_window(spark):
+    b = base(12)
+    df = txn_frame(spark, [txn("r1", "acc_x", b, "US"), txn("r2", "acc_x", plus(b, 6), "UK")])
+    w = rules.travel_windows(df, TUMBLING)
+    assert w.count() == 1
+    assert w.first()["countries"] == ["UK", "US"]
+
+
+def test_same_country_no_alert(spark):
+    b = base(14)
+    df = txn_frame(spark, [txn("r3", "acc_y", b, "DE"), txn("r4", "acc_y", plus(b, 4), "DE")])
+    assert rules.travel_windows(df, TUMBLING).count() == 0
+    assert rules.travel_windows(df).count() == 0
+
+
+def test_different_accounts_no_alert(spark):
+    b = base(15)
+    df = txn_frame(spark, [txn("r5", "acc_p", b, "SG"), txn("r6", "acc_q", plus(b, 3), "AU")])
+    assert rules.travel_windows(df, TUMBLING).count() == 0
+    assert rules.travel_windows(df).count() == 0
+
+
+def test_window_holds_both_countries(spark):
+    b = base(16)
+    df = txn_frame(spark, [txn("r7", "acc_z", b, "IN"), txn("r8", "acc_z", plus(b, 7), "BR")])
+    countries = set(rules.travel_windows(df, TUMBLING).first()["countries"])
+    assert {"IN", "BR"} <= countries
+
+
+def test_sliding_catches_pair_across_tumbling_edge(spark):
+    # 12:08 and 12:12 straddle the 12:10 tumbling edge; the 12:05-12:15
+    # sliding window holds both.
+    b = base(12)
+    df = txn_frame(spark, [txn("s1", "acc", plus(b, 8), "US"), txn("s2", "acc", plus(b, 12), "UK")])
+    assert rules.travel_windows(df, TUMBLING).count() == 0
+    w = rules.travel_windows(df).collect()
+    assert len(w) == 1
+    assert w[0]["window"]["start"].minute == 5
+
+
+def test_each_row_in_two_sliding_windows(spark):
+    b = base(12)
+    df = txn_frame(spark, [txn("s1", "acc", plus(b, 1), "US"), txn("s2", "acc", plus(b, 2), "UK")])
+    alerts = rules.travel_alerts(df)
+    # both rows share windows 11:55-12:05 and 12:00-12:10: 2 windows x 2 rows
+    assert alerts.count() == 4
+    assert sorted(r["txn_ref"] for r in alerts.collect()) == ["s1", "s1", "s2", "s2"]
+
+
+def test_travel_alert_details(spark):
+    b = base(12)
+    df = txn_frame(spark, [txn("s1", "acc", plus(b, 6), "US"), txn("s2", "acc", plus(b, 7), "UK")])
+    det = {r["details"] for r in rules.travel_alerts(df, TUMBLING).collect()}
+    assert det == {
+        '{"window":{"start":"2024-06-01T12:00:00.000Z","end":"2024-06-01T12:10:00.000Z"},'
+        '"countries":["UK","US"]}'
+    }
+
+
+def test_null_event_time_skips_rule_two_but_not_rule_one(spark):
+    b = base(12)
+    df = txn_frame(
+        spark,
+        [txn("n1", "acc", "not-a-time", "US", 9000.0), txn("n2", "acc", plus(b, 1), "UK")],
+    )
+    out = rules.all_alerts(df).collect()
+    assert [(r["txn_ref"], r["fraud_type"]) for r in out] == [("n1", "HIGH_VALUE")]
+
+
+def test_transaction_hit_by_both_rules(spark):
+    b = base(12)
+    df = txn_frame(spark, [txn("h1", "acc", plus(b, 1), "US", 8000.0), txn("h2", "acc", plus(b, 2), "NG")])
+    out = rules.all_alerts(df).where(F.col("txn_ref") == "h1").collect()
+    kinds = sorted(r["fraud_type"] for r in out)
+    assert kinds == ["HIGH_VALUE", "IMPOSSIBLE_TRAVEL", "IMPOSSIBLE_TRAVEL"]
+
+
+def test_null_country_not_counted(spark):
+    b = base(12)
+    df = txn_frame(spark, [txn("c1", "acc", plus(b, 1), "US"), txn("c2", "acc", plus(b, 2), None)])
+    assert rules.travel_windows(df).count() == 0
+
+
+def test_join_back_equals_stateful_form(spark):
+    """The batch join-back plan and the streaming collect_list plan agree."""
+    from cardsentry.sources import fixture
+
+    t = fixture.transactions(spark, "/root/testdata/sf0.001")
+    a = rules.travel_alerts(t).select("txn_ref", "account_id", "details")
+    b = rules.travel_alerts_stateful(t).select("txn_ref", "account_id", "details")
+    assert a.count() == 42
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

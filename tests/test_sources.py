@@ -1,0 +1,56 @@
+"""Source adapters: fixture mapping, Kafka and JDBC option builders."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from cardsentry.config import DEFAULT
+from cardsentry.sources import fixture, jdbc, kafka
+
+
+def test_kafka_reader_options():
+    opts = kafka.kafka_reader_options(DEFAULT)
+    assert opts == {
+        "kafka.bootstrap.servers": "localhost:9092",
+        "subscribe": "bank_transactions",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+    }
+    shared = '{"bank_transactions":{"0":42,"1":7,"2":9}}'
+    assert kafka.kafka_reader_options(DEFAULT, shared)["startingOffsets"] == shared
+    cfg = replace(DEFAULT, extra_kafka_options={"maxOffsetsPerTrigger": "100000"})
+    assert kafka.kafka_reader_options(cfg)["maxOffsetsPerTrigger"] == "100000"
+
+
+def test_kafka_writer_options():
+    assert kafka.kafka_writer_options(DEFAULT, "alerts") == {
+        "kafka.bootstrap.servers": "localhost:9092",
+        "topic": "alerts",
+    }
+
+
+def test_jdbc_options():
+    o = jdbc.jdbc_options("jdbc:postgresql://db:5432/x", "all_transactions", user="u", password="p",
+                          fetchsize=10000)
+    assert o["dbtable"] == "all_transactions" and o["fetchsize"] == "10000"
+    p = jdbc.partitioned_read_options("flag_id", 1, 1000, 8)
+    assert p["numPartitions"] == "8" and p["partitionColumn"] == "flag_id"
+
+
+def test_fixture_mapping(spark):
+    t = fixture.transactions(spark, "/root/testdata/sf0.001")
+    import pyarrow.parquet as pq
+
+    ev = pq.read_table("/root/testdata/sf0.001/events.parquet").to_pylist()
+    first = next(e for e in ev if e["event_id"] == 9)
+    row = t.where("txn_ref = '9'").first()
+    assert row["account_id"] == str(first["user_id"])
+    assert row["country"] == "UK" and row["currency"] == "USD"  # 9 mod 8 = 1
+    assert row["event_ts"].endswith("+00:00") and len(row["event_ts"]) == 32
+    assert t.count() == 1000
+    assert t.where("amount = 5000").count() == 0
+
+
+def test_wire_faults_cover_every_row(spark):
+    w = fixture.wire_events(spark, "/root/testdata/sf0.001")
+    assert w.count() == 1000
