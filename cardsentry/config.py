@@ -43,8 +43,11 @@ class RuleConfig:
     min_countries: int = 2
     reconcile_tolerance: str = "0.02"
     top_accounts: int = 10
-    # Streaming knobs.
-    output_mode: str = "append"
+    # Streaming knobs (the alert query always runs in append mode: a window
+    # is reported once, after the watermark has closed it).
+    # Join partitions per (window, account) in the streaming travel join;
+    # part of the checkpointed plan, so fixed once a query has started.
+    travel_salt_buckets: int = 8
     dedupe_within_watermark: bool = False
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False

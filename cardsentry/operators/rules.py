@@ -4,18 +4,20 @@ Input: decoded transactions with at least ``txn_ref, account_id,
 event_time, merchant_category, amount, country``.  Output alert shape:
 ``txn_ref, account_id, fraud_type, detection_ts, details``.
 
-Impossible travel, batch plan (scales with hot accounts): one partial +
-final aggregate per (window, account) keeps only the distinct countries
-(bounded by the country domain) and a count; guilty windows are then
-joined back to the windowed rows, so no per-group list of transactions is
-ever built.  AQE turns the join into a broadcast when the guilty set is
-measured small at runtime and splits skewed (window, account) partitions
-otherwise.
-
-Streaming plan: a stream cannot join back to its own stateful output, so
-the state keeps ``collect_list(txn_ref)`` per (window, account) as the
-detector always did; state lives in the (RocksDB) state store and is
-dropped once the watermark passes the window end.
+Impossible travel is "aggregate, then join back", in batch and in
+streaming alike:
+
+* a partial + final aggregate per (window, account) keeps only the
+  distinct countries (bounded by the country domain) and a count;
+* guilty windows are joined back to the windowed rows, so no list of
+  transactions is ever built per group.
+
+Batch: AQE broadcasts the guilty side when it is measured small at
+runtime and splits skewed (window, account) partitions otherwise.
+Streaming: the join is a stream-stream join; rows wait in the join state
+row by row (not as one list value) until the watermark passes their
+window.  A hot account's rows are spread over ``travel_salt_buckets``
+join partitions; each guilty window is replicated once per bucket.
 """
 
 from __future__ import annotations
@@ -86,11 +88,15 @@ def _travel_details() -> Column:
 
 def travel_alerts(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     """Rule 2: one alert per transaction of every guilty window."""
-    if txns.isStreaming:
-        return travel_alerts_stateful(txns, cfg)
     rows = windowed_rows(txns, cfg).filter(F.col("txn_ref").isNotNull())
     guilty = travel_windows(txns, cfg).select("window", "account_id", "countries")
-    return rows.join(guilty, ["window", "account_id"], "inner").select(
+    keys = ["window", "account_id"]
+    buckets = cfg.travel_salt_buckets
+    if txns.isStreaming and buckets > 1:
+        rows = rows.withColumn("salt", F.pmod(F.xxhash64("txn_ref"), F.lit(buckets)))
+        guilty = guilty.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        keys = keys + ["salt"]
+    return rows.join(guilty, keys, "inner").select(
         "txn_ref",
         "account_id",
         F.lit(IMPOSSIBLE_TRAVEL).alias("fraud_type"),
@@ -99,26 +105,6 @@ def travel_alerts(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     )
 
 
-def travel_alerts_stateful(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    """Rule 2 as one stateful aggregate (the streaming form)."""
-    guilty = (
-        windowed_rows(txns, cfg)
-        .groupBy("window", "account_id")
-        .agg(
-            F.array_sort(F.collect_set("country")).alias("countries"),
-            F.collect_list("txn_ref").alias("txn_refs"),
-        )
-        .filter(F.size("countries") >= F.lit(cfg.min_countries))
-    )
-    return guilty.select(
-        F.explode("txn_refs").alias("txn_ref"),
-        "account_id",
-        F.lit(IMPOSSIBLE_TRAVEL).alias("fraud_type"),
-        F.current_timestamp().alias("detection_ts"),
-        _travel_details().alias("details"),
-    )
-
-
 def all_alerts(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     """UNION ALL of both rules (duplicates are data: one row per hit)."""
     return (
