@@ -24,49 +24,56 @@ def volume(txns: DataFrame) -> DataFrame:
     )
 
 
-def volume_flagged(alerts: DataFrame, txns: DataFrame) -> DataFrame:
-    """Alert-weighted volume: one unit per (alert, matching transaction)."""
-    w = weighted_alert_transactions(alerts, txns, keys=(), txn_cols=["amount"])
-    return w.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("txn_count"),
-        money_sum(F.col("amount") * F.col("n"), SUM_TYPE).alias("total_amount"),
+def fraud_cube(alerts: DataFrame, txns: DataFrame) -> DataFrame:
+    """Alert-weighted counts and money per (merchant, country, fraud type).
+
+    One pre-aggregated join feeds every alert/transaction report section;
+    its size is bounded by the key domains, not by the data.
+    """
+    w = weighted_alert_transactions(alerts, txns, keys=("fraud_type",))
+    return w.groupBy("merchant_category", "country", "fraud_type").agg(
+        F.sum("n").alias("alert_count"),
+        F.sum(F.col("amount") * F.col("n")).cast(SUM_TYPE).alias("total_amount"),
+    )
+
+
+def _rollup(cube: DataFrame, keys, count_name: str, sum_name: str) -> DataFrame:
+    return cube.groupBy(*keys).agg(
+        F.coalesce(F.sum("alert_count"), F.lit(0)).cast("long").alias(count_name),
+        money_sum(F.col("total_amount"), SUM_TYPE).alias(sum_name),
     )
 
 
+def volume_flagged(alerts: DataFrame, txns: DataFrame, cube: DataFrame | None = None) -> DataFrame:
+    """Alert-weighted volume: one unit per (alert, matching transaction)."""
+    c = cube if cube is not None else fraud_cube(alerts, txns)
+    return _rollup(c, [], "txn_count", "total_amount")
+
+
 def alerts_by_type(alerts: DataFrame) -> DataFrame:
     """Counts every alert, also those without a transaction."""
     return alerts.groupBy("fraud_type").agg(F.count(F.lit(1)).alias("alert_count"))
 
 
-def _by(alerts: DataFrame, txns: DataFrame, keys, count_name, sum_name, extra_keys=()):
-    w = weighted_alert_transactions(alerts, txns, keys=tuple(extra_keys))
-    return w.groupBy(*keys).agg(
-        F.sum("n").cast("long").alias(count_name),
-        money_sum(F.col("amount") * F.col("n"), SUM_TYPE).alias(sum_name),
-    )
-
-
-def alerts_by_merchant(alerts: DataFrame, txns: DataFrame) -> DataFrame:
-    return _by(alerts, txns, ["merchant_category"], "alert_count", "total_amount").orderBy(
+def alerts_by_merchant(alerts: DataFrame, txns: DataFrame, cube: DataFrame | None = None) -> DataFrame:
+    c = cube if cube is not None else fraud_cube(alerts, txns)
+    return _rollup(c, ["merchant_category"], "alert_count", "total_amount").orderBy(
         F.desc("alert_count"), F.asc_nulls_first("merchant_category")
     )
 
 
-def alerts_by_country(alerts: DataFrame, txns: DataFrame) -> DataFrame:
-    return _by(alerts, txns, ["country"], "alert_count", "total_amount").orderBy(
+def alerts_by_country(alerts: DataFrame, txns: DataFrame, cube: DataFrame | None = None) -> DataFrame:
+    c = cube if cube is not None else fraud_cube(alerts, txns)
+    return _rollup(c, ["country"], "alert_count", "total_amount").orderBy(
         F.desc("alert_count"), F.asc_nulls_first("country")
     )
 
 
-def fraud_by_merchant(alerts: DataFrame, txns: DataFrame) -> DataFrame:
+def fraud_by_merchant(alerts: DataFrame, txns: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     """Alerts by merchant category x fraud type, largest count first."""
-    return _by(
-        alerts,
-        txns,
-        ["merchant_category", "fraud_type"],
-        "fraud_count",
-        "total_fraud_amount",
-        extra_keys=("fraud_type",),
+    c = cube if cube is not None else fraud_cube(alerts, txns)
+    return _rollup(
+        c, ["merchant_category", "fraud_type"], "fraud_count", "total_fraud_amount"
     ).orderBy(
         F.desc("fraud_count"),
         F.asc_nulls_first("merchant_category"),

@@ -83,12 +83,13 @@ def data_lines(store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
     txns = store.read("all_transactions")
     alerts = store.read("flagged_transactions")
     ledger = store.read("validated_ledger")
+    cube = agg.fraud_cube(alerts, txns)
 
     volume = (
         _rows(_volume_line("Total transactions ingested : ", agg.volume(txns)), 1, F.col("line"), F.lit(0))
         .unionByName(
             _rows(
-                _volume_line("Flagged as fraud            : ", agg.volume_flagged(alerts, txns)),
+                _volume_line("Flagged as fraud            : ", agg.volume_flagged(alerts, txns, cube)),
                 1,
                 F.col("line"),
                 F.lit(1),
@@ -111,7 +112,7 @@ def data_lines(store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
         sort_key=F.col("fraud_type"),
     )
     merchants = _rows(
-        agg.alerts_by_merchant(alerts, txns),
+        agg.alerts_by_merchant(alerts, txns, cube),
         3,
         fmt.line(
             fmt.pad_right(F.col("merchant_category"), 22),
@@ -124,7 +125,7 @@ def data_lines(store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
         F.col("merchant_category"),
     )
     countries = _rows(
-        agg.alerts_by_country(alerts, txns),
+        agg.alerts_by_country(alerts, txns, cube),
         4,
         fmt.line(
             fmt.pad_right(F.col("country"), 10),
