@@ -76,7 +76,9 @@ def q_decode_events(spark, sf_dir):
 
 @register("event_time_parse")
 def q_event_time_parse(spark, sf_dir):
-    return decoded(spark, sf_dir).select("txn_ref", "event_ts", "event_time")
+    return decoded(spark, sf_dir).select(
+        "txn_ref", "event_ts", F.col("event_time").cast("timestamp_ntz").alias("event_time")
+    )
 
 
 @register("encode_events")
@@ -153,11 +155,12 @@ def q_high_value_alerts(spark, sf_dir):
 
 
 def _windows_out(df: DataFrame) -> DataFrame:
+    """Window bounds as UTC wall-clock (NTZ); countries as JSON array text."""
     return df.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
+        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
         "account_id",
-        "countries",
+        F.to_json("countries").alias("countries"),
         "txn_count",
     )
 

@@ -82,7 +82,8 @@ def _q(body: str) -> str:
 
 def _windows(src: str) -> str:
     return _q(
-        f"SELECT ws AS window_start, we AS window_end, account_id, countries, txn_count FROM {src}"
+        "SELECT ws AS window_start, we AS window_end, account_id,"
+        f" CAST(to_json(countries) AS VARCHAR) AS countries, txn_count FROM {src}"
     )
 
 
