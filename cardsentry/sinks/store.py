@@ -9,6 +9,7 @@ absent table reads as an empty frame.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -37,12 +38,6 @@ class TableStore:
     def snapshot_path(self, run_id: int) -> str:
         return f"{self.root}/warehouse/validated/run_id={run_id}"
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(jpath)
-
     def schema(self, name: str) -> StructType:
         schema, part = TABLES[name]
         fields = [f for f in schema.fields if f.name != part]
@@ -52,9 +47,12 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         schema = self.schema(name)
         path = self.path(name)
-        if not self._exists(path):
+        try:
+            return self.spark.read.schema(schema).option("basePath", path).parquet(path)
+        except AnalysisException as exc:  # table not written yet
+            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                raise
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
     def write_partition(
         self, name: str, df: DataFrame, value: int, observation: Observation | None = None
