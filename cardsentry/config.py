@@ -48,6 +48,9 @@ class RuleConfig:
     # Join partitions per (window, account) in the streaming travel join;
     # part of the checkpointed plan, so fixed once a query has started.
     travel_salt_buckets: int = 8
+    # State partitions of every stateful streaming operator; fixed in the
+    # checkpoint at first start.  None = the cluster's default parallelism.
+    state_partitions: int | None = None
     dedupe_within_watermark: bool = False
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False

@@ -9,7 +9,6 @@ absent table reads as an empty frame.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -26,6 +25,13 @@ TABLES: dict[str, tuple[StructType, str]] = {
 }
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Hadoop ``FileSystem.exists`` (PySpark has no public file-system API)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -47,12 +53,9 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         schema = self.schema(name)
         path = self.path(name)
-        try:
-            return self.spark.read.schema(schema).option("basePath", path).parquet(path)
-        except AnalysisException as exc:  # table not written yet
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
+        if not path_exists(self.spark, path):  # table not written yet
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
     def write_partition(
         self, name: str, df: DataFrame, value: int, observation: Observation | None = None

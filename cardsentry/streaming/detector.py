@@ -19,6 +19,7 @@ first attempt wrote instead of duplicating it.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -166,6 +167,24 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"availableNow": True}))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, cfg: RuleConfig = DEFAULT):
+    """Start queries with an explicit state-partition count.
+
+    A stateful query keeps the shuffle-partition count of its first start
+    in the checkpoint; it is sized here (default: the cluster's total
+    cores) and the session setting is restored afterwards.
+    """
+    key = "spark.sql.shuffle.partitions"
+    n = cfg.state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set(key, old)
+
+
 def start_detector(
     raw_transactions: DataFrame,
     raw_alerts: DataFrame,
@@ -175,6 +194,11 @@ def start_detector(
     trigger: dict | None = None,
 ) -> Detector:
     """Start both queries; pass two reads of one source (same start)."""
+    with state_partitions(raw_transactions.sparkSession, cfg):
+        return _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger)
+
+
+def _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger) -> Detector:
     q1 = _trigger(
         transaction_rows(raw_transactions)
         .writeStream.foreachBatch(transactions_sink(store))
@@ -209,14 +233,15 @@ def run_kafka_detector(spark: SparkSession, store: TableStore, cfg: RuleConfig =
 def q_stream_travel(spark, sf_dir):
     """Rule 2 as a stateful stream over ``events`` (availableNow), read back."""
     store = TableStore(spark, scratch_path(spark, "stream-travel"))
-    q = (
-        travel_stream(events_file_stream(spark, sf_dir))
-        .writeStream.foreachBatch(alerts_sink(store))
-        .outputMode("append")
-        .option("checkpointLocation", f"{store.root}/_checkpoints/travel")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with state_partitions(spark):
+        q = (
+            travel_stream(events_file_stream(spark, sf_dir))
+            .writeStream.foreachBatch(alerts_sink(store))
+            .outputMode("append")
+            .option("checkpointLocation", f"{store.root}/_checkpoints/travel")
+            .trigger(availableNow=True)
+            .start()
+        )
     q.awaitTermination()
     return store.read("flagged_transactions").select("txn_ref", "account_id", "fraud_type", "details")
 
