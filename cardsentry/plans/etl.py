@@ -119,12 +119,14 @@ def latest_reconciliation(store: TableStore) -> DataFrame:
 # -- fixture store ------------------------------------------------------------
 
 
-def seed_store(spark: SparkSession, sf_dir: str, cfg: RuleConfig = DEFAULT) -> TableStore:
-    """A fresh store holding the transactions and alerts of ``sf_dir``.
+def seed_store(
+    spark: SparkSession, sf_dir: str, cfg: RuleConfig = DEFAULT, root: str | None = None
+) -> TableStore:
+    """A store holding the transactions and alerts of ``sf_dir``.
 
     Both tables are written as batch 0, the state the stream sinks leave.
     """
-    store = TableStore(spark, scratch_path(spark, "store"))
+    store = TableStore(spark, root or scratch_path(spark, "store"))
     txns = fixture.transactions(spark, sf_dir)
     store.write_partition(
         "all_transactions", txns.withColumn("proc_ts", F.current_timestamp()), 0

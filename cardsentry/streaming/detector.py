@@ -157,6 +157,10 @@ class Detector:
         self.transactions.awaitTermination()
         self.alerts.awaitTermination()
 
+    def await_any(self) -> None:
+        """Return when either query ends (the other keeps running)."""
+        self.transactions.sparkSession.streams.awaitAnyTermination()
+
     def stop(self) -> None:
         for q in (self.transactions, self.alerts):
             if q.isActive:
