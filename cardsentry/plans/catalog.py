@@ -4,6 +4,11 @@ Every query reads the generated tables of ``sf_dir`` (through the
 ``events`` -> transactions adapter) over the whole table.  Columns that
 cannot be reproduced by another engine (detection and processing
 timestamps) are left out of the returned frames.
+
+Money is fixed-point inside every operator and table; the registered
+outputs expose it as DOUBLE (the exact decimal result, converted once) so
+a cross-engine comparison sees the same value type on both sides;
+booleans are exposed as 'true' / 'false' text for the same reason.
 """
 
 from __future__ import annotations
@@ -12,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DecimalType
 
 from ..config import DEFAULT, RuleConfig
 from ..functions.codec import decode_events, encode_events
@@ -32,7 +38,7 @@ def register(name: str):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_utc(spark)
-            return fn(spark, sf_dir)
+            return comparable(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -42,6 +48,19 @@ def register(name: str):
     return deco
 
 
+def comparable(df: DataFrame) -> DataFrame:
+    """Decimal outputs as DOUBLE, booleans as text, the rest unchanged."""
+
+    def out(f):
+        if isinstance(f.dataType, DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, BooleanType):
+            return F.col(f.name).cast("string").alias(f.name)
+        return F.col(f.name)
+
+    return df.select(*[out(f) for f in df.schema.fields])
+
+
 def registry() -> dict[str, QueryFn]:
     # Importing the job modules registers their queries too.
     from . import etl, reports  # noqa: F401

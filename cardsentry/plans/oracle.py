@@ -91,7 +91,7 @@ _SQL = {
     # -- decode / normalise
     "decode_events": _q(
         "SELECT txn_ref, account_id, event_ts, merchant_category, amount, country, channel,"
-        " currency, flagged, flag_reason FROM wire"
+        " currency, CAST(flagged AS VARCHAR) AS flagged, flag_reason FROM wire"
     ),
     "event_time_parse": _q("SELECT txn_ref, event_ts, event_time FROM wire"),
     "encode_events": _q(
@@ -212,11 +212,45 @@ _SQL = {
 }
 
 
+# Output columns that are DECIMAL in the SQL; the registered Spark queries
+# expose money as DOUBLE, so the oracle converts the same columns.
+_MONEY_OUT = {
+    "alert_transactions": ["amount"],
+    "alerts_by_country": ["total_amount"],
+    "alerts_by_merchant": ["total_amount"],
+    "amount_decimal": ["amount"],
+    "clean_transactions": ["amount"],
+    "fraud_by_merchant": ["total_fraud_amount"],
+    "high_value": ["amount"],
+    "insert_if_absent": ["amount"],
+    "latest_reconciliation": ["total_ingested", "fraud_amount", "validated_amt"],
+    "merchant_report": ["total_fraud_amount"],
+    "project_transactions": ["amount"],
+    "reconcile": ["total_ingested", "fraud_amount", "validated_amt", "expected_valid", "difference"],
+    "reconcile_distinct": [
+        "total_ingested", "fraud_amount", "validated_amt", "expected_valid", "difference",
+    ],
+    "round_amount": ["amount"],
+    "scan_transactions": ["amount"],
+    "stream_transactions": ["amount"],
+    "valid_events": ["amount"],
+    "validated_ledger": ["amount"],
+    "volume_flagged": ["total_amount"],
+    "volume_ingested": ["total_amount"],
+    "volume_validated": ["total_amount"],
+}
+
+
+def _as_double(sql: str, cols: list[str]) -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) AS q"
+
+
 def oracle_sql() -> dict[str, str]:
     from . import etl, reports  # noqa: F401  (their statements register below)
     from ..streaming import detector  # noqa: F401
 
-    return dict(_SQL)
+    return {k: _as_double(v, _MONEY_OUT[k]) if k in _MONEY_OUT else v for k, v in _SQL.items()}
 
 
 def add(name: str, body: str) -> None:
