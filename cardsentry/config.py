@@ -39,7 +39,7 @@ class RuleConfig:
     travel_window: str = "10 minutes"
     # None = tumbling window; the executed default slides every 5 minutes.
     travel_slide: str | None = "5 minutes"
-    watermark_delay: str = "2 minutes"
+    watermark_delay: str | None = "2 minutes"
     min_countries: int = 2
     reconcile_tolerance: str = "0.02"
     top_accounts: int = 10
@@ -51,7 +51,13 @@ class RuleConfig:
     # State partitions of every stateful streaming operator; fixed in the
     # checkpoint at first start.  None = the cluster's default parallelism.
     state_partitions: int | None = None
+    # Duplicate wire events: False keeps them as data for the rules (like
+    # the reference); True drops copies arriving within the watermark delay.
     dedupe_within_watermark: bool = False
+    # all_transactions key check in the stream: "global" remembers every
+    # key (exact primary key, state grows with the key count); "watermark"
+    # remembers keys for the watermark delay only (bounded state).
+    txn_dedupe: str = "global"
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     kafka_bootstrap: str = "localhost:9092"

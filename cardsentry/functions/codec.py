@@ -54,12 +54,6 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
-def encode_struct(df: DataFrame, columns=None) -> Column:
-    """Row -> JSON text; NULL fields are written as explicit nulls."""
-    cols = columns or WIRE_COLUMNS
-    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
-
-
 def encode_events(df: DataFrame, key_col: str | None = None) -> DataFrame:
     """Transactions -> ``value`` BINARY documents, the Kafka sink shape.
 

@@ -58,8 +58,11 @@ def high_value_alerts(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
 
 
 def _with_watermark(txns: DataFrame, cfg: RuleConfig) -> DataFrame:
-    # Batch plans drop the watermark node, so this is a no-op there.
-    return txns.withWatermark("event_time", cfg.watermark_delay) if txns.isStreaming else txns
+    # Batch plans drop the watermark node, so this is a no-op there;
+    # ``watermark_delay=None`` means the caller already set the watermark.
+    if txns.isStreaming and cfg.watermark_delay:
+        return txns.withWatermark("event_time", cfg.watermark_delay)
+    return txns
 
 
 def windowed_rows(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:

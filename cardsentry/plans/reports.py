@@ -33,7 +33,7 @@ from .etl import latest_reconciliation, run_etl, seed_store
 # ---------------------------------------------------------------------------
 H1 = "=" * 65
 H2 = "-" * 55
-TITLE = "CARD FRAUD PIPELINE - ANALYTICAL REPORT"
+TITLE = "CARD FRAUD ANALYTICAL REPORT"
 CSV_COLUMNS = ["merchant_category", "fraud_type", "fraud_count", "total_fraud_amount"]
 LINE_COLUMNS = ["section", "pos", "sort_num", "sort_key", "line"]
 

@@ -64,6 +64,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is unset: name a shared folder for checkpoints and tables"
+            )
         root = tempfile.mkdtemp(prefix="cardsentry-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

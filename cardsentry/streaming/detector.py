@@ -20,7 +20,7 @@ first attempt wrote instead of duplicating it.
 from __future__ import annotations
 
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +99,7 @@ def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
         txns = txns.withWatermark("event_time", cfg.watermark_delay).dropDuplicatesWithinWatermark(
             ["txn_ref"]
         )
+        cfg = replace(cfg, watermark_delay=None)  # one watermark per stream
     return rules.all_alerts(txns, cfg)
 
 
@@ -109,14 +110,24 @@ def travel_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
 # -- sinks ---------------------------------------------------------------------
 
 
-def transaction_rows(raw: DataFrame) -> DataFrame:
+def transaction_rows(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     """Decoded rows tagged with a reject reason; valid keys kept once.
 
     ``dropDuplicates`` without a watermark remembers every key seen, which
-    is exactly the primary-key contract of ``all_transactions``.
+    is exactly the primary-key contract of ``all_transactions``.  With
+    ``txn_dedupe="watermark"`` keys are remembered for the watermark delay
+    only (bounded state; a copy arriving later is written again).
     """
     tagged = quality.with_reject_reason(decoded_stream(raw))
-    good = tagged.where(F.col("reject_reason").isNull()).dropDuplicates(["txn_ref"])
+    good = tagged.where(F.col("reject_reason").isNull())
+    if cfg.txn_dedupe == "watermark":
+        good = good.withWatermark("event_time", cfg.watermark_delay).dropDuplicatesWithinWatermark(
+            ["txn_ref"]
+        )
+    elif cfg.txn_dedupe == "global":
+        good = good.dropDuplicates(["txn_ref"])
+    else:
+        raise ValueError(f"txn_dedupe must be 'global' or 'watermark', not {cfg.txn_dedupe!r}")
     bad = tagged.where(F.col("reject_reason").isNotNull())
     return good.unionByName(bad)
 
@@ -204,7 +215,7 @@ def start_detector(
 
 def _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger) -> Detector:
     q1 = _trigger(
-        transaction_rows(raw_transactions)
+        transaction_rows(raw_transactions, cfg)
         .writeStream.foreachBatch(transactions_sink(store))
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoint_dir}/all_txn"),

@@ -154,3 +154,17 @@ def test_stream_equals_batch_on_fixture(spark):
     assert qs.count() == 178 == batch.count()
     cols = ["txn_ref", "fraud_type", "details"]
     assert qs.select(cols).exceptAll(batch.select(cols)).count() == 0
+
+
+def test_bounded_key_check_and_duplicate_alerts(spark, scratch):
+    from dataclasses import replace
+
+    feed, store, ckpt = setup(spark, scratch, "wm-dedupe")
+    b = base(12)
+    cfg = replace(DEFAULT, txn_dedupe="watermark", dedupe_within_watermark=True)
+    feed.push([txn("w1", "A", plus(b, 1), "US", 7000.0), txn("w1", "A", plus(b, 1), "US", 7000.0)])
+    feed.push([txn("w1", "A", plus(b, 1), "US", 7000.0), txn("w2", "A", plus(b, 30), "US")])
+    run(spark, feed, store, ckpt, cfg)
+    assert sorted(r["txn_ref"] for r in store.read("all_transactions").collect()) == ["w1", "w2"]
+    # one high-value alert although the event was delivered three times
+    assert alerts(store, "HIGH_VALUE") == [("w1", "HIGH_VALUE")]
