@@ -1,16 +1,24 @@
 """Batch ETL: clean transactions -> snapshot, ledger, summaries, reconciliation.
 
-Order (one application, sequential): extract (anti join) -> snapshot the
-whole clean set (written once; every later step reads the written
-snapshot, which also cuts the lineage) -> insert-if-absent into the
-ledger -> summaries -> reconciliation row.  A rerun with the same run id
-rewrites its own partitions and nothing else.
+Order (one application, sequential): extract -> snapshot of the whole
+clean set -> insert-if-absent into the ledger -> summaries -> one
+reconciliation row.  A rerun with the same run id rewrites its own
+partitions and nothing else.
+
+One shuffle of ``all_transactions`` serves both the extract (no alert)
+and the ledger check (key not in the ledger): alert keys and ledger keys
+are first reduced to one narrow flag row per ``txn_ref`` (partial +
+final aggregate), and the transactions pick both flags up in a single
+join.  The clean rows are persisted (disk-backed; lost blocks are
+recomputed from the lineage) while the snapshot and the ledger partition
+are written; the summaries read the written snapshot.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +54,18 @@ def extract_clean(store: TableStore) -> DataFrame:
     )
 
 
+def key_flags(alerts: DataFrame, ledger: DataFrame) -> DataFrame:
+    """``(txn_ref, alerted, in_ledger)``: one narrow row per key of either table."""
+    a = alerts.select("txn_ref", F.lit(1).alias("alerted"), F.lit(0).alias("in_ledger"))
+    led = ledger.select("txn_ref", F.lit(0).alias("alerted"), F.lit(1).alias("in_ledger"))
+    return (
+        a.unionByName(led)
+        .where(F.col("txn_ref").isNotNull())
+        .groupBy("txn_ref")
+        .agg(F.max("alerted").alias("alerted"), F.max("in_ledger").alias("in_ledger"))
+    )
+
+
 def run_etl(
     spark: SparkSession, store: TableStore, cfg: RuleConfig = DEFAULT, run_id: int | None = None
 ) -> EtlResult:
@@ -53,22 +73,31 @@ def run_etl(
     if run_id is None:
         run_id = store.next_id("reconciliation_log")
 
-    # extract + snapshot (amount as float, NULL -> 0.0), counted while written
-    extracted = Observation(f"extract_{run_id}")
-    clean = extract_clean(store).select(*SNAPSHOT_COLUMNS)
-    snap = clean.withColumn("amount", normalize_amount(F.col("amount")))
-    snap_path = store.snapshot_path(run_id)
-    snap.observe(extracted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-        snap_path
-    )
-    staged = spark.read.parquet(snap_path)
-
-    # ledger: keys not yet present (ignoring this run's own partition)
+    # this run's own ledger partition is not "existing": a rerun rewrites it
     ledger = store.read("validated_ledger").where(F.col("run_id") != F.lit(run_id))
+    flags = key_flags(store.read("flagged_transactions"), ledger)
+    tagged = store.read("all_transactions").select(*SNAPSHOT_COLUMNS).join(flags, "txn_ref", "left")
+    clean = (
+        tagged.where(F.coalesce(F.col("alerted"), F.lit(0)) == 0)
+        # the loaded rows carry the float amount, NULL -> 0.0
+        .withColumn("amount", normalize_amount(F.col("amount")))
+        .withColumn("in_ledger", F.coalesce(F.col("in_ledger"), F.lit(0)))
+        .drop("alerted")
+    )
+    clean.persist(StorageLevel.MEMORY_AND_DISK)
+    extracted = Observation(f"extract_{run_id}")
     inserted = Observation(f"ledger_{run_id}")
-    batch = staged.withColumn("amount", F.col("amount").cast(AMOUNT_TYPE))
-    new_rows = joins.insert_if_absent(batch, ledger, "txn_ref", order_cols=("proc_ts",))
-    store.write_partition("validated_ledger", new_rows, run_id, observation=inserted)
+    snap_path = store.snapshot_path(run_id)
+    try:
+        clean.drop("in_ledger").observe(extracted, F.count(F.lit(1)).alias("rows")).write.mode(
+            "overwrite"
+        ).parquet(snap_path)
+        fresh = clean.where(F.col("in_ledger") == 0).drop("in_ledger")
+        fresh = fresh.withColumn("amount", F.col("amount").cast(AMOUNT_TYPE))
+        new_rows = joins.dedupe_by_key(fresh, "txn_ref", order_cols=("proc_ts",))
+        store.write_partition("validated_ledger", new_rows, run_id, observation=inserted)
+    finally:
+        clean.unpersist()
 
     n_extracted = int(extracted.get.get("rows", 0))
     n_inserted = int(inserted.get.get("rows", 0))
@@ -81,6 +110,7 @@ def run_etl(
     recon = reconcile(spark, store, cfg, run_id)
     store.write_partition("reconciliation_log", recon, run_id)
 
+    staged = spark.read.parquet(snap_path)
     return EtlResult(
         run_id=run_id,
         snapshot_path=snap_path,
