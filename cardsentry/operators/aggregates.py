@@ -175,6 +175,11 @@ def reconcile_row(
         part_sum("fraud").alias("fraud_amount"),
         part_sum("valid").alias("validated_amt"),
     )
+    return finish_reconcile(totals, tolerance)
+
+
+def finish_reconcile(totals: DataFrame, tolerance: str = "0.02") -> DataFrame:
+    """Expected amount, difference and PASS/FAIL from the three totals."""
     expected = F.round(F.col("total_ingested") - F.col("fraud_amount"), 2)
     return (
         totals.withColumn("expected_valid", expected.cast(TOTAL_TYPE))

@@ -5,13 +5,17 @@ clean set -> insert-if-absent into the ledger -> summaries -> one
 reconciliation row.  A rerun with the same run id rewrites its own
 partitions and nothing else.
 
-One shuffle of ``all_transactions`` serves both the extract (no alert)
-and the ledger check (key not in the ledger): alert keys and ledger keys
-are first reduced to one narrow flag row per ``txn_ref`` (partial +
-final aggregate), and the transactions pick both flags up in a single
-join.  The clean rows are persisted (disk-backed; lost blocks are
-recomputed from the lineage) while the snapshot and the ledger partition
-are written; the summaries read the written snapshot.
+One shuffle of ``all_transactions`` serves the extract (no alert), the
+ledger check (key not in the ledger) and the reconciliation: alert keys
+and ledger keys are first reduced to one narrow row per ``txn_ref``
+(alert count, ledger flag; partial + final aggregate), and the
+transactions pick both up in a single join.  The joined rows are
+persisted (disk-backed; lost blocks are recomputed from the lineage) and
+serve three actions: one aggregate for the ingested and alert-weighted
+fraud totals, the snapshot write and the ledger write.  Totals and counts
+come from aggregates and read-backs, not accumulators, so a recomputed
+stage after an executor loss cannot count twice.  The summaries read the
+written snapshot.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AMOUNT_TYPE, DEFAULT, RuleConfig
@@ -55,14 +59,14 @@ def extract_clean(store: TableStore) -> DataFrame:
 
 
 def key_flags(alerts: DataFrame, ledger: DataFrame) -> DataFrame:
-    """``(txn_ref, alerted, in_ledger)``: one narrow row per key of either table."""
-    a = alerts.select("txn_ref", F.lit(1).alias("alerted"), F.lit(0).alias("in_ledger"))
-    led = ledger.select("txn_ref", F.lit(0).alias("alerted"), F.lit(1).alias("in_ledger"))
+    """``(txn_ref, n_alerts, in_ledger)``: one narrow row per key of either table."""
+    a = alerts.select("txn_ref", F.lit(1).alias("n_alerts"), F.lit(0).alias("in_ledger"))
+    led = ledger.select("txn_ref", F.lit(0).alias("n_alerts"), F.lit(1).alias("in_ledger"))
     return (
         a.unionByName(led)
         .where(F.col("txn_ref").isNotNull())
         .groupBy("txn_ref")
-        .agg(F.max("alerted").alias("alerted"), F.max("in_ledger").alias("in_ledger"))
+        .agg(F.sum("n_alerts").alias("n_alerts"), F.max("in_ledger").alias("in_ledger"))
     )
 
 
@@ -72,42 +76,59 @@ def run_etl(
     ensure_utc(spark)
     if run_id is None:
         run_id = store.next_id("reconciliation_log")
+    money = "decimal(38,2)"
 
     # this run's own ledger partition is not "existing": a rerun rewrites it
     ledger = store.read("validated_ledger").where(F.col("run_id") != F.lit(run_id))
     flags = key_flags(store.read("flagged_transactions"), ledger)
-    tagged = store.read("all_transactions").select(*SNAPSHOT_COLUMNS).join(flags, "txn_ref", "left")
-    clean = (
-        tagged.where(F.coalesce(F.col("alerted"), F.lit(0)) == 0)
-        # the loaded rows carry the float amount, NULL -> 0.0
-        .withColumn("amount", normalize_amount(F.col("amount")))
+    tagged = (
+        store.read("all_transactions")
+        .select(*SNAPSHOT_COLUMNS)
+        .join(flags, "txn_ref", "left")
+        .withColumn("n_alerts", F.coalesce(F.col("n_alerts"), F.lit(0)))
         .withColumn("in_ledger", F.coalesce(F.col("in_ledger"), F.lit(0)))
-        .drop("alerted")
     )
-    clean.persist(StorageLevel.MEMORY_AND_DISK)
-    extracted = Observation(f"extract_{run_id}")
-    inserted = Observation(f"ledger_{run_id}")
+    tagged.persist(StorageLevel.MEMORY_AND_DISK)
     snap_path = store.snapshot_path(run_id)
     try:
-        clean.drop("in_ledger").observe(extracted, F.count(F.lit(1)).alias("rows")).write.mode(
-            "overwrite"
-        ).parquet(snap_path)
-        fresh = clean.where(F.col("in_ledger") == 0).drop("in_ledger")
+        totals = tagged.agg(
+            F.coalesce(F.sum(F.col("amount").cast(money)), F.lit(0)).cast(money).alias("ingested"),
+            F.coalesce(F.sum((F.col("amount") * F.col("n_alerts")).cast(money)), F.lit(0))
+            .cast(money)
+            .alias("fraud"),
+            F.count_if(F.col("n_alerts") == 0).alias("clean"),
+        ).first()
+        # the loaded rows carry the float amount, NULL -> 0.0
+        clean = tagged.where(F.col("n_alerts") == 0).withColumn(
+            "amount", normalize_amount(F.col("amount"))
+        )
+        clean.drop("n_alerts", "in_ledger").write.mode("overwrite").parquet(snap_path)
+        fresh = clean.where(F.col("in_ledger") == 0).drop("n_alerts", "in_ledger")
         fresh = fresh.withColumn("amount", F.col("amount").cast(AMOUNT_TYPE))
         new_rows = joins.dedupe_by_key(fresh, "txn_ref", order_cols=("proc_ts",))
-        store.write_partition("validated_ledger", new_rows, run_id, observation=inserted)
+        store.write_partition("validated_ledger", new_rows, run_id)
     finally:
-        clean.unpersist()
-
-    n_extracted = int(extracted.get.get("rows", 0))
-    n_inserted = int(inserted.get.get("rows", 0))
+        tagged.unpersist()
+
+    led = store.read("validated_ledger").agg(
+        F.coalesce(F.sum(F.col("amount").cast(money)), F.lit(0)).cast(money).alias("valid"),
+        F.count_if(F.col("run_id") == F.lit(run_id)).alias("inserted"),
+    ).first()
+    n_extracted = int(totals["clean"])
+    n_inserted = int(led["inserted"])
     metrics = spark.createDataFrame(
         [(run_id, n_extracted, n_inserted, n_extracted)],
         "run_id long, rows_extracted long, rows_inserted long, rows_snapshotted long",
     )
     store.write_partition("load_metrics", metrics, run_id)
 
-    recon = reconcile(spark, store, cfg, run_id)
+    three_totals = spark.createDataFrame(
+        [(totals["ingested"], totals["fraud"], led["valid"])],
+        f"total_ingested {money}, fraud_amount {money}, validated_amt {money}",
+    )
+    recon = agg.finish_reconcile(three_totals, cfg.reconcile_tolerance).select(
+        F.lit(run_id).cast("long").alias("run_id"), F.current_timestamp().alias("run_ts"), "*"
+    )
     store.write_partition("reconciliation_log", recon, run_id)
 
     staged = spark.read.parquet(snap_path)

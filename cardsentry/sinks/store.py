@@ -9,7 +9,7 @@ absent table reads as an empty frame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -57,15 +57,11 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
-    def write_partition(
-        self, name: str, df: DataFrame, value: int, observation: Observation | None = None
-    ) -> None:
+    def write_partition(self, name: str, df: DataFrame, value: int) -> None:
         """Replace partition ``<part>=<value>`` of ``name`` with ``df``."""
         schema, part = TABLES[name]
         cols = [f.name for f in schema.fields if f.name != part]
         out = df.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in cols])
-        if observation is not None:
-            out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
         out.write.mode("overwrite").parquet(f"{self.path(name)}/{part}={value}")
 
     def next_id(self, name: str) -> int:
