@@ -43,10 +43,22 @@ def merchant_report(alerts: DataFrame, txns: DataFrame) -> DataFrame:
 
 
 def write_merchant_csv(report: DataFrame, path: str) -> bool:
-    """CSV with a header; nothing is written for an empty report."""
+    """One CSV file with a header, largest count first; nothing when empty.
+
+    The report has at most (merchant categories x fraud types) rows, so it
+    is gathered into one ordered part after the aggregation.
+    """
     if report.isEmpty():
         return False
-    report.write.mode("overwrite").option("header", True).csv(path)
+    (
+        report.repartition(1)
+        .sortWithinPartitions(
+            F.desc("fraud_count"), F.asc_nulls_first("merchant_category"), F.asc_nulls_first("fraud_type")
+        )
+        .write.mode("overwrite")
+        .option("header", True)
+        .csv(path)
+    )
     return True
 
 
