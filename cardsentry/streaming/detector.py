@@ -161,6 +161,7 @@ def alerts_sink(store: TableStore):
 
 @dataclass
 class Detector:
+    spark: SparkSession
     transactions: StreamingQuery
     alerts: StreamingQuery
 
@@ -170,7 +171,7 @@ class Detector:
 
     def await_any(self) -> None:
         """Return when either query ends (the other keeps running)."""
-        self.transactions.sparkSession.streams.awaitAnyTermination()
+        self.spark.streams.awaitAnyTermination()
 
     def stop(self) -> None:
         for q in (self.transactions, self.alerts):
@@ -229,7 +230,7 @@ def _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigge
         .option("checkpointLocation", f"{checkpoint_dir}/flagged"),
         trigger,
     ).start()
-    return Detector(q1, q2)
+    return Detector(raw_transactions.sparkSession, q1, q2)
 
 
 def run_kafka_detector(spark: SparkSession, store: TableStore, cfg: RuleConfig = DEFAULT) -> Detector:

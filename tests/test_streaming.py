@@ -168,3 +168,18 @@ def test_bounded_key_check_and_duplicate_alerts(spark, scratch):
     assert sorted(r["txn_ref"] for r in store.read("all_transactions").collect()) == ["w1", "w2"]
     # one high-value alert although the event was delivered three times
     assert alerts(store, "HIGH_VALUE") == [("w1", "HIGH_VALUE")]
+
+
+def test_await_any_then_stop(spark, scratch):
+    feed, store, ckpt = setup(spark, scratch, "any")
+    feed.push([txn("q1", "A", plus(base(12), 1), "US", 8000.0)])
+    spark.streams.resetTerminated()
+    det = detector.start_detector(
+        detector.json_file_stream(spark, feed.dir), detector.json_file_stream(spark, feed.dir),
+        store, ckpt,
+    )
+    det.await_any()  # returns once either query has ended
+    det.await_all()
+    det.stop()
+    assert not det.transactions.isActive and not det.alerts.isActive
+    assert store.read("all_transactions").count() == 1
