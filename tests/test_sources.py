@@ -54,3 +54,33 @@ def test_fixture_mapping(spark):
 def test_wire_faults_cover_every_row(spark):
     w = fixture.wire_events(spark, "/root/testdata/sf0.001")
     assert w.count() == 1000
+
+
+def _missing_source(exc) -> bool:
+    text = str(exc).lower()
+    return "kafka" in text or "jdbc" in text or "data source" in text or "driver" in text
+
+
+def test_kafka_paths_reach_the_connector(spark):
+    import pytest
+
+    from cardsentry.functions.codec import encode_events
+
+    with pytest.raises(Exception) as err:
+        kafka.kafka_stream(spark, DEFAULT)
+    assert _missing_source(err.value)
+    enc = encode_events(fixture.transactions(spark, "/root/testdata/sf0.001"), key_col="txn_ref")
+    assert enc.columns == ["key", "value"]
+    with pytest.raises(Exception) as err:
+        kafka.write_kafka(enc, DEFAULT, topic="alerts")
+    assert _missing_source(err.value)
+
+
+def test_jdbc_paths_reach_the_connector(spark):
+    import pytest
+
+    opts = jdbc.jdbc_options("jdbc:postgresql://localhost:1/x", "all_transactions",
+                             driver="org.postgresql.Driver")
+    with pytest.raises(Exception) as err:
+        jdbc.read_jdbc(spark, opts)
+    assert _missing_source(err.value)
