@@ -180,7 +180,11 @@ class Detector:
 
 
 def _trigger(writer, trigger: dict | None):
-    return writer.trigger(**(trigger or {"availableNow": True}))
+    """None: drain what is there (tests, backfills); {}: Spark's default
+    trigger (next batch as soon as the last one ends); else the given one."""
+    if trigger is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(**trigger) if trigger else writer
 
 
 @contextmanager

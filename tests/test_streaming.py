@@ -183,3 +183,20 @@ def test_await_any_then_stop(spark, scratch):
     det.stop()
     assert not det.transactions.isActive and not det.alerts.isActive
     assert store.read("all_transactions").count() == 1
+
+
+def test_default_trigger_keeps_running(spark, scratch):
+    feed, store, ckpt = setup(spark, scratch, "continuous")
+    feed.push([txn("c1", "A", plus(base(12), 1), "US")])
+    det = detector.start_detector(
+        detector.json_file_stream(spark, feed.dir), detector.json_file_stream(spark, feed.dir),
+        store, ckpt, trigger={},
+    )
+    try:
+        det.transactions.processAllAvailable()
+        assert det.transactions.isActive and det.alerts.isActive
+        feed.push([txn("c2", "A", plus(base(12), 2), "US")])
+        det.transactions.processAllAvailable()
+        assert store.read("all_transactions").count() == 2
+    finally:
+        det.stop()
