@@ -60,7 +60,9 @@ EVENTS_SCHEMA = StructType(
 # -- sources ------------------------------------------------------------------
 
 
-def events_file_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
+def events_file_stream(
+    spark: SparkSession, sf_dir: str, max_files: int = 1, faults: bool = False
+) -> DataFrame:
     """``events`` parquet files of a directory as a stream of wire values."""
     events = (
         spark.readStream.schema(EVENTS_SCHEMA)
@@ -68,7 +70,7 @@ def events_file_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) ->
         .option("maxFilesPerTrigger", max_files)
         .parquet(sf_dir)
     )
-    return fixture.wire_from_transactions(fixture.transactions_from_events(events), faults=False)
+    return fixture.wire_from_transactions(fixture.transactions_from_events(events), faults=faults)
 
 
 def json_file_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -294,6 +296,22 @@ def q_stream_transactions(spark, sf_dir):
     return store.read("all_transactions").select(*TXN_COLUMNS[:-1])
 
 
+@register("stream_rejected")
+def q_stream_rejected(spark, sf_dir):
+    """The transactions query over wire documents with defects: quarantine."""
+    store = TableStore(spark, scratch_path(spark, "stream-rejected"))
+    with state_partitions(spark):
+        q = (
+            transaction_rows(events_file_stream(spark, sf_dir, faults=True))
+            .writeStream.foreachBatch(transactions_sink(store))
+            .option("checkpointLocation", f"{store.root}/_checkpoints/all_txn")
+            .trigger(availableNow=True)
+            .start()
+        )
+    q.awaitTermination()
+    return store.read("rejected_events").select("txn_ref", "account_id", "reason")
+
+
 # Append mode emits a window once the final watermark (max event time
 # minus the delay) has passed its end.
 _CLOSED = " WHERE we <= (SELECT max(event_time) - INTERVAL 2 MINUTE FROM txn)"
@@ -303,6 +321,12 @@ oracle.add(
     "SELECT txn_ref, account_id, fraud_type, details FROM hv UNION ALL "
     "SELECT txn_ref, account_id, fraud_type, details FROM travel" + _CLOSED,
 )
+oracle.add(
+    "stream_rejected",
+    "SELECT txn_ref, account_id, CASE WHEN k = 0 THEN 'malformed_json'"
+    " WHEN k = 3 THEN 'null_key' ELSE 'bad_amount' END AS reason"
+    " FROM wire WHERE k IN (0, 2, 3)",
+)
 oracle.add(
     "stream_transactions",
     "SELECT txn_ref, account_id, event_ts, merchant_category, amount, country, channel, currency"
