@@ -14,6 +14,7 @@ import argparse
 import json
 import sys
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from ..config import DEFAULT
 from ..session import build_session, checkpoint_root, ensure_utc
@@ -24,6 +25,14 @@ def _store(spark, root: str | None) -> TableStore:
     return TableStore(spark, root or f"{checkpoint_root(spark)}/store")
 
 
+def _stamped(store: TableStore, out: str | None, name: str) -> str:
+    """Explicit path, or ``<store>/deliverables/<name>_<UTC yyyyMMdd_HHmmss>``."""
+    if out:
+        return out
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    return f"{store.root}/deliverables/{name}_{stamp}"
+
+
 def _trigger(spec: str) -> dict:
     if spec == "availableNow":
         return {"availableNow": True}
@@ -77,17 +86,20 @@ def cmd_merchant_report(spark, args) -> int:
     from . import reports
 
     store = _store(spark, args.store)
+    out = _stamped(store, args.out, "fraud_by_merchant")
     rep = reports.merchant_report(store.read("flagged_transactions"), store.read("all_transactions"))
-    wrote = reports.write_merchant_csv(rep, args.out)
-    print(json.dumps({"csv": args.out if wrote else None}))
+    wrote = reports.write_merchant_csv(rep, out)
+    print(json.dumps({"csv": out if wrote else None}))
     return 0
 
 
 def cmd_full_report(spark, args) -> int:
     from . import reports
 
-    reports.write_report(reports.full_report(spark, _store(spark, args.store)), args.out)
-    print(json.dumps({"report": args.out}))
+    store = _store(spark, args.store)
+    out = _stamped(store, args.out, "full_report")
+    reports.write_report(reports.full_report(spark, store), out)
+    print(json.dumps({"report": out}))
     return 0
 
 
@@ -119,12 +131,12 @@ def main(argv=None) -> int:
 
     m = sub.add_parser("merchant-report")
     m.add_argument("--store")
-    m.add_argument("--out", required=True)
+    m.add_argument("--out", help="default: <store>/deliverables/fraud_by_merchant_<UTC stamp>")
     m.set_defaults(fn=cmd_merchant_report)
 
     f = sub.add_parser("full-report")
     f.add_argument("--store")
-    f.add_argument("--out", required=True)
+    f.add_argument("--out", help="default: <store>/deliverables/full_report_<UTC stamp>")
     f.set_defaults(fn=cmd_full_report)
 
     s = sub.add_parser("load-events")

@@ -23,6 +23,10 @@ def test_load_etl_reports(spark, tmp_path, capsys):
     text = "".join(open(f).read() for f in sorted(glob.glob(str(tmp_path / "rep" / "part-*"))))
     assert "Flagged as fraud            :      178   $  1,090,382.00" in text
     assert glob.glob(str(tmp_path / "csv" / "part-*.csv"))
+    # default output: a UTC-stamped folder under the store
+    jobs.cmd_full_report(spark, Namespace(store=root, out=None))
+    stamped = glob.glob(os.path.join(root, "deliverables", "full_report_*"))
+    assert len(stamped) == 1 and len(os.path.basename(stamped[0])) == len("full_report_20240101_000000")
 
 
 def test_detector_on_json_files(spark, tmp_path):
