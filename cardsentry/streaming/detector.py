@@ -282,33 +282,32 @@ def q_stream_all_alerts(spark, sf_dir):
     return store.read("flagged_transactions").select("txn_ref", "account_id", "fraud_type", "details")
 
 
+def _run_transactions_query(spark: SparkSession, sf_dir: str, label: str, faults: bool) -> TableStore:
+    """The transactions query alone over ``events`` (availableNow)."""
+    store = TableStore(spark, scratch_path(spark, label))
+    with state_partitions(spark):
+        q = (
+            transaction_rows(events_file_stream(spark, sf_dir, faults=faults))
+            .writeStream.foreachBatch(transactions_sink(store))
+            .option("checkpointLocation", f"{store.root}/_checkpoints/all_txn")
+            .trigger(availableNow=True)
+            .start()
+        )
+    q.awaitTermination()
+    return store
+
+
 @register("stream_transactions")
 def q_stream_transactions(spark, sf_dir):
     """The detector's transaction table after the stream drained."""
-    store = TableStore(spark, scratch_path(spark, "stream-detector"))
-    det = start_detector(
-        events_file_stream(spark, sf_dir),
-        events_file_stream(spark, sf_dir),
-        store,
-        f"{store.root}/_checkpoints",
-    )
-    det.await_all()
+    store = _run_transactions_query(spark, sf_dir, "stream-transactions", faults=False)
     return store.read("all_transactions").select(*TXN_COLUMNS[:-1])
 
 
 @register("stream_rejected")
 def q_stream_rejected(spark, sf_dir):
     """The transactions query over wire documents with defects: quarantine."""
-    store = TableStore(spark, scratch_path(spark, "stream-rejected"))
-    with state_partitions(spark):
-        q = (
-            transaction_rows(events_file_stream(spark, sf_dir, faults=True))
-            .writeStream.foreachBatch(transactions_sink(store))
-            .option("checkpointLocation", f"{store.root}/_checkpoints/all_txn")
-            .trigger(availableNow=True)
-            .start()
-        )
-    q.awaitTermination()
+    store = _run_transactions_query(spark, sf_dir, "stream-rejected", faults=True)
     return store.read("rejected_events").select("txn_ref", "account_id", "reason")
 
 
