@@ -148,3 +148,19 @@ def test_reconcile_tolerance_boundary(spark):
         row = agg.reconcile_row(store.read("all_transactions"), store.read("flagged_transactions"),
                                 store.read("validated_ledger")).first()
         assert row["status"] == status, (ledger_amount, row)
+
+
+def test_fused_totals_equal_table_totals(spark):
+    """The ETL's one-pass totals equal an independent read of the tables."""
+    store = seed_store(spark, "/root/testdata/sf0.001")
+    for _ in range(2):
+        res = run_etl(spark, store)
+        logged = res.reconciliation.first()
+        direct = agg.reconcile_row(
+            store.read("all_transactions"),
+            store.read("flagged_transactions"),
+            store.read("validated_ledger"),
+        ).first()
+        for col in ("total_ingested", "fraud_amount", "validated_amt", "expected_valid",
+                    "difference", "status"):
+            assert logged[col] == direct[col], col
