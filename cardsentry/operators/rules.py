@@ -97,7 +97,9 @@ def travel_alerts(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     buckets = cfg.travel_salt_buckets
     if txns.isStreaming and buckets > 1:
         rows = rows.withColumn("salt", F.pmod(F.xxhash64("txn_ref"), F.lit(buckets)))
-        guilty = guilty.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+        guilty = guilty.withColumn(
+            "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")))
+        )
         keys = keys + ["salt"]
     return rows.join(guilty, keys, "inner").select(
         "txn_ref",
