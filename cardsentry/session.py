@@ -61,19 +61,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     directory so ``DataFrame.checkpoint()`` and our tables agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        raise ValueError(
+            "spark.checkpoint.dir is unset: name a shared folder for checkpoints and tables"
+        ) from None
+    root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError(
                 "spark.checkpoint.dir is unset: name a shared folder for checkpoints and tables"
             )
         root = tempfile.mkdtemp(prefix="cardsentry-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Total cores of the cluster (falls back to the configured default)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return int(spark.conf.get("spark.default.parallelism", None) or
+                   spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

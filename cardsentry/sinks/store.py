@@ -26,10 +26,24 @@ TABLES: dict[str, tuple[StructType, str]] = {
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Hadoop ``FileSystem.exists`` (PySpark has no public file-system API)."""
-    jvm = spark.sparkContext._jvm
+    """Hadoop ``FileSystem.exists`` (PySpark has no public file-system API).
+
+    Without a JVM gateway (Spark Connect) the table is probed with a read.
+    """
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        jvm = None
+    if jvm is None:
+        try:
+            probe = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            probe.select("path").limit(1).collect()  # content column pruned
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath)
 
 
 class TableStore:

@@ -40,7 +40,7 @@ from ..operators import quality, rules
 from ..plans import oracle
 from ..plans.catalog import register
 from ..schemas import ALERT_COLUMNS, TXN_COLUMNS
-from ..session import ensure_utc, scratch_path
+from ..session import default_parallelism, ensure_utc, scratch_path
 from ..sinks.store import TableStore
 from ..sources import fixture
 from ..sources.kafka import kafka_stream
@@ -198,7 +198,7 @@ def state_partitions(spark: SparkSession, cfg: RuleConfig = DEFAULT):
     cores) and the session setting is restored afterwards.
     """
     key = "spark.sql.shuffle.partitions"
-    n = cfg.state_partitions or spark.sparkContext.defaultParallelism
+    n = cfg.state_partitions or default_parallelism(spark)
     old = spark.conf.get(key)
     spark.conf.set(key, str(n))
     try:
