@@ -164,3 +164,17 @@ def test_fused_totals_equal_table_totals(spark):
         for col in ("total_ingested", "fraud_amount", "validated_amt", "expected_valid",
                     "difference", "status"):
             assert logged[col] == direct[col], col
+
+
+def test_rerun_after_crash_between_ledger_and_log(spark):
+    """A run that died after writing part of its ledger partition is redone whole."""
+    store = seed_store(spark, "/root/testdata/sf0.001")
+    clean = joins.clean_transactions(store.read("all_transactions"), store.read("flagged_transactions"))
+    partial = clean.orderBy("txn_ref").limit(100)  # what the dead attempt left behind
+    store.write_partition("validated_ledger", partial, 1)
+    assert store.read("reconciliation_log").count() == 0  # the log never got its row
+    res = run_etl(spark, store)
+    assert res.run_id == 1 and res.rows_inserted == 843
+    assert store.read("validated_ledger").count() == 843
+    rec = res.reconciliation.first()
+    assert rec["validated_amt"] == Decimal("1496144.50")
