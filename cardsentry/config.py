@@ -43,6 +43,9 @@ class RuleConfig:
     min_countries: int = 2
     reconcile_tolerance: str = "0.02"
     top_accounts: int = 10
+    # Extra partition columns of the per-run warehouse snapshot (e.g.
+    # ("country",)); the snapshot is always one folder per run.
+    snapshot_partition_by: tuple[str, ...] = ()
     # Streaming knobs (the alert query always runs in append mode: a window
     # is reported once, after the watermark has closed it).
     # Join partitions per (window, account) in the streaming travel join;

@@ -102,7 +102,9 @@ def run_etl(
         clean = tagged.where(F.col("n_alerts") == 0).withColumn(
             "amount", normalize_amount(F.col("amount"))
         )
-        clean.drop("n_alerts", "in_ledger").write.mode("overwrite").parquet(snap_path)
+        clean.drop("n_alerts", "in_ledger").write.mode("overwrite").partitionBy(
+            *cfg.snapshot_partition_by
+        ).parquet(snap_path)
         fresh = clean.where(F.col("in_ledger") == 0).drop("n_alerts", "in_ledger")
         fresh = fresh.withColumn("amount", F.col("amount").cast(AMOUNT_TYPE))
         new_rows = joins.dedupe_by_key(fresh, "txn_ref", order_cols=("proc_ts",))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from decimal import Decimal
 
 import pytest
@@ -178,3 +179,17 @@ def test_rerun_after_crash_between_ledger_and_log(spark):
     assert store.read("validated_ledger").count() == 843
     rec = res.reconciliation.first()
     assert rec["validated_amt"] == Decimal("1496144.50")
+
+
+def test_snapshot_partitioned_by_country(spark):
+    from dataclasses import replace
+
+    from cardsentry.config import DEFAULT
+    from cardsentry.session import local_path
+
+    store = seed_store(spark, "/root/testdata/sf0.001")
+    res = run_etl(spark, store, replace(DEFAULT, snapshot_partition_by=("country",)))
+    parts = sorted(os.listdir(local_path(res.snapshot_path)))
+    assert "country=US" in parts and "country=BR" in parts
+    snap = spark.read.parquet(res.snapshot_path)
+    assert snap.count() == 843 and snap.where("country = 'US'").count() > 0
