@@ -1,0 +1,24 @@
+"""Session helpers and the registered-output typing."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from cardsentry.plans.catalog import comparable
+from cardsentry.session import checkpoint_root, scratch_path
+
+
+def test_comparable_types(spark):
+    df = spark.createDataFrame([(Decimal("12.50"), True, "x", 3)], "a decimal(14,2), b boolean, c string, d long")
+    out = comparable(df)
+    assert dict(out.dtypes) == {"a": "double", "b": "string", "c": "string", "d": "bigint"}
+    assert tuple(out.first()) == (12.5, "true", "x", 3)
+
+
+def test_checkpoint_root_reads_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    root = checkpoint_root(spark)
+    if configured:
+        assert root == configured.rstrip("/")
+    a, b = scratch_path(spark, "t"), scratch_path(spark, "t")
+    assert a != b and a.startswith(root + "/t-")
