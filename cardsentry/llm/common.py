@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import os
 import uuid
 from collections.abc import Callable
 
@@ -31,6 +32,21 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def prepare(spark: SparkSession, rows: int = 512, mb: int = 16) -> None:
+    """Ready the session for Python tasks.
+
+    Arrow batches stay small, because texts can be very long, and workers look
+    for this package where the driver found it (a cluster has it installed
+    there or ships it with ``--py-files``).
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(mb << 20))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times inside ``body``.
 

@@ -7,11 +7,84 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import doc_crc, table
+
+#: Documents that score lower are predicted to be of bad quality.
+QUALITY_LIMIT = 0.3
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+#: The written rules of the URL filter.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(spark, table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..session import scratch_path
+    from .token_output import read_shards, write_shards
+
+    folder = scratch_path(spark, "llm-token-shards")
+    docs = table(spark, sf_dir, "documents")
+    # the vocabulary has 50,257 ids: two bytes hold one
+    manifest = write_shards(spark, docs, folder, tokenizer_file("byte_bpe_50k.json"), end_id=0, id_bytes=2)
+    return read_shards(spark, manifest, folder, id_bytes=2)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import Training, fit, identify, sample
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = doc_crc(F.col("doc_id")) % 4 == 2
+    cfg = Training()
+    usable = F.coalesce(~held_out, F.lit(False))
+    model = fit(sample(docs, cfg, "doc_id", "text", "lang", usable), cfg)
+    out = identify(spark, docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label of the document that its path names (``/en/123``)."""
+    from .url_filter import judge
+
+    labels = table(spark, sf_dir, "labels")
+    outcomes = labels.select(
+        F.col("doc_id").cast("string").alias("ref"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")
+    ).where("ref is not null and bad is not null")
+    number = F.regexp_extract(F.col("path"), r"^/[a-z]{2}/(\d+)(?:[./].*)?$", 1)
+    return judge(spark, table(spark, sf_dir, "pages"), outcomes, URL_RULES, F.when(number != "", number))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import Training, fit, sample, with_scores
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = doc_crc(F.col("doc_id")) % 5 == 0
+    cfg = Training()
+    rows, share = sample(docs, labels, cfg, "doc_id", "text", "quality", F.coalesce(~held_out, F.lit(False)))
+    out = with_scores(spark, docs.select("doc_id", "text"), fit(rows, share, cfg))
+    return out.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted")
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import apply_rules
 
