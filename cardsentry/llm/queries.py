@@ -37,6 +37,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(spark, table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The (document, benchmark item) pairs in which the document holds the item."""
+    from .decontaminate import leaks
+
+    return leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import scratch_path
     from .token_output import read_shards, write_shards
