@@ -44,6 +44,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that also start elsewhere."""
+    from .suffix_dedup import remove_repeats
+
+    return remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import scratch_path
     from .token_output import read_shards, write_shards
