@@ -61,6 +61,28 @@ def fresh(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
+def with_row_key(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Add ``key``, which tells rows apart: the id where ids are unique, else a hash of id and text.
+
+    Rows that repeat in full share a key.
+    """
+    own = docs.select(F.col(doc_id).cast("long").alias("i"))
+    unique = not own.groupBy("i").count().where("count > 1 or i is null").limit(1).count()
+    return docs.withColumn(key, F.col(doc_id).cast("long") if unique else F.xxhash64(doc_id, text))
+
+
+def without(spark: SparkSession, docs: DataFrame, key: str, gone: DataFrame, label: str) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in the one-column table ``gone``.
+
+    The keys are broadcast while measured few; beyond that, a shuffle join.
+    """
+    name = fresh("gone")
+    gone = materialize(spark, gone.toDF(name).distinct(), label)
+    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, docs[key] == gone[name], "left_anti")
+
+
 def doc_crc(col: Column) -> Column:
     """crc32 of an id as decimal text; defines the fixed folds."""
     return F.crc32(col.cast("string").cast("binary"))

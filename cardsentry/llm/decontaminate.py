@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, prepare
+from .common import fresh, materialize, prepare, with_row_key, without
 from .shingles import word_hashes
 
 TERMS = 1 << 14
@@ -338,12 +338,10 @@ def leaks(
 
 
 def decontaminated(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
-    broadcast_rows: int = BROADCAST_ROWS,
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    bad = leaks(spark, docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_leaky")).distinct()
-    bad = materialize(spark, bad, "leaky-documents")
-    if bad.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        bad = F.broadcast(bad)
-    return docs.join(bad, docs[doc_id].cast("long") == bad["_leaky"], "left_anti")
+    key = fresh("key")
+    rows = with_row_key(docs, key, doc_id, text)
+    bad = leaks(spark, rows, benchmark, key, text).select("doc_id")
+    return without(spark, rows, key, bad, "leaky-documents").drop(key)

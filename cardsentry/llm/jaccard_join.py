@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, prepare
+from .common import BROADCAST_ROWS, fresh, materialize, prepare, with_row_key, without
 from .components import components
 from .shingles import COORDS, jaccard, mix, shingle_set, signature, word_hashes
 
@@ -318,3 +318,14 @@ def agreeing(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids, leads)), pa.array(np.maximum(ids, leads))], names=["a", "b"])
 
     return rows.select("id", "leader", "sig", "lead_sig").mapInArrow(run, "a long, b long")
+
+
+def one_of_each(
+    spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
+) -> DataFrame:
+    """``docs`` with one document (the smallest key) of each class of near duplicates."""
+    key = fresh("key")
+    rows = with_row_key(docs, key, doc_id, text)
+    members, _ = near_duplicates(spark, rows, key, text, similarity)
+    gone = members.where("doc_id <> class_id").select("doc_id")
+    return without(spark, rows, key, gone, "near-duplicates").dropDuplicates([key]).drop(key)

@@ -86,16 +86,23 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark, table(spark, sf_dir, "pages"), outcomes, URL_RULES, F.when(number != "", number))
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """Classifier fitted to the labelled documents outside the held-out fold."""
+    from .quality_classifier import Training, fit, sample
+
+    usable = F.coalesce(doc_crc(F.col("doc_id")) % 5 != 0, F.lit(False))
+    rows, share = sample(docs, table(spark, sf_dir, "labels"), Training(), "doc_id", "text", "quality", usable)
+    return fit(rows, share)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .quality_classifier import Training, fit, sample, with_scores
+    from .quality_classifier import with_scores
 
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = doc_crc(F.col("doc_id")) % 5 == 0
-    cfg = Training()
-    rows, share = sample(docs, labels, cfg, "doc_id", "text", "quality", F.coalesce(~held_out, F.lit(False)))
-    out = with_scores(spark, docs.select("doc_id", "text"), fit(rows, share, cfg))
+    docs = table(spark, sf_dir, "documents")
+    out = with_scores(spark, docs.select("doc_id", "text"), quality_model(spark, docs, sf_dir))
     return out.select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted")
+        "doc_id", (doc_crc(F.col("doc_id")) % 5 == 0).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"),
     )
 
 

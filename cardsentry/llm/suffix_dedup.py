@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, materialize, prepare
+from .common import BROADCAST_ROWS, materialize, prepare, with_row_key
 from .shingles import mix
 
 LENGTH, GRAM = 200, 64
@@ -403,9 +403,7 @@ def remove_repeats(
     (and ``kept``, the remaining bytes, if ``with_kept``)."""
     prepare(spark)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    unique = not own.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
-    # equal rows have equal ranges, so a repeated id is told apart by its text
-    rows = own.withColumn("row", F.col("doc_id") if unique else F.xxhash64("doc_id", "text"))
+    rows = with_row_key(own, "row")  # equal rows have equal ranges
     spans = repeated_ranges(spark, rows, keep, group, broadcast_rows)
     ranges = spans.groupBy(F.col("row").alias("of")).agg(F.collect_list(F.struct("b", "e")).alias("ranges"))
     ranges = materialize(spark, ranges, "removed-ranges")

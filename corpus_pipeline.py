@@ -1,30 +1,65 @@
-"""The corpus pipeline: filter, clean, deduplicate, decontaminate and pack documents."""
+"""The corpus pipeline: filter, clean, deduplicate, decontaminate and pack documents.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage
+before it kept; its result is written as Parquet and reread.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cardsentry.llm.common import fresh, materialize, table
+from cardsentry.llm.decontaminate import decontaminated
+from cardsentry.llm.jaccard_join import one_of_each
 from cardsentry.llm.line_dedup import drop_boilerplate
+from cardsentry.llm.packing import pack
+from cardsentry.llm.quality_classifier import with_scores
+from cardsentry.llm.queries import QUALITY_LIMIT, quality_model, tokenizer_file
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    score = fresh("score")
+    model = quality_model(spark, docs, sf_dir)
+    return with_scores(spark, docs, model, into=score).where(F.col(score) >= QUALITY_LIMIT).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop boilerplate lines; every document stays."""
+    """Every document, without its source's boilerplate lines."""
     return drop_boilerplate(spark, docs)
 
 
-STAGES = [("line_dedup", line_dedup)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return one_of_each(spark, docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
-#: Two stages train a model, which SQL cannot express.
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and their places in training sequences."""
+    return pack(spark, docs, tokenizer_file("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_classifier", quality),
+    ("line_dedup", line_dedup),
+    ("jaccard_join", near_duplicates),
+    ("decontaminate", decontamination),
+    ("packing", packing),
+]
+
+#: The classifier is a trained model, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each written as Parquet and reread."""
-    from cardsentry.llm.common import materialize, table
-
+    """Apply the stages to ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = materialize(spark, docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
