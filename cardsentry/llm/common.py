@@ -61,14 +61,14 @@ def fresh(name: str) -> str:
     return f"_{name}_{uuid.uuid4().hex[:8]}"
 
 
-def with_row_key(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def with_row_key(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, bool]:
     """Add ``key``, which tells rows apart: the id where ids are unique, else a hash of id and text.
 
-    Rows that repeat in full share a key.
+    Rows that repeat in full share a key.  Also says whether the ids are unique.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("i"))
     unique = not own.groupBy("i").count().where("count > 1 or i is null").limit(1).count()
-    return docs.withColumn(key, F.col(doc_id).cast("long") if unique else F.xxhash64(doc_id, text))
+    return docs.withColumn(key, F.col(doc_id).cast("long") if unique else F.xxhash64(doc_id, text)), unique
 
 
 def without(spark: SparkSession, docs: DataFrame, key: str, gone: DataFrame, label: str) -> DataFrame:

@@ -342,6 +342,6 @@ def decontaminated(
 ) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     key = fresh("key")
-    rows = with_row_key(docs, key, doc_id, text)
+    rows, _ = with_row_key(docs, key, doc_id, text)
     bad = leaks(spark, rows, benchmark, key, text).select("doc_id")
     return without(spark, rows, key, bad, "leaky-documents").drop(key)

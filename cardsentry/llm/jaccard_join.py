@@ -6,16 +6,16 @@ embedded as a min-hash signature.  Each run starts one search tree: a node
 samples coordinates (1 / similarity of them on average, one at least) and sends
 a set to the child named by the coordinate and the set's value there, so sets
 meet in a child only if they share the sampled token.  Buckets of at most
-``LIMIT`` sets are compared by brute force on signatures; larger ones are
-split again (Christiani and Pagh, 2017; Christiani, Pagh and Sivertsen, 2018).
+``LIMIT`` sets are compared by brute force on sketches; larger ones are split
+again (Christiani and Pagh, 2017; Christiani, Pagh and Sivertsen, 2018).
 ``RUNS`` trees bring the chance to miss a pair at the threshold below 1/1000.
 Candidates are verified exactly on the shingle sets of their whole texts.
 
 Hot groups stay linear: in an oversize bucket every set is first compared with
-the bucket's leader, and a bucket whose sets all belong to one verified
-component is finished, since its links are already implied.  Sets that stay
-together in an oversize bucket through ``DEPTH`` splits are compared block by
-block, each pair of blocks in a task of its own.
+a leader that is not yet linked, and a bucket whose sets all belong to one
+verified component is finished, since its links are already implied.  Sets
+that stay together in an oversize bucket through ``DEPTH`` splits are compared
+block by block, each pair of blocks in a task of its own.
 
 In a bucket, the strongest links of each set and a maximum spanning forest are
 verified first; a second pass verifies every remaining candidate between
@@ -23,8 +23,9 @@ different components, so that no component is left split by a rejected link.
 
 Defined results: null texts and texts without words are never linked and are
 their own class; a shorter text than five words is one shingle; repeated rows
-are members of one class; a null id has a null class; an empty table gives an
-empty result.
+are members of one class; where ids repeat or are null, classes are named by a
+hash of id and text instead of the smallest id; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -38,36 +39,38 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, fresh, materialize, prepare, with_row_key, without
 from .components import components
-from .shingles import COORDS, jaccard, mix, shingle_set, signature, word_hashes
+from .shingles import BINS, COORDS, jaccard, mix, shingle_set, signature, sketch, word_hashes
 
 SIMILARITY = 0.8
 RUNS = 8
-LIMIT = 400
+LIMIT = 2000
 DEPTH = 4
-#: Signatures that agree less are never verified (5 standard deviations below the threshold).
-ESTIMATE = 0.55
+#: Sketches that agree this many standard deviations less than the threshold are not verified
+#: (one pair in 30,000 at the threshold itself, fewer above).
+DEVIATIONS = 4
 #: Links of each set that a bucket sends to verification in the first pass, beside the forest.
 STRONGEST = 2
 
 
-def features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, the class key (128-bit hash of the word sequence; null without words) and the signature."""
+def features(rows: DataFrame) -> DataFrame:
+    """``row, key, sig, sketch``: the key is a 128-bit hash of the word sequence (null without words)."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            keys, sigs = [], []
+            keys, sigs, sketches = [], [], []
             for t in batch.column(1):
                 w = word_hashes(t.as_py())
+                found = shingle_set(w)
                 keys.append(hashlib.blake2b(w.tobytes(), digest_size=16).digest() if len(w) else None)
-                sigs.append(signature(shingle_set(w)).tobytes() if len(w) else None)
+                sigs.append(signature(found).tobytes() if len(w) else None)
+                sketches.append(sketch(found).tobytes() + len(found).to_bytes(4, "little") if len(w) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "key", "sig"]
+                [batch.column(0), *[pa.array(x, pa.binary()) for x in (keys, sigs, sketches)]], names=["row", "key", "sig", "sketch"]
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, key binary, sig binary")
+    return rows.mapInArrow(run, "row long, key binary, sig binary, sketch binary")
 
 
 def children(paths: np.ndarray, sigs: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -114,19 +117,57 @@ def split(rows: DataFrame, similarity: float) -> DataFrame:
     return rows.select("bucket", "id", "sig").mapInArrow(run, "bucket long, id long")
 
 
-def bucket_pairs(ids: np.ndarray, labels: np.ndarray, sigs: np.ndarray, everything: bool) -> list[tuple[int, int]]:
-    """Candidate pairs of one bucket between different components."""
-    same = np.zeros((len(ids), len(ids)), np.int16)
-    for k in range(COORDS):
-        same += sigs[:, k, None] == sigs[None, :, k]
-    same[labels[:, None] == labels[None, :]] = 0
-    a, b = np.nonzero(np.triu(same >= ESTIMATE * COORDS, 1))
-    if everything or len(a) <= (STRONGEST + 1) * len(ids):
+def _sketches(column) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches and set sizes (the last four bytes)."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS + 4)
+    return raw[:, :BINS], np.ascontiguousarray(raw[:, BINS:]).view("<u4")[:, 0].astype(np.int64)
+
+
+def close(agree: np.ndarray, filled: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sketches that agree in so many of so many filled bins can reach the similarity.
+
+    The filled bins are a sample without replacement of the two sets' union
+    (``sizes`` is the sum of their sizes), which bounds the deviation.
+    """
+    union = np.maximum(sizes / (1 + similarity), filled)
+    slack = DEVIATIONS * np.sqrt(similarity * (1 - similarity) * filled * (1 - filled / np.maximum(union, 1))) + 1.5
+    return agree >= similarity * filled - slack
+
+
+def bucket_pairs(
+    bucket: int, ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, meets: list[set],
+    similarity: float, everything: bool,
+) -> list[tuple[int, int]]:
+    """Candidate pairs of one bucket between different components.
+
+    ``meets`` has the buckets of each set: in the second pass a pair is left
+    to the first of the buckets in which it meets.
+    """
+    n = len(ids)
+    names, count = np.unique(labels, return_counts=True)
+    # links inside the largest component are implied: only the other sets are compared
+    rows = np.flatnonzero(labels != names[count.argmax()])
+    agree, empty = np.zeros((len(rows), n), np.int16), np.zeros((len(rows), n), np.int16)
+    for c in np.ascontiguousarray(sketches.T):
+        agree += c[rows, None] == c[None, :]
+        if not c.all():
+            none = c == 0
+            empty += none[rows, None] & none[None, :]
+    agree -= empty  # bins that are empty in both say nothing
+    filled = BINS - empty
+    found = close(agree, filled, sizes[rows, None] + sizes[None, :], similarity) & (labels[rows, None] != labels[None, :])
+    x, b = np.nonzero(found)
+    a = rows[x]
+    once = (a < b) | ~np.isin(b, rows)
+    x, a, b = x[once], a[once], b[once]
+    if everything:
+        keep = np.array([min(meets[i] & meets[j]) == bucket for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
+    elif len(a) <= (STRONGEST + 1) * n:
         keep = np.arange(len(a))
     else:
-        order = np.lexsort((b, a, -same[a, b]))
+        order = np.lexsort((b, a, -agree[x, b] / filled[x, b]))
         parent = {x: x for x in labels.tolist()}
-        used, keep = np.zeros(len(ids), int), []
+        used, keep = np.zeros(n, int), []
 
         def root(x: int) -> int:
             while parent[x] != x:
@@ -136,18 +177,18 @@ def bucket_pairs(ids: np.ndarray, labels: np.ndarray, sigs: np.ndarray, everythi
 
         for k in order.tolist():
             i, j = int(a[k]), int(b[k])
-            x, y = root(int(labels[i])), root(int(labels[j]))
-            if x != y:
-                parent[x] = y
-            if x != y or min(used[i], used[j]) < STRONGEST:
+            u, v = root(int(labels[i])), root(int(labels[j]))
+            if u != v:
+                parent[u] = v
+            if u != v or min(used[i], used[j]) < STRONGEST:
                 keep.append(k)
                 used[[i, j]] += 1
         keep = np.array(keep, int)
     return list(zip(ids[a[keep]].tolist(), ids[b[keep]].tolist(), strict=True))
 
 
-def brute_force(rows: DataFrame, everything: bool) -> DataFrame:
-    """Distinct candidate pairs of bounded buckets; rows are ``bucket, id, label, sig``."""
+def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFrame:
+    """Distinct candidate pairs of bounded buckets; rows are ``bucket, id, label, sketch, meets``."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -155,12 +196,14 @@ def brute_force(rows: DataFrame, everything: bool) -> DataFrame:
         def emit(part) -> pa.RecordBatch:
             bucket = np.array(part.column("bucket"), np.int64)
             ids, labels = (np.array(part.column(c), np.int64) for c in ("id", "label"))
-            sigs = _signatures(part.column("sig"))
+            sketches, sizes = _sketches(part.column("sketch"))
             cut = np.flatnonzero(np.diff(bucket)) + 1
+            meets = [set(x) for x in part.column("meets").to_pylist()]
             found = set()
             for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
                 if j - i > 1:
-                    found.update((min(p), max(p)) for p in bucket_pairs(ids[i:j], labels[i:j], sigs[i:j], everything))
+                    pairs = bucket_pairs(int(bucket[i]), ids[i:j], labels[i:j], sketches[i:j], sizes[i:j], meets[i:j], similarity, everything)
+                    found.update((min(p), max(p)) for p in pairs)
             pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -178,26 +221,24 @@ def brute_force(rows: DataFrame, everything: bool) -> DataFrame:
         if rest is not None and len(rest):
             yield emit(rest)
 
-    dealt = rows.select("bucket", "id", "label", "sig").repartition("bucket").sortWithinPartitions("bucket", "id")
+    dealt = rows.select("bucket", "id", "label", "sketch", "meets").repartition("bucket").sortWithinPartitions("bucket", "id")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def verify(
-    spark: SparkSession, pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, similarity: float,
-    broadcast_rows: int = BROADCAST_ROWS,
+    spark: SparkSession, pairs: DataFrame, texts: DataFrame, similarity: float, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """``a, b, similarity`` for the pairs whose exact similarity reaches the threshold.
+    """``a, b, similarity`` for the (written) pairs whose exact similarity reaches the threshold.
 
-    Only the texts that occur in a pair move: their ids are broadcast while
-    measured few, else they meet the texts in a shuffle join.
+    ``texts`` has ``row, text``, a row once.  Only the texts that occur in a
+    pair move: their rows are broadcast while measured few, else they meet the
+    texts in a shuffle join.
     """
-    pairs = materialize(spark, pairs, "candidates")
-    ids = pairs.select(F.col("a").alias("i")).union(pairs.select("b")).distinct()
+    ids = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
     ids = materialize(spark, ids, "candidate-ids")
     if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
         ids = F.broadcast(ids)
-    texts = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t")).join(ids, "i", "left_semi")
-    texts = texts.dropDuplicates(["i"])  # a repeated id counts once
+    texts = texts.join(ids, "row", "left_semi")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -218,8 +259,8 @@ def verify(
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64())], names=["a", "b", "similarity"])
             yield out.filter(ok)
 
-    both = pairs.join(texts.select(F.col("i").alias("a"), F.col("t").alias("ta")), "a")
-    both = both.join(texts.select(F.col("i").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
+    both = pairs.join(texts.select(F.col("row").alias("a"), F.col("text").alias("ta")), "a")
+    both = both.join(texts.select(F.col("row").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     return materialize(spark, both.mapInArrow(run, "a long, b long, similarity double"), "links")
 
 
@@ -229,103 +270,119 @@ def near_duplicates(
 ) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``.
 
-    ``members``: ``doc_id, text_class, class_id`` for every row, where
-    ``text_class`` is the smallest id with the same words and ``class_id`` the
-    smallest id of the linked component.  ``links``: verified pairs ``a, b,
-    similarity`` of text classes (links that verified ones already imply
-    inside a component are not all listed).
+    ``members``: ``doc_id, row, text_class, class_id`` for every row; ``row``
+    is its id (a hash of id and text where ids repeat), ``text_class`` the
+    smallest row with the same words and ``class_id`` the smallest row of the
+    linked component.  ``links``: verified pairs ``a, b, similarity`` of text
+    classes (links that verified ones already imply inside a component are not
+    all listed).
     """
     prepare(spark)
-    feats = materialize(spark, features(docs, doc_id, text), "shingle-features")
-    classes = feats.where("key is not null and doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("id"), F.first("sig").alias("sig")
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows, unique = with_row_key(own, "row")
+    texts = rows.select("row", "text") if unique else rows.select("row", "text").dropDuplicates(["row"])
+    feats = materialize(spark, features(rows.select("row", "text")), "shingle-features")
+    classes = feats.where("key is not null").groupBy("key").agg(
+        F.min("row").alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")
     )
     classes = materialize(spark, classes, "text-classes")
-    sets = classes.select("id", "sig")
-
-    def linked(found: DataFrame | None) -> DataFrame | None:
-        return None if found is None else materialize(spark, components(spark, found), "components")
+    sets, sketches = classes.select("id", "sig"), classes.select("id", "sketch")
 
     def labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Adds ``label``: the component so far, else the id itself."""
+        """Adds ``label``: the verified component so far, else the id itself (then it is ``open``)."""
         if labels is None:
-            return rows.withColumn("label", F.col("id"))
-        return rows.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+            return rows.withColumn("label", F.col("id")).withColumn("open", F.lit(True))
+        rows = rows.join(labels, "id", "left").withColumn("open", F.col("component").isNull())
+        return rows.withColumn("label", F.coalesce("component", "id")).drop("component")
 
     def sized(rows: DataFrame) -> DataFrame:
-        """Buckets in which at least two components meet."""
+        """Buckets in which at least two components meet; the leader is a set that is not linked yet."""
         return rows.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("id").alias("leader"), F.min("label").alias("lo"), F.max("label").alias("hi")
+            F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"),
+            F.coalesce(F.min(F.when(F.col("open"), F.col("id"))), F.min("id")).alias("leader"),
         ).where("n > 1 and lo <> hi").select("bucket", "n", "leader")
 
     links, labels, small = None, None, None
-    rows = materialize(spark, roots(sets, runs, similarity), "buckets-0")
+    found = materialize(spark, roots(sets, runs, similarity), "buckets-0")
     for level in range(depth + 1):
-        buckets = materialize(spark, sized(labelled(rows, labels)), f"bucket-sizes-{level}")
-        kept = rows.join(buckets, "bucket")
+        kept = found.join(sized(labelled(found, labels)), "bucket")
+        kept = materialize(spark, kept, f"bucket-members-{level}")
         few = kept.where(F.col("n") <= limit).select("bucket", "id")
         small = few if small is None else small.unionByName(few)
-        hot = kept.where(F.col("n") > limit).select("bucket", "id", "n", "leader")
-        if not buckets.where(F.col("n") > limit).limit(1).count():
+        hot = kept.where(F.col("n") > limit)
+        if not hot.limit(1).count():
             break
-        hot = materialize(spark, hot, f"hot-buckets-{level}").join(sets, "id")
         if level == depth:
             # blocks of an oversize bucket meet pairwise, each two in a bucket of their own
-            blocks = F.ceil(F.col("n") / F.lit(limit // 2)).cast("long")
-            own = hot.withColumn("x", F.pmod(F.xxhash64("id"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            met = own.select(F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")).alias("bucket"), "id")
+            blocks = F.ceil(F.col("n") / F.lit(max(1, limit // 2))).cast("long")
+            dealt = hot.withColumn("x", F.pmod(F.xxhash64("id"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            met = dealt.select(F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")).alias("bucket"), "id")
             small = small.unionByName(met)
             break
         # every member of an oversize bucket against its leader
-        lead = sets.select(F.col("id").alias("leader"), F.col("sig").alias("lead_sig"))
-        star = agreeing(hot.where("id <> leader").join(lead, "leader")).distinct()
-        found = verify(spark, star, docs, doc_id, text, similarity, broadcast_rows)
-        links = found if links is None else links.unionByName(found)
-        labels = linked(links)
-        alive = sized(labelled(hot.select("bucket", "id"), labels)).select("bucket")
-        rows = materialize(spark, split(hot.join(alive, "bucket", "left_semi"), similarity), f"buckets-{level + 1}")
-
-    small = materialize(spark, small, "small-buckets")
+        lead = sketches.select(F.col("id").alias("leader"), F.col("sketch").alias("lead_sketch"))
+        star = agreeing(hot.where("id <> leader").join(sketches, "id").join(lead, "leader"), similarity).distinct()
+        star = materialize(spark, star, "leader-pairs")
+        star = verify(spark, star, texts, similarity, broadcast_rows)
+        links = star if links is None else links.unionByName(star)
+        labels = materialize(spark, components(spark, links), "components")
+        alive = labelled(hot.select("bucket", "id"), labels).groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        found = split(hot.join(alive, "bucket", "left_semi").join(sets, "id"), similarity)
+        found = materialize(spark, found, f"buckets-{level + 1}")
+
+    small = small.distinct()
+    meets = small.groupBy("id").agg(F.collect_list("bucket").alias("meets"))  # a few buckets of each run
+    small = materialize(spark, small.join(sketches.join(meets, "id"), "id"), "small-buckets")
     tried = links
     for everything in (False, True):
-        with_labels = labelled(small, labels)
+        meeting = labelled(small, labels)
         if labels is not None:
-            with_labels = with_labels.join(sized(with_labels).select("bucket"), "bucket", "left_semi")
-        pairs = brute_force(with_labels.join(sets, "id"), everything)
+            alive = meeting.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+            meeting = meeting.join(alive.select("bucket"), "bucket", "left_semi")
+        pairs = brute_force(meeting, similarity, everything)
         if everything:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         pairs = materialize(spark, pairs, "bucket-pairs")
-        found = verify(spark, pairs, docs, doc_id, text, similarity, broadcast_rows)
-        links = found if links is None else links.unionByName(found)
-        tried = pairs.select("a", "b") if tried is None else tried.select("a", "b").unionByName(pairs.select("a", "b"))
-        labels = linked(links)
-
-    members = feats.select("doc_id", "key").join(classes.select("key", F.col("id").alias("text_class")), "key", "left")
+        true = verify(spark, pairs, texts, similarity, broadcast_rows)
+        links = true if links is None else links.unionByName(true)
+        if everything and not true.limit(1).count():
+            break
+        tried = pairs if tried is None else tried.select("a", "b").unionByName(pairs)
+        # a later pass only adds its links to the components so far
+        edges = links.select("a", "b") if labels is None else (
+            labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(true.select("a", "b")))
+        labels = materialize(spark, components(spark, edges), "components")
+
+    keys = feats.select("row", "key") if unique else feats.select("row", "key").distinct()
+    members = rows.select("doc_id", "row").join(keys, "row").join(classes.select("key", F.col("id").alias("text_class")), "key", "left")
     members = members.join(labels.select(F.col("id").alias("text_class"), "component"), "text_class", "left")
-    own = F.coalesce("text_class", "doc_id")
-    return members.select("doc_id", own.alias("text_class"), F.coalesce("component", own).alias("class_id")), links
+    alone = F.coalesce("text_class", "row")
+    return members.select("doc_id", "row", alone.alias("text_class"), F.coalesce("component", alone).alias("class_id")), links
 
 
-def agreeing(rows: DataFrame) -> DataFrame:
-    """Pairs (id, leader) whose signatures agree enough to be verified."""
+def agreeing(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (id, leader) whose sketches are close enough to be verified."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            same = (_signatures(batch.column(2)) == _signatures(batch.column(3))).mean(axis=1) >= ESTIMATE
-            ids, leads = (np.array(batch.column(k), np.int64)[same] for k in (0, 1))
+            (x, n), (y, m) = _sketches(batch.column(2)), _sketches(batch.column(3))
+            filled = ((x != 0) | (y != 0)).sum(axis=1)
+            ok = close(((x == y) & (x != 0)).sum(axis=1), filled, n + m, similarity)
+            ids, leads = (np.array(batch.column(k), np.int64)[ok] for k in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids, leads)), pa.array(np.maximum(ids, leads))], names=["a", "b"])
 
-    return rows.select("id", "leader", "sig", "lead_sig").mapInArrow(run, "a long, b long")
+    return rows.select("id", "leader", "sketch", "lead_sketch").mapInArrow(run, "a long, b long")
 
 
 def one_of_each(
     spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
-    """``docs`` with one document (the smallest key) of each class of near duplicates."""
+    """``docs`` with one document (the smallest row key) of each class of near duplicates."""
     key = fresh("key")
-    rows = with_row_key(docs, key, doc_id, text)
-    members, _ = near_duplicates(spark, rows, key, text, similarity)
-    gone = members.where("doc_id <> class_id").select("doc_id")
-    return without(spark, rows, key, gone, "near-duplicates").dropDuplicates([key]).drop(key)
+    rows, unique = with_row_key(docs, key, doc_id, text)
+    members, _ = near_duplicates(spark, docs, doc_id, text, similarity)
+    gone = members.where("row <> class_id").select("row")
+    kept = without(spark, rows, key, gone, "near-duplicates")
+    return (kept if unique else kept.dropDuplicates([key])).drop(key)

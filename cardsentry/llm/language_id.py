@@ -79,16 +79,16 @@ def buckets(raw: np.ndarray, bits: int) -> list[np.ndarray]:
 def scores(model: Model, texts: list[str]) -> np.ndarray:
     """Calibrated probabilities (texts x languages), each over the whole text."""
     sums, counts = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
-    group: list[tuple[int, bytes]] = []
+    group: list[tuple[int, bytes, int]] = []  # text, bytes, window starts that count
 
     def flush() -> None:
-        raw = np.frombuffer(b"".join(p for _, p in group), np.uint8)
-        ends = np.cumsum([len(p) for _, p in group])
-        starts = ends - [len(p) for _, p in group]
+        raw = np.frombuffer(b"".join(p for _, p, _ in group), np.uint8)
+        ends = np.cumsum([len(p) for _, p, _ in group])
+        starts = ends - [len(p) for _, p, _ in group]
         for n, idx in zip((2, 3, 4), buckets(raw, model.bits), strict=True):
             got = model.table[idx]
-            for (k, _), a, z in zip(group, starts, ends, strict=True):
-                z -= n - 1  # windows do not reach into the next text
+            for (k, _, own), a, z in zip(group, starts, ends, strict=True):
+                z = min(z - n + 1, a + own)  # windows do not reach into the next text
                 if z > a:
                     sums[k] += got[a:z].sum(axis=0, dtype=np.float64)
                     counts[k] += z - a
@@ -99,7 +99,7 @@ def scores(model: Model, texts: list[str]) -> np.ndarray:
         raw = fold(t)
         for at in range(0, max(len(raw) - 3, 1), STRETCH):
             piece = raw[at : at + STRETCH + 3]  # windows that start here end here
-            group.append((k, piece))
+            group.append((k, piece, STRETCH if at + STRETCH < len(raw) - 3 else len(piece)))
             size += len(piece)
             if size >= STRETCH:
                 flush()

@@ -10,8 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 SHINGLE = 5
-#: Coordinates of a signature.
-COORDS = 64
+#: Coordinates of a signature, and bins of a sketch.
+COORDS, BINS = 64, 512
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,6 +81,18 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """One byte for each of ``BINS`` hash ranges: part of the smallest hash in it, 0 if it is empty.
+
+    The set is sorted, so a range's smallest hash is its first.
+    """
+    out = np.zeros(BINS, np.uint8)
+    bins = (shingles >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]]))
+    out[bins[first]] = 1 + ((shingles[first] >> np.uint64(16)) % np.uint64(255)).astype(np.uint8)
+    return out
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Exact similarity of two shingle sets."""
     both = len(np.intersect1d(a, b, assume_unique=True))

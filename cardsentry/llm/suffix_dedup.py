@@ -403,7 +403,7 @@ def remove_repeats(
     (and ``kept``, the remaining bytes, if ``with_kept``)."""
     prepare(spark)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    rows = with_row_key(own, "row")  # equal rows have equal ranges
+    rows, _ = with_row_key(own, "row")  # equal rows have equal ranges
     spans = repeated_ranges(spark, rows, keep, group, broadcast_rows)
     ranges = spans.groupBy(F.col("row").alias("of")).agg(F.collect_list(F.struct("b", "e")).alias("ranges"))
     ranges = materialize(spark, ranges, "removed-ranges")
