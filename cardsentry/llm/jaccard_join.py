@@ -134,6 +134,30 @@ def close(agree: np.ndarray, filled: np.ndarray, sizes: np.ndarray, similarity:
     return agree >= similarity * filled - slack
 
 
+def agreement(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every pair of rows, the bins that agree and the bins that are filled in one at least."""
+    n, m = len(x), len(y)
+    # bins that are empty in both say nothing
+    empty = ((x == 0).astype(np.float32) @ (y == 0).astype(np.float32).T).astype(np.int16)
+    same = np.zeros((n, m), np.int16)
+    if n * m <= 4096:
+        bits = np.packbits(x[:, None, :] == y[None, :, :], axis=2).view(np.uint64)
+        same += np.bitwise_count(bits).sum(axis=2, dtype=np.int16)
+        return same - empty, BINS - empty
+    left, right = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    step = max(1, (1 << 18) // m)  # blocks that stay in the cache, summed in bytes
+    for at in range(0, n, step):
+        rows = slice(at, at + step)
+        hit = np.empty((len(x[rows]), m), bool)
+        for first in range(0, BINS, 64):
+            part = np.zeros(hit.shape, np.int8)
+            for k in range(first, first + 64):
+                np.equal(left[k, rows, None], right[k, None, :], out=hit)
+                part += hit.view(np.int8)
+            same[rows] += part
+    return same - empty, BINS - empty
+
+
 def bucket_pairs(
     bucket: int, ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, meets: list[set],
     similarity: float, everything: bool,
@@ -147,14 +171,7 @@ def bucket_pairs(
     names, count = np.unique(labels, return_counts=True)
     # links inside the largest component are implied: only the other sets are compared
     rows = np.flatnonzero(labels != names[count.argmax()])
-    agree, empty = np.zeros((len(rows), n), np.int16), np.zeros((len(rows), n), np.int16)
-    for c in np.ascontiguousarray(sketches.T):
-        agree += c[rows, None] == c[None, :]
-        if not c.all():
-            none = c == 0
-            empty += none[rows, None] & none[None, :]
-    agree -= empty  # bins that are empty in both say nothing
-    filled = BINS - empty
+    agree, filled = agreement(sketches[rows], sketches)
     found = close(agree, filled, sizes[rows, None] + sizes[None, :], similarity) & (labels[rows, None] != labels[None, :])
     x, b = np.nonzero(found)
     a = rows[x]
