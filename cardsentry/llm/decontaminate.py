@@ -1,15 +1,18 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Texts become word hashes, written once to the shared folder; document
-   frequencies of hashed terms over all passages give the inverse weights.
+   frequencies of hashed terms over all passages give the inverse weights, and
+   the most frequent terms (stop words) get none: passages and windows are runs
+   of the remaining content words.
 2. A randomised SVD of the TF-IDF passage matrix A: every task adds up its part
    of (A'A) @ Omega for a fixed Gaussian Omega, the parts are summed by term
    blocks, and a Nystroem step (Tropp et al., 2017) turns the small sum into
    right singular vectors and singular values.  Its size is terms x rank,
    whatever the corpus.
-3. Passages and benchmark items are folded in (V'x / sigma).  A running sum of
-   folded words gives every window of a document; windows whose cosine to an
-   item's window reaches the limit are candidates.
+3. Windows of documents and of benchmark items are folded in (V'x / sigma).  A
+   running sum of folded words gives every window of a document; windows whose
+   cosine to an item's window reaches the limit, and which share enough of its
+   content words, are candidates.
 4. A candidate is checked on its words: the longest common subsequence of the
    item and the document's region.  A long one is a leak; a medium one
    (a paraphrase) is a leak if the item's answer, its last sentence, is there
@@ -20,9 +23,9 @@ Benchmark items are a query set: they go to every task in blocks of at most
 
 Defined results: null and empty texts have no windows and are clean; documents
 of any length are searched whole, in overlapping stretches; an item of fewer
-than ``SHORT`` words must occur in full; items without words match nothing;
-repeated documents are each reported, a repeated row once; an empty table or
-benchmark gives no leaks.
+than ``SHORT`` words, or almost without content words, must occur in full;
+items without words match nothing; repeated documents are each reported, a
+repeated row once; an empty table or benchmark gives no leaks.
 """
 
 from __future__ import annotations
@@ -35,21 +38,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize, prepare, with_row_key, without
-from .shingles import word_hashes
+from .shingles import byte_word_hashes
 
 TERMS = 1 << 14
-RANK, EXTRA = 64, 8
-WINDOW, STRIDE = 24, 8
+RANK, EXTRA = 48, 6
+#: Content words of a window and steps between windows.
+WINDOW, STRIDE = 16, 6
 #: Items' windows lie closer, so that some pair of windows is at most two words out of step.
-ITEM_STRIDE = 4
-#: Words of a passage in the term statistics.
+ITEM_STRIDE = 3
+#: Words of a passage in the document frequencies.
 PASSAGE = 32
-COSINE = 0.5
+#: Terms in more than this share of the passages are stop words, up to that share of all words.
+STOP_TERMS, STOP_WORDS = 0.01, 0.45
+COSINE = 0.4
+#: Share of an item window's content words that a document's window must hold.
+SHARED = 0.4
+#: Bins of the table that tells an item's words.
+WORD_BINS = 1 << 12
 #: Share of the item's words that the common subsequence must hold: alone, or with the answer.
 STRONG, WEAK = 0.7, 0.45
 #: Share of the answer's words, in order, that count as the answer being there.
 ANSWER = 0.75
-SHORT = 8
+#: Shorter items, and items with fewer content words, must occur in full.
+SHORT, FEW = 8, 4
+#: Words by which a region exceeds the item on each side.
+MARGIN = 10
 ITEM_BLOCK = 5000
 #: Words searched at once, and the overlap that keeps a leak whole.
 STRETCH, OVERLAP = 1 << 16, 1024
@@ -66,10 +79,30 @@ class Item:
     answer: np.ndarray
 
 
+@dataclass
+class Query:
+    """A block of items, ready to be searched for."""
+
+    items: list[Item]
+    content: list[np.ndarray]  # places of each item's content words
+    of: np.ndarray  # item of each window
+    at: np.ndarray  # its first word in the item
+    need: np.ndarray  # content words that a document's window must share
+    vec: np.ndarray  # its unit vector
+    known: np.ndarray  # (items x WORD_BINS): bins of the items' content words, laid flat
+    exact: list[int]  # items that must occur in full
+    union: np.ndarray  # content words of all items, by their first 20 bits
+    groups: list[np.ndarray]  # windows of long items, windows of short ones
+
+
+#: ASCII punctuation separates words.
+_PLAIN = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+
+
 def hashes(text: str | None) -> np.ndarray:
-    """32-bit word hashes (edge punctuation and case do not matter)."""
-    bare = " ".join(w.strip(".,;:!?\"'()[]|*#$%&") for w in (text or "").split())
-    return (word_hashes(bare) >> np.uint64(32)).astype(np.uint32)
+    """32-bit word hashes (case and ASCII punctuation do not matter)."""
+    plain = (text or "").lower().encode("utf-8", "replace").translate(_PLAIN)
+    return (byte_word_hashes(plain) >> np.uint64(32)).astype(np.uint32)
 
 
 def answer_of(text: str) -> str:
@@ -94,14 +127,23 @@ def hashed_words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, words binary")
 
 
-def passages(batch) -> tuple[np.ndarray, np.ndarray]:
-    """Terms of a batch of documents and the start of each passage among them."""
-    docs = [np.frombuffer(w.as_buffer(), np.uint32) for w in batch.column("words")]
+def word_arrays(batch) -> list[np.ndarray]:
+    found = (np.frombuffer(w.as_buffer(), np.uint32) for w in batch.column("words"))
+    return [w for w in found if len(w)]
+
+
+def content_of(words: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Places of the words that are not stop words."""
+    return np.flatnonzero(idf[term(words)] > 0)
+
+
+def passage_terms(docs: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of documents laid end to end and the start of each passage among them."""
     docs = [d for d in docs if len(d)]
     if not docs:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = np.cumsum([len(d) for d in docs])
-    starts = [np.arange(e - len(d), e, PASSAGE) for d, e in zip(docs, ends, strict=True)]
+    starts = [np.arange(e - len(d), e, size) for d, e in zip(docs, ends, strict=True)]
     return term(np.concatenate(docs)), np.concatenate(starts)
 
 
@@ -143,27 +185,44 @@ def _parts(total: np.ndarray, salt: int):
          pa.array([b.tobytes() for b in blocks], pa.binary())], names=["block", "salt", "part"])
 
 
+def frequencies(docs: list[np.ndarray], into: np.ndarray) -> int:
+    """Add each term's number of passages; returns the passages."""
+    t, starts = passage_terms(docs, PASSAGE)
+    if len(starts):
+        sizes = np.diff(np.concatenate([starts, [len(t)]]))
+        rows = np.full((len(starts), PASSAGE), -1, np.int16)
+        rows[np.repeat(np.arange(len(starts)), sizes), np.arange(len(t)) - np.repeat(starts, sizes)] = t
+        rows.sort(axis=1)
+        new = rows >= 0
+        new[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+        into += np.bincount(rows[new], minlength=TERMS)
+    return len(starts)
+
+
 def inverse_frequencies(spark: SparkSession, words: DataFrame) -> np.ndarray:
-    """Weight of each hashed term, from counts over all passages."""
+    """Weight of each hashed term, from counts over all passages; 0 for stop words."""
 
     def run(batches: Iterator) -> Iterator:
         from pyspark import TaskContext
 
-        total, n = np.zeros(TERMS), 0
+        total, n = np.zeros((TERMS, 2)), 0
         for batch in batches:
-            t, starts = passages(batch)
-            if len(starts):
-                sizes = np.diff(np.concatenate([starts, [len(t)]]))
-                once = np.unique(np.repeat(np.arange(len(starts)), sizes) * TERMS + t)
-                total += np.bincount(once % TERMS, minlength=TERMS)
-                n += len(starts)
+            n += frequencies(word_arrays(batch), total[:, 0])
         if n:
-            yield _parts(total[:, None], TaskContext.get().partitionId())
+            total[0, 1] = n
+            yield _parts(total, TaskContext.get().partitionId())
 
-    df = _summed(spark, words.mapInArrow(run, "block int, salt int, part binary"), 1)[:, 0]
-    # a passage has at least one term, so the largest count bounds the share of any term
-    n = max(float(df.sum()) / PASSAGE, float(df.max()), 1.0)
-    return np.log((n + 1) / (df + 1)) + 0.05
+    total = _summed(spark, words.mapInArrow(run, "block int, salt int, part binary"), 2)
+    return weights(total[:, 0], float(total[0, 1]))
+
+
+def weights(df: np.ndarray, n: float) -> np.ndarray:
+    idf = np.log((n + 1) / (df + 1)) + 0.05
+    order = np.argsort(-df, kind="stable")
+    so_far = np.cumsum(df[order])
+    stop = (df[order] > STOP_TERMS * n) & (so_far <= STOP_WORDS * max(so_far[-1], 1))
+    idf[order[stop]] = 0
+    return idf
 
 
 def gaussian() -> np.ndarray:
@@ -198,7 +257,8 @@ def latent_terms(spark: SparkSession, words: DataFrame, idf: np.ndarray) -> np.n
         omega, weight = gaussian(), shared.value
         total, any_rows = np.zeros((TERMS, RANK + EXTRA), np.float32), False
         for batch in batches:
-            t, starts = passages(batch)
+            docs = [w[content_of(w, weight)] for w in word_arrays(batch)]
+            t, starts = passage_terms(docs, WINDOW)
             if len(starts):
                 gram_sketch(t, starts, weight, omega, total)
                 any_rows = True
@@ -230,12 +290,18 @@ def window_starts(n: int, stride: int) -> np.ndarray:
 
 
 def folded_windows(words: np.ndarray, latent: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
-    """Start and unit vector of each window."""
-    run = np.zeros((len(words) + 1, latent.shape[1]), np.float64)
-    np.cumsum(latent[term(words)], axis=0, out=run[1:], dtype=np.float64)
+    """Start and unit vector of each window of content words."""
+    run = np.zeros((len(words) + 1, latent.shape[1]), np.float32)
+    np.cumsum(latent[term(words)], axis=0, out=run[1:])
     at = window_starts(len(words), stride)
     x = run[np.minimum(at + WINDOW, len(words))] - run[at]
-    return at, (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)).astype(np.float32)
+    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-6)[:, None]
+    return at, x
+
+
+def bins(words: np.ndarray) -> np.ndarray:
+    """Bin of each word; bin 0 stays empty, so a place behind the last word finds nothing."""
+    return (words >> np.uint32(20)).astype(np.int64) % (WORD_BINS - 1) + 1
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
@@ -263,26 +329,76 @@ def is_leak(item: Item, region: np.ndarray) -> tuple[int, bool, bool]:
     return n, found, ratio >= STRONG or (ratio >= WEAK and found)
 
 
-def search(words: np.ndarray, latent: np.ndarray, items: list[Item], at: np.ndarray, of: np.ndarray, vec: np.ndarray) -> dict:
+def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
+    content = [content_of(i.words, idf) for i in items]
+    exact = [k for k, i in enumerate(items) if len(i.words) < SHORT or len(content[k]) < FEW]
+    known = np.zeros((len(items) + 1, WORD_BINS), np.int8)
+    of, at, need, vecs = [], [], [], []
+    for k, item in enumerate(items):
+        if k in exact:
+            continue
+        own = item.words[content[k]]
+        known[k, bins(own)] = 1
+        start, x = folded_windows(own, latent, ITEM_STRIDE)
+        for a, v in zip(start.tolist(), x, strict=True):
+            of.append(k)
+            at.append(int(content[k][a]))
+            need.append(int(np.ceil(SHARED * min(WINDOW, len(own) - a))))
+            vecs.append(v)
+    vec = np.array(vecs, np.float32).reshape(len(vecs), latent.shape[1])
+    union, need = np.zeros(1 << 20, np.int8), np.array(need, np.int64)
+    for k, item in enumerate(items):
+        union[item.words[content[k]] >> np.uint32(12)] = 1
+    full = need == need.max(initial=0)
+    groups = [g for g in (np.flatnonzero(full), np.flatnonzero(~full)) if len(g)]
+    return Query(items, content, np.array(of, np.int64), np.array(at, np.int64), need, vec, known.ravel(), exact, union, groups)
+
+
+def search(words: np.ndarray, idf: np.ndarray, latent: np.ndarray, q: Query) -> dict:
     """Leaks of one document: item -> (first word, cosine, common words, ratio, answer found)."""
     out: dict[int, tuple] = {}
-    for base in range(0, max(len(words) - OVERLAP, 1), STRETCH):
+    for k in q.exact:
+        own = q.items[k].words
+        for a in np.flatnonzero(words[: len(words) - len(own) + 1] == own[0]).tolist() if len(own) <= len(words) else []:
+            if np.array_equal(words[a : a + len(own)], own):
+                out[k] = (a, 1.0, len(own), 1.0, True)
+                break
+    for base in range(0, max(len(words) - OVERLAP, 1) if len(q.vec) else 0, STRETCH):
         part = words[base : base + STRETCH + OVERLAP]
-        start, x = folded_windows(part, latent)
-        cos = x @ vec.T
-        hit, which = np.nonzero(cos >= COSINE)
+        place = content_of(part, idf)
+        own = part[place]
+        if not len(own):
+            continue
+        start, x = folded_windows(own, latent)
+        # a window must hold as many words of all items as it has to share with one of them
+        seen = np.concatenate([[0], np.cumsum(q.union[own >> np.uint32(12)], dtype=np.int64)])
+        seen = seen[np.minimum(start + WINDOW, len(own))] - seen[start]
+        found = []
+        for g in q.groups:
+            rows = np.flatnonzero(seen >= q.need[g].min())
+            cos = x[rows] @ q.vec[g].T
+            a, b = np.nonzero(cos >= COSINE)
+            found.append((rows[a], g[b], cos[a, b]))
+        hit, which, cosine = (np.concatenate([f[k] for f in found]) for k in range(3))
+        # content words of the window that the item has: one flat look-up for each place in the window
+        line, word, shared = q.of[which] * WORD_BINS, np.concatenate([bins(own), np.full(WINDOW, WORD_BINS)]), np.zeros(len(hit), np.int8)
+        known, first = q.known, start[hit]
+        for k in range(WINDOW):
+            shared += known[line + word[first + k]]
+        enough = shared >= q.need[which]
         tried = set()
-        for h, k in zip(hit.tolist(), which.tolist(), strict=True):
-            item = items[of[k]]
-            begin = max(0, int(start[h] - at[k]) - STRIDE)
-            key = (int(of[k]), begin // STRIDE)
+        for h, k, c in zip(hit[enough].tolist(), which[enough].tolist(), cosine[enough].tolist(), strict=True):
+            item_at = int(q.of[k])
+            item = q.items[item_at]
+            begin = max(0, int(place[start[h]]) - int(q.at[k]) - MARGIN)
+            key = (item_at, begin // 4)
             if key in tried:
                 continue
             tried.add(key)
-            n, found, leak = is_leak(item, part[begin : begin + len(item.words) + 3 * STRIDE])
-            best = out.get(int(of[k]))
+            n, answered, leak = is_leak(item, part[begin : begin + len(item.words) + 2 * MARGIN])
+            best = out.get(item_at)
             if leak and (best is None or n > best[2]):
-                out[int(of[k])] = (base + begin, float(cos[h, k]), n, n / len(item.words), found)
+                out[item_at] = (base + begin, c, n, n / len(item.words), answered)
     return out
 
 
@@ -293,31 +409,26 @@ def leaks(
     """One row for each (document, item) whose text the document holds."""
     prepare(spark)
     words = materialize(spark, hashed_words(docs, doc_id, text), "word-hashes")
-    latent = latent_terms(spark, words, inverse_frequencies(spark, words))
-    shared = spark.sparkContext.broadcast(latent)
+    idf = inverse_frequencies(spark, words)
+    latent = latent_terms(spark, words, idf)
+    shared = spark.sparkContext.broadcast((idf, latent))
     found = None
     queries = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("t is not null").orderBy("i", "t")
     block: list[Item] = []
 
     def searched(block: list[Item]) -> DataFrame:
-        vecs, at, of = [], [], []
-        for k, item in enumerate(block):
-            a, x = folded_windows(item.words, latent, ITEM_STRIDE)
-            vecs.append(x)
-            at.append(a)
-            of.append(np.full(len(a), k))
-        query = spark.sparkContext.broadcast((block, np.concatenate(at), np.concatenate(of), np.concatenate(vecs)))
+        query = spark.sparkContext.broadcast(query_of(block, idf, latent))
 
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            m, (items, at, of, vec) = shared.value, query.value
+            (weight, m), q = shared.value, query.value
             for batch in batches:
                 rows = []
                 for i, w in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     w = np.frombuffer(w.as_buffer(), np.uint32)
                     if len(w):
-                        rows += [(i, items[k].item_id, *v) for k, v in search(w, m, items, at, of, vec).items()]
+                        rows += [(i, q.items[k].item_id, *v) for k, v in search(w, weight, m, q).items()]
                 names = [c.split()[0] for c in LEAKS.split(", ")]
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.float64(), pa.bool_()]
                 cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)

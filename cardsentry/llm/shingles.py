@@ -45,8 +45,13 @@ def _power_tables(n: int) -> list[np.ndarray]:
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """64-bit hash of each word, in order: a polynomial from one running sum over the text."""
-    raw = np.frombuffer((text or "").lower().encode("utf-8", "replace"), np.uint8)
+    """64-bit hash of each word, in order."""
+    return byte_word_hashes((text or "").lower().encode("utf-8", "replace"))
+
+
+def byte_word_hashes(text: bytes) -> np.ndarray:
+    """The same for encoded text as it is: a polynomial hash from one running sum over the bytes."""
+    raw = np.frombuffer(text, np.uint8)
     if not len(raw):
         return np.zeros(0, np.uint64)
     space = _SPACE[raw]
