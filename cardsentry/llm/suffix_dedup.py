@@ -106,11 +106,18 @@ def anchors(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return doc[first], s0, s1, a, gram[a], c
 
 
+OCCURRENCE = ["h", "c", "row", "place", "n"]
+_ROOM = (1 << 40) - 1
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``h, c, row, place`` for every anchor of every text; rows are ``row, text``.
+    """``h, c, row, place, n`` for every anchor of every text; rows are ``row, text``.
 
     ``place`` packs the first start, the number of further starts and the
-    anchor's distance from the first start.
+    anchor's distance from the first start.  A context that a text repeats is
+    sent once, with its count ``n``; its later copies repeat for certain and
+    are sent as ranges ``c`` to ``place`` with ``n`` = 0 (and any ``h``), so a
+    periodic text is a few rows.
     """
 
     def run(batches: Iterator) -> Iterator:
@@ -119,12 +126,26 @@ def occurrences(docs: DataFrame) -> DataFrame:
         def emit(rows: list, offsets: list, parts: list) -> pa.RecordBatch:
             bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
             doc, s0, s1, a, h, c = anchors(np.frombuffer(b"".join(parts), np.uint8), bounds)
-            begin = s0 - bounds[doc] + np.array(offsets, np.int64)[doc] if len(doc) else s0
+            if not len(doc):
+                return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 5, names=OCCURRENCE)
+            row, begin = np.array(rows, np.int64)[doc], s0 - bounds[doc] + np.array(offsets, np.int64)[doc]
             place = (begin << 16) | ((s1 - s0) << 8) | (a - s0)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.asarray(h).view(np.int64)), pa.array(np.asarray(c).view(np.int64)),
-                 pa.array(np.array(rows, np.int64)[doc] if len(doc) else doc), pa.array(place)],
-                names=["h", "c", "row", "place"])
+            order = np.lexsort((begin, c, h, doc))
+            same = np.zeros(len(order), bool)
+            same[1:] = (doc[order[1:]] == doc[order[:-1]]) & (h[order[1:]] == h[order[:-1]]) & (c[order[1:]] == c[order[:-1]])
+            lead = np.flatnonzero(~same)
+            n = np.diff(np.concatenate([lead, [len(order)]]))
+            first, later = order[lead], order[same]
+            cols = [h[first].view(np.int64), c[first].view(np.int64), row[first], place[first], n]
+            if len(later):
+                # ranges of later copies, merged text by text (a text's positions stay below 2**40)
+                at = doc[later].astype(np.int64) << 40
+                r = merge(np.stack([at + begin[later], at + begin[later] + (s1 - s0)[later] + LENGTH], axis=1))
+                of, b, e = r[:, 0] >> 40, r[:, 0] & _ROOM, r[:, 1] & _ROOM
+                own = np.array(rows, np.int64)[of]
+                more = [mix(own.view(np.uint64) ^ b.astype(np.uint64)).view(np.int64), b, own, e, np.zeros(len(b), np.int64)]
+                cols = [np.concatenate(x) for x in zip(cols, more, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=OCCURRENCE)
 
         rows, offsets, parts, size = [], [], [], 0
         for batch in batches:
@@ -145,7 +166,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
         if parts:
             yield emit(rows, offsets, parts)
 
-    return docs.select("row", "text").mapInArrow(run, "h long, c long, row long, place long")
+    return docs.select("row", "text").mapInArrow(run, ", ".join(f"{x} long" for x in OCCURRENCE))
 
 
 # -- suffix order ------------------------------------------------------------
@@ -352,11 +373,14 @@ def repeated_ranges(spark: SparkSession, docs: DataFrame, keep: str = "none", gr
     prepare(spark)
     later_only = keep == "first"
     # pass 1 counts anchors, pass 2 finds them again: cheaper than keeping every occurrence on disk
-    shared = occurrences(docs).groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    shared = materialize(spark, shared, "shared-anchors")
-    occ = materialize(spark, occurrences(docs).join(shared, "h", "left_semi"), "shared-occurrences")
-
-    contexts = occ.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("row", "place")).alias("rep"))
+    shared = occurrences(docs).where("n > 0").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    shared = materialize(spark, shared.select(F.col("h").alias("of")), "shared-anchors")
+    found = occurrences(docs)
+    found = found.join(shared, (found.h == shared.of) & (found.n > 0), "left").where("n = 0 or of is not null")
+    found = materialize(spark, found.drop("of"), "shared-occurrences")
+    occ = found.where("n > 0")
+
+    contexts = occ.groupBy("h", "c").agg(F.sum("n").alias("n"), F.min(F.struct("row", "place")).alias("rep"))
     contexts = materialize(spark, contexts, "contexts")
     # whole contexts that occur again
     twice = contexts.where("n > 1").select("h", "c", "rep")
@@ -366,6 +390,7 @@ def repeated_ranges(spark: SparkSession, docs: DataFrame, keep: str = "none", gr
     begin = F.shiftright("place", 16)
     more = F.shiftright("place", 8).bitwiseAND(F.lit(255))
     spans = settled.select("row", begin.alias("b"), (begin + more + LENGTH).alias("e"))
+    spans = spans.unionByName(found.where("n = 0").select("row", F.col("c").alias("b"), F.col("place").alias("e")))
 
     # one copy of every context of an anchor that has several
     several = contexts.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
