@@ -62,6 +62,8 @@ class RuleConfig:
     # remembers keys for the watermark delay only (bounded state).
     txn_dedupe: str = "global"
     starting_offsets: str = "latest"
+    # The moment "latest" stands for, resolved once for all queries of a job.
+    start_timestamp_ms: int | None = None
     fail_on_data_loss: bool = False
     kafka_bootstrap: str = "localhost:9092"
     kafka_topic: str = "bank_transactions"

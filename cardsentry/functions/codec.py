@@ -24,7 +24,8 @@ def decode_value(value: Column) -> Column:
     """Binary/string stream value -> wire struct (PERMISSIVE).
 
     A document that is not JSON, or has a field of the wrong type, keeps
-    its raw text in ``_corrupt_record``; unknown keys are ignored.
+    its raw text in ``_corrupt_record``; a mistyped field is NULL and the
+    other fields stay; unknown keys are ignored.
     """
     return F.from_json(
         value.cast("string"),
@@ -37,15 +38,17 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Stream/batch of ``value`` documents -> decoded transaction rows.
 
     Adds ``raw`` (the text, kept for quarantine), ``event_time`` (parsed)
-    and ``proc_ts`` (processing time).
+    and ``proc_ts`` (processing time).  The struct goes through ``inline``:
+    a generator is never merged into the expressions above it, so each
+    document is parsed once however many columns and filters use it.
     """
     d = raw.select(
         F.col(value_col).cast("string").alias("raw"),
-        decode_value(F.col(value_col)).alias("d"),
+        F.inline(F.array(decode_value(F.col(value_col)))),
     )
     return d.select(
-        *[F.col(f"d.{c}").alias(c) for c in WIRE_COLUMNS],
-        F.col(f"d.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
+        *WIRE_COLUMNS,
+        CORRUPT_COLUMN,
         "raw",
     ).select(
         "*",

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from ..config import AMOUNT_TYPE, DEFAULT_CURRENCY
 from ..functions.money import is_finite, to_amount
-from ..schemas import CORRUPT_COLUMN
+from ..schemas import CORRUPT_COLUMN, WIRE_COLUMNS
 
 # ---------------------------------------------------------------------------
 # Quarantine reasons, checked in this order.
-#   malformed_json  the document is not JSON or a field has the wrong type
+#   malformed_json  the document is not JSON or no field of it can be read
 #   null_key        txn_ref, account_id or event_ts is NULL
 #   bad_amount      amount is NaN or +/-Infinity
 #   amount_overflow amount does not fit NUMERIC(14,2)
@@ -47,11 +47,12 @@ def currency_default(df: DataFrame, raw_col: str | None = None) -> DataFrame:
 
 def reject_reason(df: DataFrame) -> Column:
     """First failed check of a decoded row, NULL when the row is valid."""
-    corrupt = (
-        F.col(CORRUPT_COLUMN).isNotNull()
-        if CORRUPT_COLUMN in df.columns
-        else F.lit(False)
-    )
+    corrupt = F.lit(False)
+    if CORRUPT_COLUMN in df.columns:
+        # one mistyped field is NULL and its row stays; a row with nothing readable is malformed
+        corrupt = F.col(CORRUPT_COLUMN).isNotNull() & F.coalesce(
+            *[F.col(c).cast("string") for c in WIRE_COLUMNS if c in df.columns]
+        ).isNull()
     null_key = F.lit(False)
     for c in KEY_COLUMNS:
         null_key = null_key | F.col(c).isNull()

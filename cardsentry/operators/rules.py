@@ -12,12 +12,17 @@ streaming alike:
 * guilty windows are joined back to the windowed rows, so no list of
   transactions is ever built per group.
 
-Batch: AQE broadcasts the guilty side when it is measured small at
-runtime and splits skewed (window, account) partitions otherwise.
-Streaming: the join is a stream-stream join; rows wait in the join state
-row by row (not as one list value) until the watermark passes their
-window.  A hot account's rows are spread over ``travel_salt_buckets``
-join partitions; each guilty window is replicated once per bucket.
+A hot account's rows are spread over ``travel_salt_buckets`` join
+partitions and each guilty window is replicated once per bucket, in batch
+and in streaming: the aggregate between the join and its shuffle keeps
+AQE from splitting that key on its own.  Batch: AQE broadcasts the guilty
+side when it is measured small at runtime.  Streaming: the join is a
+stream-stream join; rows wait in the join state row by row (not as one
+list value) until the watermark passes their window.
+
+The rules take decoded rows as they came: rule 1 compares the raw amount
+(before rounding to cents), and neither rule depends on whether the
+transactions table would accept the row.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, HIGH_VALUE, IMPOSSIBLE_TRAVEL, RuleConfig
+from ..functions.money import is_finite
 from ..schemas import ALERT_COLUMNS
 
 
@@ -36,8 +42,11 @@ def _window(cfg: RuleConfig) -> Column:
 
 
 def high_value(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    """Rule 1: strictly above the threshold; NULL amounts never match."""
-    return txns.filter(F.col("amount") > F.lit(cfg.high_value_threshold))
+    """Rule 1: strictly above the threshold; NULL, NaN and infinite amounts never match."""
+    hit = F.col("amount") > F.lit(cfg.high_value_threshold)
+    if dict(txns.dtypes)["amount"] == "double":
+        hit = hit & is_finite(F.col("amount"))
+    return txns.filter(hit)
 
 
 def high_value_alerts(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
@@ -95,7 +104,7 @@ def travel_alerts(txns: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     guilty = travel_windows(txns, cfg).select("window", "account_id", "countries")
     keys = ["window", "account_id"]
     buckets = cfg.travel_salt_buckets
-    if txns.isStreaming and buckets > 1:
+    if buckets > 1:
         rows = rows.withColumn("salt", F.pmod(F.xxhash64("txn_ref"), F.lit(buckets)))
         guilty = guilty.withColumn(
             "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long")))

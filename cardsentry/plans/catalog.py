@@ -125,12 +125,16 @@ def q_project_transactions(spark, sf_dir):
 
 @register("normalize_amount")
 def q_normalize_amount(spark, sf_dir):
-    return txns(spark, sf_dir).select("txn_ref", normalize_amount(F.col("amount")).alias("amount"))
+    """Amounts as loaded: NULL, NaN and overflowing ones are 0.0."""
+    amount = normalize_amount(to_amount(F.col("amount")))
+    return decoded(spark, sf_dir).select("txn_ref", amount.alias("amount"))
 
 
 @register("round_amount")
 def q_round_amount(spark, sf_dir):
+    """Raw amounts with up to five decimals, half a cent included."""
     t = fixture.transactions_from_events(fixture.read_table(spark, sf_dir, "events"))
+    t = t.withColumn("raw_amount", F.col("raw_amount") / 16)
     return t.select("txn_ref", "raw_amount", round_cents(F.col("raw_amount")).alias("amount"))
 
 

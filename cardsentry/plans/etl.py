@@ -9,20 +9,23 @@ One shuffle of ``all_transactions`` serves the extract (no alert), the
 ledger check (key not in the ledger) and the reconciliation: alert keys
 and ledger keys are first reduced to one narrow row per ``txn_ref``
 (alert count, ledger flag; partial + final aggregate), and the
-transactions pick both up in a single join.  The joined rows are
-persisted (disk-backed; lost blocks are recomputed from the lineage) and
-serve three actions: one aggregate for the ingested and alert-weighted
-fraud totals, the snapshot write and the ledger write.  Totals and counts
-come from aggregates and read-backs, not accumulators, so a recomputed
-stage after an executor loss cannot count twice.  The summaries read the
-written snapshot.
+transactions pick both up in a single join.  The joined rows are written
+once to the store's staging folder (replaced by the next run), which every
+executor can reach, and serve three actions: one aggregate for the ingested
+and alert-weighted fraud totals, the snapshot write and the ledger write.
+Totals and counts come from aggregates and read-backs, not accumulators, so
+a recomputed stage after an executor loss cannot count twice.  The summaries
+read the written snapshot.
+
+The transactions and alerts tables must exist: a wrong store root is an
+error, not an empty reconciliation.  The ledger and the log start empty.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,37 +83,34 @@ def run_etl(
 
     # this run's own ledger partition is not "existing": a rerun rewrites it
     ledger = store.read("validated_ledger").where(F.col("run_id") != F.lit(run_id))
-    flags = key_flags(store.read("flagged_transactions"), ledger)
+    flags = key_flags(store.read("flagged_transactions", must_exist=True), ledger)
     tagged = (
-        store.read("all_transactions")
+        store.read("all_transactions", must_exist=True)
         .select(*SNAPSHOT_COLUMNS)
         .join(flags, "txn_ref", "left")
         .withColumn("n_alerts", F.coalesce(F.col("n_alerts"), F.lit(0)))
         .withColumn("in_ledger", F.coalesce(F.col("in_ledger"), F.lit(0)))
     )
-    tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged.write.mode("overwrite").parquet(store.path("_staging/etl"))
+    tagged = spark.read.schema(tagged.schema).parquet(store.path("_staging/etl"))
     snap_path = store.snapshot_path(run_id)
-    try:
-        totals = tagged.agg(
-            F.coalesce(F.sum(F.col("amount").cast(money)), F.lit(0)).cast(money).alias("ingested"),
-            F.coalesce(F.sum((F.col("amount") * F.col("n_alerts")).cast(money)), F.lit(0))
-            .cast(money)
-            .alias("fraud"),
-            F.count_if(F.col("n_alerts") == 0).alias("clean"),
-        ).first()
-        # the loaded rows carry the float amount, NULL -> 0.0
-        clean = tagged.where(F.col("n_alerts") == 0).withColumn(
-            "amount", normalize_amount(F.col("amount"))
-        )
-        clean.drop("n_alerts", "in_ledger").write.mode("overwrite").partitionBy(
-            *cfg.snapshot_partition_by
-        ).parquet(snap_path)
-        fresh = clean.where(F.col("in_ledger") == 0).drop("n_alerts", "in_ledger")
-        fresh = fresh.withColumn("amount", F.col("amount").cast(AMOUNT_TYPE))
-        new_rows = joins.dedupe_by_key(fresh, "txn_ref", order_cols=("proc_ts",))
-        store.write_partition("validated_ledger", new_rows, run_id)
-    finally:
-        tagged.unpersist()
+    totals = tagged.agg(
+        F.coalesce(F.sum(F.col("amount").cast(money)), F.lit(0)).cast(money).alias("ingested"),
+        F.coalesce(F.sum((F.col("amount") * F.col("n_alerts")).cast(money)), F.lit(0))
+        .cast(money)
+        .alias("fraud"),
+        F.count_if(F.col("n_alerts") == 0).alias("clean"),
+    ).first()
+    # the loaded rows carry the float amount, NULL -> 0.0
+    clean = tagged.where(F.col("n_alerts") == 0).withColumn("amount", normalize_amount(F.col("amount")))
+    # static: a rerun replaces the whole folder of its run, whatever it is partitioned by
+    clean.drop("n_alerts", "in_ledger").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).partitionBy(*cfg.snapshot_partition_by).parquet(snap_path)
+    fresh = clean.where(F.col("in_ledger") == 0).drop("n_alerts", "in_ledger")
+    fresh = fresh.withColumn("amount", F.col("amount").cast(AMOUNT_TYPE))
+    new_rows = joins.dedupe_by_key(fresh, "txn_ref", order_cols=("proc_ts",))
+    store.write_partition("validated_ledger", new_rows, run_id)
 
     led = store.read("validated_ledger").agg(
         F.coalesce(F.sum(F.col("amount").cast(money)), F.lit(0)).cast(money).alias("valid"),
@@ -177,18 +177,20 @@ def seed_store(
 ) -> TableStore:
     """A store holding the transactions and alerts of ``sf_dir``.
 
-    Both tables are written as batch 0, the state the stream sinks leave.
+    Both tables are written as batch 0 of a writer named after the folder, the
+    state the stream sinks leave; loading the folder again replaces it.
     """
     store = TableStore(spark, root or scratch_path(spark, "store"))
+    writer = "load-" + hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:12]
     txns = fixture.transactions(spark, sf_dir)
     store.write_partition(
-        "all_transactions", txns.withColumn("proc_ts", F.current_timestamp()), 0
+        "all_transactions", txns.withColumn("proc_ts", F.current_timestamp()), 0, writer
     )
-    written = store.read("all_transactions").select(*TXN_COLUMNS)
+    written = store.read("all_transactions").where(F.col("writer") == writer).select(*TXN_COLUMNS)
     alerts = rules.all_alerts(
         written.withColumn("event_time", F.try_to_timestamp(F.col("event_ts"))), cfg
-    ).withColumn("flag_id", F.concat(F.lit("0-"), F.monotonically_increasing_id().cast("string")))
-    store.write_partition("flagged_transactions", alerts, 0)
+    ).withColumn("flag_id", F.concat(F.lit(f"{writer}-0-"), F.monotonically_increasing_id().cast("string")))
+    store.write_partition("flagged_transactions", alerts, 0, writer)
     return store
 
 

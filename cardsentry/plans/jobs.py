@@ -12,17 +12,41 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
-from dataclasses import replace
+from dataclasses import fields, replace
 from datetime import datetime, timezone
 
-from ..config import DEFAULT
-from ..session import build_session, checkpoint_root, ensure_utc
+from ..config import DEFAULT, RuleConfig
+from ..session import build_session, ensure_utc
 from ..sinks.store import TableStore
 
 
-def _store(spark, root: str | None) -> TableStore:
-    return TableStore(spark, root or f"{checkpoint_root(spark)}/store")
+def _store(spark, root: str) -> TableStore:
+    return TableStore(spark, root)
+
+
+def config_from(args) -> RuleConfig:
+    """Every ``RuleConfig`` field: ``--set name=value``, else ``CARDSENTRY_<NAME>``, else its default.
+
+    Values are JSON, or plain text where they are not.
+    """
+    names = {f.name for f in fields(RuleConfig)}
+    given = {n: os.environ[f"CARDSENTRY_{n.upper()}"] for n in names if f"CARDSENTRY_{n.upper()}" in os.environ}
+    for item in getattr(args, "set", None) or []:
+        name, eq, value = item.partition("=")
+        if not eq or name not in names:
+            raise SystemExit(f"--set {item}: expected name=value with one of {', '.join(sorted(names))}")
+        given[name] = value
+
+    def parsed(text: str):
+        try:
+            value = json.loads(text)
+        except ValueError:
+            return text
+        return tuple(value) if isinstance(value, list) else value
+
+    return replace(DEFAULT, **{n: parsed(v) for n, v in given.items()})
 
 
 def _stamped(store: TableStore, out: str | None, name: str) -> str:
@@ -45,14 +69,16 @@ def cmd_detector(spark, args) -> int:
     from ..streaming import detector
 
     store = _store(spark, args.store)
-    cfg = replace(DEFAULT, kafka_bootstrap=args.bootstrap, kafka_topic=args.topic,
-                  starting_offsets=args.starting_offsets)
+    cfg = config_from(args)
+    flags = {"kafka_bootstrap": args.bootstrap, "kafka_topic": args.topic, "starting_offsets": args.starting_offsets}
+    cfg = replace(cfg, **{k: v for k, v in flags.items() if v is not None})
     ckpt = f"{store.root}/_checkpoints/detector"
     if args.json_dir:
         src = [detector.json_file_stream(spark, args.json_dir) for _ in range(2)]
     else:
-        from ..sources.kafka import kafka_stream
+        from ..sources.kafka import kafka_stream, start_now
 
+        cfg = start_now(cfg)  # one position for both queries
         src = [kafka_stream(spark, cfg) for _ in range(2)]
     trigger = _trigger(args.trigger)
     det = detector.start_detector(src[0], src[1], store, ckpt, cfg, trigger)
@@ -67,8 +93,12 @@ def cmd_detector(spark, args) -> int:
 def cmd_etl(spark, args) -> int:
     from .etl import run_etl
 
-    res = run_etl(spark, _store(spark, args.store))
+    res = run_etl(spark, _store(spark, args.store), config_from(args))
     rec = res.reconciliation.first().asDict()
+    # the summaries are written beside the snapshot they describe
+    summaries = f"{res.snapshot_path.replace('/validated/', '/summaries/')}"
+    for name in ("by_merchant", "by_country", "summary"):
+        getattr(res, name).write.mode("overwrite").parquet(f"{summaries}/{name}")
     print(json.dumps({
         "run_id": res.run_id,
         "rows_extracted": res.rows_extracted,
@@ -78,6 +108,9 @@ def cmd_etl(spark, args) -> int:
         "total_ingested": str(rec["total_ingested"]),
         "fraud_amount": str(rec["fraud_amount"]),
         "validated_amt": str(rec["validated_amt"]),
+        "expected_valid": str(rec["expected_valid"]),
+        "difference": str(rec["difference"]),
+        "summaries": summaries,
     }))
     return 0
 
@@ -87,7 +120,9 @@ def cmd_merchant_report(spark, args) -> int:
 
     store = _store(spark, args.store)
     out = _stamped(store, args.out, "fraud_by_merchant")
-    rep = reports.merchant_report(store.read("flagged_transactions"), store.read("all_transactions"))
+    rep = reports.merchant_report(
+        store.read("flagged_transactions", must_exist=True), store.read("all_transactions", must_exist=True)
+    )
     wrote = reports.write_merchant_csv(rep, out)
     print(json.dumps({"csv": out if wrote else None}))
     return 0
@@ -98,7 +133,7 @@ def cmd_full_report(spark, args) -> int:
 
     store = _store(spark, args.store)
     out = _stamped(store, args.out, "full_report")
-    reports.write_report(reports.full_report(spark, store), out)
+    reports.write_report(reports.full_report(spark, store, config_from(args)), out)
     print(json.dumps({"report": out}))
     return 0
 
@@ -106,7 +141,7 @@ def cmd_full_report(spark, args) -> int:
 def cmd_load_events(spark, args) -> int:
     from .etl import seed_store
 
-    store = seed_store(spark, args.events_dir, root=args.store)
+    store = seed_store(spark, args.events_dir, config_from(args), root=args.store)
     print(json.dumps({"store": store.root}))
     return 0
 
@@ -117,33 +152,35 @@ def main(argv=None) -> int:
     sub = p.add_subparsers(dest="job", required=True)
 
     d = sub.add_parser("detector")
-    d.add_argument("--store")
+    d.add_argument("--store", required=True)
     d.add_argument("--json-dir", help="read JSON lines files instead of Kafka")
-    d.add_argument("--bootstrap", default=DEFAULT.kafka_bootstrap)
-    d.add_argument("--topic", default=DEFAULT.kafka_topic)
-    d.add_argument("--starting-offsets", default=DEFAULT.starting_offsets)
+    d.add_argument("--bootstrap")
+    d.add_argument("--topic")
+    d.add_argument("--starting-offsets")
     d.add_argument("--trigger", default="default", help="default | availableNow | processingTime=<interval>")
     d.set_defaults(fn=cmd_detector)
 
     e = sub.add_parser("etl")
-    e.add_argument("--store")
+    e.add_argument("--store", required=True)
     e.set_defaults(fn=cmd_etl)
 
     m = sub.add_parser("merchant-report")
-    m.add_argument("--store")
+    m.add_argument("--store", required=True)
     m.add_argument("--out", help="default: <store>/deliverables/fraud_by_merchant_<UTC stamp>")
     m.set_defaults(fn=cmd_merchant_report)
 
     f = sub.add_parser("full-report")
-    f.add_argument("--store")
+    f.add_argument("--store", required=True)
     f.add_argument("--out", help="default: <store>/deliverables/full_report_<UTC stamp>")
     f.set_defaults(fn=cmd_full_report)
 
     s = sub.add_parser("load-events")
-    s.add_argument("--store")
+    s.add_argument("--store", required=True)
     s.add_argument("--events-dir", required=True)
     s.set_defaults(fn=cmd_load_events)
 
+    for job in sub.choices.values():
+        job.add_argument("--set", action="append", metavar="NAME=VALUE", help="a RuleConfig field")
     args = p.parse_args(argv)
     spark = build_session(args.master, app_name=f"cardsentry-{args.job}")
     ensure_utc(spark)

@@ -56,22 +56,29 @@ alerts AS (
 clean AS (
   SELECT t.* FROM txn t WHERE NOT EXISTS (SELECT 1 FROM alerts a WHERE a.txn_ref = t.txn_ref)),
 wire AS (
-  SELECT CASE WHEN k = 0 THEN NULL ELSE txn_ref END AS txn_ref,
+  SELECT CASE WHEN k IN (0, 9) THEN NULL ELSE txn_ref END AS txn_ref,
          CASE WHEN k IN (0, 3) THEN NULL ELSE account_id END AS account_id,
-         CASE WHEN k = 0 THEN NULL WHEN k = 1 THEN 'not-a-timestamp' ELSE event_ts END AS event_ts,
-         CASE WHEN k IN (0, 1) THEN NULL ELSE event_time END AS event_time,
+         CASE WHEN k IN (0, 10) THEN NULL WHEN k = 1 THEN 'not-a-timestamp' ELSE event_ts END AS event_ts,
+         CASE WHEN k IN (0, 1, 10) THEN NULL ELSE event_time END AS event_time,
          CASE WHEN k = 0 THEN NULL ELSE merchant_category END AS merchant_category,
-         CASE WHEN k = 0 THEN NULL WHEN k = 2 THEN CAST('NaN' AS DOUBLE)
+         CASE WHEN k IN (0, 6) THEN NULL WHEN k = 2 THEN CAST('NaN' AS DOUBLE)
+              WHEN k = 8 THEN 1e12 WHEN k = 11 THEN 5000.004
               ELSE CAST(amount AS DOUBLE) END AS amount,
          CASE WHEN k = 0 THEN NULL ELSE country END AS country,
          CASE WHEN k = 0 THEN NULL ELSE channel END AS channel,
          CASE WHEN k IN (0, 4, 5) THEN NULL ELSE currency END AS currency,
-         CASE WHEN k = 0 THEN NULL ELSE false END AS flagged,
-         CAST(NULL AS VARCHAR) AS flag_reason,
+         CASE WHEN k IN (0, 7) THEN NULL ELSE k % 4 IN (1, 2) END AS flagged,
+         CASE WHEN k = 0 THEN NULL WHEN k % 4 IN (1, 3) THEN 'HIGH_VALUE'
+              WHEN k % 4 = 2 THEN 'IMPOSSIBLE_TRAVEL' END AS flag_reason,
          k
   FROM txn)
 """
 
+REJECTED = (
+    "SELECT txn_ref, account_id, CASE WHEN k = 0 THEN 'malformed_json' WHEN k = 2 THEN 'bad_amount'"
+    " WHEN k = 8 THEN 'amount_overflow' ELSE 'null_key' END AS reason"
+    " FROM wire WHERE k IN (0, 2, 3, 8, 9, 10)"
+)
 TXN_COLS = "txn_ref, account_id, event_ts, merchant_category, amount, country, channel, currency"
 MONEY = "DECIMAL(38,2)"
 
@@ -104,29 +111,26 @@ _SQL = {
     "scan_transactions": _q(f"SELECT {TXN_COLS} FROM txn"),
     "project_transactions": _q(f"SELECT {TXN_COLS} FROM txn"),
     "normalize_amount": _q(
-        "SELECT txn_ref, COALESCE(CAST(amount AS DOUBLE), 0.0) AS amount FROM txn"
+        "SELECT txn_ref, CASE WHEN k IN (2, 8) OR amount IS NULL THEN 0.0 WHEN k = 11 THEN 5000.0"
+        " ELSE amount END AS amount FROM wire"
     ),
     "round_amount": _q(
-        "SELECT txn_ref, raw_amount,"
-        " CAST(ROUND(CAST(raw_amount AS DECIMAL(38,18)), 2) AS DECIMAL(14,2)) AS amount FROM txn"
+        "SELECT txn_ref, raw_amount / 16 AS raw_amount,"
+        " CAST(ROUND(CAST(CAST(raw_amount / 16 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DECIMAL(14,2)) AS amount FROM txn"
     ),
     "currency_default": _q(
         "SELECT txn_ref, CASE WHEN k = 4 THEN 'USD' ELSE currency END AS currency FROM wire"
     ),
     "amount_decimal": _q(
-        "SELECT txn_ref, CASE WHEN k = 2 THEN NULL ELSE CAST(amount AS DECIMAL(14,2)) END"
+        "SELECT txn_ref, CASE WHEN k IN (2, 8) THEN NULL ELSE CAST(amount AS DECIMAL(14,2)) END"
         " AS amount FROM wire"
     ),
     "valid_events": _q(
         "SELECT txn_ref, account_id, event_ts, merchant_category,"
         " CAST(amount AS DECIMAL(14,2)) AS amount, country, channel, currency"
-        " FROM wire WHERE k IS NULL OR k NOT IN (0, 2, 3)"
-    ),
-    "rejected_events": _q(
-        "SELECT txn_ref, account_id, CASE WHEN k = 0 THEN 'malformed_json'"
-        " WHEN k = 3 THEN 'null_key' ELSE 'bad_amount' END AS reason"
-        " FROM wire WHERE k IN (0, 2, 3)"
+        " FROM wire WHERE k IS NULL OR k NOT IN (0, 2, 3, 8, 9, 10)"
     ),
+    "rejected_events": _q(REJECTED),
     # -- rules
     "high_value": _q(
         "SELECT txn_ref, account_id, amount, country, merchant_category FROM txn WHERE amount > 5000"
@@ -256,3 +260,13 @@ def oracle_sql() -> dict[str, str]:
 def add(name: str, body: str) -> None:
     """Register an oracle statement that uses the shared CTEs."""
     _SQL[name] = _q(body)
+
+
+def statement(name: str) -> str:
+    """A registered statement, to be used inside another one."""
+    return _SQL[name]
+
+
+def add_whole(name: str, sql: str) -> None:
+    """Register a complete oracle statement."""
+    _SQL[name] = sql

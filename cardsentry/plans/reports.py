@@ -48,18 +48,22 @@ def write_merchant_csv(report: DataFrame, path: str) -> bool:
     The report has at most (merchant categories x fraud types) rows, so it
     is gathered into one ordered part after the aggregation.
     """
-    if report.isEmpty():
-        return False
-    (
-        report.repartition(1)
-        .sortWithinPartitions(
-            F.desc("fraud_count"), F.asc_nulls_first("merchant_category"), F.asc_nulls_first("fraud_type")
+    report.persist()  # the few aggregated rows serve the check and the write
+    try:
+        if report.isEmpty():
+            return False
+        (
+            report.repartition(1)
+            .sortWithinPartitions(
+                F.desc("fraud_count"), F.asc_nulls_first("merchant_category"), F.asc_nulls_first("fraud_type")
+            )
+            .write.mode("overwrite")
+            .option("header", True)
+            .csv(path)
         )
-        .write.mode("overwrite")
-        .option("header", True)
-        .csv(path)
-    )
-    return True
+        return True
+    finally:
+        report.unpersist()
 
 
 def _rows(df: DataFrame, section: int, line, sort_num=None, sort_key=None, pos: int = 2):
@@ -73,10 +77,8 @@ def _rows(df: DataFrame, section: int, line, sort_num=None, sort_key=None, pos:
 
 
 def _fixed(spark: SparkSession, section: int, pos: int, lines: list[str]) -> DataFrame:
-    return spark.createDataFrame(
-        [(section, pos, i, "", text) for i, text in enumerate(lines)],
-        "section int, pos int, sort_num long, sort_key string, line string",
-    )
+    rows = F.posexplode(F.array(*[F.lit(x) for x in lines])).alias("at", "text")
+    return _rows(spark.range(1).select(rows), section, F.col("text"), F.col("at"), pos=pos)
 
 
 def _volume_line(label: str, df: DataFrame) -> DataFrame:
@@ -92,8 +94,8 @@ def _volume_line(label: str, df: DataFrame) -> DataFrame:
 
 def data_lines(store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
     """Formatted data rows of sections 1-6 (no headings, no clock times)."""
-    txns = store.read("all_transactions")
-    alerts = store.read("flagged_transactions")
+    txns = store.read("all_transactions", must_exist=True)
+    alerts = store.read("flagged_transactions", must_exist=True)
     ledger = store.read("validated_ledger")
     cube = agg.fraud_cube(alerts, txns)
 
@@ -181,8 +183,13 @@ def full_report(
     store: TableStore,
     cfg: RuleConfig = DEFAULT,
     generated_at: datetime | None = None,
+    run_ts: datetime | None = None,
 ) -> DataFrame:
-    """The whole text report as ordered lines (generation time pinned)."""
+    """The whole text report as ordered lines.
+
+    ``generated_at`` and ``run_ts`` pin the two clock values (default: now,
+    and the logged time of the latest run).
+    """
     ensure_utc(spark)
     stamp = (generated_at or datetime.now(timezone.utc)).strftime("%Y-%m-%d %H:%M:%S")
 
@@ -190,6 +197,7 @@ def full_report(
         return _fixed(spark, section, 0, ["", H2, f"  {title}", H2])
 
     rec = latest_reconciliation(store)
+    logged = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")) if run_ts else F.col("run_ts").cast("string")
     parts = [
         _fixed(spark, 0, 0, ["", H1, f"  {TITLE}", H1]),
         _rows(
@@ -207,7 +215,7 @@ def full_report(
         h2(5, "5. TOP 10 FLAGGED ACCOUNTS"),
         _fixed(spark, 5, 1, ["  " + f"{'Account ID (truncated)':<38} {'Alerts':>6}"]),
         h2(6, "6. LATEST RECONCILIATION"),
-        _rows(rec, 6, fmt.line("Run timestamp    : ", F.col("run_ts").cast("string")), F.lit(0)),
+        _rows(rec, 6, fmt.line("Run timestamp    : ", logged), F.lit(0)),
         # shown only when the log is empty
         _rows(
             store.read("reconciliation_log").agg(F.count(F.lit(1)).alias("n")).where("n = 0"),
@@ -242,7 +250,8 @@ def q_report_lines(spark, sf_dir):
 def q_full_report(spark, sf_dir):
     store = seed_store(spark, sf_dir)
     run_etl(spark, store)
-    return full_report(spark, store).select("section", "pos", "line")
+    pinned = datetime(2026, 1, 2, 3, 4, 5, tzinfo=timezone.utc)  # the two clock values
+    return full_report(spark, store, generated_at=pinned, run_ts=pinned).select("section", "pos", "line")
 
 
 @register("merchant_report")
@@ -293,3 +302,22 @@ oracle.add(
     " CAST(COALESCE(SUM(t.amount), 0) AS DECIMAL(38,2)) AS total_fraud_amount"
     " FROM alerts a JOIN txn t ON a.txn_ref = t.txn_ref GROUP BY t.merchant_category, a.fraud_type",
 )
+
+
+def _oracle_full_report() -> str:
+    """The data rows of ``report_lines`` and the fixed lines around them."""
+    clock = "2026-01-02 03:04:05"
+    heads = ["1. TRANSACTION VOLUME", "2. FRAUD BY TYPE", "3. FRAUD ATTEMPTS BY MERCHANT CATEGORY",
+             "4. FRAUD ATTEMPTS BY COUNTRY", "5. TOP 10 FLAGGED ACCOUNTS", "6. LATEST RECONCILIATION"]
+    fixed = [(0, 0, x) for x in ("", H1, f"  {TITLE}", H1)] + [(0, 1, f"  Generated : {clock} UTC")]
+    for k, title in enumerate(heads, 1):
+        fixed += [(k, 0, x) for x in ("", H2, f"  {title}", H2)]
+    fixed += [(3, 1, "  Category                Count          Amount"), (4, 1, "  Country     Count          Amount"),
+              (5, 1, "  Account ID (truncated)                 Alerts"), (6, 2, f"  Run timestamp    : {clock}")]
+    fixed += [(7, 0, x) for x in ("", H1, "  END OF REPORT", H1)]
+    rows = ", ".join(f"({s}, {p}, '{x}')" for s, p, x in fixed)
+    return (f"SELECT section, 2 AS pos, line FROM ({oracle.statement('report_lines')}) d"
+            f" UNION ALL SELECT * FROM (VALUES {rows}) f(section, pos, line)")
+
+
+oracle.add_whole("full_report", _oracle_full_report())

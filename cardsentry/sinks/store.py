@@ -1,17 +1,19 @@
 """Tables as Parquet directories under one shared root.
 
-Each writer owns one partition (``batch_id=<n>`` for the stream sinks,
-``run_id=<n>`` for the ETL) and replaces it whole, so a replayed
-micro-batch or a rerun ETL step rewrites the same rows instead of adding
-copies.  Readers always pass the fixed schema: no inference, and an
-absent table reads as an empty frame.
+Stream tables are laid out as ``writer=<id>/batch_id=<n>``: a writer is one
+checkpoint (the id Spark keeps in it) or one load, and it replaces only its
+own batches.  So a replayed micro-batch rewrites the same rows, while a new
+checkpoint, whose batch numbers start at 0 again, adds to what other writers
+stored.  The ETL owns ``run_id=<n>`` partitions in the same way.  Readers
+always pass the fixed schema: no inference; an absent table reads as an empty
+frame only where the caller allows it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import schemas
 
@@ -25,6 +27,19 @@ TABLES: dict[str, tuple[StructType, str]] = {
 }
 
 
+#: Tables that stream queries and loads append to, each under its own writer.
+STREAM_TABLES = ("all_transactions", "flagged_transactions", "rejected_events")
+
+
+class MissingTableError(FileNotFoundError):
+    """A table that must exist was not found under the store's root."""
+
+
+def checkpoint_writer(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark stores in a checkpoint at its first start (one scalar)."""
+    return spark.read.json(f"{checkpoint}/metadata").select("id").first()["id"]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Hadoop ``FileSystem.exists`` (PySpark has no public file-system API).
 
@@ -61,22 +76,29 @@ class TableStore:
     def schema(self, name: str) -> StructType:
         schema, part = TABLES[name]
         fields = [f for f in schema.fields if f.name != part]
+        if name in STREAM_TABLES:
+            fields.append(StructField("writer", StringType(), False))
         return StructType(fields + [StructField(part, LongType(), False)])
 
     # -- read / write ------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, must_exist: bool = False) -> DataFrame:
         schema = self.schema(name)
         path = self.path(name)
         if not path_exists(self.spark, path):  # table not written yet
+            if must_exist:
+                raise MissingTableError(f"{path} does not exist: is {self.root} the right store?")
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", path).parquet(path)
 
-    def write_partition(self, name: str, df: DataFrame, value: int) -> None:
-        """Replace partition ``<part>=<value>`` of ``name`` with ``df``."""
+    def write_partition(self, name: str, df: DataFrame, value: int, writer: str | None = None) -> None:
+        """Replace partition ``<part>=<value>`` (of ``writer``, for a stream table) with ``df``."""
         schema, part = TABLES[name]
+        if (name in STREAM_TABLES) != (writer is not None):
+            raise ValueError(f"{name}: a writer is needed for stream tables and for no others")
         cols = [f.name for f in schema.fields if f.name != part]
         out = df.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in cols])
-        out.write.mode("overwrite").parquet(f"{self.path(name)}/{part}={value}")
+        folder = self.path(name) + (f"/writer={writer}" if writer else "")
+        out.write.mode("overwrite").parquet(f"{folder}/{part}={value}")
 
     def next_id(self, name: str) -> int:
         """1 + the largest partition id written so far (one scalar)."""

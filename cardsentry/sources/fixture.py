@@ -4,9 +4,10 @@ Every row of ``events`` becomes one transaction; the mapping is pure
 column arithmetic (no join, no shuffle), so it scales with the scan.
 
 Fault injection for the decode path: every event is encoded, and the
-events whose ``props.k`` is 0-5 carry one defect each (about 1% of rows
-per defect), so the decoder, the quarantine split and the currency
-default meet each case on the whole table.
+events whose ``props.k`` is 0-11 carry one defect each (about 1% of rows
+per defect), so the decoder, the quarantine split, the rules and the
+currency default meet each case on the whole table.  The defective feed
+also carries fraud labels that depend on ``props.k``.
 """
 
 from __future__ import annotations
@@ -36,6 +37,13 @@ FAULT_NAN = 2  # amount is NaN
 FAULT_NULL_KEY = 3  # account_id is null
 FAULT_NO_CURRENCY = 4  # currency key absent
 FAULT_NULL_CURRENCY = 5  # currency present as null
+FAULT_NULL_AMOUNT = 6  # amount is null
+FAULT_MISTYPED = 7  # flagged is a text
+FAULT_OVERFLOW = 8  # amount does not fit NUMERIC(14,2)
+FAULT_NULL_REF = 9  # txn_ref is null
+FAULT_NULL_TS = 10  # event_ts is null
+FAULT_SUB_CENT = 11  # above the threshold by less than half a cent
+OVERFLOW_AMOUNT, SUB_CENT_AMOUNT = 1e12, 5000.004
 BAD_TS_TEXT = "not-a-timestamp"
 MALFORMED_PREFIX = "corrupt:"
 
@@ -85,15 +93,32 @@ def wire_from_transactions(txns: DataFrame, faults: bool = True) -> DataFrame:
         if c == "amount":
             col = F.col("amount").cast("double")
             if faults:
-                col = F.when(fault == FAULT_NAN, F.lit(float("nan"))).otherwise(col)
+                col = (
+                    F.when(fault == FAULT_NAN, F.lit(float("nan")))
+                    .when(fault == FAULT_NULL_AMOUNT, F.lit(None))
+                    .when(fault == FAULT_OVERFLOW, F.lit(OVERFLOW_AMOUNT))
+                    .when(fault == FAULT_SUB_CENT, F.lit(SUB_CENT_AMOUNT))
+                    .otherwise(col)
+                )
             return col.alias(c)
         if c == "flagged":
-            return F.lit(False).alias(c)
+            return ((fault % 4).isin(1, 2) if faults else F.lit(False)).alias(c)
         if c == "flag_reason":
-            return F.lit(None).cast("string").alias(c)
+            reason = F.lit(None).cast("string")
+            if faults:
+                reason = F.when((fault % 4).isin(1, 3), F.lit("HIGH_VALUE")).when(
+                    fault % 4 == 2, F.lit("IMPOSSIBLE_TRAVEL")
+                )
+            return reason.alias(c)
         col = F.col(c)
+        if faults and c == "txn_ref":
+            col = F.when(fault == FAULT_NULL_REF, F.lit(None)).otherwise(col)
         if faults and c == "event_ts":
-            col = F.when(fault == FAULT_BAD_TS, F.lit(BAD_TS_TEXT)).otherwise(col)
+            col = (
+                F.when(fault == FAULT_BAD_TS, F.lit(BAD_TS_TEXT))
+                .when(fault == FAULT_NULL_TS, F.lit(None))
+                .otherwise(col)
+            )
         if faults and c == "account_id":
             col = F.when(fault == FAULT_NULL_KEY, F.lit(None)).otherwise(col)
         if faults and c == "currency":
@@ -110,6 +135,7 @@ def wire_from_transactions(txns: DataFrame, faults: bool = True) -> DataFrame:
     text = (
         F.when(fault == FAULT_NO_CURRENCY, without_currency)
         .when(fault == FAULT_MALFORMED, F.concat(F.lit(MALFORMED_PREFIX), full))
+        .when(fault == FAULT_MISTYPED, F.replace(full, F.lit('"flagged":false'), F.lit('"flagged":"maybe"')))
         .otherwise(full)
     )
     return txns.select(text.cast("binary").alias("value"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, RuleConfig
@@ -19,10 +22,21 @@ def kafka_reader_options(cfg: RuleConfig = DEFAULT, starting_offsets: str | None
         "startingOffsets": starting_offsets or cfg.starting_offsets,
         "failOnDataLoss": str(cfg.fail_on_data_loss).lower(),
     }
+    if cfg.start_timestamp_ms is not None and not starting_offsets:
+        # the first start of a query: messages from this moment on, the end of a quiet partition
+        opts["startingTimestamp"] = str(cfg.start_timestamp_ms)
+        opts["startingOffsetsByTimestampStrategy"] = "latest"
     opts.update(cfg.extra_kafka_options)
     return opts
 
 
+def start_now(cfg: RuleConfig) -> RuleConfig:
+    """``latest`` resolved to one moment, so that all queries of a job start at the same position."""
+    if cfg.starting_offsets != "latest" or cfg.start_timestamp_ms is not None:
+        return cfg
+    return replace(cfg, start_timestamp_ms=int(time.time() * 1000))
+
+
 def kafka_stream(
     spark: SparkSession, cfg: RuleConfig = DEFAULT, starting_offsets: str | None = None
 ) -> DataFrame:

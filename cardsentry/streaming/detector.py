@@ -8,17 +8,20 @@ each with its own checkpoint under the shared checkpoint root:
   key index: exact across all batches (first arrival wins, as with an
   insert that ignores conflicts), O(batch) work per trigger instead of an
   anti join against the whole table, kept in the checkpointed state store.
-* ``alerts``: decode -> valid rows -> rule 1 (stateless) UNION ALL rule 2
-  (watermarked window aggregate of countries, joined back to the windowed
-  rows by a stream-stream join) -> ``flagged_transactions``.
+* ``alerts``: decode -> rule 1 (stateless, on the raw amount) UNION ALL
+  rule 2 (watermarked window aggregate of countries, joined back to the
+  windowed rows by a stream-stream join) -> ``flagged_transactions``.  The
+  quarantine decides only what enters ``all_transactions``.
 
 Sinks run in ``foreachBatch`` as distributed writes of partition
-``batch_id=<n>`` in overwrite mode, so a replayed batch replaces what its
-first attempt wrote instead of duplicating it.
+``writer=<checkpoint id>/batch_id=<n>`` in overwrite mode: a replayed batch
+replaces what its first attempt wrote, and no checkpoint touches another's
+batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
@@ -41,9 +44,9 @@ from ..plans import oracle
 from ..plans.catalog import register
 from ..schemas import ALERT_COLUMNS, TXN_COLUMNS
 from ..session import default_parallelism, ensure_utc, scratch_path
-from ..sinks.store import TableStore
+from ..sinks.store import TableStore, checkpoint_writer
 from ..sources import fixture
-from ..sources.kafka import kafka_stream
+from ..sources.kafka import kafka_stream, start_now
 
 EVENTS_SCHEMA = StructType(
     [
@@ -89,14 +92,9 @@ def decoded_stream(raw: DataFrame) -> DataFrame:
     return decode_events(raw)
 
 
-def valid_transactions(decoded: DataFrame) -> DataFrame:
-    tagged = quality.with_reject_reason(decoded)
-    return quality.valid_rows(tagged)
-
-
 def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    """Both rules over the valid rows of a wire stream (or batch)."""
-    txns = valid_transactions(decoded_stream(raw))
+    """Both rules over the decoded rows of a wire stream (or batch)."""
+    txns = decoded_stream(raw)
     if cfg.dedupe_within_watermark and txns.isStreaming:
         txns = txns.withWatermark("event_time", cfg.watermark_delay).dropDuplicatesWithinWatermark(
             ["txn_ref"]
@@ -106,7 +104,7 @@ def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
 
 
 def travel_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    return rules.travel_alerts(valid_transactions(decoded_stream(raw)), cfg)
+    return rules.travel_alerts(decoded_stream(raw), cfg)
 
 
 # -- sinks ---------------------------------------------------------------------
@@ -134,29 +132,44 @@ def transaction_rows(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     return good.unionByName(bad)
 
 
-def transactions_sink(store: TableStore):
+class Writer:
+    """The writer id of one checkpoint, read at its first batch."""
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self.spark, self.checkpoint, self._id = spark, checkpoint, None
+
+    def __call__(self) -> str:
+        if self._id is None:
+            self._id = checkpoint_writer(self.spark, self.checkpoint)
+        return self._id
+
+
+def transactions_sink(store: TableStore, writer: Callable[[], str]):
     """foreachBatch body for ``all_transactions`` and the quarantine."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             valid = quality.valid_rows(batch).select(*TXN_COLUMNS)
-            store.write_partition("all_transactions", valid, batch_id)
-            store.write_partition("rejected_events", quality.rejected_rows(batch), batch_id)
+            store.write_partition("all_transactions", valid, batch_id, writer())
+            rejected = quality.rejected_rows(batch)
+            if not rejected.isEmpty():  # most batches have none: no empty partitions
+                store.write_partition("rejected_events", rejected, batch_id, writer())
         finally:
             batch.unpersist()
 
     return write
 
 
-def alerts_sink(store: TableStore):
+def alerts_sink(store: TableStore, writer: Callable[[], str]):
     """foreachBatch body for ``flagged_transactions`` (plain append)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         flag_id = F.concat(
-            F.lit(f"{batch_id}-"), F.monotonically_increasing_id().cast("string")
+            F.lit(f"{writer()}-{batch_id}-"), F.monotonically_increasing_id().cast("string")
         )
-        store.write_partition("flagged_transactions", batch.withColumn("flag_id", flag_id), batch_id)
+        out = batch.withColumn("flag_id", flag_id)
+        store.write_partition("flagged_transactions", out, batch_id, writer())
 
     return write
 
@@ -223,7 +236,7 @@ def start_detector(
 def _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger) -> Detector:
     q1 = _trigger(
         transaction_rows(raw_transactions, cfg)
-        .writeStream.foreachBatch(transactions_sink(store))
+        .writeStream.foreachBatch(transactions_sink(store, Writer(store.spark, f"{checkpoint_dir}/all_txn")))
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoint_dir}/all_txn"),
         trigger,
@@ -231,7 +244,7 @@ def _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigge
     q2 = _trigger(
         alert_stream(raw_alerts, cfg)
         .select(*ALERT_COLUMNS)
-        .writeStream.foreachBatch(alerts_sink(store))
+        .writeStream.foreachBatch(alerts_sink(store, Writer(store.spark, f"{checkpoint_dir}/flagged")))
         .outputMode("append")
         .option("checkpointLocation", f"{checkpoint_dir}/flagged"),
         trigger,
@@ -243,6 +256,7 @@ def run_kafka_detector(spark: SparkSession, store: TableStore, cfg: RuleConfig =
     """Production entry: Kafka source, default trigger, run until stopped."""
     ensure_utc(spark)
     ckpt = f"{store.root}/_checkpoints/detector"
+    cfg = start_now(cfg)  # one position for both queries
     return start_detector(
         kafka_stream(spark, cfg), kafka_stream(spark, cfg), store, ckpt, cfg, trigger={}
     )
@@ -258,7 +272,7 @@ def q_stream_travel(spark, sf_dir):
     with state_partitions(spark):
         q = (
             travel_stream(events_file_stream(spark, sf_dir))
-            .writeStream.foreachBatch(alerts_sink(store))
+            .writeStream.foreachBatch(alerts_sink(store, Writer(spark, f"{store.root}/_checkpoints/travel")))
             .outputMode("append")
             .option("checkpointLocation", f"{store.root}/_checkpoints/travel")
             .trigger(availableNow=True)
@@ -288,7 +302,7 @@ def _run_transactions_query(spark: SparkSession, sf_dir: str, label: str, faults
     with state_partitions(spark):
         q = (
             transaction_rows(events_file_stream(spark, sf_dir, faults=faults))
-            .writeStream.foreachBatch(transactions_sink(store))
+            .writeStream.foreachBatch(transactions_sink(store, Writer(spark, f"{store.root}/_checkpoints/all_txn")))
             .option("checkpointLocation", f"{store.root}/_checkpoints/all_txn")
             .trigger(availableNow=True)
             .start()
@@ -311,6 +325,47 @@ def q_stream_rejected(spark, sf_dir):
     return store.read("rejected_events").select("txn_ref", "account_id", "reason")
 
 
+@register("stream_alerts_faulty")
+def q_stream_alerts_faulty(spark, sf_dir):
+    """Both rules over wire documents with defects: what the table rejects is still judged."""
+    store = TableStore(spark, scratch_path(spark, "stream-faulty"))
+    checkpoint = f"{store.root}/_checkpoints/flagged"
+    with state_partitions(spark):
+        q = (
+            alert_stream(events_file_stream(spark, sf_dir, faults=True))
+            .select(*ALERT_COLUMNS)
+            .writeStream.foreachBatch(alerts_sink(store, Writer(spark, checkpoint)))
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    q.awaitTermination()
+    return store.read("flagged_transactions").select("txn_ref", "account_id", "fraud_type", "details")
+
+
+@register("stream_two_writers")
+def q_stream_two_writers(spark, sf_dir):
+    """A load and a detector's transactions query on one store: neither replaces the other's batches."""
+    from ..plans.etl import seed_store
+
+    store = seed_store(spark, sf_dir, root=scratch_path(spark, "stream-two-writers"))
+    checkpoint = f"{store.root}/_checkpoints/all_txn"
+    with state_partitions(spark):
+        q = (
+            transaction_rows(events_file_stream(spark, sf_dir))
+            .writeStream.foreachBatch(transactions_sink(store, Writer(spark, checkpoint)))
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    q.awaitTermination()
+    rows = store.read("all_transactions")
+    return rows.groupBy("txn_ref").agg(
+        F.countDistinct("writer").alias("writers"), F.count("*").alias("n_rows")
+    )
+
+
 # Append mode emits a window once the final watermark (max event time
 # minus the delay) has passed its end.
 _CLOSED = " WHERE we <= (SELECT max(event_time) - INTERVAL 2 MINUTE FROM txn)"
@@ -320,11 +375,29 @@ oracle.add(
     "SELECT txn_ref, account_id, fraud_type, details FROM hv UNION ALL "
     "SELECT txn_ref, account_id, fraud_type, details FROM travel" + _CLOSED,
 )
+oracle.add("stream_rejected", oracle.REJECTED)
+oracle.add("stream_two_writers", "SELECT txn_ref, 2 AS writers, 2 AS n_rows FROM txn")
 oracle.add(
-    "stream_rejected",
-    "SELECT txn_ref, account_id, CASE WHEN k = 0 THEN 'malformed_json'"
-    " WHEN k = 3 THEN 'null_key' ELSE 'bad_amount' END AS reason"
-    " FROM wire WHERE k IN (0, 2, 3)",
+    "stream_alerts_faulty",
+    r""", wslid AS (
+  SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS ws, * FROM wire WHERE event_time IS NOT NULL
+  UNION ALL
+  SELECT time_bucket(INTERVAL 5 MINUTE, event_time) - INTERVAL 5 MINUTE AS ws, * FROM wire
+  WHERE event_time IS NOT NULL),
+wguilty AS (
+  SELECT ws, ws + INTERVAL 10 MINUTE AS we, account_id, list_sort(list(DISTINCT country)) AS countries
+  FROM wslid GROUP BY ws, account_id HAVING count(DISTINCT country) > 1)
+SELECT txn_ref, account_id, 'HIGH_VALUE' AS fraud_type,
+       '{"amount":' || CASE WHEN k = 8 THEN '1.0E12' ELSE CAST(amount AS VARCHAR) END || ',"country":"' || country
+         || '","merchant_category":"' || merchant_category || '"}' AS details
+FROM wire WHERE amount > 5000 AND NOT isnan(amount)
+UNION ALL
+SELECT s.txn_ref, s.account_id, 'IMPOSSIBLE_TRAVEL',
+       '{"window":{"start":"' || strftime(g.ws, '%Y-%m-%dT%H:%M:%S') || '.000Z","end":"'
+         || strftime(g.we, '%Y-%m-%dT%H:%M:%S') || '.000Z"},"countries":'
+         || CAST(to_json(g.countries) AS VARCHAR) || '}'
+FROM wslid s JOIN wguilty g ON s.ws = g.ws AND s.account_id = g.account_id
+WHERE s.txn_ref IS NOT NULL AND g.we <= (SELECT max(event_time) - INTERVAL 2 MINUTE FROM wire)""",
 )
 oracle.add(
     "stream_transactions",

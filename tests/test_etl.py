@@ -141,7 +141,7 @@ def test_reconcile_distinct_passes(spark, etl_store):
 def test_reconcile_tolerance_boundary(spark):
     store = TableStore(spark, scratch_path(spark, "recon-edge"))
     t = txn_frame(spark, [txn("t1", "a", base(), amount=10.00)]).withColumn("proc_ts", F.current_timestamp())
-    store.write_partition("all_transactions", t, 0)
+    store.write_partition("all_transactions", t, 0, "w")
     for ledger_amount, status in ((9.99, "PASS"), (9.98, "FAIL")):
         led = txn_frame(spark, [txn("t1", "a", base(), amount=ledger_amount)]).withColumn(
             "proc_ts", F.current_timestamp())

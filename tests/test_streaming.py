@@ -133,8 +133,8 @@ def test_replayed_batch_is_idempotent(spark):
     raw = wire_frame(spark, wire_docs([txn("r1", "A", plus(b, 1), "US", 9000.0),
                                        txn("r2", "A", plus(b, 2), "US")]))
     decoded = quality.with_reject_reason(decode_events(raw))
-    tx_sink = detector.transactions_sink(store)
-    al_sink = detector.alerts_sink(store)
+    tx_sink = detector.transactions_sink(store, lambda: "w")
+    al_sink = detector.alerts_sink(store, lambda: "w")
     batch_alerts = detector.alert_stream(raw).select("txn_ref", "account_id", "fraud_type",
                                                      "detection_ts", "details")
     for _ in range(2):  # same batch id twice, as after a failure
