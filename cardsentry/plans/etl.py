@@ -173,14 +173,15 @@ def latest_reconciliation(store: TableStore) -> DataFrame:
 
 
 def seed_store(
-    spark: SparkSession, sf_dir: str, cfg: RuleConfig = DEFAULT, root: str | None = None
+    spark: SparkSession, sf_dir: str, cfg: RuleConfig = DEFAULT, root: str | None = None,
+    store: TableStore | None = None,
 ) -> TableStore:
     """A store holding the transactions and alerts of ``sf_dir``.
 
     Both tables are written as batch 0 of a writer named after the folder, the
     state the stream sinks leave; loading the folder again replaces it.
     """
-    store = TableStore(spark, root or scratch_path(spark, "store"))
+    store = store or TableStore(spark, root or scratch_path(spark, "store"))
     writer = "load-" + hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:12]
     txns = fixture.transactions(spark, sf_dir)
     store.write_partition(

@@ -19,11 +19,16 @@ from datetime import datetime, timezone
 
 from ..config import DEFAULT, RuleConfig
 from ..session import build_session, ensure_utc
+from ..sinks.jdbc_store import JdbcStore
 from ..sinks.store import TableStore
 
 
-def _store(spark, root: str) -> TableStore:
-    return TableStore(spark, root)
+def _store(spark, args) -> TableStore:
+    """Parquet tables under ``--store``, or database tables with ``--jdbc-url`` (files stay under it)."""
+    if getattr(args, "jdbc_url", None):
+        options = dict(item.split("=", 1) for item in args.jdbc_option or [])
+        return JdbcStore(spark, args.store, args.jdbc_url, **options)
+    return TableStore(spark, args.store)
 
 
 def config_from(args) -> RuleConfig:
@@ -68,7 +73,7 @@ def _trigger(spec: str) -> dict:
 def cmd_detector(spark, args) -> int:
     from ..streaming import detector
 
-    store = _store(spark, args.store)
+    store = _store(spark, args)
     cfg = config_from(args)
     flags = {"kafka_bootstrap": args.bootstrap, "kafka_topic": args.topic, "starting_offsets": args.starting_offsets}
     cfg = replace(cfg, **{k: v for k, v in flags.items() if v is not None})
@@ -93,7 +98,7 @@ def cmd_detector(spark, args) -> int:
 def cmd_etl(spark, args) -> int:
     from .etl import run_etl
 
-    res = run_etl(spark, _store(spark, args.store), config_from(args))
+    res = run_etl(spark, _store(spark, args), config_from(args))
     rec = res.reconciliation.first().asDict()
     # the summaries are written beside the snapshot they describe
     summaries = f"{res.snapshot_path.replace('/validated/', '/summaries/')}"
@@ -118,7 +123,7 @@ def cmd_etl(spark, args) -> int:
 def cmd_merchant_report(spark, args) -> int:
     from . import reports
 
-    store = _store(spark, args.store)
+    store = _store(spark, args)
     out = _stamped(store, args.out, "fraud_by_merchant")
     rep = reports.merchant_report(
         store.read("flagged_transactions", must_exist=True), store.read("all_transactions", must_exist=True)
@@ -131,7 +136,7 @@ def cmd_merchant_report(spark, args) -> int:
 def cmd_full_report(spark, args) -> int:
     from . import reports
 
-    store = _store(spark, args.store)
+    store = _store(spark, args)
     out = _stamped(store, args.out, "full_report")
     reports.write_report(reports.full_report(spark, store, config_from(args)), out)
     print(json.dumps({"report": out}))
@@ -141,7 +146,7 @@ def cmd_full_report(spark, args) -> int:
 def cmd_load_events(spark, args) -> int:
     from .etl import seed_store
 
-    store = seed_store(spark, args.events_dir, config_from(args), root=args.store)
+    store = seed_store(spark, args.events_dir, config_from(args), store=_store(spark, args))
     print(json.dumps({"store": store.root}))
     return 0
 
@@ -180,6 +185,8 @@ def main(argv=None) -> int:
     s.set_defaults(fn=cmd_load_events)
 
     for job in sub.choices.values():
+        job.add_argument("--jdbc-url", help="keep the tables in a database")
+        job.add_argument("--jdbc-option", action="append", metavar="NAME=VALUE", help="user, password, driver, ...")
         job.add_argument("--set", action="append", metavar="NAME=VALUE", help="a RuleConfig field")
     args = p.parse_args(argv)
     spark = build_session(args.master, app_name=f"cardsentry-{args.job}")

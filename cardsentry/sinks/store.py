@@ -93,13 +93,17 @@ class TableStore:
     def write_partition(self, name: str, df: DataFrame, value: int, writer: str | None = None) -> None:
         """Replace partition ``<part>=<value>`` (of ``writer``, for a stream table) with ``df``."""
         schema, part = TABLES[name]
-        if (name in STREAM_TABLES) != (writer is not None):
-            raise ValueError(f"{name}: a writer is needed for stream tables and for no others")
+        self.check_writer(name, writer)
         cols = [f.name for f in schema.fields if f.name != part]
         out = df.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in cols])
         folder = self.path(name) + (f"/writer={writer}" if writer else "")
         out.write.mode("overwrite").parquet(f"{folder}/{part}={value}")
 
+    @staticmethod
+    def check_writer(name: str, writer: str | None) -> None:
+        if (name in STREAM_TABLES) != (writer is not None):
+            raise ValueError(f"{name}: a writer is needed for stream tables and for no others")
+
     def next_id(self, name: str) -> int:
         """1 + the largest partition id written so far (one scalar)."""
         _, part = TABLES[name]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from dataclasses import replace
 
 from cardsentry.config import DEFAULT
@@ -84,3 +86,42 @@ def test_jdbc_paths_reach_the_connector(spark):
     with pytest.raises(Exception) as err:
         jdbc.read_jdbc(spark, opts)
     assert _missing_source(err.value)
+
+
+def test_jdbc_store_appends_attempts_and_reads_the_last(spark, monkeypatch, tmp_path):
+    """Option level: the JDBC calls are replaced by files."""
+    from cardsentry.operators import rules
+    from cardsentry.sinks import jdbc_store
+    from cardsentry.sinks.store import MissingTableError
+    from helpers import base, txn, txn_frame
+    from pyspark.sql import functions as F
+
+    seen = []
+    path = lambda opts: str(tmp_path / opts["dbtable"])
+
+    def read(session, opts):
+        seen.append(opts)
+        if "query" in opts:
+            name = opts["query"].split("'")[1]
+            return session.range(1 if (tmp_path / name).exists() else 0)
+        return session.read.parquet(path(opts))
+
+    monkeypatch.setattr(jdbc_store, "read_jdbc", read)
+    monkeypatch.setattr(jdbc_store, "append_jdbc", lambda df, opts: df.write.mode("append").parquet(path(opts)))
+    store = jdbc_store.JdbcStore(spark, str(tmp_path / "files"), "jdbc:x://db", prefix="p_", user="u", driver="d")
+    assert store.read("all_transactions").count() == 0
+    with pytest.raises(MissingTableError):
+        store.read("all_transactions", must_exist=True)
+    t = txn_frame(spark, [txn("a", "x", base(), amount=9000.0), txn("b", "x", base())]).withColumn("proc_ts", F.current_timestamp())
+    for _ in range(2):  # a replayed batch
+        store.write_partition("all_transactions", t, 0, "w1")
+        store.write_partition("flagged_transactions", rules.all_alerts(t).withColumn("flag_id", F.lit("f")), 0, "w1")
+    store.write_partition("all_transactions", t.where("txn_ref = 'a'"), 0, "w2")
+    assert sorted((r["writer"], r["txn_ref"]) for r in store.read("all_transactions").collect()) == [
+        ("w1", "a"), ("w1", "b"), ("w2", "a")]
+    assert store.read("flagged_transactions").count() == 1
+    assert seen[-1]["dbtable"] == "p_flagged_transactions" and seen[-1]["user"] == "u" and seen[-1]["driver"] == "d"
+    from cardsentry.plans.etl import run_etl
+
+    res = run_etl(spark, store)
+    assert res.rows_inserted == 1 and store.read("validated_ledger").count() == 1
