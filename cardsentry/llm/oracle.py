@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .url_filter import MULTI_SUFFIXES
+
 #: Lines with a word, normalised; one row for each written line.
 _LINES = r"""
 docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -61,5 +63,60 @@ FROM documents d JOIN kept USING (doc_id)
 """
 
 
+
+
+def _strength(units: str) -> str:
+    """One row (p, c): mean and strength of the prior over units, by the method of moments."""
+    return f"""
+  SELECT p, CASE WHEN coalesce(n, 0) = 0 THEN 1.0 WHEN m < 2 OR p * (1 - p) = 0 OR room <= 0 THEN 1e4
+            ELSE (1 - spread) / spread END AS c
+  FROM (SELECT *, least(greatest((kk - n * p * p - p * (1 - p) * (m - 1)) / nullif(p * (1 - p) * room, 0), 1e-4), 0.99)
+               AS spread
+        FROM (SELECT *, n - nn / n - m + 1 AS room
+              FROM (SELECT count(*) AS m, sum(n) AS n, coalesce(sum(k) / sum(n), 0.0) AS p, sum(k * k / n) AS kk,
+                           sum(n::DOUBLE * n) AS nn FROM {units} WHERE n > 0)))"""
+
+
+_OP6 = rf"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+own AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(r, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(r, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+known AS (
+  SELECT doc_id::VARCHAR AS ref, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY 1),
+hosts AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k,
+         array_to_string(string_split(host, '.')[-2:], '.') AS last2,
+         array_to_string(string_split(host, '.')[-1:], '.') AS last1,
+         array_to_string(string_split(host, '.')[-3:], '.') AS last3
+  FROM own LEFT JOIN known ON known.ref = regexp_extract(path, '^/[a-z]{{2}}/(\d+)(?:[./].*)?$', 1) GROUP BY host),
+h AS (
+  SELECT host, n, k, CASE WHEN multi THEN last3 ELSE last2 END AS domain, CASE WHEN multi THEN last2 ELSE last1 END AS suffix
+  FROM (SELECT *, last2 IN {tuple(MULTI_SUFFIXES)} AS multi FROM hosts)),
+d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL),
+s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY ALL),
+ps AS ({_strength('s')}), pd AS ({_strength('d')}), ph AS ({_strength('h')}),
+sr AS (SELECT suffix, (k + ps.p * ps.c) / (n + ps.c) AS rate FROM s, ps),
+dr AS (SELECT domain, suffix, (k + rate * pd.c) / (n + pd.c) AS rate FROM d JOIN sr USING (suffix), pd),
+hr AS (SELECT host, n + ph.c AS total, (k + rate * ph.c) / (n + ph.c) AS rate FROM h JOIN dr USING (domain, suffix), ph),
+blocked AS (SELECT host FROM hr WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) > 0.4),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM own)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality_rules": _OP8, "op10_line_dedup": _OP10}
+    return {"op6_url_filter": _OP6, "op8_quality_rules": _OP8, "op10_line_dedup": _OP10}

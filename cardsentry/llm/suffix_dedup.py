@@ -431,10 +431,7 @@ def remove_repeats(
     rows, _ = with_row_key(own, "row")  # equal rows have equal ranges
     spans = repeated_ranges(spark, rows, keep, group, broadcast_rows)
     ranges = spans.groupBy(F.col("row").alias("of")).agg(F.collect_list(F.struct("b", "e")).alias("ranges"))
-    ranges = materialize(spark, ranges, "removed-ranges")
-    total = ranges.agg(F.count("*").alias("n"), F.sum(F.size("ranges")).alias("k")).first()
-    if total["n"] <= broadcast_rows and (total["k"] or 0) <= 5 * broadcast_rows:
-        ranges = F.broadcast(ranges)
+    # one list of a text's own ranges meets the text in a shuffle join, at every size
     joined = rows.join(ranges, rows.row == ranges.of, "left").select("doc_id", "text", "ranges")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept]
 
