@@ -322,8 +322,9 @@ def near_duplicates(
     links, labels, small = None, None, None
     found = materialize(spark, roots(sets, runs, similarity), "buckets-0")
     for level in range(depth + 1):
-        kept = found.join(sized(labelled(found, labels)), "bucket")
-        kept = materialize(spark, kept, f"bucket-members-{level}")
+        # written before the join, else the counts' own shuffle keeps Spark from splitting a hot bucket
+        buckets = materialize(spark, sized(labelled(found, labels)), f"bucket-sizes-{level}")
+        kept = materialize(spark, found.join(buckets, "bucket"), f"bucket-members-{level}")
         few = kept.where(F.col("n") <= limit).select("bucket", "id")
         small = few if small is None else small.unionByName(few)
         hot = kept.where(F.col("n") > limit)
@@ -344,6 +345,7 @@ def near_duplicates(
         links = star if links is None else links.unionByName(star)
         labels = materialize(spark, components(spark, links), "components")
         alive = labelled(hot.select("bucket", "id"), labels).groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+        alive = materialize(spark, alive.select("bucket"), f"open-buckets-{level}")
         found = split(hot.join(alive, "bucket", "left_semi").join(sets, "id"), similarity)
         found = materialize(spark, found, f"buckets-{level + 1}")
 
