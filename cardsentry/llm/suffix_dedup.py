@@ -394,6 +394,7 @@ def repeated_ranges(spark: SparkSession, docs: DataFrame, keep: str = "none", gr
 
     # one copy of every context of an anchor that has several
     several = contexts.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    several = materialize(spark, several, "several-contexts")  # so that the join can split a hot anchor
     asked = contexts.join(several, "h").select(
         F.col("rep.row").alias("row"), F.struct(F.col("rep.place").alias("place"), "h", (F.col("k") > group).alias("hot")).alias("q")
     ).groupBy("row").agg(F.collect_list("q").alias("asked"))  # at most the anchors of one text
