@@ -119,17 +119,17 @@ def transaction_rows(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     only (bounded state; a copy arriving later is written again).
     """
     tagged = quality.with_reject_reason(decoded_stream(raw))
-    good = tagged.where(F.col("reject_reason").isNull())
+    valid = F.col("reject_reason").isNull()
+    if cfg.txn_dedupe == "global":
+        # one scan: rejected documents share the state under a key of their own
+        # (identical ones, as in a replay, are kept once)
+        key = F.when(valid, F.concat(F.lit("="), "txn_ref")).otherwise(F.sha2("raw", 256))
+        return tagged.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
     if cfg.txn_dedupe == "watermark":
-        good = good.withWatermark("event_time", cfg.watermark_delay).dropDuplicatesWithinWatermark(
-            ["txn_ref"]
-        )
-    elif cfg.txn_dedupe == "global":
-        good = good.dropDuplicates(["txn_ref"])
-    else:
-        raise ValueError(f"txn_dedupe must be 'global' or 'watermark', not {cfg.txn_dedupe!r}")
-    bad = tagged.where(F.col("reject_reason").isNotNull())
-    return good.unionByName(bad)
+        good = tagged.where(valid).withWatermark("event_time", cfg.watermark_delay)
+        good = good.dropDuplicatesWithinWatermark(["txn_ref"])
+        return good.unionByName(tagged.where(~valid))
+    raise ValueError(f"txn_dedupe must be 'global' or 'watermark', not {cfg.txn_dedupe!r}")
 
 
 class Writer:

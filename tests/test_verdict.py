@@ -45,6 +45,21 @@ def test_a_load_and_two_checkpoints_keep_each_others_rows(spark, tmp_path):
     assert store.read("all_transactions").count() == 1000 + 2
 
 
+def test_the_transactions_query_reads_its_source_once(spark, tmp_path):
+    store = TableStore(spark, scratch_path(spark, "one-scan"))
+    feed = tmp_path / "in"
+    feed.mkdir()
+    rows = wire_docs([txn(f"t{k % 900}", "A", base()) for k in range(1000)] + [txn("bad", None, base())])
+    (feed / "0.json").write_text("\n".join(rows + ["not json"] * 5) + "\n")
+    det = detector.start_detector(
+        detector.json_file_stream(spark, str(feed)), detector.json_file_stream(spark, str(feed)), store, f"{store.root}/_ckpt"
+    )
+    det.await_all()
+    assert sum(p["numInputRows"] for p in det.transactions.recentProgress) == 1006
+    assert store.read("all_transactions").count() == 900
+    assert sorted(r["reason"] for r in store.read("rejected_events").collect()) == ["malformed_json", "null_key"]
+
+
 def test_rule_one_sees_the_raw_amount_of_rejected_rows(spark):
     docs = wire_docs([
         txn("overflow", "a", base(), amount=1e13), txn("no-time", "a", None, amount=6000.0),
