@@ -41,7 +41,7 @@ from .common import fresh, materialize, prepare, with_row_key, without
 from .shingles import byte_word_hashes
 
 TERMS = 1 << 14
-RANK, EXTRA = 48, 6
+RANK, EXTRA = 44, 4
 #: Content words of a window and steps between windows.
 WINDOW, STRIDE = 16, 6
 #: Items' windows lie closer, so that some pair of windows is at most two words out of step.
@@ -92,7 +92,7 @@ class Query:
     known: np.ndarray  # (items x WORD_BINS): bins of the items' content words, laid flat
     exact: list[int]  # items that must occur in full
     union: np.ndarray  # content words of all items, by their first 20 bits
-    groups: list[np.ndarray]  # windows of long items, windows of short ones
+    groups: list[np.ndarray]  # windows that need the same number of words
 
 
 #: ASCII punctuation separates words.
@@ -230,21 +230,24 @@ def gaussian() -> np.ndarray:
 
 
 def gram_sketch(t: np.ndarray, starts: np.ndarray, idf: np.ndarray, omega: np.ndarray, into: np.ndarray) -> None:
-    """Add (A'A) @ omega of these passages (rows of A have unit length)."""
-    step = 512  # passages at once
+    """Add (A'A) @ omega of these passages, but for the terms' own weights.
+
+    A row of A holds its words' weights, scaled to unit length.  ``omega``
+    comes multiplied by the terms' weights, and a caller multiplies the sum by
+    them once, so no product is formed for single words.
+    """
+    step = 256  # passages at once
     bounds = np.concatenate([starts, [len(t)]])
     for at in range(0, len(starts), step):
         a, z = bounds[at], bounds[min(at + step, len(starts))]
         d, s = t[a:z], bounds[at : min(at + step, len(starts))] - a
         sizes = np.diff(np.concatenate([s, [z - a]]))
-        w = idf[d]
-        w = w / np.repeat(np.sqrt(np.add.reduceat(w * w, s)), sizes)
-        image = np.add.reduceat(omega[d] * w[:, None], s, axis=0)
+        image = np.add.reduceat(omega[d], s, axis=0) / np.add.reduceat(idf[d] ** 2, s)[:, None]
         order = np.argsort(d, kind="stable")
         ds = d[order]
         first = np.flatnonzero(np.concatenate([[True], ds[1:] != ds[:-1]]))
         row = np.repeat(np.arange(len(s)), sizes)[order]
-        into[ds[first]] += np.add.reduceat(image[row] * w[order][:, None], first, axis=0)
+        into[ds[first]] += np.add.reduceat(image[row], first, axis=0)
 
 
 def latent_terms(spark: SparkSession, words: DataFrame, idf: np.ndarray) -> np.ndarray:
@@ -254,7 +257,8 @@ def latent_terms(spark: SparkSession, words: DataFrame, idf: np.ndarray) -> np.n
     def run(batches: Iterator) -> Iterator:
         from pyspark import TaskContext
 
-        omega, weight = gaussian(), shared.value
+        weight = shared.value
+        omega = gaussian() * weight[:, None]
         total, any_rows = np.zeros((TERMS, RANK + EXTRA), np.float32), False
         for batch in batches:
             docs = [w[content_of(w, weight)] for w in word_arrays(batch)]
@@ -263,7 +267,7 @@ def latent_terms(spark: SparkSession, words: DataFrame, idf: np.ndarray) -> np.n
                 gram_sketch(t, starts, weight, omega, total)
                 any_rows = True
         if any_rows:
-            yield _parts(total, TaskContext.get().partitionId())
+            yield _parts(total * weight[:, None], TaskContext.get().partitionId())
 
     y = _summed(spark, words.mapInArrow(run, "block int, salt int, part binary"), RANK + EXTRA)
     v, sigma = nystroem(y, gaussian().astype(np.float64))
@@ -343,14 +347,13 @@ def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
         for a, v in zip(start.tolist(), x, strict=True):
             of.append(k)
             at.append(int(content[k][a]))
-            need.append(int(np.ceil(SHARED * min(WINDOW, len(own) - a))))
+            need.append(max(FEW - 1, int(np.ceil(SHARED * min(WINDOW, len(own) - a)))))
             vecs.append(v)
     vec = np.array(vecs, np.float32).reshape(len(vecs), latent.shape[1])
     union, need = np.zeros(1 << 20, np.int8), np.array(need, np.int64)
     for k, item in enumerate(items):
         union[item.words[content[k]] >> np.uint32(12)] = 1
-    full = need == need.max(initial=0)
-    groups = [g for g in (np.flatnonzero(full), np.flatnonzero(~full)) if len(g)]
+    groups = [np.flatnonzero(need == k) for k in np.unique(need)]
     return Query(items, content, np.array(of, np.int64), np.array(at, np.int64), need, vec, known.ravel(), exact, union, groups)
 
 
@@ -375,14 +378,15 @@ def search(words: np.ndarray, idf: np.ndarray, latent: np.ndarray, q: Query) ->
         seen = seen[np.minimum(start + WINDOW, len(own))] - seen[start]
         found = []
         for g in q.groups:
-            rows = np.flatnonzero(seen >= q.need[g].min())
+            rows = np.flatnonzero(seen >= q.need[g[0]])
             cos = x[rows] @ q.vec[g].T
             a, b = np.nonzero(cos >= COSINE)
             found.append((rows[a], g[b], cos[a, b]))
         hit, which, cosine = (np.concatenate([f[k] for f in found]) for k in range(3))
         # content words of the window that the item has: one flat look-up for each place in the window
-        line, word, shared = q.of[which] * WORD_BINS, np.concatenate([bins(own), np.full(WINDOW, WORD_BINS)]), np.zeros(len(hit), np.int8)
-        known, first = q.known, start[hit]
+        line = (q.of[which] * WORD_BINS).astype(np.int32)
+        word = np.concatenate([bins(own), np.full(WINDOW, WORD_BINS)]).astype(np.int32)
+        known, first, shared = q.known, start[hit].astype(np.int32), np.zeros(len(hit), np.int8)
         for k in range(WINDOW):
             shared += known[line + word[first + k]]
         enough = shared >= q.need[which]
