@@ -203,8 +203,9 @@ def sample(
     key = F.xxhash64(F.lit(cfg.seed), F.col("label_id"))
     ids = known.where(F.pmod(key, F.lit(1 << 24)) < share * (1 << 24)).limit(4 * cfg.per_class)
     at = F.pmod(F.shiftright(F.xxhash64(F.lit(cfg.seed), F.col(doc_id)), 7), F.greatest(F.length(text) - cfg.max_chars, F.lit(1))) + 1
+    texts = docs.select(F.col(doc_id), F.col(text))
     got = (
-        docs.join(F.broadcast(ids), docs[doc_id] == ids.label_id)
+        texts.join(F.broadcast(ids), texts[doc_id] == ids.label_id)
         .select("label_id", "y", F.substring(F.coalesce(F.col(text), F.lit("")), F.coalesce(at, F.lit(1)), F.lit(cfg.max_chars)).alias("t"))
         .limit(4 * cfg.per_class)
         .collect()
