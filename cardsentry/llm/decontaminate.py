@@ -66,6 +66,8 @@ MARGIN = 10
 ITEM_BLOCK = 5000
 #: Words searched at once, and the overlap that keeps a leak whole.
 STRETCH, OVERLAP = 1 << 16, 1024
+#: Words of the documents searched together.
+TOGETHER = 1 << 14
 #: Parts into which the sums over terms are dealt.
 BLOCKS = 64
 
@@ -304,8 +306,7 @@ def folded_windows(words: np.ndarray, latent: np.ndarray, stride: int = STRIDE)
 
 
 def bins(words: np.ndarray) -> np.ndarray:
-    """Bin of each word; bin 0 stays empty, so a place behind the last word finds nothing."""
-    return (words >> np.uint32(20)).astype(np.int64) % (WORD_BINS - 1) + 1
+    return (words >> np.uint32(20)).astype(np.int64)
 
 
 def lcs(a: np.ndarray, b: np.ndarray) -> int:
@@ -336,7 +337,7 @@ def is_leak(item: Item, region: np.ndarray) -> tuple[int, bool, bool]:
 def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     content = [content_of(i.words, idf) for i in items]
     exact = [k for k, i in enumerate(items) if len(i.words) < SHORT or len(content[k]) < FEW]
-    known = np.zeros((len(items) + 1, WORD_BINS), np.int8)
+    known = np.zeros((len(items), WORD_BINS), np.int8)
     of, at, need, vecs = [], [], [], []
     for k, item in enumerate(items):
         if k in exact:
@@ -357,52 +358,84 @@ def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     return Query(items, content, np.array(of, np.int64), np.array(at, np.int64), need, vec, known.ravel(), exact, union, groups)
 
 
-def search(words: np.ndarray, idf: np.ndarray, latent: np.ndarray, q: Query) -> dict:
-    """Leaks of one document: item -> (first word, cosine, common words, ratio, answer found)."""
-    out: dict[int, tuple] = {}
+def occurrence(item: Item, words: np.ndarray) -> int | None:
+    """First place at which the item's words stand in full."""
+    own = item.words
+    if len(own) > len(words):
+        return None
+    for a in np.flatnonzero(words[: len(words) - len(own) + 1] == own[0]).tolist():
+        if np.array_equal(words[a : a + len(own)], own):
+            return a
+    return None
+
+
+def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query) -> dict:
+    """Leaks of some documents: (document, item) -> (first word, cosine, common words, ratio, answer found).
+
+    Documents are laid end to end, in overlapping stretches, so that every
+    step is one operation for all of them.
+    """
+    out: dict[tuple[int, int], tuple] = {}
     for k in q.exact:
-        own = q.items[k].words
-        for a in np.flatnonzero(words[: len(words) - len(own) + 1] == own[0]).tolist() if len(own) <= len(words) else []:
-            if np.array_equal(words[a : a + len(own)], own):
-                out[k] = (a, 1.0, len(own), 1.0, True)
-                break
-    for base in range(0, max(len(words) - OVERLAP, 1) if len(q.vec) else 0, STRETCH):
-        part = words[base : base + STRETCH + OVERLAP]
-        place = content_of(part, idf)
-        own = part[place]
-        if not len(own):
+        for n, words in enumerate(docs):
+            a = occurrence(q.items[k], words)
+            if a is not None:
+                out[n, k] = (a, 1.0, len(q.items[k].words), 1.0, True)
+    parts = [(n, at, w[at : at + STRETCH + OVERLAP]) for n, w in enumerate(docs) if len(w)
+             for at in range(0, max(len(w) - OVERLAP, 1), STRETCH)]
+    if not parts or not len(q.vec):
+        return out
+    words = np.concatenate([p for _, _, p in parts])
+    ends = np.cumsum([len(p) for _, _, p in parts])
+    place = content_of(words, idf)
+    if not len(place):
+        return out
+    own = words[place]
+    bound = np.concatenate([[0], np.searchsorted(place, ends)])  # content words of each part
+    sizes = np.diff(bound)
+    count = np.where(sizes > WINDOW, -(-(sizes - WINDOW) // STRIDE) + 1, sizes > 0)
+    part = np.repeat(np.arange(len(parts)), count)
+    step = np.arange(len(part)) - np.repeat(np.cumsum(count) - count, count)
+    start = bound[part] + np.minimum(step * STRIDE, np.maximum(sizes[part] - WINDOW, 0))
+    stop = np.minimum(start + WINDOW, bound[part + 1])
+    # a window must hold as many words of all items as it has to share with one of them
+    seen = np.concatenate([[0], np.cumsum(q.union[own >> np.uint32(12)], dtype=np.int64)])
+    seen = seen[stop] - seen[start]
+    fold = np.flatnonzero(seen >= q.need.min())
+    if not len(fold):
+        return out
+    run = np.zeros((len(own) + 1, latent.shape[1]), np.float32)
+    np.cumsum(latent[term(own)], axis=0, out=run[1:])
+    x = run[stop[fold]] - run[start[fold]]
+    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-6)[:, None]
+    found = []
+    for g in q.groups:
+        rows = np.flatnonzero(seen[fold] >= q.need[g[0]])
+        cos = x[rows] @ q.vec[g].T
+        a, b = np.nonzero(cos >= COSINE)
+        found.append((fold[rows[a]], g[b], cos[a, b]))
+    hit, which, cosine = (np.concatenate([f[k] for f in found]) for k in range(3))
+    # content words of the window that the item has: one flat look-up for each place in the window
+    line = (q.of[which] * WORD_BINS).astype(np.int32)
+    word = np.concatenate([bins(own), np.zeros(WINDOW, np.int64)]).astype(np.int32)
+    first, room, shared = start[hit].astype(np.int32), (stop - start)[hit].astype(np.int8), np.zeros(len(hit), np.int8)
+    for k in range(WINDOW):
+        shared += q.known[line + word[first + k]] * (room > k)
+    enough = shared >= q.need[which]
+    tried = set()
+    for h, k, c in zip(hit[enough].tolist(), which[enough].tolist(), cosine[enough].tolist(), strict=True):
+        n, base, text = parts[part[h]]
+        item_at = int(q.of[k])
+        item = q.items[item_at]
+        begin = max(0, int(place[start[h]]) - int(ends[part[h]]) + len(text) - int(q.at[k]) - MARGIN)
+        key = (int(part[h]), item_at, begin // 4)
+        if key in tried:
             continue
-        start, x = folded_windows(own, latent)
-        # a window must hold as many words of all items as it has to share with one of them
-        seen = np.concatenate([[0], np.cumsum(q.union[own >> np.uint32(12)], dtype=np.int64)])
-        seen = seen[np.minimum(start + WINDOW, len(own))] - seen[start]
-        found = []
-        for g in q.groups:
-            rows = np.flatnonzero(seen >= q.need[g[0]])
-            cos = x[rows] @ q.vec[g].T
-            a, b = np.nonzero(cos >= COSINE)
-            found.append((rows[a], g[b], cos[a, b]))
-        hit, which, cosine = (np.concatenate([f[k] for f in found]) for k in range(3))
-        # content words of the window that the item has: one flat look-up for each place in the window
-        line = (q.of[which] * WORD_BINS).astype(np.int32)
-        word = np.concatenate([bins(own), np.full(WINDOW, WORD_BINS)]).astype(np.int32)
-        known, first, shared = q.known, start[hit].astype(np.int32), np.zeros(len(hit), np.int8)
-        for k in range(WINDOW):
-            shared += known[line + word[first + k]]
-        enough = shared >= q.need[which]
-        tried = set()
-        for h, k, c in zip(hit[enough].tolist(), which[enough].tolist(), cosine[enough].tolist(), strict=True):
-            item_at = int(q.of[k])
-            item = q.items[item_at]
-            begin = max(0, int(place[start[h]]) - int(q.at[k]) - MARGIN)
-            key = (item_at, begin // 4)
-            if key in tried:
-                continue
-            tried.add(key)
-            n, answered, leak = is_leak(item, part[begin : begin + len(item.words) + 2 * MARGIN])
-            best = out.get(item_at)
-            if leak and (best is None or n > best[2]):
-                out[item_at] = (base + begin, c, n, n / len(item.words), answered)
+        tried.add(key)
+        common, answered, leak = is_leak(item, text[begin : begin + len(item.words) + 2 * MARGIN])
+        best = out.get((n, item_at))
+        if leak and (best is None or common > best[2]):
+            out[n, item_at] = (base + begin, c, common, common / len(item.words), answered)
     return out
 
 
@@ -428,11 +461,16 @@ def leaks(
 
             (weight, m), q = shared.value, query.value
             for batch in batches:
-                rows = []
-                for i, w in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    w = np.frombuffer(w.as_buffer(), np.uint32)
-                    if len(w):
-                        rows += [(i, q.items[k].item_id, *v) for k, v in search(w, weight, m, q).items()]
+                ids, words = batch.column(0).to_pylist(), [np.frombuffer(w.as_buffer(), np.uint32) for w in batch.column(1)]
+                rows, at = [], 0
+                while at < len(ids):  # some documents at a time, up to a bound of words
+                    z, size = at + 1, len(words[at])
+                    while z < len(ids) and size + len(words[z]) <= TOGETHER:
+                        size += len(words[z])
+                        z += 1
+                    got = search(words[at:z], weight, m, q)
+                    rows += [(ids[at + n], q.items[k].item_id, *v) for (n, k), v in got.items()]
+                    at = z
                 names = [c.split()[0] for c in LEAKS.split(", ")]
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.float64(), pa.bool_()]
                 cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
