@@ -99,9 +99,9 @@ def tokenizer(path: str):
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str, end_id: int, dtype: str) -> "IdEncoder":
+def encoder(path: str, end_id: int, dtype: str, memo_size: int = 1_000_000) -> "IdEncoder":
     """One encoder, with its memo, for each Python worker."""
-    return IdEncoder(path, end_id, dtype)
+    return IdEncoder(path, end_id, dtype, memo_size)
 
 
 class IdEncoder:

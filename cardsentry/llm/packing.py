@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import encoder, materialize, prepare
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
+#: Words whose ids a worker keeps (more cost memory and save no time here).
+MEMO = 350_000
 #: Groups into which the pieces of one length are dealt for ranking.
 BUCKETS = 64
 
@@ -104,7 +106,7 @@ def pieces(
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        enc, width = encoder(tokenizer_path, end_id, "<u4"), 4 * capacity
+        enc, width = encoder(tokenizer_path, end_id, "<u4", MEMO), 4 * capacity
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
             for row, raw in enumerate(enc.encode_batch(batch.column(1).to_pylist())):
