@@ -26,6 +26,7 @@ from .etl import latest_reconciliation, run_etl, seed_store
 
 # ---------------------------------------------------------------------------
 # Report layout.
+#   titles, row labels and column headers as written below
 #   heading rule widths 65 ("=") and 55 ("-"); rows start with two spaces
 #   merchant rows: name padded to 22, count to 6, amount to 13 after "$"
 #   country rows: name padded to 10; account rows: id padded to 38
@@ -34,6 +35,27 @@ from .etl import latest_reconciliation, run_etl, seed_store
 H1 = "=" * 65
 H2 = "-" * 55
 TITLE = "CARD FRAUD ANALYTICAL REPORT"
+SECTIONS = [
+    "1. TRANSACTION VOLUME",
+    "2. FRAUD BY TYPE",
+    "3. FRAUD ATTEMPTS BY MERCHANT CATEGORY",
+    "4. FRAUD ATTEMPTS BY COUNTRY",
+    "5. TOP 10 FLAGGED ACCOUNTS",
+    "6. LATEST RECONCILIATION",
+]
+VOLUME_LABELS = [
+    "Total transactions ingested : ",
+    "Flagged as fraud            : ",
+    "Validated (clean)           : ",
+]
+RECON_LABELS = ["Total ingested   : $", "Fraud amount     : $", "Validated amount : $", "Status           : "]
+RUN_LABEL, STAMP_LABEL = "Run timestamp    : ", "Generated : "
+NO_RUNS, END = "No reconciliation runs found.", "END OF REPORT"
+HEADERS = {
+    3: f"{'Category':<22} {'Count':>6}  {'Amount':>14}",
+    4: f"{'Country':<10} {'Count':>6}  {'Amount':>14}",
+    5: f"{'Account ID (truncated)':<38} {'Alerts':>6}",
+}
 CSV_COLUMNS = ["merchant_category", "fraud_type", "fraud_count", "total_fraud_amount"]
 LINE_COLUMNS = ["section", "pos", "sort_num", "sort_key", "line"]
 
@@ -100,17 +122,17 @@ def data_lines(store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
     cube = agg.fraud_cube(alerts, txns)
 
     volume = (
-        _rows(_volume_line("Total transactions ingested : ", agg.volume(txns)), 1, F.col("line"), F.lit(0))
+        _rows(_volume_line(VOLUME_LABELS[0], agg.volume(txns)), 1, F.col("line"), F.lit(0))
         .unionByName(
             _rows(
-                _volume_line("Flagged as fraud            : ", agg.volume_flagged(alerts, txns, cube)),
+                _volume_line(VOLUME_LABELS[1], agg.volume_flagged(alerts, txns, cube)),
                 1,
                 F.col("line"),
                 F.lit(1),
             )
         )
         .unionByName(
-            _rows(_volume_line("Validated (clean)           : ", agg.volume(ledger)), 1, F.col("line"), F.lit(2))
+            _rows(_volume_line(VOLUME_LABELS[2], agg.volume(ledger)), 1, F.col("line"), F.lit(2))
         )
     )
     by_type = agg.alerts_by_type(alerts)
@@ -160,14 +182,14 @@ def data_lines(store: TableStore, cfg: RuleConfig = DEFAULT) -> DataFrame:
     )
     rec = latest_reconciliation(store)
     recon = (
-        _rows(rec, 6, fmt.line("Total ingested   : $", fmt.money(F.col("total_ingested"))), F.lit(1))
+        _rows(rec, 6, fmt.line(RECON_LABELS[0], fmt.money(F.col("total_ingested"))), F.lit(1))
         .unionByName(
-            _rows(rec, 6, fmt.line("Fraud amount     : $", fmt.money(F.col("fraud_amount"))), F.lit(2))
+            _rows(rec, 6, fmt.line(RECON_LABELS[1], fmt.money(F.col("fraud_amount"))), F.lit(2))
         )
         .unionByName(
-            _rows(rec, 6, fmt.line("Validated amount : $", fmt.money(F.col("validated_amt"))), F.lit(3))
+            _rows(rec, 6, fmt.line(RECON_LABELS[2], fmt.money(F.col("validated_amt"))), F.lit(3))
         )
-        .unionByName(_rows(rec, 6, fmt.line("Status           : ", F.col("status")), F.lit(4)))
+        .unionByName(_rows(rec, 6, fmt.line(RECON_LABELS[3], F.col("status")), F.lit(4)))
     )
     return (
         volume.unionByName(types)
@@ -203,27 +225,20 @@ def full_report(
         _rows(
             spark.range(1),
             0,
-            fmt.line("Generated : ", F.lit(stamp), " UTC"),
+            fmt.line(STAMP_LABEL, F.lit(stamp), " UTC"),
             pos=1,
         ),
-        h2(1, "1. TRANSACTION VOLUME"),
-        h2(2, "2. FRAUD BY TYPE"),
-        h2(3, "3. FRAUD ATTEMPTS BY MERCHANT CATEGORY"),
-        _fixed(spark, 3, 1, ["  " + f"{'Category':<22} {'Count':>6}  {'Amount':>14}"]),
-        h2(4, "4. FRAUD ATTEMPTS BY COUNTRY"),
-        _fixed(spark, 4, 1, ["  " + f"{'Country':<10} {'Count':>6}  {'Amount':>14}"]),
-        h2(5, "5. TOP 10 FLAGGED ACCOUNTS"),
-        _fixed(spark, 5, 1, ["  " + f"{'Account ID (truncated)':<38} {'Alerts':>6}"]),
-        h2(6, "6. LATEST RECONCILIATION"),
-        _rows(rec, 6, fmt.line("Run timestamp    : ", logged), F.lit(0)),
+        *[h2(k, title) for k, title in enumerate(SECTIONS, 1)],
+        *[_fixed(spark, k, 1, ["  " + header]) for k, header in HEADERS.items()],
+        _rows(rec, 6, fmt.line(RUN_LABEL, logged), F.lit(0)),
         # shown only when the log is empty
         _rows(
             store.read("reconciliation_log").agg(F.count(F.lit(1)).alias("n")).where("n = 0"),
             6,
-            F.lit("  No reconciliation runs found."),
+            F.lit("  " + NO_RUNS),
         ),
         data_lines(store, cfg),
-        _fixed(spark, 7, 0, ["", H1, "  END OF REPORT", H1]),
+        _fixed(spark, 7, 0, ["", H1, f"  {END}", H1]),
     ]
     out = parts[0]
     for p in parts[1:]:
