@@ -21,6 +21,10 @@ In a bucket, the strongest links of each set and a maximum spanning forest are
 verified first; a second pass verifies every remaining candidate between
 different components, so that no component is left split by a rejected link.
 
+These links only name the components.  A link never leaves its component, so
+``link_counts`` counts the links of a text on all pairs of its component,
+exactly and by blocks of bounded size, each two blocks in a task of their own.
+
 Defined results: null texts and texts without words are never linked and are
 their own class; a shorter text than five words is one shingle; repeated rows
 are members of one class; where ids repeat or are null, classes are named by a
@@ -50,6 +54,10 @@ DEPTH = 4
 DEVIATIONS = 4
 #: Links of each set that a bucket sends to verification in the first pass, beside the forest.
 STRONGEST = 2
+#: Texts and characters of a block when the links inside a component are counted.
+BLOCK, BLOCK_CHARS = 1000, 1 << 23
+#: Shingles in at most this many texts of a cell are counted pair by pair, others by a product.
+RARE, COLUMNS = 16, 4096
 
 
 def features(rows: DataFrame) -> DataFrame:
@@ -292,8 +300,113 @@ def near_duplicates(
     smallest row with the same words and ``class_id`` the smallest row of the
     linked component.  ``links``: verified pairs ``a, b, similarity`` of text
     classes (links that verified ones already imply inside a component are not
-    all listed).
+    all listed; ``link_counts`` counts them all).
+    """
+    members, links, _, _ = _joined(spark, docs, doc_id, text, similarity, runs, limit, depth, broadcast_rows)
+    return members, links
+
+
+def counted(
+    spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+    broadcast_rows: int = BROADCAST_ROWS, block: int = BLOCK, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The ``members`` of ``near_duplicates`` with ``n_links``: the other texts that reach the similarity."""
+    members, _, texts, labels = _joined(spark, docs, doc_id, text, similarity, RUNS, LIMIT, DEPTH, broadcast_rows)
+    degree = link_counts(spark, texts, labels, similarity, broadcast_rows, block, block_chars)
+    out = members.join(degree.withColumnRenamed("id", "text_class"), "text_class", "left")
+    return out.withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
+
+
+def link_counts(
+    spark: SparkSession, texts: DataFrame, labels: DataFrame, similarity: float,
+    broadcast_rows: int = BROADCAST_ROWS, block: int = BLOCK, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """``id, n_links`` for every text class of a component (``labels`` has ``id, component``).
+
+    A component is one cell, or meets in cells of two blocks each when it is
+    large; a cell sends one number for each text, not its pairs.
     """
+    near = F.broadcast(labels) if labels.limit(broadcast_rows + 1).count() <= broadcast_rows else labels
+    near = texts.select(F.col("row").alias("id"), "text").join(near, "id")
+    # written before the join, else the counts' own shuffle keeps Spark from splitting a hot component
+    sizes = near.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    sizes = sizes.select("component", F.ceil(F.greatest(F.col("n") / block, F.col("chars") / block_chars)).cast("long").alias("blocks"))
+    sizes = materialize(spark, sizes, "component-sizes")
+    if sizes.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        sizes = F.broadcast(sizes)
+    dealt = near.join(sizes, "component").withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = dealt.select(
+        F.xxhash64("component", F.least("side", "other"), F.greatest("side", "other")).alias("cell"),
+        "component", F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "id", "text",
+    )
+    order = ("cell", "component", "lo", "hi", "side", "id")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def emit(ids: list[int], sets: list[np.ndarray], sides: list[int], apart: bool) -> pa.RecordBatch:
+            n = cell_links(sets, np.array(sides), apart, similarity)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64())], names=["id", "n_links"])
+
+        now, ids, sets, sides = None, [], [], []
+        for batch in batches:  # sorted by cell; a cell may go on in the next batch
+            keys = zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)
+            for key, side, i, t in zip(keys, batch.column(4).to_pylist(), batch.column(5).to_pylist(), batch.column(6), strict=True):
+                if key != now and ids:
+                    yield emit(ids, sets, sides, now[2] != now[3])
+                    ids, sets, sides = [], [], []
+                now = key
+                ids.append(i)
+                sides.append(side)
+                sets.append(shingle_set(word_hashes(t.as_py())))
+        if ids:
+            yield emit(ids, sets, sides, now[2] != now[3])
+
+    parts = cells.repartition("cell").sortWithinPartitions(*order).mapInArrow(run, "id long, n_links long")
+    return materialize(spark, parts.groupBy("id").agg(F.sum("n_links").alias("n_links")), "link-counts")
+
+
+def cell_links(sets: list[np.ndarray], sides: np.ndarray, apart: bool, similarity: float) -> np.ndarray:
+    """Each set's number of links in a cell: to every other set, or (``apart``) to those of the other side."""
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    if n < 2 or apart and sides.min() == sides.max():
+        return np.zeros(n, np.int64)
+    flat, row = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    held = np.diff(np.concatenate([first, [len(flat)]]))
+    both = np.zeros((n, n), np.int64)
+    few = np.repeat((held > 1) & (held <= RARE), held)
+    f, r = flat[few], row[few]
+    for d in range(1, RARE):  # rows of one shingle stand in ascending order
+        same = np.flatnonzero(f[d:] == f[:-d])
+        if not len(same):
+            break
+        both += np.bincount(r[same] * n + r[same + d], minlength=n * n).reshape(n, n)
+    both += both.T
+    many = held > RARE
+    column = np.repeat(np.cumsum(many) - 1, held)[np.repeat(many, held)]
+    r = row[np.repeat(many, held)]
+    for at in range(0, int(many.sum()), COLUMNS):
+        a, z = np.searchsorted(column, [at, at + COLUMNS])
+        x = np.zeros((n, int(column[z - 1]) - at + 1), np.float32)
+        x[r[a:z], column[a:z] - at] = 1
+        both += (x @ x.T).astype(np.int64)
+    linked = both / np.maximum(sizes[:, None] + sizes[None, :] - both, 1) >= similarity
+    np.fill_diagonal(linked, False)
+    if apart:
+        linked &= sides[:, None] != sides[None, :]
+    return linked.sum(axis=1)
+
+
+def _joined(
+    spark: SparkSession, docs: DataFrame, doc_id: str, text: str, similarity: float, runs: int, limit: int, depth: int,
+    broadcast_rows: int,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Members, links, ``row, text`` of every row and ``id, component`` of the linked text classes."""
     prepare(spark)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows, unique = with_row_key(own, "row")
@@ -376,7 +489,7 @@ def near_duplicates(
     members = rows.select("doc_id", "row").join(keys, "row").join(classes.select("key", F.col("id").alias("text_class")), "key", "left")
     members = members.join(labels.select(F.col("id").alias("text_class"), "component"), "text_class", "left")
     alone = F.coalesce("text_class", "row")
-    return members.select("doc_id", "row", alone.alias("text_class"), F.coalesce("component", alone).alias("class_id")), links
+    return members.select("doc_id", "row", alone.alias("text_class"), F.coalesce("component", alone).alias("class_id")), links, texts, labels
 
 
 def agreeing(rows: DataFrame, similarity: float) -> DataFrame:

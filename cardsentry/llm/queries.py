@@ -114,13 +114,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class and the number of verified links of its text."""
-    from .jaccard_join import near_duplicates
+    from .jaccard_join import counted
 
-    members, links = near_duplicates(spark, table(spark, sf_dir, "documents"))
-    ends = links.select(F.col("a").alias("text_class")).unionByName(links.select(F.col("b").alias("text_class")))
-    degree = ends.groupBy("text_class").agg(F.count("*").alias("n_links"))
-    out = members.join(degree, "text_class", "left")
-    return out.select("doc_id", "class_id", "text_class", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return counted(spark, table(spark, sf_dir, "documents")).select("doc_id", "class_id", "text_class", "n_links")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

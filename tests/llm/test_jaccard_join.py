@@ -80,6 +80,44 @@ def test_shuffle_join_path_gives_the_same(spark):
     assert {r["doc_id"]: r["class_id"] for r in members.collect()} == classes(rows)
 
 
+def degrees(rows, limit=0.8):
+    """Links of each row's text to the other texts, by brute force."""
+    text = {i: " ".join((t or "").lower().split()) for i, t in rows}
+    sets = {t: shingles(t) for t in text.values() if t}
+    n = {t: sum(1 for u in sets if u != t and len(sets[t] & sets[u]) / len(sets[t] | sets[u]) >= limit) for t in sets}
+    return {i: n.get(t, 0) for i, t in text.items()}
+
+
+@pytest.mark.parametrize(("block", "chars"), [(1000, 1 << 23), (7, 1 << 23), (1000, 3000)])
+def test_link_counts_equal_brute_force_in_a_large_group(spark, block, chars):
+    """50 edited copies of one text, whole or by blocks, beside small families and odd rows."""
+    rng = random.Random(11)
+    base = words(rng, 120)
+    rows = []
+    for k in range(50):
+        w = list(base)
+        for _ in range(k % 5):
+            w[rng.randrange(len(w))] = words(rng, 1)[0]
+        rows.append((1000 + k, " ".join([*w, f"copy{k}"])))
+    rows += corpus(12, families=4) + [(3000, None), (3001, ""), (3002, "one two")]
+    want = degrees(rows)
+    assert max(want.values()) > 20 and len(set(want.values())) > 5
+    got = {r["doc_id"]: r["n_links"] for r in J.counted(spark, docs(spark, rows), block=block, block_chars=chars).collect()}
+    assert got == want
+
+
+def test_cell_links_with_rare_and_common_shingles(monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(J, "COLUMNS", 7)
+    for n in (2, 5, 60):
+        base = np.arange(40, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(30, 41), False), rng.integers(100, 130, 3).astype(np.uint64)])) for _ in range(n)]
+        sides = np.arange(n) % 2
+        near = np.array([[i != j and jaccard(a, b) >= 0.6 for j, b in enumerate(sets)] for i, a in enumerate(sets)])
+        assert J.cell_links(sets, sides, False, 0.6).tolist() == near.sum(axis=1).tolist()
+        assert J.cell_links(sets, sides, True, 0.6).tolist() == (near & (sides[:, None] != sides)).sum(axis=1).tolist()
+
+
 def test_odd_rows(spark):
     rng = random.Random(9)
     long = " ".join(words(rng, 30_000))
