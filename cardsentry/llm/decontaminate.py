@@ -63,6 +63,8 @@ ANSWER = 0.75
 SHORT, FEW = 8, 4
 #: Words by which a region exceeds the item on each side.
 MARGIN = 10
+#: Words between the regions that are tried around a candidate.
+SLIDE = 5
 ITEM_BLOCK = 5000
 #: Words searched at once, and the overlap that keeps a leak whole.
 STRETCH, OVERLAP = 1 << 16, 1024
@@ -426,17 +428,30 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
     for h, k, c in zip(hit[enough].tolist(), which[enough].tolist(), cosine[enough].tolist(), strict=True):
         n, base, text = parts[part[h]]
         item_at = int(q.of[k])
-        item = q.items[item_at]
-        begin = max(0, int(place[start[h]]) - int(ends[part[h]]) + len(text) - int(q.at[k]) - MARGIN)
-        key = (int(part[h]), item_at, begin // 4)
-        if key in tried:
-            continue
-        tried.add(key)
-        common, answered, leak = is_leak(item, text[begin : begin + len(item.words) + 2 * MARGIN])
+        offset = int(ends[part[h]]) - len(text)
+        # the item may begin an item's length before the window and end as far behind it
+        low, high = int(place[start[h]]) - offset, int(place[stop[h] - 1]) - offset + 1
+        key = (int(part[h]), item_at, low // 4)
+        if key not in tried:
+            tried.add(key)
+            verdict(out, q, n, item_at, base, text, low, high, c)
+    return out
+
+
+def verdict(out: dict, q: Query, n: int, item_at: int, base: int, text: np.ndarray, low: int, high: int, cosine: float) -> None:
+    """Record the best leak of an item whose words may lie around ``text[low:high]``."""
+    item = q.items[item_at]
+    size = len(item.words) + 2 * MARGIN
+    low, high = max(0, low - len(item.words) - MARGIN), min(len(text), high + len(item.words) + MARGIN)
+    # no region inside holds more common words than the whole
+    if lcs(item.words, text[low:high]) < WEAK * len(item.words):
+        return
+    for begin in range(low, max(high - size, low) + SLIDE, SLIDE):
+        begin = min(begin, max(high - size, low))
+        common, answered, leak = is_leak(item, text[begin : min(begin + size, high)])
         best = out.get((n, item_at))
         if leak and (best is None or common > best[2]):
-            out[n, item_at] = (base + begin, c, common, common / len(item.words), answered)
-    return out
+            out[n, item_at] = (base + begin, cosine, common, common / len(item.words), answered)
 
 
 def leaks(

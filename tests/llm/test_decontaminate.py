@@ -99,6 +99,31 @@ def test_items_are_searched_in_blocks(spark, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in D.leaks(spark, docs(spark, rows), bench).collect()} == want
 
 
+def searched(docs, items, idf, latent):
+    """Leaks of word arrays, without Spark."""
+    return D.search(docs, idf, latent, D.query_of([D.Item(k, w, w[-6:]) for k, w in enumerate(items)], idf, latent))
+
+
+def random_model(seed=1):
+    """Terms below 2,000 are stop words; the others have random vectors."""
+    rng = np.random.default_rng(seed)
+    idf = np.ones(D.TERMS)
+    idf[:2000] = 0
+    latent = (rng.standard_normal((D.TERMS, D.RANK)) * (idf > 0)[:, None]).astype(np.float32)
+    return rng, idf, latent
+
+
+def test_item_far_from_its_windows_first_word_is_found():
+    """Stop words stretch a window over many more words than the margin."""
+    rng, idf, latent = random_model()
+    item = np.concatenate([rng.integers(2000, 16000, 9), rng.integers(0, 2000, 6)]).astype(np.uint32)
+    for lead in range(0, 12):
+        foreign = rng.integers(2000, 16000, lead).astype(np.uint32)
+        before = np.stack([foreign, *rng.integers(0, 2000, (3, lead)).astype(np.uint32)], 1).ravel()
+        doc = np.concatenate([before, item, rng.integers(0, 2000, 60).astype(np.uint32)])
+        assert (0, 0) in searched([doc], [item], idf, latent), lead
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "some benchmark text of nine words in all here")], "item_id long, text string")
     assert D.leaks(spark, docs(spark, []), bench).collect() == []
