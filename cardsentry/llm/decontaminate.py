@@ -12,7 +12,8 @@
 3. Windows of documents and of benchmark items are folded in (V'x / sigma).  A
    running sum of folded words gives every window of a document; windows whose
    cosine to an item's window reaches the limit, and which share enough of its
-   content words, are candidates.
+   content words, are candidates.  So is, whatever its cosine, every place that
+   holds ``GRAM`` words of an item in a row, found by an exact index.
 4. A candidate is checked on its words: the longest common subsequence of the
    item and the document's region.  A long one is a leak; a medium one
    (a paraphrase) is a leak if the item's answer, its last sentence, is there
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh, materialize, prepare, with_row_key, without
-from .shingles import byte_word_hashes
+from .shingles import byte_word_hashes, mix
 
 TERMS = 1 << 14
 RANK, EXTRA = 44, 4
@@ -65,6 +66,8 @@ SHORT, FEW = 8, 4
 MARGIN = 10
 #: Words between the regions that are tried around a candidate.
 SLIDE = 5
+#: Words in a row that make a place a candidate by themselves.
+GRAM = 3
 ITEM_BLOCK = 5000
 #: Words searched at once, and the overlap that keeps a leak whole.
 STRETCH, OVERLAP = 1 << 16, 1024
@@ -97,6 +100,18 @@ class Query:
     exact: list[int]  # items that must occur in full
     union: np.ndarray  # content words of all items, by their first 20 bits
     groups: list[np.ndarray]  # windows that need the same number of words
+    grams: Grams
+
+
+@dataclass
+class Grams:
+    """Exact index of the items' runs of ``size`` words, sorted by key."""
+
+    size: int
+    key: np.ndarray
+    of: np.ndarray  # item of each run
+    at: np.ndarray  # its place in the item
+    table: np.ndarray  # whether some key has these first 20 bits
 
 
 #: ASCII punctuation separates words.
@@ -336,6 +351,36 @@ def is_leak(item: Item, region: np.ndarray) -> tuple[int, bool, bool]:
     return n, found, ratio >= STRONG or (ratio >= WEAK and found)
 
 
+def gram_keys(words: np.ndarray, size: int) -> np.ndarray:
+    """64-bit key of the run of ``size`` words that begins at each place."""
+    total = np.zeros(max(len(words) - size + 1, 0), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            total = mix(total + words[k : k + len(total)].astype(np.uint64) + np.uint64(1))
+    return total
+
+
+def grams_of(items: list[Item], rows: list[int], size: int) -> Grams:
+    keys = [gram_keys(items[k].words, size) for k in rows]
+    of = np.repeat(np.array(rows, np.int64), [len(x) for x in keys])
+    at = np.concatenate([np.arange(len(x)) for x in keys] or [np.zeros(0, np.int64)])
+    key = np.concatenate([*keys, np.zeros(0, np.uint64)])
+    order = np.argsort(key, kind="stable")
+    table = np.zeros(1 << 20, bool)
+    table[key >> np.uint64(44)] = True
+    return Grams(size, key[order], of[order], at[order], table)
+
+
+def gram_places(words: np.ndarray, g: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, item, place in the item) of every run of words that an item has."""
+    keys = gram_keys(words, g.size)
+    place = np.flatnonzero(g.table[keys >> np.uint64(44)])
+    low, high = (np.searchsorted(g.key, keys[place], side) for side in ("left", "right"))
+    count = high - low
+    entry = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(place, count), g.of[entry], g.at[entry]
+
+
 def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     content = [content_of(i.words, idf) for i in items]
     exact = [k for k, i in enumerate(items) if len(i.words) < SHORT or len(content[k]) < FEW]
@@ -357,7 +402,8 @@ def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     for k, item in enumerate(items):
         union[item.words[content[k]] >> np.uint32(12)] = 1
     groups = [np.flatnonzero(need == k) for k in np.unique(need)]
-    return Query(items, content, np.array(of, np.int64), np.array(at, np.int64), need, vec, known.ravel(), exact, union, groups)
+    grams = grams_of(items, [k for k in range(len(items)) if k not in exact], GRAM)
+    return Query(items, content, np.array(of, np.int64), np.array(at, np.int64), need, vec, known.ravel(), exact, union, groups, grams)
 
 
 def occurrence(item: Item, words: np.ndarray) -> int | None:
@@ -385,13 +431,24 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
                 out[n, k] = (a, 1.0, len(q.items[k].words), 1.0, True)
     parts = [(n, at, w[at : at + STRETCH + OVERLAP]) for n, w in enumerate(docs) if len(w)
              for at in range(0, max(len(w) - OVERLAP, 1), STRETCH)]
-    if not parts or not len(q.vec):
+    if not parts:
         return out
     words = np.concatenate([p for _, _, p in parts])
     ends = np.cumsum([len(p) for _, _, p in parts])
+    by_windows(out, q, parts, words, ends, idf, latent)
+    by_grams(out, q, q.grams, parts, words, ends, latent)
+    return out
+
+
+def by_windows(
+    out: dict, q: Query, parts: list[tuple], words: np.ndarray, ends: np.ndarray, idf: np.ndarray, latent: np.ndarray
+) -> None:
+    """Check the windows whose cosine and shared words reach the limits."""
+    if not len(q.vec):
+        return
     place = content_of(words, idf)
     if not len(place):
-        return out
+        return
     own = words[place]
     bound = np.concatenate([[0], np.searchsorted(place, ends)])  # content words of each part
     sizes = np.diff(bound)
@@ -405,7 +462,7 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
     seen = seen[stop] - seen[start]
     fold = np.flatnonzero(seen >= q.need.min())
     if not len(fold):
-        return out
+        return
     run = np.zeros((len(own) + 1, latent.shape[1]), np.float32)
     np.cumsum(latent[term(own)], axis=0, out=run[1:])
     x = run[stop[fold]] - run[start[fold]]
@@ -435,7 +492,31 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
         if key not in tried:
             tried.add(key)
             verdict(out, q, n, item_at, base, text, low, high, c)
-    return out
+
+
+def by_grams(
+    out: dict, q: Query, g: Grams, parts: list[tuple], words: np.ndarray, ends: np.ndarray, latent: np.ndarray
+) -> None:
+    """Check every place that holds a run of an item's words, once for neighbours on one alignment."""
+    place, of, at = gram_places(words, g)
+    part = np.searchsorted(ends, place, side="right")
+    whole = place + g.size <= ends[part]  # a run may not reach into the next document
+    place, of, at, part = place[whole], of[whole], at[whole], part[whole]
+    start = np.concatenate([[0], ends[:-1]])
+    line = (place - at - start[part]) // MARGIN  # the item would begin here
+    _, first = np.unique(((part * len(q.items) + of) << 32) + line + (1 << 31), return_index=True)
+    for k in first.tolist():
+        n, base, text = parts[part[k]]
+        low, own, pair = int(place[k] - start[part[k]]), q.items[int(of[k])].words, (n, int(of[k]))
+        was = out.get(pair)
+        if was is not None and was[2] == len(own):
+            continue
+        verdict(out, q, *pair, base, text, low, low + g.size, 0.0)
+        if out.get(pair) != was:  # its cosine is that of the words where the item would lie
+            begin = max(0, low - int(at[k]))
+            x, y = (latent[term(w)].sum(axis=0) for w in (text[begin : begin + len(own)], own))
+            cosine = float(x @ y / max(np.linalg.norm(x) * np.linalg.norm(y), 1e-12))
+            out[pair] = (out[pair][0], cosine, *out[pair][2:])
 
 
 def verdict(out: dict, q: Query, n: int, item_at: int, base: int, text: np.ndarray, low: int, high: int, cosine: float) -> None:

@@ -124,6 +124,30 @@ def test_item_far_from_its_windows_first_word_is_found():
         assert (0, 0) in searched([doc], [item], idf, latent), lead
 
 
+def test_verbatim_items_are_found_whatever_their_cosine():
+    """Verbatim and lightly changed items whose windows point elsewhere; recall against the LCS alone."""
+    rng, idf, latent = random_model(2)
+    latent[:] = 0  # no cosine reaches the limit
+    items = [rng.integers(0, 16000, n).astype(np.uint32) for n in (8, 10, 14, 20, 40, 60)]
+    docs, want = [], set()
+    for k, item in enumerate(items):
+        for change in (0, len(item) // 10, len(item) // 5):
+            w = item.copy()
+            w[rng.choice(len(w) - 3, change, False)] = 15_000_000
+            want.add((len(docs), k))
+            docs.append(np.concatenate([rng.integers(20000, 40000, int(rng.integers(0, 90))).astype(np.uint32), w, rng.integers(20000, 40000, 40).astype(np.uint32)]))
+        docs.append(rng.integers(20000, 40000, 200).astype(np.uint32))
+    got = searched(docs, items, idf, latent)
+    brute = {(n, k) for n, d in enumerate(docs) for k, i in enumerate(items) if D.lcs(i, d) >= D.STRONG * len(i)}
+    assert want == brute and set(got) == want
+
+
+def test_a_run_of_words_does_not_reach_into_the_next_document():
+    rng, idf, latent = random_model(3)
+    item = rng.integers(2000, 16000, 20).astype(np.uint32)
+    assert searched([item[:8], item[8:15], item[15:]], [item], idf, latent) == {}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "some benchmark text of nine words in all here")], "item_id long, text string")
     assert D.leaks(spark, docs(spark, []), bench).collect() == []
