@@ -24,7 +24,9 @@ Benchmark items are a query set: they go to every task in blocks of at most
 
 Defined results: null and empty texts have no windows and are clean; documents
 of any length are searched whole, in overlapping stretches; an item of fewer
-than ``SHORT`` words, or almost without content words, must occur in full;
+than ``SHORT`` words must occur in full; one with few content words (a widely
+leaked one turns its own words into stop words) is a candidate wherever two of
+its words stand in a row;
 items without words match nothing; repeated documents are each reported, a
 repeated row once; an empty table or benchmark gives no leaks.
 """
@@ -60,7 +62,7 @@ WORD_BINS = 1 << 12
 STRONG, WEAK = 0.7, 0.45
 #: Share of the answer's words, in order, that count as the answer being there.
 ANSWER = 0.75
-#: Shorter items, and items with fewer content words, must occur in full.
+#: Shorter items must occur in full; items with fewer content words have no windows.
 SHORT, FEW = 8, 4
 #: Words by which a region exceeds the item on each side.
 MARGIN = 10
@@ -68,6 +70,8 @@ MARGIN = 10
 SLIDE = 5
 #: Words in a row that make a place a candidate by themselves.
 GRAM = 3
+#: The same for items that have no windows.
+FEW_GRAM = 2
 ITEM_BLOCK = 5000
 #: Words searched at once, and the overlap that keeps a leak whole.
 STRETCH, OVERLAP = 1 << 16, 1024
@@ -100,7 +104,7 @@ class Query:
     exact: list[int]  # items that must occur in full
     union: np.ndarray  # content words of all items, by their first 20 bits
     groups: list[np.ndarray]  # windows that need the same number of words
-    grams: Grams
+    grams: list[Grams]
 
 
 @dataclass
@@ -383,11 +387,12 @@ def gram_places(words: np.ndarray, g: Grams) -> tuple[np.ndarray, np.ndarray, np
 
 def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     content = [content_of(i.words, idf) for i in items]
-    exact = [k for k, i in enumerate(items) if len(i.words) < SHORT or len(content[k]) < FEW]
+    exact = [k for k, i in enumerate(items) if len(i.words) < SHORT]
+    bare = [k for k, i in enumerate(items) if len(i.words) >= SHORT and len(content[k]) < FEW]
     known = np.zeros((len(items), WORD_BINS), np.int8)
     of, at, need, vecs = [], [], [], []
     for k, item in enumerate(items):
-        if k in exact:
+        if len(item.words) < SHORT or len(content[k]) < FEW:
             continue
         own = item.words[content[k]]
         known[k, bins(own)] = 1
@@ -402,7 +407,8 @@ def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     for k, item in enumerate(items):
         union[item.words[content[k]] >> np.uint32(12)] = 1
     groups = [np.flatnonzero(need == k) for k in np.unique(need)]
-    grams = grams_of(items, [k for k in range(len(items)) if k not in exact], GRAM)
+    rest = sorted(set(range(len(items))) - set(exact) - set(bare))
+    grams = [grams_of(items, rows, size) for rows, size in ((rest, GRAM), (bare, FEW_GRAM)) if rows]
     return Query(items, content, np.array(of, np.int64), np.array(at, np.int64), need, vec, known.ravel(), exact, union, groups, grams)
 
 
@@ -436,7 +442,8 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
     words = np.concatenate([p for _, _, p in parts])
     ends = np.cumsum([len(p) for _, _, p in parts])
     by_windows(out, q, parts, words, ends, idf, latent)
-    by_grams(out, q, q.grams, parts, words, ends, latent)
+    for g in q.grams:
+        by_grams(out, q, g, parts, words, ends, latent)
     return out
 
 

@@ -148,6 +148,23 @@ def test_a_run_of_words_does_not_reach_into_the_next_document():
     assert searched([item[:8], item[8:15], item[15:]], [item], idf, latent) == {}
 
 
+def test_near_copies_of_an_item_that_became_stop_words_are_found():
+    """An item in a third of the documents has no content words left; one changed word must not hide it."""
+    rng, _, _ = random_model(4)
+    item, clean = rng.integers(2000, 16000, 59).astype(np.uint32), lambda n: rng.integers(16000, 400000, n).astype(np.uint32)
+    docs = [np.concatenate([clean(25), item, clean(20)]) if k % 3 == 0 else clean(100) for k in range(90)]
+    near = []
+    for change in (1, 6, 12):
+        w = item.copy()
+        w[rng.choice(59, change, False)] = 15_000_000
+        near.append(np.concatenate([clean(30), w, clean(30)]))
+    df = np.zeros(D.TERMS)
+    idf = D.weights(df, D.frequencies(docs, df))
+    assert len(D.content_of(item, idf)) < D.FEW
+    latent = (rng.standard_normal((D.TERMS, D.RANK)) * (idf > 0)[:, None]).astype(np.float32)
+    assert set(searched(docs + near, [item], idf, latent)) == {(k, 0) for k in [*range(0, 90, 3), 90, 91, 92]}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "some benchmark text of nine words in all here")], "item_id long, text string")
     assert D.leaks(spark, docs(spark, []), bench).collect() == []
