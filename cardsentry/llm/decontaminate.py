@@ -66,14 +66,14 @@ ANSWER = 0.75
 SHORT, FEW = 8, 4
 #: Words by which a region exceeds the item on each side.
 MARGIN = 10
-#: Words between the regions that are tried around a candidate.
-SLIDE = 5
+#: Words between the regions that are tried around a candidate, and their share of a long item.
+SLIDE, SLIDE_SHARE = 5, 8
 #: Words in a row that make a place a candidate by themselves.
 GRAM = 3
 #: The same for items that have no windows.
 FEW_GRAM = 2
 ITEM_BLOCK = 5000
-#: Words searched at once, and the overlap that keeps a leak whole.
+#: Words searched at once, and the least overlap; it is longer where an item's region is.
 STRETCH, OVERLAP = 1 << 16, 1024
 #: Words of the documents searched together.
 TOGETHER = 1 << 14
@@ -435,8 +435,9 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
             a = occurrence(q.items[k], words)
             if a is not None:
                 out[n, k] = (a, 1.0, len(q.items[k].words), 1.0, True)
-    parts = [(n, at, w[at : at + STRETCH + OVERLAP]) for n, w in enumerate(docs) if len(w)
-             for at in range(0, max(len(w) - OVERLAP, 1), STRETCH)]
+    overlap = max([OVERLAP, *(len(i.words) + 2 * MARGIN + slide(i) for i in q.items)])
+    parts = [(n, at, w[at : at + STRETCH + overlap]) for n, w in enumerate(docs) if len(w)
+             for at in range(0, max(len(w) - overlap, 1), STRETCH)]
     if not parts:
         return out
     words = np.concatenate([p for _, _, p in parts])
@@ -495,8 +496,9 @@ def by_windows(
         offset = int(ends[part[h]]) - len(text)
         # the item may begin an item's length before the window and end as far behind it
         low, high = int(place[start[h]]) - offset, int(place[stop[h] - 1]) - offset + 1
-        key = (int(part[h]), item_at, low // 4)
-        if key not in tried:
+        key = (int(part[h]), item_at, low // slide(q.items[item_at]))
+        best = out.get((n, item_at))
+        if key not in tried and (best is None or best[2] < len(q.items[item_at].words)):
             tried.add(key)
             verdict(out, q, n, item_at, base, text, low, high, c)
 
@@ -510,7 +512,8 @@ def by_grams(
     whole = place + g.size <= ends[part]  # a run may not reach into the next document
     place, of, at, part = place[whole], of[whole], at[whole], part[whole]
     start = np.concatenate([[0], ends[:-1]])
-    line = (place - at - start[part]) // MARGIN  # the item would begin here
+    step = np.array([max(MARGIN, slide(i)) for i in q.items])
+    line = (place - at - start[part]) // step[of]  # the item would begin here
     _, first = np.unique(((part * len(q.items) + of) << 32) + line + (1 << 31), return_index=True)
     for k in first.tolist():
         n, base, text = parts[part[k]]
@@ -526,15 +529,21 @@ def by_grams(
             out[pair] = (out[pair][0], cosine, *out[pair][2:])
 
 
+def slide(item: Item) -> int:
+    return max(SLIDE, len(item.words) // SLIDE_SHARE)
+
+
 def verdict(out: dict, q: Query, n: int, item_at: int, base: int, text: np.ndarray, low: int, high: int, cosine: float) -> None:
     """Record the best leak of an item whose words may lie around ``text[low:high]``."""
     item = q.items[item_at]
-    size = len(item.words) + 2 * MARGIN
-    low, high = max(0, low - len(item.words) - MARGIN), min(len(text), high + len(item.words) + MARGIN)
+    step = slide(item)
+    size = len(item.words) + 2 * MARGIN + step - SLIDE  # no region of a long item lies between two that are tried
+    reach = len(item.words) + MARGIN + step  # candidates nearer than a step are checked once
+    low, high = max(0, low - reach), min(len(text), high + reach)
     # no region inside holds more common words than the whole
     if lcs(item.words, text[low:high]) < WEAK * len(item.words):
         return
-    for begin in range(low, max(high - size, low) + SLIDE, SLIDE):
+    for begin in range(low, max(high - size, low) + step, step):
         begin = min(begin, max(high - size, low))
         common, answered, leak = is_leak(item, text[begin : min(begin + size, high)])
         best = out.get((n, item_at))

@@ -165,6 +165,16 @@ def test_near_copies_of_an_item_that_became_stop_words_are_found():
     assert set(searched(docs + near, [item], idf, latent)) == {(k, 0) for k in [*range(0, 90, 3), 90, 91, 92]}
 
 
+def test_long_item_across_the_end_of_a_stretch_is_found():
+    rng, idf, latent = random_model(5)
+    item = rng.integers(0, 16000, 4000).astype(np.uint32)
+    clean = lambda n: rng.integers(20000, 400000, n).astype(np.uint32)
+    held = item.copy()
+    held[-6:] = 15_000_000  # without its answer 70 % must be there
+    doc = np.concatenate([clean(D.STRETCH + D.OVERLAP // 2 - 2000), held, clean(5000)])
+    assert set(searched([doc], [item], idf, latent)) == {(0, 0)}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "some benchmark text of nine words in all here")], "item_id long, text string")
     assert D.leaks(spark, docs(spark, []), bench).collect() == []
