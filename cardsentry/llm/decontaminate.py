@@ -77,6 +77,8 @@ ITEM_BLOCK = 5000
 STRETCH, OVERLAP = 1 << 16, 1024
 #: Words of the documents searched together.
 TOGETHER = 1 << 14
+#: Windows of a product with the items' windows, also inside one document.
+PRODUCT = 1 << 12
 #: Parts into which the sums over terms are dealt.
 BLOCKS = 64
 
@@ -477,10 +479,14 @@ def by_windows(
     x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-6)[:, None]
     found = []
     for g in q.groups:
-        rows = np.flatnonzero(seen[fold] >= q.need[g[0]])
-        cos = x[rows] @ q.vec[g].T
-        a, b = np.nonzero(cos >= COSINE)
-        found.append((fold[rows[a]], g[b], cos[a, b]))
+        every = np.flatnonzero(seen[fold] >= q.need[g[0]])
+        for first in range(0, len(every), PRODUCT):
+            rows = every[first : first + PRODUCT]
+            cos = x[rows] @ q.vec[g].T
+            a, b = np.nonzero(cos >= COSINE)
+            found.append((fold[rows[a]], g[b], cos[a, b]))
+    if not found:
+        return
     hit, which, cosine = (np.concatenate([f[k] for f in found]) for k in range(3))
     # content words of the window that the item has: one flat look-up for each place in the window
     line = (q.of[which] * WORD_BINS).astype(np.int32)

@@ -175,6 +175,18 @@ def test_long_item_across_the_end_of_a_stretch_is_found():
     assert set(searched([doc], [item], idf, latent)) == {(0, 0)}
 
 
+def test_a_long_document_is_searched_in_bounded_products(monkeypatch):
+    rng, idf, latent = random_model(6)
+    items = [rng.integers(2000, 16000, 30).astype(np.uint32) for _ in range(4)]
+    doc = np.concatenate([x for i in items for x in (rng.integers(2000, 16000, 5000).astype(np.uint32), i)])
+    want = searched([doc], items, idf, latent)
+    monkeypatch.setattr(D, "PRODUCT", 64)
+    got = searched([doc], items, idf, latent)
+    assert set(got) == set(want) == {(0, k) for k in range(4)}
+    for k, v in want.items():
+        assert np.allclose(np.array(got[k], float), np.array(v, float), atol=1e-5)
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "some benchmark text of nine words in all here")], "item_id long, text string")
     assert D.leaks(spark, docs(spark, []), bench).collect() == []
