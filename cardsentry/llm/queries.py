@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import doc_crc, table
+from .common import doc_crc, let, table
 
 #: Documents that score lower are predicted to be of bad quality.
 QUALITY_LIMIT = 0.3
@@ -128,6 +128,69 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents, one in ten with its tail repeating a stretch of its own words.
+
+    With ``h`` the id's checksum and ``g = h // 10``: if ``h % 10`` is 0, each of the n
+    words from word ``a = g % n`` on becomes one of the ``1 + (n - a) // (3 + g % 8)``
+    words there, in turn.
+    """
+    h = doc_crc(F.col("doc_id"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+
+        def tail(a: Column) -> Column:
+            period = 1 + F.floor((n - a) / (3 + g % 8))
+            at = F.sequence(F.lit(0), n - 1)
+            return F.array_join(F.transform(at, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % period).cast("int"))), " ")
+
+        return F.when(n > 0, let((g % n).cast("int"), tail))
+
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    edited = F.coalesce(let(words, repeated), F.col("text"))
+    return docs.select("doc_id", F.when(h % 10 == 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, its longest run, and digests of all runs and of the collapsed text."""
+    from .periodic_runs import periodic_runs
+
+    found = periodic_runs(spark, with_planted_runs(table(spark, sf_dir, "documents")))
+    # longest, then first, then shortest period: the smallest of (-length, start, period)
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "")
+    found = found.withColumn("best", first).withColumn("length", -F.col("best.less"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), "length",
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    from .lexical_rank import ranked
+
+    return ranked(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and the likeness to that and to the next document."""
+    from .fingerprints import compare_versions, with_edit, with_next
+
+    rows = with_edit(with_next(spark, table(spark, sf_dir, "documents")))
+    # what comes from the texts alone goes through the comparison as its key
+    about = F.struct("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
+    found = compare_versions(spark, rows.withColumn("about", about), "about", "text", ["edited", "next"])
+    return found.select(
+        "about.*", "fingerprint", "fingerprint_edited", "near_edited", "near_next", "cells_edited", "cells_next"
+    ).withColumnRenamed("fingerprint_edited", "edited_fingerprint")
+
+
 def registry() -> dict[str, QueryFn]:
     found = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_helpers import docs, odd_texts
+
+from cardsentry.llm import periodic_runs as pr
+from cardsentry.llm import queries
+
+
+def brute(words, least=pr.LEAST):
+    """Every maximal stretch of every lag whose smallest period is that lag."""
+    n, out = len(words), set()
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            s, e = i, j + q
+            if j > i and e - s >= max(least, 2 * q):
+                if not any(all(words[x] == words[x + p] for x in range(s, e - p)) for p in range(1, q)):
+                    out.add((s, e - s, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def kept(words, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def text_like(rng):
+    words = [b"%d" % rng.randint(0, rng.choice([1, 2, 4, 30])) for _ in range(rng.randint(0, 120))]
+    for _ in range(rng.randint(0, 2)):
+        if len(words) > 20:
+            a = rng.randint(0, len(words) - 10)
+            p, e = rng.randint(1, (len(words) - a) // 2), rng.randint(a, len(words))
+            words[a:e] = [words[a + (i - a) % p] for i in range(a, e)]
+    return words
+
+
+def test_runs_equal_brute_force():
+    rng = random.Random(4)
+    texts = [text_like(rng) for _ in range(600)]
+    for least in (12, 5):
+        for words, found in zip(texts, pr.runs_of(texts, least), strict=True):
+            assert found == brute(words, least), words
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=70))
+def test_runs_of_few_words_equal_brute_force(words):
+    found = pr.runs_of([words])[0]
+    assert found == brute(words)
+    assert pr.collapsed(words, found) == b" ".join(kept(words, found))
+
+
+def test_segments_split_to_the_end(monkeypatch):
+    """A chain in which each split makes one more word single, by passes and from both ends."""
+    chain = [x for k in range(200) for x in (b"%d" % k, b"%d" % (k + 1))]
+    rng = random.Random(5)
+    for words in (chain, text_like(rng) * 3, [b"x"] * 50):
+        number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        keys = pr.np.array([number[w] for w in words])
+        before, after = pr.neighbours(keys)
+        bounds = pr.np.array([0, len(words)])
+        monkeypatch.setattr(pr, "PASSES", 10)
+        both = sorted(pr.segments(before, after, bounds))
+        monkeypatch.setattr(pr, "PASSES", 0)
+        assert sorted(pr.segments(before, after, bounds)) == both
+        for s, e in both:
+            assert all(words[s:e].count(w) > 1 for w in words[s:e])
+
+
+@pytest.mark.parametrize("words", [[b"a"] * 300_000, [b"a", b"b", b"c"] * 100_000, [b"%d" % (i * i % 997) for i in range(200_000)]])
+def test_long_texts(words):
+    found = pr.runs_of([words])[0]
+    assert len(found) == 1 and found[0][:2] == (0, len(words))
+
+
+def test_operator_on_odd_rows(spark):
+    tail = "w1 w2 w3 w4 w5 " * 5
+    rows = list(enumerate([*odd_texts(), tail, "  ".join(["a b"] * 20), tail])) + [(None, tail), (3, tail)]
+    got = pr.periodic_runs(spark, docs(spark, rows)).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for _, text in rows:
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+        runs = brute(words)
+        want[text] = (len(words), runs, b" ".join(kept(words, runs)).decode())
+    for (_, text), r in zip(sorted(rows, key=str), sorted(got, key=lambda r: str((r["doc_id"], ""))), strict=True):
+        assert r["n_words"] in {v[0] for v in want.values()}
+    assert sorted((r["n_words"], [tuple(x) for x in r["runs"]], r["collapsed"]) for r in got) == sorted(want[t] for _, t in rows)
+
+
+def test_empty_table(spark):
+    assert pr.periodic_runs(spark, docs(spark, [(1, "a")]).limit(0)).collect() == []
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(k, " ".join(w.decode() for w in text_like(rng))) for k in range(150)] + [(900, None), (901, "")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op11_periodic_runs(spark, str(tmp_path)).collect()}
+    planted = 0
+    for doc_id, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        h = zlib.crc32(str(doc_id).encode())
+        if h % 10 == 0 and words:
+            planted += 1
+            g, n = h // 10, len(words)
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [*words[:a], *(words[a + (i - a) % p] for i in range(a, n))]
+        runs = brute(words)
+        best = min(((-n, s, q) for s, n, q in runs), default=None)
+        r = got[doc_id]
+        assert r["n_runs"] == len(runs)
+        assert (r["start"], r["length"], r["period"]) == ((best[1], -best[0], best[2]) if best else (None, None, None))
+        assert r["exponent_milli"] == (1000 * -best[0] // best[2] if best else None)
+        assert r["runs_sha256"] == hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest()
+        assert r["collapsed_sha256"] == hashlib.sha256(" ".join(kept(words, runs)).encode()).hexdigest()
+    assert planted > 5 and len(got) == len(rows)
