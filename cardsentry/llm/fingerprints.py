@@ -39,8 +39,10 @@ CELLS = 8
 TABLES = 3
 #: Cells of all sketches that are built at a time.
 TOGETHER = 1 << 20
-#: A paragraph of more characters is cut behind words that a hash picks, one in ``PICK``.
-LONG, PICK = 200, 8
+#: A sentence of more characters is first cut behind words that a hash picks, one in ``PICK``.
+LONG, PICK = 400, 8
+#: Characters of a paragraph at most.
+SHORT = 48
 #: Buckets of neighbouring ids for each shuffle partition.
 BUCKETS = 8
 #: Sizes that are tried before a comparison counts as broken (it then holds equal digests of unequal texts).
@@ -60,27 +62,30 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
 def paragraphs(text: str) -> list[tuple[str, bool]]:
     """The text's paragraphs, and whether each ends a line.
 
-    A paragraph is a sentence of a line, up to a full stop and a space.  A longer
-    one than ``LONG`` characters is cut behind words that their own hash picks, and
-    where that leaves more than ``LONG`` characters, at every ``LONG``-th.
+    A paragraph is a sentence of a line, up to a full stop and a space, or each
+    ``SHORT`` characters of it from its start, so that an edit changes what stands
+    near it only, also in short texts.  A stretch of more than ``LONG`` characters without
+    such an end is first cut behind words that their own hash picks.
     """
     out: list[tuple[str, bool]] = []
     for line in text.split("\n"):
         parts = line.split(". ")
         for part in parts[:-1]:
-            if part and len(part) <= LONG:
-                out.append((part, False))
-            elif part:
+            if len(part) > SHORT:
                 out += [(x, False) for x in cut(part)]
+            elif part:
+                out.append((part, False))
         if parts[-1].strip():
-            last = [parts[-1]] if len(parts[-1]) <= LONG else cut(parts[-1])
-            out += [(x, False) for x in last[:-1]]
-            out.append((last[-1], True))
+            *most, last = cut(parts[-1])
+            out += [(x, False) for x in most]
+            out.append((last, True))
     return out
 
 
 def cut(part: str) -> list[str]:
-    out, now, size = [], [], 0
+    if len(part) <= LONG:
+        return [part[k : k + SHORT] for k in range(0, len(part), SHORT)]
+    out, now = [], []
     for word in part.split(" "):
         now.append(word)
         if zlib.crc32(word.encode("utf-8", "surrogatepass")) % PICK == 0:
@@ -88,7 +93,7 @@ def cut(part: str) -> list[str]:
             now = []
     if now:
         out.append(" ".join(now))
-    return [x[k : k + LONG] for x in out for k in range(0, max(len(x), 1), LONG)]
+    return [x[k : k + SHORT] for x in out for k in range(0, len(x), SHORT)]
 
 
 def digests(text: str | None) -> np.ndarray:

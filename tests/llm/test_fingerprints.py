@@ -51,7 +51,7 @@ def test_paragraphs_are_short_and_local():
     long = " ".join(words(rng, 3000))
     for text in (long, "x" * 5000, prose(rng, 40)):
         parts = fp.paragraphs(text)
-        assert all(0 < len(p) <= fp.LONG for p, _ in parts) and len(parts) > 10
+        assert all(0 < len(p) <= fp.SHORT for p, _ in parts) and len(parts) > 10
     near = len(set(fp.digests(long)) & set(fp.digests("one more word " + long)))
     assert near > 0.9 * len(fp.digests(long))  # an insertion shifts only its own paragraph
 
