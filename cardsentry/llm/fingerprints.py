@@ -101,15 +101,15 @@ def digests(text: str | None) -> np.ndarray:
     import xxhash
 
     parts = paragraphs(text or "")
-    digest = xxhash.xxh3_64_intdigest
-    if len(set(parts)) == len(parts):
-        return np.array([digest(p.encode(), ends) for p, ends in parts], U64)
-    seen: Counter = Counter()
-    out = []
-    for p, ends in parts:
-        out.append(digest(p.encode(), 2 * seen[p, ends] + ends))
-        seen[p, ends] += 1
-    return np.array(out, U64)
+    plain = np.array([xxhash.xxh3_64_intdigest(p.encode()) for p, _ in parts], U64)
+    # which copy it is, and whether it ends a line: not as the hash's seed, which short inputs absorb
+    which = np.array([ends for _, ends in parts], U64)
+    if len(set(parts)) < len(parts):
+        seen: Counter = Counter()
+        for k, part in enumerate(parts):
+            which[k] += U64(2 * seen[part])
+            seen[part] += 1
+    return mixed(plain ^ mixed(which, 1), 0)
 
 
 class Sketches:

@@ -63,6 +63,12 @@ def test_copies_within_a_text_count():
     assert len(gone) == 1 and not len(new)
 
 
+def test_digests_differ_for_short_paragraphs_with_many_copies():
+    text = " ".join(["im. im", "den. der"] * 40) + "\nim.\nim\n" + ". ".join(["a", "b", "ab"] * 60)
+    found = fp.digests(text)
+    assert len(set(found.tolist())) == len(found) == len(fp.paragraphs(text))
+
+
 def brute_next(rows):
     """Rows by id (null last); within one id the order is any."""
     order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
