@@ -46,6 +46,10 @@ class RuleConfig:
     # Extra partition columns of the per-run warehouse snapshot (e.g.
     # ("country",)); the snapshot is always one folder per run.
     snapshot_partition_by: tuple[str, ...] = ()
+    # The ETL reads only what is new since the last run where that gives a full
+    # run's totals; a snapshot is at most this many layers (runs) deep.
+    etl_incremental: bool = True
+    snapshot_layers: int = 16
     # Streaming knobs (the alert query always runs in append mode: a window
     # is reported once, after the watermark has closed it).
     # Join partitions per (window, account) in the streaming travel join;

@@ -97,9 +97,43 @@ LOAD_METRICS_SCHEMA = StructType(
         StructField("rows_extracted", LongType()),
         StructField("rows_inserted", LongType()),
         StructField("rows_snapshotted", LongType()),
+        # the run that an incremental run builds on (NULL: a full run) and the folder of its snapshot layer
+        StructField("base_run", LongType()),
+        StructField("snapshot_path", StringType()),
     ]
 )
 
+# What a run has read: the attempt of each partition of a table.
+ETL_MARKS_SCHEMA = StructType(
+    [
+        StructField("run_id", LongType(), False),
+        StructField("table_name", StringType()),
+        StructField("writer", StringType()),
+        StructField("batch_id", LongType()),
+        StructField("read_attempt", StringType()),  # not "attempt": folders have that name
+    ]
+)
+
+# Alerts whose transaction had not been stored when a run ended.
+ETL_PENDING_SCHEMA = StructType(
+    [
+        StructField("run_id", LongType(), False),
+        StructField("txn_ref", StringType()),
+        StructField("n_alerts", LongType()),
+    ]
+)
+
+# Rows of earlier snapshot layers that were flagged since.
+RETRACTION_SCHEMA = StructType(
+    [
+        StructField("run_id", LongType(), False),
+        StructField("txn_ref", StringType()),
+    ]
+)
+
+# Sorted hashes of the keys of one stored batch.
+KEY_RUN_SCHEMA = StructType([StructField("key_hash", LongType())])
+
 REJECTED_SCHEMA = StructType(
     [
         StructField("txn_ref", StringType()),

@@ -3,11 +3,13 @@
 Two queries read the same source with the same explicit start position,
 each with its own checkpoint under the shared checkpoint root:
 
-* ``transactions``: decode -> quarantine split -> ``dropDuplicates`` on
-  ``txn_ref`` -> ``all_transactions``.  The dedupe state is the table's
-  key index: exact across all batches (first arrival wins, as with an
-  insert that ignores conflicts), O(batch) work per trigger instead of an
-  anti join against the whole table, kept in the checkpointed state store.
+* ``transactions``: decode -> quarantine split -> ``all_transactions`` and
+  ``rejected_events``.  Every rejected document passes as it is.  The keys of the
+  valid ones go through a stateful minimum of ``proc_ts`` per ``txn_ref``, the table's
+  key index: two times a key, combined map-side, exact across all batches (the first
+  arrival wins, as with an insert that ignores conflicts), O(batch) work per trigger.
+  The sink keeps, of each key new in the batch, the smallest row; that minimum, too, is
+  combined map-side, so a key that a third of a batch repeats is no hot task.
 * ``alerts``: decode -> rule 1 (stateless, on the raw amount) UNION ALL
   rule 2 (watermarked window aggregate of countries, joined back to the
   windowed rows by a stream-stream join) -> ``flagged_transactions``.  The
@@ -39,7 +41,7 @@ from pyspark.sql.types import (
 
 from ..config import DEFAULT, RuleConfig
 from ..functions.codec import decode_events
-from ..operators import quality, rules
+from ..operators import joins, quality, rules
 from ..plans import oracle
 from ..plans.catalog import register
 from ..schemas import ALERT_COLUMNS, TXN_COLUMNS
@@ -110,26 +112,37 @@ def travel_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
 # -- sinks ---------------------------------------------------------------------
 
 
-def transaction_rows(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    """Decoded rows tagged with a reject reason; valid keys kept once.
+#: Marks a row of ``transaction_rows`` that names a new key (the others are documents).
+NEW_KEY = "_new_key"
+
 
-    ``dropDuplicates`` without a watermark remembers every key seen, which
-    is exactly the primary-key contract of ``all_transactions``.  With
-    ``txn_dedupe="watermark"`` keys are remembered for the watermark delay
-    only (bounded state; a copy arriving later is written again).
+def transaction_rows(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
+    """Every decoded row with its reject reason, and one ``NEW_KEY`` row for each key first seen now.
+
+    The state of a key is the first and the last ``proc_ts`` it came with.  All rows of a
+    micro-batch have one ``proc_ts`` (also in its replay), so a key is new where the two are
+    equal.  Without a watermark the state remembers every key, which is exactly the
+    primary-key contract of ``all_transactions``.  With ``txn_dedupe="watermark"`` keys are
+    remembered for the watermark delay only (bounded state; a copy arriving later is
+    written again).
     """
     tagged = quality.with_reject_reason(decoded_stream(raw))
-    valid = F.col("reject_reason").isNull()
+    valid = tagged.where(F.col("reject_reason").isNull())
     if cfg.txn_dedupe == "global":
-        # one scan: rejected documents share the state under a key of their own
-        # (identical ones, as in a replay, are kept once)
-        key = F.when(valid, F.concat(F.lit("="), "txn_ref")).otherwise(F.sha2("raw", 256))
-        return tagged.withColumn("_key", key).dropDuplicates(["_key"]).drop("_key")
-    if cfg.txn_dedupe == "watermark":
-        good = tagged.where(valid).withWatermark("event_time", cfg.watermark_delay)
-        good = good.dropDuplicatesWithinWatermark(["txn_ref"])
-        return good.unionByName(tagged.where(~valid))
-    raise ValueError(f"txn_dedupe must be 'global' or 'watermark', not {cfg.txn_dedupe!r}")
+        seen = valid.groupBy("txn_ref").agg(F.min("proc_ts").alias("first_seen"), F.max("proc_ts").alias("last_seen"))
+        keys = seen.where(F.col("first_seen") == F.col("last_seen"))
+    elif cfg.txn_dedupe == "watermark":
+        keys = valid.withWatermark("event_time", cfg.watermark_delay)
+        keys = keys.dropDuplicatesWithinWatermark(["txn_ref"])
+    else:
+        raise ValueError(f"txn_dedupe must be 'global' or 'watermark', not {cfg.txn_dedupe!r}")
+    keys = keys.select("txn_ref", F.lit(True).alias(NEW_KEY))
+    return tagged.withColumn(NEW_KEY, F.lit(False)).unionByName(keys, allowMissingColumns=True)
+
+
+def transactions_output_mode(cfg: RuleConfig = DEFAULT) -> str:
+    """A new key is reported when it comes: the stateful minimum needs update mode for that."""
+    return "update" if cfg.txn_dedupe == "global" else "append"
 
 
 class Writer:
@@ -150,9 +163,11 @@ def transactions_sink(store: TableStore, writer: Callable[[], str]):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            valid = quality.valid_rows(batch).select(*TXN_COLUMNS)
-            store.write_partition("all_transactions", valid, batch_id, writer())
-            rejected = quality.rejected_rows(batch)
+            docs, keys = batch.where(~F.col(NEW_KEY)), batch.where(F.col(NEW_KEY)).select("txn_ref")
+            valid = quality.valid_rows(docs).select(*TXN_COLUMNS)
+            smallest = joins.dedupe_by_key(valid, "txn_ref", order_cols=("proc_ts",))
+            store.write_partition("all_transactions", smallest.join(keys, "txn_ref", "left_semi"), batch_id, writer())
+            rejected = quality.rejected_rows(docs)
             if not rejected.isEmpty():  # most batches have none: no empty partitions
                 store.write_partition("rejected_events", rejected, batch_id, writer())
         finally:
@@ -233,14 +248,21 @@ def start_detector(
         return _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger)
 
 
-def _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger) -> Detector:
-    q1 = _trigger(
-        transaction_rows(raw_transactions, cfg)
-        .writeStream.foreachBatch(transactions_sink(store, Writer(store.spark, f"{checkpoint_dir}/all_txn")))
-        .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint_dir}/all_txn"),
+def start_transactions(
+    raw: DataFrame, store: TableStore, checkpoint: str, cfg: RuleConfig = DEFAULT, trigger: dict | None = None
+) -> StreamingQuery:
+    """The transactions query alone."""
+    return _trigger(
+        transaction_rows(raw, cfg)
+        .writeStream.foreachBatch(transactions_sink(store, Writer(store.spark, checkpoint)))
+        .outputMode(transactions_output_mode(cfg))
+        .option("checkpointLocation", checkpoint),
         trigger,
     ).start()
+
+
+def _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger) -> Detector:
+    q1 = start_transactions(raw_transactions, store, f"{checkpoint_dir}/all_txn", cfg, trigger)
     q2 = _trigger(
         alert_stream(raw_alerts, cfg)
         .select(*ALERT_COLUMNS)
@@ -299,14 +321,9 @@ def q_stream_all_alerts(spark, sf_dir):
 def _run_transactions_query(spark: SparkSession, sf_dir: str, label: str, faults: bool) -> TableStore:
     """The transactions query alone over ``events`` (availableNow)."""
     store = TableStore(spark, scratch_path(spark, label))
+    raw = events_file_stream(spark, sf_dir, faults=faults)
     with state_partitions(spark):
-        q = (
-            transaction_rows(events_file_stream(spark, sf_dir, faults=faults))
-            .writeStream.foreachBatch(transactions_sink(store, Writer(spark, f"{store.root}/_checkpoints/all_txn")))
-            .option("checkpointLocation", f"{store.root}/_checkpoints/all_txn")
-            .trigger(availableNow=True)
-            .start()
-        )
+        q = start_transactions(raw, store, f"{store.root}/_checkpoints/all_txn")
     q.awaitTermination()
     return store
 
@@ -344,26 +361,34 @@ def q_stream_alerts_faulty(spark, sf_dir):
     return store.read("flagged_transactions").select("txn_ref", "account_id", "fraud_type", "details")
 
 
-@register("stream_two_writers")
-def q_stream_two_writers(spark, sf_dir):
-    """A load and a detector's transactions query on one store: neither replaces the other's batches."""
+def _two_writers(spark: SparkSession, sf_dir: str, label: str) -> TableStore:
+    """A store that holds every transaction twice: from a load, then from a detector that rereads the topic."""
     from ..plans.etl import seed_store
 
-    store = seed_store(spark, sf_dir, root=scratch_path(spark, "stream-two-writers"))
-    checkpoint = f"{store.root}/_checkpoints/all_txn"
+    store = seed_store(spark, sf_dir, root=scratch_path(spark, label))
     with state_partitions(spark):
-        q = (
-            transaction_rows(events_file_stream(spark, sf_dir))
-            .writeStream.foreachBatch(transactions_sink(store, Writer(spark, checkpoint)))
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
+        q = start_transactions(events_file_stream(spark, sf_dir), store, f"{store.root}/_checkpoints/all_txn")
     q.awaitTermination()
-    rows = store.read("all_transactions")
-    return rows.groupBy("txn_ref").agg(
-        F.countDistinct("writer").alias("writers"), F.count("*").alias("n_rows")
-    )
+    return store
+
+
+@register("stream_two_writers")
+def q_stream_two_writers(spark, sf_dir):
+    """A load and a detector's transactions query on one store: one row a key, the load's (it came first)."""
+    store = _two_writers(spark, sf_dir, "stream-two-writers")
+    rows = store.read("all_transactions").withColumn("from_load", F.col("writer").startswith("load-").cast("string"))
+    amount = F.max(F.col("amount").cast("double")).alias("amount")
+    return rows.groupBy("txn_ref", "from_load").agg(F.count("*").alias("n_rows"), amount)
+
+
+@register("stream_two_writers_reconcile")
+def q_stream_two_writers_reconcile(spark, sf_dir):
+    """The reconciliation over such a store: every transaction counts once."""
+    from ..plans.etl import RECON_OUT, reconcile, run_etl
+
+    store = _two_writers(spark, sf_dir, "two-writers-reconcile")
+    res = run_etl(spark, store)
+    return reconcile(spark, store, run_id=res.run_id, distinct_alerts=True).select(*RECON_OUT)
 
 
 # Append mode emits a window once the final watermark (max event time
@@ -376,7 +401,10 @@ oracle.add(
     "SELECT txn_ref, account_id, fraud_type, details FROM travel" + _CLOSED,
 )
 oracle.add("stream_rejected", oracle.REJECTED)
-oracle.add("stream_two_writers", "SELECT txn_ref, 2 AS writers, 2 AS n_rows FROM txn")
+oracle.add(
+    "stream_two_writers",
+    "SELECT txn_ref, 'true' AS from_load, 1 AS n_rows, CAST(amount AS DOUBLE) AS amount FROM txn",
+)
 oracle.add(
     "stream_alerts_faulty",
     r""", wslid AS (

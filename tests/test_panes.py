@@ -1,0 +1,142 @@
+"""Windows from panes against brute force; the plans shuffle a row once."""
+
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+from dataclasses import replace
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from cardsentry.config import DEFAULT
+from cardsentry.operators import panes, rules
+from cardsentry.sources import fixture
+from helpers import txn, txn_frame
+from test_skew import T0
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_windows(rows, width, slide):
+    groups = defaultdict(list)
+    for r in rows:
+        if r["event_ts"] is None:
+            continue
+        t = round(T0.timestamp() * 1e6) + r["_at"]
+        start = t - t % slide
+        while start + width > t:
+            groups[start, r["account_id"]].append(r)
+            start -= slide
+    return {
+        (start, account): (sorted({r["country"] for r in rs if r["country"]}), sum(r["txn_ref"] is not None for r in rs))
+        for (start, account), rs in groups.items() if len({r["country"] for r in rs if r["country"]}) > 1
+    }
+
+
+def some_rows(rng, n=250):
+    out = []
+    for i in range(n):
+        at = rng.choice([rng.randrange(0, 3 * 3600 * 10**6), rng.randrange(0, 36) * 300 * 10**6, -rng.randrange(1, 10**10)])
+        ref = None if rng.random() < 0.05 else f"t{i}"
+        row = txn(ref, rng.choice(["A", "B", "C"]), T0 + timedelta(microseconds=at), rng.choice(["US", "UK", "DE", None]))
+        out.append(row | {"_at": at})
+    return out + [txn("no-time", "A", None) | {"_at": 0}]
+
+
+WINDOWS = [("10 minutes", "5 minutes"), ("10 minutes", None), ("10 minutes", "4 minutes"), ("1 hour", "7 minutes"),
+           ("30 minutes", "1 minute"), ("90 seconds", "1 minute"), ("5 minutes", "5 minutes")]
+
+
+@pytest.mark.parametrize("width,slide", WINDOWS)
+def test_windows_and_alerts_equal_brute_force(spark, width, slide):
+    rows = some_rows(random.Random(width + str(slide)))
+    cfg = replace(DEFAULT, travel_window=width, travel_slide=slide)
+    df = txn_frame(spark, rows)
+    want = brute_windows(rows, panes.micros(width), panes.micros(slide or width))
+    got = rules.travel_windows(df, cfg).select(F.unix_micros("window.start").alias("s"), F.unix_micros("window.end").alias("e"),
+                                               "account_id", "countries", "txn_count").collect()
+    assert all(r["e"] - r["s"] == panes.micros(width) for r in got)
+    assert {(r["s"], r["account_id"]): (r["countries"], r["txn_count"]) for r in got} == want and len(got) == len(want)
+    start = F.unix_micros(F.to_timestamp(F.get_json_object("details", "$.window.start")))
+    alerts = rules.travel_alerts(df, cfg).groupBy("account_id", start.alias("s")).count().collect()
+    assert {(r["s"], r["account_id"]): r["count"] for r in alerts} == {k: n for k, (_, n) in want.items() if n}
+
+
+def test_equals_the_window_function(spark):
+    """The batch rule and Spark's own sliding windows (the streaming form) give the same rows."""
+    t = fixture.transactions(spark, SF)
+    direct = rules.windowed_rows(t).groupBy("window", "account_id").agg(
+        F.array_sort(F.collect_set("country")).alias("countries"), F.count("txn_ref").alias("txn_count")
+    ).filter(F.size("countries") > 1)
+    found = rules.travel_windows(t)
+    assert found.count() == direct.count() == 21
+    assert found.exceptAll(direct).count() == 0
+    assert dict(found.dtypes) == dict(direct.dtypes)
+
+
+def test_rows_are_not_expanded_to_windows(spark):
+    plan = rules.travel_alerts(fixture.transactions(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "collect_list" not in plan
+    # the only generators are on the guilty side: windows of a pane, panes of a window, salts
+    side = rules._row_slots(fixture.transactions(spark, SF), DEFAULT)
+    plan = side._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+
+def test_shuffled_rows_halve_in_the_join(spark):
+    """Each row goes to the join's shuffle once (before: once for each of its two windows)."""
+    t = fixture.transactions(spark, SF)
+    n = t.where("event_time is not null").count()
+    assert rules._row_slots(t, DEFAULT).count() == n
+    assert rules.windowed_rows(t).count() == 2 * n
+
+
+def test_stream_state_keeps_a_row_once(spark, tmp_path):
+    from cardsentry.session import scratch_path
+    from cardsentry.sinks.store import TableStore
+    from cardsentry.streaming import detector
+    from test_streaming import Feed
+
+    feed = Feed(str(tmp_path))
+    feed.push([txn(f"r{k}", f"a{k}", T0 + timedelta(minutes=k % 4)) for k in range(40)])
+    store = TableStore(spark, scratch_path(spark, "pane-state"))
+    det = detector.start_detector(detector.json_file_stream(spark, feed.dir), detector.json_file_stream(spark, feed.dir),
+                                  store, f"{store.root}/_ckpt")
+    det.await_all()
+    state = [s for p in det.alerts.recentProgress for s in p["stateOperators"] if "Join" in s["operatorName"]]
+    assert max(s["numRowsTotal"] for s in state) == 40
+
+
+def test_late_row_of_a_closed_window_joins_only_open_ones(spark, tmp_path):
+    """A row that comes after its first window closed is no part of that window's alerts."""
+    from cardsentry.session import scratch_path
+    from cardsentry.sinks.store import TableStore
+    from cardsentry.streaming import detector
+    from helpers import base, plus
+    from test_streaming import Feed
+
+    feed, b = Feed(str(tmp_path)), base(12)
+    feed.push([txn("u1", "A", plus(b, 6), "US"), txn("u2", "A", plus(b, 7), "UK")])  # windows 12:00 and 12:05
+    feed.push([txn("c1", "C", plus(b, 13), "US")])  # watermark 12:11: 12:00 closes
+    feed.push([txn("c2", "C", plus(b, 13), "US")])
+    feed.push([txn("late", "A", plus(b, 8), "DE")])  # late for 12:00-12:10, not for 12:05-12:15
+    feed.push([txn("c3", "C", plus(b, 40), "US")])
+    store = TableStore(spark, scratch_path(spark, "pane-late"))
+    detector.start_detector(detector.json_file_stream(spark, feed.dir), detector.json_file_stream(spark, feed.dir),
+                            store, f"{store.root}/_ckpt").await_all()
+    got = store.read("flagged_transactions").where("fraud_type = 'IMPOSSIBLE_TRAVEL'").select(
+        "txn_ref", F.get_json_object("details", "$.window.start").alias("w"), F.get_json_object("details", "$.countries").alias("c"))
+    rows = sorted((r["txn_ref"], r["w"][11:16], r["c"]) for r in got.collect())
+    two, three = '["UK","US"]', '["DE","UK","US"]'
+    assert rows == [("late", "12:05", three), ("u1", "12:00", two), ("u1", "12:05", three), ("u2", "12:00", two), ("u2", "12:05", three)]
+
+
+def test_durations():
+    assert panes.micros("10 minutes") == 600 * 10**6 and panes.micros("1 hour 30 minutes") == 5400 * 10**6
+    assert panes.micros("INTERVAL 2 days") == 2 * 86400 * 10**6 and panes.micros("250 milliseconds") == 250_000
+    for bad in ("1 month", "soon", ""):
+        with pytest.raises(ValueError):
+            panes.micros(bad)
+    assert panes.pane_length(600, 240) == 120

@@ -88,7 +88,47 @@ def test_jdbc_paths_reach_the_connector(spark):
     assert _missing_source(err.value)
 
 
-def test_jdbc_store_appends_attempts_and_reads_the_last(spark, monkeypatch, tmp_path):
+class Database:
+    """Stands in for a database: each table is a folder, and the queries the store sends are answered from it."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.seen = spark, folder, []
+
+    def path(self, opts):
+        return str(self.folder / opts["dbtable"])
+
+    def read(self, session, opts):
+        import re
+
+        self.seen.append(opts)
+        if "query" not in opts:
+            return session.read.parquet(self.path(opts))
+        if "information_schema" in opts["query"]:
+            return session.range(1 if (self.folder / opts["query"].split("'")[1]).exists() else 0)
+        table = re.search(r"FROM (\w+)", opts["query"])[1]
+        session.read.parquet(str(self.folder / table)).createOrReplaceTempView(table)
+        return session.sql(opts["query"])
+
+    def parallel(self, session, opts, column, tasks):
+        self.seen.append(opts | {"column": column, "tasks": tasks})
+        return session.read.parquet(self.path(opts))
+
+    def append(self, df, opts):
+        df.write.mode("append").parquet(self.path(opts))
+
+
+@pytest.fixture()
+def database(spark, monkeypatch, tmp_path):
+    from cardsentry.sinks import jdbc_store
+
+    db = Database(spark, tmp_path)
+    monkeypatch.setattr(jdbc_store, "read_jdbc", db.read)
+    monkeypatch.setattr(jdbc_store, "read_jdbc_parallel", db.parallel)
+    monkeypatch.setattr(jdbc_store, "append_jdbc", db.append)
+    return db
+
+
+def test_jdbc_store_publishes_attempts_and_reads_the_last(spark, database, tmp_path):
     """Option level: the JDBC calls are replaced by files."""
     from cardsentry.operators import rules
     from cardsentry.sinks import jdbc_store
@@ -96,32 +136,65 @@ def test_jdbc_store_appends_attempts_and_reads_the_last(spark, monkeypatch, tmp_
     from helpers import base, txn, txn_frame
     from pyspark.sql import functions as F
 
-    seen = []
-    path = lambda opts: str(tmp_path / opts["dbtable"])
-
-    def read(session, opts):
-        seen.append(opts)
-        if "query" in opts:
-            name = opts["query"].split("'")[1]
-            return session.range(1 if (tmp_path / name).exists() else 0)
-        return session.read.parquet(path(opts))
-
-    monkeypatch.setattr(jdbc_store, "read_jdbc", read)
-    monkeypatch.setattr(jdbc_store, "append_jdbc", lambda df, opts: df.write.mode("append").parquet(path(opts)))
     store = jdbc_store.JdbcStore(spark, str(tmp_path / "files"), "jdbc:x://db", prefix="p_", user="u", driver="d")
     assert store.read("all_transactions").count() == 0
     with pytest.raises(MissingTableError):
         store.read("all_transactions", must_exist=True)
-    t = txn_frame(spark, [txn("a", "x", base(), amount=9000.0), txn("b", "x", base())]).withColumn("proc_ts", F.current_timestamp())
-    for _ in range(2):  # a replayed batch
-        store.write_partition("all_transactions", t, 0, "w1")
+    t = txn_frame(spark, [txn("a", "x", base(), amount=9000.0), txn("b", "x", base())])
+
+    def at(second):
+        return t.withColumn("proc_ts", F.timestamp_seconds(F.lit(second)))
+
+    for second in (5, 6):  # a replayed batch
+        store.write_partition("all_transactions", at(second), 0, "w1")
         store.write_partition("flagged_transactions", rules.all_alerts(t).withColumn("flag_id", F.lit("f")), 0, "w1")
-    store.write_partition("all_transactions", t.where("txn_ref = 'a'"), 0, "w2")
+    store.write_partition("all_transactions", at(1).where("txn_ref = 'a'"), 0, "w2")
     assert sorted((r["writer"], r["txn_ref"]) for r in store.read("all_transactions").collect()) == [
-        ("w1", "a"), ("w1", "b"), ("w2", "a")]
+        ("w1", "b"), ("w2", "a")]  # one row a key: w2's came first
     assert store.read("flagged_transactions").count() == 1
-    assert seen[-1]["dbtable"] == "p_flagged_transactions" and seen[-1]["user"] == "u" and seen[-1]["driver"] == "d"
+    scan = [o for o in database.seen if "column" in o][-1]
+    assert scan["dbtable"] == "p_flagged_transactions" and scan["user"] == "u" and scan["driver"] == "d"
+    assert scan["column"] == "flag_id" and scan["tasks"] == 8
+    asked = [o["query"] for o in database.seen if "query" in o][-1]
+    assert "MAX(attempt)" in asked and "GROUP BY writer, part" in asked
+    # rows of an attempt that was never published stay invisible; an empty replay leaves nothing
+    database.append(at(0).withColumn("batch_id", F.lit(1).cast("long")).withColumn("attempt", F.lit("9")).withColumn("writer", F.lit("w1"))
+                    .select(*spark.read.parquet(str(tmp_path / "p_all_transactions")).columns), {"dbtable": "p_all_transactions"})
+    assert store.read("all_transactions").count() == 2
+    store.write_partition("all_transactions", at(7).limit(0), 0, "w2")
+    assert {r["writer"] for r in store.read("all_transactions").collect()} == {"w1"}
     from cardsentry.plans.etl import run_etl
 
     res = run_etl(spark, store)
     assert res.rows_inserted == 1 and store.read("validated_ledger").count() == 1
+    again = run_etl(spark, store)
+    assert again.run_id == 2 and again.rows_inserted == 0 and again.base_run is None
+
+
+def test_parallel_scans_cover_every_row_once(spark, monkeypatch):
+    """The ranges' predicates, run on a frame: each row in one of them, sizes even."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(1000).select(F.concat(F.lit("k'"), (F.col("id") * 7919 % 1000).cast("string")).alias("key"))
+    rows = rows.unionByName(spark.createDataFrame([(None,)], "key string"))
+    seen, calls = [], []
+
+    def read(session, opts):
+        seen.append(opts)
+        n = opts["query"].count("PERCENTILE_DISC")
+        keys = sorted(r["key"] for r in rows.where("key is not null").collect())
+        return session.createDataFrame([tuple(keys[len(keys) * k // (n + 1)] for k in range(1, n + 1))])
+
+    monkeypatch.setattr(jdbc, "read_jdbc", read)
+    opts = jdbc.jdbc_options("jdbc:x://db", "t", user="u")
+    bounds = jdbc.quantile_bounds(spark, opts, "key", 8)
+    assert len(seen) == 1 and "dbtable" not in seen[0] and len(bounds) == 7
+    predicates = jdbc.range_predicates("key", bounds)
+    sizes = [rows.where(p).count() for p in predicates]
+    assert len(predicates) == 8 and sum(sizes) == 1001 and max(sizes) < 140
+    assert jdbc.range_predicates("key", []) == [] and len(jdbc.range_predicates("key", ["m"])) == 2
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, url, table, predicates, properties: calls.append((url, table, predicates, properties)))
+    jdbc.read_jdbc_parallel(spark, opts, "key", 8)
+    assert calls == [("jdbc:x://db", "t", predicates, {"user": "u"})]
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda session, opts: "one query")
+    assert jdbc.read_jdbc_parallel(spark, opts, None, 8) == "one query"

@@ -9,8 +9,6 @@ import time
 from pyspark.sql import functions as F
 
 from cardsentry.config import DEFAULT
-from cardsentry.functions.codec import decode_events
-from cardsentry.operators import quality
 from cardsentry.session import scratch_path
 from cardsentry.sinks.store import TableStore
 from cardsentry.streaming import detector
@@ -132,13 +130,13 @@ def test_replayed_batch_is_idempotent(spark):
     b = base(12)
     raw = wire_frame(spark, wire_docs([txn("r1", "A", plus(b, 1), "US", 9000.0),
                                        txn("r2", "A", plus(b, 2), "US")]))
-    decoded = quality.with_reject_reason(decode_events(raw))
+    tagged = detector.transaction_rows(raw)
     tx_sink = detector.transactions_sink(store, lambda: "w")
     al_sink = detector.alerts_sink(store, lambda: "w")
     batch_alerts = detector.alert_stream(raw).select("txn_ref", "account_id", "fraud_type",
                                                      "detection_ts", "details")
     for _ in range(2):  # same batch id twice, as after a failure
-        tx_sink(decoded, 5)
+        tx_sink(tagged, 5)
         al_sink(batch_alerts, 5)
     assert store.read("all_transactions").count() == 2
     assert alerts(store) == [("r1", "HIGH_VALUE")]
