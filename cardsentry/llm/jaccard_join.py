@@ -167,14 +167,9 @@ def agreement(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_pairs(
-    bucket: int, ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, meets: list[set],
-    similarity: float, everything: bool,
+    ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, similarity: float, everything: bool
 ) -> list[tuple[int, int]]:
-    """Candidate pairs of one bucket between different components.
-
-    ``meets`` has the buckets of each set: in the second pass a pair is left
-    to the first of the buckets in which it meets.
-    """
+    """Candidate pairs of one bucket between different components: all of them, or the strongest and a forest."""
     n = len(ids)
     names, count = np.unique(labels, return_counts=True)
     # links inside the largest component are implied: only the other sets are compared
@@ -185,9 +180,7 @@ def bucket_pairs(
     a = rows[x]
     once = (a < b) | ~np.isin(b, rows)
     x, a, b = x[once], a[once], b[once]
-    if everything:
-        keep = np.array([min(meets[i] & meets[j]) == bucket for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
-    elif len(a) <= (STRONGEST + 1) * n:
+    if everything or len(a) <= (STRONGEST + 1) * n:
         keep = np.arange(len(a))
     else:
         order = np.lexsort((b, a, -agree[x, b] / filled[x, b]))
@@ -213,7 +206,7 @@ def bucket_pairs(
 
 
 def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFrame:
-    """Distinct candidate pairs of bounded buckets; rows are ``bucket, id, label, sketch, meets``."""
+    """Distinct candidate pairs of bounded buckets; rows are ``bucket, id, label, sketch``."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -223,11 +216,10 @@ def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFra
             ids, labels = (np.array(part.column(c), np.int64) for c in ("id", "label"))
             sketches, sizes = _sketches(part.column("sketch"))
             cut = np.flatnonzero(np.diff(bucket)) + 1
-            meets = [set(x) for x in part.column("meets").to_pylist()]
             found = set()
             for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
                 if j - i > 1:
-                    pairs = bucket_pairs(int(bucket[i]), ids[i:j], labels[i:j], sketches[i:j], sizes[i:j], meets[i:j], similarity, everything)
+                    pairs = bucket_pairs(ids[i:j], labels[i:j], sketches[i:j], sizes[i:j], similarity, everything)
                     found.update((min(p), max(p)) for p in pairs)
             pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -246,7 +238,7 @@ def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFra
         if rest is not None and len(rest):
             yield emit(rest)
 
-    dealt = rows.select("bucket", "id", "label", "sketch", "meets").repartition("bucket").sortWithinPartitions("bucket", "id")
+    dealt = rows.select("bucket", "id", "label", "sketch").repartition("bucket").sortWithinPartitions("bucket", "id")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -445,6 +437,7 @@ def _joined(
             break
         if level == depth:
             # blocks of an oversize bucket meet pairwise, each two in a bucket of their own
+            hot = hot.join(distinct_buckets(hot), "bucket", "left_semi")
             blocks = F.ceil(F.col("n") / F.lit(max(1, limit // 2))).cast("long")
             dealt = hot.withColumn("x", F.pmod(F.xxhash64("id"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
             met = dealt.select(F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")).alias("bucket"), "id")
@@ -463,8 +456,7 @@ def _joined(
         found = materialize(spark, found, f"buckets-{level + 1}")
 
     small = small.distinct()
-    meets = small.groupBy("id").agg(F.collect_list("bucket").alias("meets"))  # a few buckets of each run
-    small = materialize(spark, small.join(sketches.join(meets, "id"), "id"), "small-buckets")
+    small = materialize(spark, small.join(sketches, "id"), "small-buckets")
     tried = links
     for everything in (False, True):
         meeting = labelled(small, labels)
@@ -492,6 +484,17 @@ def _joined(
     return members.select("doc_id", "row", alone.alias("text_class"), F.coalesce("component", alone).alias("class_id")), links, texts, labels
 
 
+def distinct_buckets(rows: DataFrame) -> DataFrame:
+    """``bucket``: one of each group of buckets that hold the same sets.
+
+    Texts that share a template stay together on many paths; comparing them once is enough.
+    """
+    held = rows.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
+    )
+    return held.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+
+
 def agreeing(rows: DataFrame, similarity: float) -> DataFrame:
     """Pairs (id, leader) whose sketches are close enough to be verified."""
 

@@ -166,3 +166,59 @@ def test_components_of_random_graphs(spark):
     linked = {v for a, b in edges if a != b for v in (a, b)}
     assert {r["id"]: r["component"] for r in got} == {v: find(parent, v) for v in linked}
     assert components(spark, spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_template_texts_stay_linear_in_the_blocks(spark, monkeypatch):
+    """Texts that share a template, below the similarity, stay in oversize buckets to the last level."""
+    rng = random.Random(21)
+    template = words(rng, 60)
+    rows = [(k, " ".join([*template, *words(rng, 30)])) for k in range(240)]
+    rows += [(1000 + k, rows[k][1] + " " + words(rng, 1)[0]) for k in range(20)]
+    limit, written, real = 20, {}, J.materialize
+
+    def counting(session, df, label):
+        out = real(session, df, label)
+        written[label] = (out.count(), out.columns, [t for _, t in out.dtypes])
+        return out
+
+    monkeypatch.setattr(J, "materialize", counting)
+    members, _ = J.near_duplicates(spark, docs(spark, rows), limit=limit, depth=1)
+    assert {r["doc_id"]: r["class_id"] for r in members.collect()} == classes(rows)
+    n, columns, kinds = written["small-buckets"]
+    hot = written["bucket-members-1"][0]
+    assert not any(k.startswith("array") for k in kinds) and "meets" not in columns
+    # each member of a bucket goes to at most ceil(size / (limit / 2)) blocks, and equal buckets go once
+    assert n <= 26 * (hot + written["bucket-members-0"][0])
+
+
+def test_equal_buckets_are_compared_once(spark):
+    held = [(1, k) for k in range(5)] + [(2, k) for k in range(5)] + [(3, k) for k in range(4)] + [(4, k) for k in range(1, 6)]
+    got = J.distinct_buckets(spark.createDataFrame(held, "bucket long, id long"))
+    assert sorted(r["bucket"] for r in got.collect()) == [1, 3, 4]
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+def test_trees_find_pairs_at_the_threshold(similarity):
+    """The share of simulated pairs that meet in a bucket of one tree at least, with 0 to 4 splits."""
+    rng = np.random.default_rng(int(100 * similarity))
+    n, size = 400, 400
+    both = round(2 * size * similarity / (1 + similarity))
+    sigs = []
+    for _ in range(n):
+        pool = rng.integers(0, 2**63, 2 * size, dtype=np.uint64)
+        sigs.append((J.signature(np.sort(pool[:size])), J.signature(np.sort(pool[size - both : 2 * size - both]))))
+    left, right = (np.array([s[k] for s in sigs]) for k in (0, 1))
+    met = {splits: np.zeros(n, bool) for splits in range(J.DEPTH + 1)}
+    for run in range(J.RUNS):
+        paths = np.full(n, J.mix(np.array([run + 1], np.uint64))[0])
+        nodes = [(np.arange(n), paths)]
+        for splits in range(J.DEPTH + 1):
+            row, path = nodes[-1]
+            a_row, a_child = J.children(path, left[row], J.SIMILARITY)
+            b_row, b_child = J.children(path, right[row], J.SIMILARITY)
+            pairs = {(int(row[r]), int(c)) for r, c in zip(a_row, a_child, strict=True)} & {
+                (int(row[r]), int(c)) for r, c in zip(b_row, b_child, strict=True)}
+            pairs = sorted(pairs)
+            met[splits][[p for p, _ in pairs]] = True
+            nodes.append((np.array([p for p, _ in pairs], np.int64), np.array([c for _, c in pairs], np.uint64)))
+    assert all(hit.mean() >= 0.99 for hit in met.values()), {k: v.mean() for k, v in met.items()}
