@@ -20,11 +20,12 @@
    as well.
 
 Benchmark items are a query set: they go to every task in blocks of at most
-``ITEM_BLOCK`` items, with one search for each block.
+``ITEM_BLOCK`` items and about ``ITEM_WORDS`` words, with one search for each block; products
+are formed by blocks of ``PRODUCT`` windows on both sides, however long texts and items are.
 
 Defined results: null and empty texts have no windows and are clean; documents
 of any length are searched whole, in overlapping stretches; an item of fewer
-than ``SHORT`` words must occur in full; one with few content words (a widely
+than ``SHORT`` words must occur in full (found by an index of runs of its own length); one with few content words (a widely
 leaked one turns its own words into stop words) is a candidate wherever two of
 its words stand in a row;
 items without words match nothing; repeated documents are each reported, a
@@ -72,12 +73,12 @@ SLIDE, SLIDE_SHARE = 5, 8
 GRAM = 3
 #: The same for items that have no windows.
 FEW_GRAM = 2
-ITEM_BLOCK = 5000
+ITEM_BLOCK, ITEM_WORDS = 5000, 1 << 18
 #: Words searched at once, and the least overlap; it is longer where an item's region is.
 STRETCH, OVERLAP = 1 << 16, 1024
 #: Words of the documents searched together.
 TOGETHER = 1 << 14
-#: Windows of a product with the items' windows, also inside one document.
+#: Windows of a product on each side, also inside one document or one item.
 PRODUCT = 1 << 12
 #: Parts into which the sums over terms are dealt.
 BLOCKS = 64
@@ -103,7 +104,7 @@ class Query:
     need: np.ndarray  # content words that a document's window must share
     vec: np.ndarray  # its unit vector
     known: np.ndarray  # (items x WORD_BINS): bins of the items' content words, laid flat
-    exact: list[int]  # items that must occur in full
+    exact: list[Grams]  # items that must occur in full, by their length
     union: np.ndarray  # content words of all items, by their first 20 bits
     groups: list[np.ndarray]  # windows that need the same number of words
     grams: list[Grams]
@@ -389,7 +390,7 @@ def gram_places(words: np.ndarray, g: Grams) -> tuple[np.ndarray, np.ndarray, np
 
 def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     content = [content_of(i.words, idf) for i in items]
-    exact = [k for k, i in enumerate(items) if len(i.words) < SHORT]
+    short = [k for k, i in enumerate(items) if len(i.words) < SHORT]
     bare = [k for k, i in enumerate(items) if len(i.words) >= SHORT and len(content[k]) < FEW]
     known = np.zeros((len(items), WORD_BINS), np.int8)
     of, at, need, vecs = [], [], [], []
@@ -409,22 +410,13 @@ def query_of(items: list[Item], idf: np.ndarray, latent: np.ndarray) -> Query:
     for k, item in enumerate(items):
         union[item.words[content[k]] >> np.uint32(12)] = 1
     groups = [np.flatnonzero(need == k) for k in np.unique(need)]
-    rest = sorted(set(range(len(items))) - set(exact) - set(bare))
+    rest = sorted(set(range(len(items))) - set(short) - set(bare))
+    sizes = sorted({len(items[k].words) for k in short})
+    exact = [grams_of(items, [k for k in short if len(items[k].words) == n], n) for n in sizes]
     grams = [grams_of(items, rows, size) for rows, size in ((rest, GRAM), (bare, FEW_GRAM)) if rows]
     return Query(items, content, np.array(of, np.int64), np.array(at, np.int64), need, vec, known.ravel(), exact, union, groups, grams)
 
 
-def occurrence(item: Item, words: np.ndarray) -> int | None:
-    """First place at which the item's words stand in full."""
-    own = item.words
-    if len(own) > len(words):
-        return None
-    for a in np.flatnonzero(words[: len(words) - len(own) + 1] == own[0]).tolist():
-        if np.array_equal(words[a : a + len(own)], own):
-            return a
-    return None
-
-
 def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query) -> dict:
     """Leaks of some documents: (document, item) -> (first word, cosine, common words, ratio, answer found).
 
@@ -432,11 +424,6 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
     step is one operation for all of them.
     """
     out: dict[tuple[int, int], tuple] = {}
-    for k in q.exact:
-        for n, words in enumerate(docs):
-            a = occurrence(q.items[k], words)
-            if a is not None:
-                out[n, k] = (a, 1.0, len(q.items[k].words), 1.0, True)
     overlap = max([OVERLAP, *(len(i.words) + 2 * MARGIN + slide(i) for i in q.items)])
     parts = [(n, at, w[at : at + STRETCH + overlap]) for n, w in enumerate(docs) if len(w)
              for at in range(0, max(len(w) - overlap, 1), STRETCH)]
@@ -444,12 +431,25 @@ def search(docs: list[np.ndarray], idf: np.ndarray, latent: np.ndarray, q: Query
         return out
     words = np.concatenate([p for _, _, p in parts])
     ends = np.cumsum([len(p) for _, _, p in parts])
+    for g in q.exact:
+        in_full(out, q, g, parts, words, ends)
     by_windows(out, q, parts, words, ends, idf, latent)
     for g in q.grams:
         by_grams(out, q, g, parts, words, ends, latent)
     return out
 
 
+def in_full(out: dict, q: Query, g: Grams, parts: list[tuple], words: np.ndarray, ends: np.ndarray) -> None:
+    """The first place of each short item that a document holds in full."""
+    place, of, _ = gram_places(words, g)
+    part = np.searchsorted(ends, place, side="right")
+    whole = place + g.size <= ends[part]
+    for a, k, p in zip(place[whole].tolist(), of[whole].tolist(), part[whole].tolist(), strict=True):
+        n, base, text = parts[p]
+        if (n, k) not in out and np.array_equal(words[a : a + g.size], q.items[k].words):
+            out[n, k] = (base + a - (int(ends[p]) - len(text)), 1.0, g.size, 1.0, True)
+
+
 def by_windows(
     out: dict, q: Query, parts: list[tuple], words: np.ndarray, ends: np.ndarray, idf: np.ndarray, latent: np.ndarray
 ) -> None:
@@ -482,9 +482,11 @@ def by_windows(
         every = np.flatnonzero(seen[fold] >= q.need[g[0]])
         for first in range(0, len(every), PRODUCT):
             rows = every[first : first + PRODUCT]
-            cos = x[rows] @ q.vec[g].T
-            a, b = np.nonzero(cos >= COSINE)
-            found.append((fold[rows[a]], g[b], cos[a, b]))
+            for column in range(0, len(g), PRODUCT):
+                some = g[column : column + PRODUCT]
+                cos = x[rows] @ q.vec[some].T
+                a, b = np.nonzero(cos >= COSINE)
+                found.append((fold[rows[a]], some[b], cos[a, b]))
     if not found:
         return
     hit, which, cosine = (np.concatenate([f[k] for f in found]) for k in range(3))
@@ -570,6 +572,7 @@ def leaks(
     found = None
     queries = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("t is not null").orderBy("i", "t")
     block: list[Item] = []
+    size = 0  # words of the block
 
     def searched(block: list[Item]) -> DataFrame:
         query = spark.sparkContext.broadcast(query_of(block, idf, latent))
@@ -598,11 +601,13 @@ def leaks(
 
     for r in queries.toLocalIterator():
         item = Item(r["i"], hashes(r["t"]), hashes(answer_of(r["t"])))
-        if len(item.words):
-            block.append(item)
-        if len(block) == ITEM_BLOCK:
+        if not len(item.words):
+            continue
+        if block and (len(block) == ITEM_BLOCK or size + len(item.words) > ITEM_WORDS):
             found = searched(block) if found is None else found.unionByName(searched(block))
-            block = []
+            block, size = [], 0
+        block.append(item)
+        size += len(item.words)
     if block:
         found = searched(block) if found is None else found.unionByName(searched(block))
     return found if found is not None else spark.createDataFrame([], LEAKS)

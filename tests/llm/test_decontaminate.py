@@ -187,6 +187,70 @@ def test_a_long_document_is_searched_in_bounded_products(monkeypatch):
         assert np.allclose(np.array(got[k], float), np.array(v, float), atol=1e-5)
 
 
+def test_long_items_are_searched_in_bounded_products(monkeypatch):
+    """Items of 1,000 words: no product has more than PRODUCT windows on a side, and the results stay."""
+    rng, idf, latent = random_model(7)
+    items = [rng.integers(0, 16000, 1000).astype(np.uint32) for _ in range(40)]
+    clean = lambda n: rng.integers(20000, 400000, n).astype(np.uint32)
+    docs = [np.concatenate([clean(300), items[k], clean(300)]) for k in (0, 17, 39)] + [clean(2000)]
+    query = D.query_of([D.Item(k, w, w[-6:]) for k, w in enumerate(items)], idf, latent)
+    want = D.search(docs, idf, latent, query)
+    assert {k for k in want} == {(0, 0), (1, 17), (2, 39)}
+    sizes, real = [], np.nonzero
+
+    def nonzero(x):
+        if x.ndim == 2:
+            sizes.append(x.shape)
+        return real(x)
+
+    monkeypatch.setattr(D, "PRODUCT", 256)
+    monkeypatch.setattr(D.np, "nonzero", nonzero)
+    got = D.search(docs, idf, latent, query)
+    assert len(query.vec) > 10_000 and sizes and max(max(s) for s in sizes) <= 256
+    assert set(got) == set(want) and all(got[k][2:] == want[k][2:] for k in want)
+
+
+def test_item_blocks_are_bounded_by_words(spark, monkeypatch):
+    rows, items, want = corpus(8)
+    seen, real = [], D.query_of
+    monkeypatch.setattr(D, "ITEM_WORDS", 100)
+    monkeypatch.setattr(D, "query_of", lambda block, *a: seen.append(sum(len(i.words) for i in block)) or real(block, *a))
+    bench = spark.createDataFrame(items[:12], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in D.leaks(spark, docs(spark, rows), bench).collect()} == want
+    assert len(seen) > 3 and max(seen) <= 100
+
+
+def test_short_items_equal_brute_force_and_need_one_look_up_a_length(monkeypatch):
+    rng, idf, latent = random_model(9)
+    items = [rng.integers(0, 30, int(n)).astype(np.uint32) for n in rng.integers(1, D.SHORT, 2000)]
+    docs = [rng.integers(0, 30, int(n)).astype(np.uint32) for n in rng.integers(0, 60, 40)]
+    held = lambda d, i: next((a for a in range(len(d) - len(i) + 1) if np.array_equal(d[a : a + len(i)], i)), None)
+    want = {(n, k): a for n, d in enumerate(docs) for k, i in enumerate(items) if (a := held(d, i)) is not None}
+    calls, real = [], D.gram_places
+    monkeypatch.setattr(D, "gram_places", lambda *a: calls.append(1) or real(*a))
+    got = searched(docs, items, idf, latent)
+    assert {k: v[0] for k, v in got.items()} == want and len(want) > 1000
+    assert len(calls) == D.SHORT - 1  # one for each length, however many items there are
+
+
+def test_a_paraphrase_that_only_the_latent_path_finds():
+    """Every third word of the item is another one: no run of three words is left, the windows still point its way."""
+    rng, idf, latent = random_model(10)
+    item = rng.integers(2000, 16000, 48).astype(np.uint32)
+    clean = lambda n: rng.integers(20000, 400000, n).astype(np.uint32)
+    held = item.copy()
+    held[2:-6:3] = clean(len(held[2:-6:3]))
+    doc = np.concatenate([clean(50), held[:-6], clean(3), item[-6:-3], clean(1), item[-3:], clean(50)])
+    held_grams = D.gram_keys(doc, D.GRAM)
+    answer_less = np.isin(held_grams, D.gram_keys(item[:-6], D.GRAM))
+    assert not answer_less.any()
+    query = D.query_of([D.Item(0, item, item[-6:])], idf, latent)
+    query.grams = []  # the exact index is off
+    assert set(D.search([doc, clean(300)], idf, latent, query)) == {(0, 0)}
+    query.vec = query.vec[:0]  # and now the latent path too
+    assert D.search([doc], idf, latent, query) == {}
+
+
 def test_empty_tables(spark):
     bench = spark.createDataFrame([(1, "some benchmark text of nine words in all here")], "item_id long, text string")
     assert D.leaks(spark, docs(spark, []), bench).collect() == []
