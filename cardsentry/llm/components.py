@@ -19,8 +19,12 @@ def _digest(links: DataFrame) -> tuple:
     return r["n"], r["h"]
 
 
-def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
-    """``id, component`` (the smallest id) for every vertex of ``edges`` that has a neighbour."""
+def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:
+    """``id, component`` (the smallest id) for every vertex of ``edges`` that has a neighbour.
+
+    Rounds go on to the fixed point; their number grows with the logarithm of the
+    longest path, so a graph that needs more than ``max_rounds`` is an error, not a result.
+    """
     lo, hi = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
     links = edges.where(F.col(a) != F.col(b)).select(hi.alias("a"), lo.alias("b")).distinct()
     links = materialize(spark, links, "cc")  # a > b
@@ -43,5 +47,7 @@ def components(spark: SparkSession, edges: DataFrame, a: str = "a", b: str = "b"
         if now == was:
             break
         was = now
+    else:
+        raise RuntimeError(f"components are not settled after {max_rounds} rounds")
     stars = links.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())

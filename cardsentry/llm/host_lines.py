@@ -36,10 +36,11 @@ def line_keys(text: Column) -> Column:
 
 
 def shared_lines(
-    spark: SparkSession, docs: DataFrame, text: str, host: str, min_docs: int, ratio: float
+    spark: SparkSession, docs: DataFrame, text: str, host: str, min_docs: int, ratio: float, most_docs: int | None = None
 ) -> DataFrame:
     """``(host, line)`` keys found in at least ``min_docs`` documents of the
-    host and in more than ``ratio`` of them; written to the shared folder.
+    host and in more than ``ratio`` of them (or, if given, in more than ``most_docs``);
+    written to the shared folder.
 
     Each document first reduces its lines to distinct keys, so a count of
     rows is a count of documents.  The count is combined on the map side and
@@ -56,9 +57,12 @@ def shared_lines(
         .where(F.col("n_docs") >= min_docs)
     )
     totals = docs.groupBy(F.col(host).alias("of")).agg(F.count("*").alias("host_docs"))
+    over = F.col("n_docs") > F.col("host_docs") * F.lit(ratio)
+    if most_docs is not None:
+        over |= F.col("n_docs") > F.lit(most_docs)
     flagged = (
         seen.join(totals, F.col("host").eqNullSafe(F.col("of")))
-        .where(F.col("n_docs") > F.col("host_docs") * F.lit(ratio))
+        .where(over)
         .select("host", "line", "n_docs", "host_docs")
     )
     return materialize(spark, flagged, "host-lines")
@@ -70,16 +74,18 @@ def with_shared(
 ) -> DataFrame:
     """Add ``into``: the flagged line keys that concern a document (null: none).
 
-    While the flagged table is measured small, its keys by host are broadcast
-    and the texts do not move.  Beyond that, the (document, line) pairs meet
+    While the flagged table is measured small, its keys by host are broadcast,
+    the texts do not move, and each document keeps those that it holds (one
+    intersection, so later look-ups are in a short list).  Beyond that, the (document, line) pairs meet
     the flagged lines in a shuffle join and come back as one short list for
     each document, which joins the texts on the document id, never on the host.
     """
     if flagged.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        by_host = flagged.groupBy("host").agg(F.collect_list("line").alias(into))
-        of = fresh("host")
-        by_host = F.broadcast(by_host.withColumnRenamed("host", of))
-        return docs.join(by_host, docs[host].eqNullSafe(by_host[of]), "left").drop(of)
+        of, every = fresh("host"), fresh("lines")
+        by_host = flagged.groupBy(F.col("host").alias(of)).agg(F.collect_list("line").alias(every))
+        out = docs.join(F.broadcast(by_host), docs[host].eqNullSafe(by_host[of]), "left")
+        own = let(F.array_intersect(line_keys(F.col(text)), F.col(every)), lambda x: F.when(F.size(x) > 0, x))
+        return out.withColumn(into, F.when(F.col(every).isNotNull(), own)).drop(of, every)
     pairs = docs.select(
         F.col(doc_id).alias("id"), F.col(host).alias("h"), F.explode(F.array_distinct(line_keys(F.col(text)))).alias("k")
     ).where("k is not null")

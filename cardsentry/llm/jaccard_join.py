@@ -28,8 +28,9 @@ exactly and by blocks of bounded size, each two blocks in a task of their own.
 Defined results: null texts and texts without words are never linked and are
 their own class; a shorter text than five words is one shingle; repeated rows
 are members of one class; where ids repeat or are null, classes are named by a
-hash of id and text instead of the smallest id; an empty table gives an empty
-result.
+hash of id and text instead of the smallest id; a pair at the similarity exactly is linked; texts of any
+length are compared whole; an empty table gives an empty
+result; only the id and text columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ each subword.
 
 Defined results: null or letterless text is ``und`` with score 0; texts of any
 length are read whole, in pieces; repeated rows get equal results; without a
-labelled sample every text is ``und``; an empty table gives an empty result.
+labelled sample every text is ``und``; of equal probabilities the alphabetically first
+language wins; at most ``max_langs`` languages are learned (the most frequent, by name among
+equals); an empty table gives an empty result; only the named columns are read, so others cannot clash.
 """
 
 from __future__ import annotations

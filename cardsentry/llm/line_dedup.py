@@ -7,8 +7,9 @@ are dropped from every page of that host.
 
 Defined results: null or empty text has no lines and comes back unchanged;
 blank lines stay; a line repeated within one page counts once; a null host is
-a host of its own; repeated rows each count as a page; an empty table gives
-an empty result; other columns pass through.
+a host of its own; repeated rows each count as a page; a share equal to the ratio is kept; texts of
+any length are read whole; an empty table gives an empty result; other columns pass
+through, whatever their names (own columns get names that cannot clash).
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .url_filter import MULTI_SUFFIXES
 
-#: Lines with a word, normalised; one row for each written line.
+#: Lines with a word, normalised; one row for each written line. %s: a further way to be over the limit.
 _LINES = r"""
 docs AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 written AS (
@@ -17,14 +17,14 @@ shared AS (
   SELECT n.source, n.norm
   FROM (SELECT source, norm, count(DISTINCT doc_id) AS c FROM normal WHERE norm <> '' GROUP BY ALL) n
   JOIN totals t ON n.source IS NOT DISTINCT FROM t.source
-  WHERE c >= 5 AND c > t.pages * 0.08),
+  WHERE c >= 5 AND (c > t.pages * 0.08%s)),
 marked AS (
   SELECT n.*, s.norm IS NOT NULL AS dropped
   FROM normal n LEFT JOIN shared s ON n.source IS NOT DISTINCT FROM s.source AND n.norm = s.norm)
 """
 
 _OP8 = rf"""
-WITH {_LINES},
+WITH {_LINES % " OR c > 1000"},
 w AS (
   SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
 base AS (
@@ -51,7 +51,7 @@ SELECT *, NOT base_failed AND 100 * removed_words <= 50 * n_words AS kept FROM f
 """
 
 _OP10 = f"""
-WITH {_LINES},
+WITH {_LINES % ""},
 kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT dropped) AS kept,
          count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
@@ -87,22 +87,23 @@ own AS (
 known AS (
   SELECT doc_id::VARCHAR AS ref, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
   WHERE doc_id IS NOT NULL AND (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY 1),
+named AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS site FROM own),
 hosts AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k,
-         array_to_string(string_split(host, '.')[-2:], '.') AS last2,
-         array_to_string(string_split(host, '.')[-1:], '.') AS last1,
-         array_to_string(string_split(host, '.')[-3:], '.') AS last3
-  FROM own LEFT JOIN known ON known.ref = regexp_extract(path, '^/[a-z]{{2}}/(\d+)(?:[./].*)?$', 1) GROUP BY host),
+  SELECT site, count(bad) AS n, coalesce(sum(bad), 0) AS k,
+         array_to_string(string_split(site, '.')[-2:], '.') AS last2,
+         array_to_string(string_split(site, '.')[-1:], '.') AS last1,
+         array_to_string(string_split(site, '.')[-3:], '.') AS last3
+  FROM named LEFT JOIN known ON known.ref = regexp_extract(path, '^/[a-z]{{2}}/(\d+)(?:[./].*)?$', 1) GROUP BY site),
 h AS (
-  SELECT host, n, k, CASE WHEN multi THEN last3 ELSE last2 END AS domain, CASE WHEN multi THEN last2 ELSE last1 END AS suffix
+  SELECT site, n, k, CASE WHEN multi THEN last3 ELSE last2 END AS domain, CASE WHEN multi THEN last2 ELSE last1 END AS suffix
   FROM (SELECT *, last2 IN {tuple(MULTI_SUFFIXES)} AS multi FROM hosts)),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY ALL),
 ps AS ({_strength('s')}), pd AS ({_strength('d')}), ph AS ({_strength('h')}),
 sr AS (SELECT suffix, (k + ps.p * ps.c) / (n + ps.c) AS rate FROM s, ps),
 dr AS (SELECT domain, suffix, (k + rate * pd.c) / (n + pd.c) AS rate FROM d JOIN sr USING (suffix), pd),
-hr AS (SELECT host, n + ph.c AS total, (k + rate * ph.c) / (n + ph.c) AS rate FROM h JOIN dr USING (domain, suffix), ph),
-blocked AS (SELECT host FROM hr WHERE rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) > 0.4),
+hr AS (SELECT site, n, k, n + ph.c AS total, (k + rate * ph.c) / (n + ph.c) AS rate FROM h JOIN dr USING (domain, suffix), ph),
+rep AS (SELECT *, rate - 1.645 * sqrt(rate * (1 - rate) / (total + 1)) AS bound FROM hr),
 ruled AS (
   SELECT *, CASE
     WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
@@ -110,11 +111,12 @@ ruled AS (
     WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
     WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
     WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule
-  FROM own)
+  FROM named)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
-            WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled
+            WHEN bound > 0.4 THEN 'block' ELSE 'allow' END AS verdict,
+       n::BIGINT AS n_outcomes, k::BIGINT AS n_bad, round(rate, 6) AS bad_rate, round(bound, 6) AS bad_bound
+FROM ruled JOIN rep USING (site)
 """
 
 

@@ -15,8 +15,10 @@ group, so a length that a third of all pieces share is still dealt over many
 tasks.
 
 Defined results: null and empty text is the end id alone; a document longer
-than the capacity is cut into full pieces and a rest; repeated rows are packed
-as often as they occur; an empty table gives no sequences.
+than the capacity, of any length, is cut into full pieces and a rest; repeated rows are packed
+as often as they occur; pieces of equal length are ranked by id, piece and checksum, and rows equal
+in these in any order; an empty table gives no sequences; only the id and text columns are
+read, so other columns cannot clash.
 """
 
 from __future__ import annotations

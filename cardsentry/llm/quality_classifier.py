@@ -17,7 +17,9 @@ logit is shifted back to the labels' true odds.
 Defined results: null and empty texts are one chunk of padding and get a
 score; repeated label rows count as good only if none says bad; without
 labels of both classes every score is the share of good labels (0.5 without
-any); repeated rows get equal results; an empty table gives an empty result.
+any); repeated rows get equal results; texts of any length are scored whole; a score equal to a
+limit reaches it; an empty table gives an empty result; other columns pass through, and the score goes
+to a column that the caller names.
 """
 
 from __future__ import annotations

@@ -2,12 +2,13 @@
 
 Per-text counts decide the base rules.  Then every normalised line is hashed,
 the distinct documents of each host that contain it are counted, lines above
-the limit are removed, and documents that lose more than half of their words
+a share of the host's documents or above an absolute number are removed, and documents that lose more than half of their words
 are rejected as depleted.
 
 Defined results: null or empty text has no words and fails the base rules;
-repeated rows each count as a document; a null host is a host of its own;
-an empty table gives an empty result.
+repeated rows each count as a document; a null host is a host of its own; a text of
+any length is judged whole; a count equal to a limit is within it; an empty table gives
+an empty result; only the named columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from .common import fresh, let
 from .host_lines import SPACE, line_keys, lines, normal_lines, shared_lines, with_shared
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A line may stand in at most this share of a host's documents (5 at least).
-LINE_RATIO, LINE_MIN_DOCS = 0.08, 5
+#: A line may stand in at most this share of a host's documents (5 at least), and in at most so many.
+LINE_RATIO, LINE_MIN_DOCS, LINE_MOST_DOCS = 0.08, 5, 1000
 #: A document that loses more than this percentage of its words is depleted.
 MAX_REMOVED_PERCENT = 50
 
@@ -92,11 +93,11 @@ def words_in_shared(text: Column, shared: Column) -> Column:
 
 def apply_rules(
     spark: SparkSession, docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id",
-    line_ratio: float = LINE_RATIO, line_min_docs: int = LINE_MIN_DOCS,
+    line_ratio: float = LINE_RATIO, line_min_docs: int = LINE_MIN_DOCS, line_most_docs: int | None = LINE_MOST_DOCS,
     max_removed_percent: int = MAX_REMOVED_PERCENT,
 ) -> DataFrame:
     """``doc_id``, the base counts, ``base_failed``, ``removed_words`` and ``kept``."""
-    flagged = shared_lines(spark, docs, text, host, line_min_docs, line_ratio)
+    flagged = shared_lines(spark, docs, text, host, line_min_docs, line_ratio, line_most_docs)
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(host).alias("host"), F.col(text).alias("text"))
     shared = fresh("shared")
     out = with_shared(narrow, flagged, "text", "host", "doc_id", shared)

@@ -5,15 +5,17 @@ order.  A shard is two files:
 
 * ``part-NNNNN.ids``: the ids of its documents, little-endian, two bytes an id
   if the vocabulary fits, else four; nothing else;
-* ``part-NNNNN.mph``: (numpy ``npz``) record offsets and keys in file order
-  and the index: a minimal perfect hash over the distinct keys gives a slot,
-  the slot holds the key's 32-bit fingerprint, its first record and its
-  number of records.  A look-up is a few hashes, one fingerprint comparison
-  and one read of the payload, whatever the number of keys.
+* ``part-NNNNN.mph``: a header and little-endian arrays (``SECTIONS``): record offsets and
+  keys in file order and the index: a minimal perfect hash over the distinct keys gives a
+  slot, the slot holds the key's 32-bit fingerprint, its first record and its
+  number of records.  A look-up (``Reader``) reads a block of bits and its rank for
+  each level that it passes (fewer than two on average), then one entry of each array and the payload:
+  some two hundred bytes besides the ids, whatever the number of keys.
 
 The perfect hash keeps, level by level, a bit array in which keys alone at
 their position are settled; the others go on to the next level; the rank of a
-key's bit is its slot (Limasset et al., 2017).
+key's bit is its slot (Limasset et al., 2017).  Ranks are stored for every block of
+``RANKED`` bits.
 
 A task writes under an attempt's own name and renames when complete, so a lost
 or repeated task leaves either nothing or the same files.  Files are opened
@@ -21,15 +23,16 @@ with ``pyarrow.fs`` by the URI of the shared folder.
 
 Defined results: null and empty text is the end id alone; a repeated key has
 one index entry and its records follow each other; a null key sorts first, is
-written and listed, but cannot be looked up; an empty table has no shards;
-other columns are not written.
+written and listed, but cannot be looked up; texts of any length are encoded whole; an
+empty table has no shards; other columns are not read, so none can clash.
 """
 
 from __future__ import annotations
 
-import io
+import bisect
 import uuid
 import zlib
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,16 @@ from pyspark.sql import functions as F
 from .common import encoder, materialize, prepare
 
 GAMMA = 2.0
+#: Bits of the perfect hash between two stored ranks.
+RANKED = 512
+#: Bytes of text in a shard, about; there are at least as many shards as the session's shuffle partitions.
+SHARD_BYTES = 1 << 28
+#: Shards that a reader keeps open.
+OPEN = 64
+MAGIC = b"MPHSHARD"
+#: The arrays of an index file, in order.
+SECTIONS = (("sizes", "<i8"), ("ranks", "<i8"), ("bits", "u1"), ("prints", "<u4"), ("first", "<i8"), ("count", "<i8"),
+            ("offsets", "<i8"), ("keys", "<i8"), ("valid", "u1"))
 MANIFEST = "shard long, name string, n_records long, n_ids long, first_key long, last_key long"
 RECORDS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -110,25 +123,51 @@ def build_index(keys: np.ndarray, valid: np.ndarray, lengths: np.ndarray) -> byt
     slot = mph.slots(u)
     prints, at, n = np.zeros(len(u), np.uint32), np.zeros(len(u), np.int64), np.zeros(len(u), np.int64)
     prints[slot], at[slot], n[slot] = fingerprint(u), first, count
-    out = io.BytesIO()
-    np.savez(out, keys=keys, valid=valid, offsets=np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64),
-             sizes=mph.sizes, bits=mph.bits, prints=prints, first=at, count=n)
-    return out.getvalue()
+    ones = np.add.reduceat(mph.flat, np.arange(0, len(mph.flat), RANKED)) if len(mph.flat) else np.zeros(0, np.int64)
+    arrays = {"sizes": mph.sizes, "ranks": np.cumsum(ones) - ones, "bits": mph.bits, "prints": prints, "first": at, "count": n,
+              "offsets": np.concatenate([[0], np.cumsum(lengths)]), "keys": keys, "valid": valid}
+    parts = [np.ascontiguousarray(arrays[name].astype(kind)).tobytes() for name, kind in SECTIONS]
+    sizes = np.array([len(p) for p in parts], "<i8").tobytes()
+    return MAGIC + sizes + b"".join(parts)
 
 
 class Shard:
-    """Keyed access to one shard."""
+    """One shard: keyed access by reads of a few bytes, or (``load``) all arrays at once."""
 
     def __init__(self, folder: str, name: str, id_bytes: int):
         self.fs, path = filesystem(folder)
-        self.path, self.name, self.dtype = path, name, np.dtype(f"<u{id_bytes}")
-        with self.fs.open_input_file(f"{path}/{name}.mph") as f:
-            self.__dict__.update(np.load(io.BytesIO(f.read())))
-        self.mph = PerfectHash(self.sizes, self.bits)
+        self.name, self.dtype = name, np.dtype(f"<u{id_bytes}")
+        self.index = self.fs.open_input_file(f"{path}/{name}.mph")
         self.payload = self.fs.open_input_file(f"{path}/{name}.ids")
+        self.bytes_read = 0
+        head = self.read(self.index, 0, len(MAGIC) + 8 * len(SECTIONS))
+        if head[: len(MAGIC)] != MAGIC:
+            raise ValueError(f"{name}: not an index file")
+        sizes = np.frombuffer(head[len(MAGIC) :], "<i8")
+        begins = len(head) + np.cumsum(sizes) - sizes
+        self.place = {n: (int(b), int(z), np.dtype(kind)) for (n, kind), b, z in zip(SECTIONS, begins, sizes, strict=True)}
+        self.levels = self.entries("sizes")  # the logarithm of the number of keys
+        self.level_at = np.concatenate([[0], np.cumsum(self.levels)])
+
+    def read(self, file, at: int, size: int) -> bytes:
+        self.bytes_read += size
+        return file.read_at(size, at)
+
+    def entries(self, name: str, at: int = 0, n: int | None = None) -> np.ndarray:
+        """``n`` entries of an array from entry ``at`` on (all of it by default)."""
+        begin, size, kind = self.place[name]
+        size = size if n is None else n * kind.itemsize
+        return np.frombuffer(self.read(self.index, begin + at * kind.itemsize, size), kind)
+
+    def load(self) -> "Shard":
+        for name in ("bits", "prints", "first", "count", "offsets", "keys", "valid"):
+            setattr(self, name, self.entries(name))
+        self.valid = self.valid.astype(bool)
+        self.mph = PerfectHash(self.levels, self.bits)
+        return self
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First record and number of records of each key (0 records: unknown key)."""
+        """First record and number of records of each key (0 records: unknown key), from the loaded arrays."""
         u = np.asarray(keys, np.int64).view(np.uint64)
         slot = self.mph.slots(u)
         ok = slot >= 0
@@ -137,9 +176,61 @@ class Shard:
         first[ok], n[ok] = self.first[slot[ok]], self.count[slot[ok]]
         return first, n
 
+    def slot(self, key: np.ndarray) -> int:
+        """Slot of one unsigned key, read from the file; -1 if no level settles it."""
+        for level, size in enumerate(self.levels.tolist()):
+            bit = int(mix(key, level + 1)[0] % np.uint64(size)) + int(self.level_at[level])
+            block = bit // RANKED
+            begin = block * RANKED // 8
+            held = min(RANKED // 8, self.place["bits"][1] - begin)
+            bits = np.unpackbits(self.entries("bits", begin, held))
+            if bits[bit - block * RANKED]:
+                return int(self.entries("ranks", block, 1)[0]) + int(bits[: bit - block * RANKED].sum())
+        return -1
+
+    def records(self, key: int) -> range:
+        """The records of a key, by reads whose size does not depend on the shard's."""
+        if not self.place["first"][1]:
+            return range(0)
+        u = np.array([key], np.int64).view(np.uint64)
+        slot = self.slot(u)
+        if slot < 0 or self.entries("prints", slot, 1)[0] != fingerprint(u)[0]:
+            return range(0)
+        first, n = int(self.entries("first", slot, 1)[0]), int(self.entries("count", slot, 1)[0])
+        # another key can share slot and fingerprint
+        return range(first, first + n) if self.entries("keys", first, 1)[0] == key else range(0)
+
     def ids(self, record: int) -> np.ndarray:
-        a, b = (int(self.offsets[record + k]) * self.dtype.itemsize for k in (0, 1))
-        return np.frombuffer(self.payload.read_at(b - a, a), self.dtype)
+        a, b = (int(x) * self.dtype.itemsize for x in (self.offsets[record : record + 2] if hasattr(self, "offsets") else self.entries("offsets", record, 2)))
+        return np.frombuffer(self.read(self.payload, a, b - a), self.dtype)
+
+
+class Reader:
+    """Keyed access to a folder of shards (for clients outside Spark); the last shards used stay open."""
+
+    def __init__(self, manifest_rows: list, folder: str, id_bytes: int):
+        rows = sorted((r["first_key"], r["last_key"], r["name"]) for r in manifest_rows if r["first_key"] is not None)
+        self.last = [r[1] for r in rows]
+        self.rows, self.folder, self.id_bytes = rows, folder, id_bytes
+        self.open: OrderedDict[str, Shard] = OrderedDict()
+
+    def shard(self, name: str) -> Shard:
+        if name not in self.open:
+            if len(self.open) >= OPEN:
+                self.open.popitem(last=False)
+            self.open[name] = Shard(self.folder, name, self.id_bytes)
+        self.open.move_to_end(name)
+        return self.open[name]
+
+    def get(self, key: int) -> list[np.ndarray]:
+        """Ids of the documents with this key, in file order (a key of very many can go on in the next shard)."""
+        out = []
+        for first, _, name in self.rows[bisect.bisect_left(self.last, key) :]:
+            if first > key:
+                break
+            s = self.shard(name)
+            out += [s.ids(r) for r in s.records(key)]
+        return out
 
 
 def write_shards(
@@ -148,7 +239,10 @@ def write_shards(
 ) -> DataFrame:
     """Write ``docs`` under ``folder``; one manifest row for each shard."""
     prepare(spark)
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = shards
+    if n is None:
+        size = docs.agg(F.sum(F.octet_length(text)).alias("s")).first()["s"] or 0
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // SHARD_BYTES))
     order = [F.col("doc_id"), F.xxhash64("text")]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -210,7 +304,7 @@ def read_shards(spark: SparkSession, manifest: DataFrame, folder: str, id_bytes:
 
         for batch in batches:
             for name, first_id in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = Shard(folder, name, id_bytes)
+                s = Shard(folder, name, id_bytes).load()
                 keys = np.unique(s.keys[s.valid])
                 first, count = s.find(keys)
                 if not (count > 0).all() or count.sum() != s.valid.sum():
@@ -230,11 +324,5 @@ def read_shards(spark: SparkSession, manifest: DataFrame, folder: str, id_bytes:
 
 
 def lookup(manifest_rows: list, folder: str, id_bytes: int, key: int) -> list[np.ndarray]:
-    """Ids of the documents with this key, in file order (for clients outside Spark)."""
-    out = []
-    for r in manifest_rows:
-        if r["first_key"] is not None and r["first_key"] <= key <= r["last_key"]:
-            s = Shard(folder, r["name"], id_bytes)
-            first, n = s.find(np.array([key]))
-            out += [s.ids(int(first[0]) + k) for k in range(int(n[0])) if s.keys[int(first[0])] == key]
-    return out
+    """One look-up with a reader of its own."""
+    return Reader(manifest_rows, folder, id_bytes).get(key)

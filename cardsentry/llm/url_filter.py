@@ -8,9 +8,12 @@ is blocked when the lower credible bound of its rate of bad pages exceeds the
 limit; a host with few outcomes stays close to its prior and is let through.
 
 Defined results: a url that is null or has no ``://`` has an empty host and
-path (all such pages form one host); hosts without outcomes take their
+path (all such pages form one host); user names and ports are part of the host that is
+returned, but not of the site that is judged; sites without outcomes take their
 domain's prior; repeated rows count as pages; no outcomes at all means that
-every host is allowed; an empty table gives an empty result.
+every site is allowed; a bound equal to the limit is allowed; of rules of one length that fit
+the first counts; urls of any length are read whole; an empty table gives an empty result; only
+the named columns are read, so other columns cannot clash.
 
 Only per-host counts are joined: pages are counted by (host, outcome key)
 before the outcomes arrive, so a host with a third of all pages is a few
@@ -61,6 +64,11 @@ def rule_of(host: Column, path: Column, rules: Iterable[tuple[str, str, str]]) -
     return F.coalesce(*text, none), F.coalesce(*verdict, none)
 
 
+def site_of(host: Column) -> Column:
+    """The host without a user name before ``@`` and a port."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+
+
 def levels(host: Column, multi: Iterable[str]) -> tuple[Column, Column]:
     """Registered domain and suffix of a host."""
     last1, last2 = F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
@@ -117,26 +125,28 @@ def judge(
     ref: Column, cfg: Reputation = Reputation(), page_id: str = "page_id", url: str = "url",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Verdict for every page.
+    """Verdict for every page, with the reputation of its site.
 
     ``outcomes`` has ``ref, bad`` (boolean); ``ref`` is the column expression
     over ``host``/``path`` that says which outcome a page carries.
     """
     host, path = split_url(F.col(url))
     own = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
+    own = own.withColumn("site", site_of(F.col("host")))
     known = outcomes.groupBy("ref").agg(F.max(F.col("bad").cast("int")).alias("bad"))
-    # one row for each host and outcome, whatever the number of pages
-    seen = own.groupBy("host", ref.alias("ref")).agg(F.count("*").alias("c"))
-    counts = seen.join(known, "ref", "left").groupBy("host").agg(
+    # one row for each site and outcome, whatever the number of pages
+    seen = own.groupBy("site", ref.alias("ref")).agg(F.count("*").alias("c"))
+    counts = seen.join(known, "ref", "left").groupBy(F.col("site").alias("host")).agg(
         F.coalesce(F.sum(F.when(F.col("bad").isNotNull(), F.col("c"))), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.when(F.col("bad") == 1, F.col("c"))), F.lit(0)).alias("k"),
     )
     rep = host_reputation(spark, materialize(spark, counts, "host-counts"), cfg)
-    bad = materialize(spark, rep.where("blocked").select(F.col("host").alias("bad_host"), "bad_bound"), "bad-hosts")
-    if bad.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        bad = F.broadcast(bad)
+    rep = materialize(spark, rep.withColumnsRenamed({"host": "site", "n": "n_outcomes", "k": "n_bad"}), "reputation")
+    if rep.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        rep = F.broadcast(rep)
     text, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    return own.join(bad, own.host == F.col("bad_host"), "left").select(
+    return own.join(rep, "site").select(
         "page_id", "host", "path", text.alias("rule"),
-        F.coalesce(verdict, F.when(F.col("bad_host").isNotNull(), "block").otherwise("allow")).alias("verdict"),
+        F.coalesce(verdict, F.when(F.col("blocked"), "block").otherwise("allow")).alias("verdict"),
+        "n_outcomes", "n_bad", "bad_rate", "bad_bound",
     )

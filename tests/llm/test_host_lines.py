@@ -85,6 +85,27 @@ def test_quality_rules_equal_brute_force(spark):
     assert sorted(str(tuple(r)) for r in got) == sorted(want)
 
 
+def test_an_absolute_limit_rejects_depleted_documents_of_a_large_host(spark):
+    """A notice in 30 of 1,000 documents is below the share, but above a limit of 20."""
+    rng = random.Random(4)
+    notice = " ".join(words(rng, 60))
+    rows = [(k, "\n".join([" ".join(words(rng, 70)), *([notice, notice.upper()] if k < 30 else [])]), "big") for k in range(1000)]
+    frame = docs(spark, rows)
+    for limit, gone in ((20, set(range(30))), (30, set()), (None, set())):
+        out = {r["doc_id"]: r for r in quality_rules.apply_rules(spark, frame, line_most_docs=limit).collect()}
+        assert {k for k, r in out.items() if not r["kept"]} == gone
+        assert all(r["removed_words"] == (120 if k in gone else 0) and not r["base_failed"] for k, r in out.items())
+
+
+def test_a_document_keeps_only_the_flagged_lines_it_holds(spark):
+    rows = [(k, f"shared {k % 3}\nown {k}", "h") for k in range(30)]
+    frame = docs(spark, rows)
+    flagged = shared_lines(spark, frame, "text", "source", 5, 0.08)
+    for limit in (10**6, 0):
+        held = with_shared(frame, flagged, "text", "source", "doc_id", "f", broadcast_rows=limit)
+        assert {r["n"] for r in held.selectExpr("size(f) AS n").collect()} == {1}
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert line_dedup.drop_boilerplate(spark, empty).collect() == []

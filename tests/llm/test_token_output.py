@@ -60,6 +60,41 @@ def test_keyed_access_and_unknown_keys(spark, scratch):
     assert all(T.lookup(rows, folder, 2, key) == [] for key in (-1, 1, 299, 10**9))
 
 
+def test_a_look_up_reads_the_same_few_bytes_at_every_size(spark, scratch):
+    read = {}
+    for n in (200, 20_000):
+        texts = [(7 * k, f"t{k % 10}") for k in range(n)] + [(7, "again")]
+        folder, manifest = written(spark, texts, f"{scratch}/{n}", shards=1)
+        reader = T.Reader(manifest.collect(), folder, 2)
+        (name,) = [r["name"] for r in manifest.collect()]
+        reader.get(0)  # opens the shard
+        sizes = []
+        for key in random.Random(n).sample(range(0, 7 * n, 7), 100):
+            before = reader.shard(name).bytes_read
+            got = reader.get(key)
+            sizes.append(reader.shard(name).bytes_read - before)
+            assert sorted(x.tolist() for x in got) == sorted(ids_of(t) for i, t in texts if i == key) if key < 70 else len(got) == 1
+        read[n] = np.mean(sizes)
+        assert all(reader.get(key) == [] for key in (1, 13, -7, 10**12))
+    assert read[20_000] < 1.3 * read[200] < 400
+
+
+def test_a_reader_keeps_a_bounded_number_of_shards_open(spark, scratch, monkeypatch):
+    texts = [(k, f"text {k}") for k in range(60)]
+    folder, manifest = written(spark, texts, scratch, shards=6)
+    monkeypatch.setattr(T, "OPEN", 2)
+    reader = T.Reader(manifest.collect(), folder, 2)
+    for k, t in texts + texts[::-1]:
+        assert [x.tolist() for x in reader.get(k)] == [ids_of(t)] and len(reader.open) <= 2
+
+
+def test_shards_are_bounded_by_bytes(spark, scratch, monkeypatch):
+    monkeypatch.setattr(T, "SHARD_BYTES", 200)
+    texts = [(k, "some words of a text " * 5) for k in range(60)]
+    manifest = T.write_shards(spark, docs(spark, texts), f"{scratch}/s", PATH, 0, 2).collect()
+    assert len(manifest) > 20 and sum(r["n_records"] for r in manifest) == 60
+
+
 def test_rewriting_the_same_shards_changes_nothing(spark, scratch):
     texts = [(k, f"row {k}") for k in range(50)]
     folder, first = written(spark, texts, scratch)

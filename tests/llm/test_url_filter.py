@@ -79,3 +79,17 @@ def test_levels(spark):
 
 def test_empty_table(spark):
     assert U.judge(spark, pages(spark, []), outcomes(spark, []), URL_RULES, ref()).collect() == []
+
+
+def test_reputation_columns_and_sites_without_port_and_user(spark):
+    rows, out = [], []
+    for k in range(60):
+        rows.append((k, f"http://{'me@' if k % 3 else ''}spam.net{':8080' if k % 2 else ''}/p/{k}"))
+        out.append((str(k), k % 10 != 0))
+    rows += [(100 + k, f"http://fine.org:{k}/p/{100 + k}") for k in range(20)]
+    out += [(str(100 + k), False) for k in range(20)]
+    got = {r["page_id"]: r for r in U.judge(spark, pages(spark, rows), outcomes(spark, out), [], ref()).collect()}
+    assert got[1]["host"] == "me@spam.net:8080"  # as the url has it
+    assert all((r["n_outcomes"], r["n_bad"], r["verdict"]) == (60, 54, "block") for k, r in got.items() if k < 100)
+    assert all((r["n_outcomes"], r["n_bad"], r["verdict"]) == (20, 0, "allow") for k, r in got.items() if k >= 100)
+    assert got[0]["bad_bound"] < got[0]["bad_rate"] <= 54 / 60 and got[100]["bad_rate"] >= 0
