@@ -2,6 +2,10 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage
 before it kept; its result is written as Parquet and reread.
+
+Defined results of every stage: texts of any length are read whole; rows that repeat in full share
+one decision (the join keeps one of them); a null id is an id like others; other columns pass through
+unchanged, whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -19,29 +23,45 @@ from cardsentry.llm.queries import QUALITY_LIMIT, quality_model, tokenizer_file
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Null and empty texts are scored as padding; a score equal to the limit is kept.
+    """
     score = fresh("score")
     model = quality_model(spark, docs, sf_dir)
     return with_scores(spark, docs, model, into=score).where(F.col(score) >= QUALITY_LIMIT).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without its source's boilerplate lines."""
+    """Every document, without its source's boilerplate lines.
+
+    Null and empty texts come back unchanged; a null source is a source of its own.
+    """
     return drop_boilerplate(spark, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: the smallest id.
+
+    Null texts and texts without words are kept, each as its own group; rows that repeat in full
+    are kept once.  Where ids repeat, the smallest hash of id and text is kept.
+    """
     return one_of_each(spark, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Null and empty texts are clean; null items match nothing; an empty benchmark keeps all.
+    """
     return decontaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces and their places in training sequences."""
+    """The documents' pieces and their places in training sequences.
+
+    Null and empty texts are the end id alone; repeated rows are packed as often as they occur.
+    """
     return pack(spark, docs, tokenizer_file("word_bpe_49k.json"))
 
 
