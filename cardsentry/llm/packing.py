@@ -23,6 +23,7 @@ read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -35,8 +36,8 @@ from .common import encoder, materialize, prepare
 PIECES = "piece int, start long, length long, ids_crc32 long"
 #: Words whose ids a worker keeps (more cost memory and save no time here).
 MEMO = 350_000
-#: Groups into which the pieces of one length are dealt for ranking.
-BUCKETS = 64
+#: Pieces of one length that are ranked in one window, at least (more, as their root, beyond).
+RANKED = 4096
 
 Pattern = tuple[int, list[tuple[int, int]]]  # bins, [(length, copies)]
 
@@ -99,6 +100,14 @@ def places(patterns: list[Pattern]) -> dict[int, np.ndarray]:
     return {k: np.array(v, np.int64) for k, v in out.items()}
 
 
+def buckets_of(histogram: dict[int, int]) -> dict[int, int]:
+    """Groups into which the pieces of each length are dealt for ranking, from their count.
+
+    Both the pieces of a group and the groups of a length grow with the root of the count.
+    """
+    return {length: -(-n // max(RANKED, 8 * math.isqrt(n))) for length, n in histogram.items()}
+
+
 def pieces(
     docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -140,8 +149,10 @@ def pack(
     shared = spark.sparkContext.broadcast(places(plan(histogram, capacity)))
 
     key = ["length", "bucket"]
-    own = own.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
-    counts = own.groupBy(*key).agg(F.count("*").alias("n"))  # <= capacity * BUCKETS rows
+    dealt = spark.createDataFrame(list(buckets_of(histogram).items()), "length long, buckets long")  # <= capacity rows
+    own = own.join(F.broadcast(dealt), "length")
+    own = own.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("buckets"))).drop("buckets")
+    counts = own.groupBy(*key).agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select(*key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy(*key).orderBy("doc_id", "piece", "ids_crc32")

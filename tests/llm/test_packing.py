@@ -92,3 +92,11 @@ def test_pack_odd_long_and_repeated_rows(spark):
 
 def test_pack_empty_table(spark):
     assert packing.pack(spark, docs(spark, []), PATHS["word_bpe_49k.json"]).collect() == []
+
+
+def test_a_hot_length_is_dealt_by_its_count():
+    """A third of all pieces share one length: neither a group of them nor their number of groups grows in proportion."""
+    for n in (10, 4096, 10**6, 10**9, 10**11):
+        groups = packing.buckets_of({4096: n, 7: 2 * n // 4000 + 1})[4096]
+        assert 1 <= groups and n / groups <= max(packing.RANKED, 8 * n**0.5 + 1) and groups <= n**0.5 + 1
+    assert packing.buckets_of({4096: 10**6})[4096] > 100
