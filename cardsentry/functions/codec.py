@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import CORRUPT_COLUMN, WIRE_COLUMNS, WIRE_SCHEMA_WITH_CORRUPT
+from ..schemas import CORRUPT_COLUMN, SOURCE_COLUMNS, WIRE_COLUMNS, WIRE_SCHEMA_WITH_CORRUPT
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
@@ -41,8 +41,11 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     and ``proc_ts`` (processing time).  The struct goes through ``inline``:
     a generator is never merged into the expressions above it, so each
     document is parsed once however many columns and filters use it.
+    A source's ``partition`` and ``offset`` stay with the row.
     """
+    source = [c for c in SOURCE_COLUMNS if c in raw.columns]
     d = raw.select(
+        *source,
         F.col(value_col).cast("string").alias("raw"),
         F.inline(F.array(decode_value(F.col(value_col)))),
     )
@@ -50,6 +53,7 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
         *WIRE_COLUMNS,
         CORRUPT_COLUMN,
         "raw",
+        *source,
     ).select(
         "*",
         parse_event_time(F.col("event_ts")).alias("event_time"),

@@ -63,7 +63,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def registry() -> dict[str, QueryFn]:
     # Importing the job modules registers their queries too.
-    from . import etl, reports  # noqa: F401
+    from . import audits, etl, reports  # noqa: F401
     from ..streaming import detector  # noqa: F401
 
     return dict(_REGISTRY)

@@ -4,6 +4,8 @@
 * ``etl``             one ETL run: snapshot, ledger, summaries, reconciliation
 * ``merchant-report`` fraud by merchant x type as CSV
 * ``full-report``     the sectioned text report
+* ``compact``         pack the small stored batches of the stream tables
+* ``lost-offsets``    source positions that no stored batch has read
 * ``load-events``     write ``events`` of a test-data folder as the two stream
                       tables (what the detector would have written)
 """
@@ -20,7 +22,8 @@ from datetime import datetime, timezone
 from ..config import DEFAULT, RuleConfig
 from ..session import build_session, ensure_utc
 from ..sinks.jdbc_store import JdbcStore
-from ..sinks.store import TableStore
+from ..sinks.store import STREAM_TABLES, TableStore
+from ..streaming.progress import ProgressLog
 
 
 def _store(spark, args) -> TableStore:
@@ -54,6 +57,27 @@ def config_from(args) -> RuleConfig:
     return replace(DEFAULT, **{n: parsed(v) for n, v in given.items()})
 
 
+# Environment variables of the session's size and the settings they give.
+SESSION_ENVIRONMENT = {
+    "SPARK_MASTER": "spark.master",
+    "SPARK_DRIVER_MEM": "spark.driver.memory",
+    "SPARK_EXECUTOR_MEM": "spark.executor.memory",
+    "SPARK_SHUFFLE_PARTS": "spark.sql.shuffle.partitions",
+    "SPARK_CHECKPOINT_DIR": "spark.checkpoint.dir",
+}
+
+
+def spark_settings(args) -> dict[str, str]:
+    """Spark settings from the environment, then from ``--conf NAME=VALUE``."""
+    out = {conf: os.environ[name] for name, conf in SESSION_ENVIRONMENT.items() if os.environ.get(name)}
+    for item in getattr(args, "conf", None) or []:
+        name, eq, value = item.partition("=")
+        if not eq or not name.startswith("spark."):
+            raise SystemExit(f"--conf {item}: expected spark.name=value")
+        out[name] = value
+    return out
+
+
 def _stamped(store: TableStore, out: str | None, name: str) -> str:
     """Explicit path, or ``<store>/deliverables/<name>_<UTC yyyyMMdd_HHmmss>``."""
     if out:
@@ -86,12 +110,34 @@ def cmd_detector(spark, args) -> int:
         cfg = start_now(cfg)  # one position for both queries
         src = [kafka_stream(spark, cfg) for _ in range(2)]
     trigger = _trigger(args.trigger)
-    det = detector.start_detector(src[0], src[1], store, ckpt, cfg, trigger)
-    if trigger.get("availableNow"):
-        det.await_all()  # both queries drain what is there, then end
-    else:
-        det.await_any()  # run until either query stops or fails
-        det.stop()
+    log = ProgressLog(spark, store).attach()
+    try:
+        det = detector.start_detector(src[0], src[1], store, ckpt, cfg, trigger, log)
+        if trigger.get("availableNow"):
+            det.await_all()  # both queries drain what is there, then end
+        else:
+            det.await_any()  # run until either query stops or fails
+            det.stop()
+    finally:
+        log.detach()
+    return 0
+
+
+def cmd_compact(spark, args) -> int:
+    store = TableStore(spark, args.store)
+    packed = {name: len(store.compact(name, args.target_mb << 20)) for name in STREAM_TABLES}
+    print(json.dumps({"packed": packed}))
+    return 0
+
+
+def cmd_lost_offsets(spark, args) -> int:
+    from ..operators.offsets import lost_ranges
+
+    lost = lost_ranges(TableStore(spark, args.store).read("source_ranges"))
+    out = _stamped(TableStore(spark, args.store), args.out, "lost_offsets")
+    lost.write.parquet(out)
+    row = spark.read.parquet(out).selectExpr("count(*) AS ranges", "coalesce(sum(n_lost), 0) AS documents").first()
+    print(json.dumps({"lost": out, **row.asDict()}))
     return 0
 
 
@@ -179,6 +225,16 @@ def main(argv=None) -> int:
     f.add_argument("--out", help="default: <store>/deliverables/full_report_<UTC stamp>")
     f.set_defaults(fn=cmd_full_report)
 
+    c = sub.add_parser("compact")
+    c.add_argument("--store", required=True)
+    c.add_argument("--target-mb", type=int, default=128, help="size of a packed file")
+    c.set_defaults(fn=cmd_compact)
+
+    o = sub.add_parser("lost-offsets")
+    o.add_argument("--store", required=True)
+    o.add_argument("--out", help="default: <store>/deliverables/lost_offsets_<UTC stamp>")
+    o.set_defaults(fn=cmd_lost_offsets)
+
     s = sub.add_parser("load-events")
     s.add_argument("--store", required=True)
     s.add_argument("--events-dir", required=True)
@@ -188,8 +244,9 @@ def main(argv=None) -> int:
         job.add_argument("--jdbc-url", help="keep the tables in a database")
         job.add_argument("--jdbc-option", action="append", metavar="NAME=VALUE", help="user, password, driver, ...")
         job.add_argument("--set", action="append", metavar="NAME=VALUE", help="a RuleConfig field")
+        job.add_argument("--conf", action="append", metavar="NAME=VALUE", help="a Spark setting")
     args = p.parse_args(argv)
-    spark = build_session(args.master, app_name=f"cardsentry-{args.job}")
+    spark = build_session(args.master, app_name=f"cardsentry-{args.job}", extra=spark_settings(args))
     ensure_utc(spark)
     try:
         return args.fn(spark, args)

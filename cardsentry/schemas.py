@@ -143,3 +143,26 @@ REJECTED_SCHEMA = StructType(
         StructField("proc_ts", TimestampType()),
     ]
 )
+
+# The source positions that a batch read: runs of neighbouring offsets.
+SOURCE_COLUMNS = ("partition", "offset")
+SOURCE_RANGES_SCHEMA = StructType(
+    [
+        StructField("partition", LongType()),
+        StructField("first_offset", LongType()),
+        StructField("last_offset", LongType()),
+        StructField("n_documents", LongType()),
+    ]
+)
+
+# What a micro-batch read and dropped, by stateful operator (NULL: the whole batch).
+PROGRESS_SCHEMA = StructType(
+    [
+        StructField("query", StringType()),
+        StructField("operator", StringType()),
+        StructField("input_rows", LongType()),
+        StructField("late_rows", LongType()),
+        StructField("state_rows", LongType()),
+        StructField("watermark", StringType()),
+    ]
+)

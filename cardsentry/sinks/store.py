@@ -19,14 +19,21 @@ a stream).  Each of its partitions therefore has a key run beside it: the sorted
 finds the hashes that occur twice from the runs alone; rows without such a hash pass
 as they are, and only the others meet by key, where the earliest ``proc_ts`` wins.
 
+Many small batches of one writer can be packed into one folder ``compacted=<attempt>``
+(``compact``).  Its ``_covers.json`` names the batches and attempts that it holds, so each
+still counts as the partition it was: a reader takes it from there as soon as the
+folder is published, and from its own folder until then, or if it was replaced since.
+
 Readers always pass the fixed schema: no inference; an absent table reads as an empty
 frame only where the caller allows it.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from collections import defaultdict
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +48,8 @@ TABLES: dict[str, tuple[StructType, str]] = {
     "flagged_transactions": (schemas.ALERTS_SCHEMA, "batch_id"),
     "rejected_events": (schemas.REJECTED_SCHEMA, "batch_id"),
     "transaction_key_runs": (schemas.KEY_RUN_SCHEMA, "batch_id"),
+    "source_ranges": (schemas.SOURCE_RANGES_SCHEMA, "batch_id"),
+    "stream_progress": (schemas.PROGRESS_SCHEMA, "batch_id"),
     "validated_ledger": (schemas.TRANSACTIONS_SCHEMA, "run_id"),
     "reconciliation_log": (schemas.RECON_SCHEMA, "run_id"),
     "load_metrics": (schemas.LOAD_METRICS_SCHEMA, "run_id"),
@@ -51,7 +60,9 @@ TABLES: dict[str, tuple[StructType, str]] = {
 
 
 #: Tables that stream queries and loads append to, each under its own writer.
-STREAM_TABLES = ("all_transactions", "flagged_transactions", "rejected_events", "transaction_key_runs")
+STREAM_TABLES = (
+    "all_transactions", "flagged_transactions", "rejected_events", "transaction_key_runs", "source_ranges", "stream_progress",
+)
 
 #: Table with a key -> (the key, the column whose smallest value wins, its key runs if it has any).
 KEYED = {
@@ -108,6 +119,8 @@ class Partition:
     value: int
     attempt: str
     path: str
+    #: Whether ``path`` holds other partitions as well.
+    compacted: bool = False
 
     @property
     def id(self) -> tuple[str | None, int]:
@@ -143,7 +156,28 @@ class TableStore:
             folder = status.getPath().getParent().toString()
             names = dict(x.split("=", 1) for x in folder.split("/")[-3:] if "=" in x)
             out.append(Partition(names.get("writer") if writer else None, int(names[part]), names["attempt"], folder))
-        return sorted(out, key=lambda p: p.attempt)
+        if writer:
+            for folder in self.compacted_folders(name):
+                owner = folder.split("/")[-2].split("=", 1)[1]
+                for value, attempt in self.covers(folder).items():
+                    out.append(Partition(owner, value, attempt, folder, True))
+        # of one attempt in two places the younger compacted folder is read
+        return sorted(out, key=lambda p: (p.attempt, p.compacted, p.path))
+
+    def compacted_folders(self, name: str) -> list[str]:
+        """The published compacted folders, oldest first."""
+        fs, pattern = _hadoop(self.spark, f"{self.path(name)}/writer=*/compacted=*/_SUCCESS")
+        return sorted((s.getPath().getParent().toString() for s in fs.globStatus(pattern) or []), key=lambda f: f.split("/")[-1])
+
+    def covers(self, folder: str) -> dict[int, str]:
+        """The batches that a compacted folder holds, each with its attempt."""
+        fs, hpath = _hadoop(self.spark, f"{folder}/_covers.json")
+        stream = fs.open(hpath)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return {int(k): v for k, v in json.loads(text).items()}
 
     def partitions(self, name: str) -> list[Partition]:
         """The last published attempt of each partition."""
@@ -175,10 +209,26 @@ class TableStore:
     def read_partitions(self, name: str, found: list[Partition]) -> DataFrame:
         """The rows of these partitions as they were stored."""
         schema = self.schema(name)
-        if not found:
+        plain, packed = [p.path for p in found if not p.compacted], defaultdict(list)
+        for p in found:
+            if p.compacted:
+                packed[p.path].append(p)
+        parts = []
+        if plain:
+            rows = self.spark.read.schema(schema).option("basePath", self.path(name))
+            parts.append(rows.parquet(*plain).select(*schema.fieldNames()))
+        _, part = TABLES[name]
+        for folder, held in packed.items():
+            rows = self.spark.read.schema(StructType([f for f in schema if f.name != "writer"])).parquet(folder)
+            if len(held) < len(self.covers(folder)):
+                rows = rows.where(F.col(part).isin([p.value for p in held]))
+            parts.append(rows.withColumn("writer", F.lit(held[0].writer)).select(*schema.fieldNames()))
+        if not parts:
             return self.spark.createDataFrame([], schema)
-        rows = self.spark.read.schema(schema).option("basePath", self.path(name))
-        return rows.parquet(*[p.path for p in found]).select(*schema.fieldNames())
+        out = parts[0]
+        for more in parts[1:]:
+            out = out.unionByName(more)
+        return out
 
     def read_writer(self, name: str, writer: str) -> DataFrame:
         """What one writer stored."""
@@ -238,6 +288,59 @@ class TableStore:
         for old in published[:-keep]:
             fs.delete(_hadoop(self.spark, old)[1], True)
 
+    # -- compaction --------------------------------------------------------
+    def size_of(self, path: str) -> int:
+        fs, hpath = _hadoop(self.spark, path)
+        return fs.getContentSummary(hpath).getLength()
+
+    def compact(self, name: str, target_bytes: int = 128 << 20, keep_last: int = 2, least: int = 4) -> list[str]:
+        """Pack the small closed batches of each writer into files of about ``target_bytes``.
+
+        The last ``keep_last`` batches of a writer stay as they are: a restart may write them
+        again.  Publishing the new folder is one step.  What it replaces goes in the next call, so
+        readers that began before keep their files, and a job that dies between the two steps
+        leaves nothing but folders that no reader takes.  Returns the new folders.
+        """
+        if name not in STREAM_TABLES:
+            raise ValueError(f"{name} is no stream table")
+        self._sweep(name)
+        by_writer, out = defaultdict(list), []
+        for p in self.partitions(name):
+            by_writer[p.writer].append(p)
+        for writer, held in by_writer.items():
+            closed = sorted(held, key=lambda p: p.value)[: max(0, len(held) - keep_last)]
+            size = {path: self.size_of(path) for path in {p.path for p in closed}}
+            small = [p for p in closed if size[p.path] < target_bytes // 2]
+            if len({p.path for p in small}) < least:
+                continue
+            total = sum(size[path] for path in {p.path for p in small})
+            out.append(self._pack(name, writer, small, max(1, -(-total // target_bytes))))
+        return out
+
+    def _pack(self, name: str, writer: str, held: list[Partition], files: int) -> str:
+        folder = f"{self.path(name)}/writer={writer}/compacted={new_attempt()}"
+        rows = self.read_partitions(name, held).drop("writer")
+        self._cover(folder, held)
+        rows.coalesce(files).write.mode("append").parquet(folder)  # its _SUCCESS publishes
+        return folder
+
+    def _cover(self, folder: str, held: list[Partition]) -> None:
+        fs, hpath = _hadoop(self.spark, f"{folder}/_covers.json")
+        stream = fs.create(hpath, True)
+        try:
+            stream.write(bytearray(json.dumps({p.value: p.attempt for p in held}).encode()))
+        finally:
+            stream.close()
+
+    def _sweep(self, name: str) -> None:
+        """Delete the batch folders and compacted folders that a published compacted folder replaces."""
+        taken = {p.path for p in self.partitions(name)}
+        folders = self.compacted_folders(name)
+        covered = {(f.split("/")[-2].split("=", 1)[1], value): attempt for f in folders for value, attempt in self.covers(f).items()}
+        for p in self.attempts(name):
+            if p.path not in taken and p.attempt <= covered.get(p.id, ""):
+                self.delete_path(p.path)
+
     @staticmethod
     def check_writer(name: str, writer: str | None) -> None:
         if (name in STREAM_TABLES) != (writer is not None):

@@ -41,14 +41,15 @@ from pyspark.sql.types import (
 
 from ..config import DEFAULT, RuleConfig
 from ..functions.codec import decode_events
-from ..operators import joins, quality, rules
+from ..operators import joins, offsets, quality, rules
 from ..plans import oracle
 from ..plans.catalog import register
-from ..schemas import ALERT_COLUMNS, TXN_COLUMNS
+from ..schemas import ALERT_COLUMNS, SOURCE_COLUMNS, TXN_COLUMNS
 from ..session import default_parallelism, ensure_utc, scratch_path
 from ..sinks.store import TableStore, checkpoint_writer
 from ..sources import fixture
 from ..sources.kafka import kafka_stream, start_now
+from .progress import ProgressLog
 
 EVENTS_SCHEMA = StructType(
     [
@@ -167,6 +168,8 @@ def transactions_sink(store: TableStore, writer: Callable[[], str]):
             valid = quality.valid_rows(docs).select(*TXN_COLUMNS)
             smallest = joins.dedupe_by_key(valid, "txn_ref", order_cols=("proc_ts",))
             store.write_partition("all_transactions", smallest.join(keys, "txn_ref", "left_semi"), batch_id, writer())
+            if set(SOURCE_COLUMNS) <= set(batch.columns):
+                store.write_partition("source_ranges", offsets.islands(docs, *SOURCE_COLUMNS), batch_id, writer())
             rejected = quality.rejected_rows(docs)
             if not rejected.isEmpty():  # most batches have none: no empty partitions
                 store.write_partition("rejected_events", rejected, batch_id, writer())
@@ -242,10 +245,15 @@ def start_detector(
     checkpoint_dir: str,
     cfg: RuleConfig = DEFAULT,
     trigger: dict | None = None,
+    log: ProgressLog | None = None,
 ) -> Detector:
-    """Start both queries; pass two reads of one source (same start)."""
+    """Start both queries; pass two reads of one source (same start).  ``log`` stores what each batch read and dropped."""
     with state_partitions(raw_transactions.sparkSession, cfg):
-        return _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger)
+        found = _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger)
+    if log:
+        log.follow(found.transactions, "transactions")
+        log.follow(found.alerts, "alerts")
+    return found
 
 
 def start_transactions(
@@ -279,8 +287,9 @@ def run_kafka_detector(spark: SparkSession, store: TableStore, cfg: RuleConfig =
     ensure_utc(spark)
     ckpt = f"{store.root}/_checkpoints/detector"
     cfg = start_now(cfg)  # one position for both queries
+    log = ProgressLog(spark, store).attach()
     return start_detector(
-        kafka_stream(spark, cfg), kafka_stream(spark, cfg), store, ckpt, cfg, trigger={}
+        kafka_stream(spark, cfg), kafka_stream(spark, cfg), store, ckpt, cfg, trigger={}, log=log
     )
 
 
