@@ -43,6 +43,7 @@ class Training:
     """Bounds and settings of the fit (the sample is the only bounded part)."""
 
     per_lang: int = 1500  #: documents sampled for each language
+    total: int = 24_000  #: documents sampled in all: fewer for each language where there are many
     max_langs: int = 256  #: languages learned, most frequent first
     max_chars: int = 4000  #: window taken from a sampled document
     bits: int = 16
@@ -177,7 +178,7 @@ def fit(rows: list[tuple[str, str]], cfg: Training = Training()) -> Model | None
 
 
 def sample(docs: DataFrame, cfg: Training, doc_id: str, text: str, lang: str, usable: Column) -> list[tuple[str, str]]:
-    """At most ``per_lang`` labelled texts of each language, picked by a hash of the id.
+    """About ``per_lang`` labelled texts of each language, ``total`` in all, picked by a hash of the id.
 
     The share to pick comes from counts over all rows, so no group is gathered
     anywhere; the final limit only guards the documented bound.
@@ -186,15 +187,16 @@ def sample(docs: DataFrame, cfg: Training, doc_id: str, text: str, lang: str, us
     counts = rows.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(cfg.max_langs).collect()
     if not counts:
         return []
+    each = min(cfg.per_lang, cfg.total // len(counts))
     share = F.lit(0.0)
     for r in counts:
-        share = F.when(F.col(lang) == r["l"], F.lit(cfg.per_lang / r["count"])).otherwise(share)
+        share = F.when(F.col(lang) == r["l"], F.lit(each / r["count"])).otherwise(share)
     key = F.xxhash64(F.lit(cfg.seed), F.col(doc_id))
     at = F.pmod(F.shiftright(key, 7), F.greatest(F.length(text) - cfg.max_chars, F.lit(1))) + 1
     got = (
         rows.where(F.pmod(key, F.lit(1 << 24)) < share * (1 << 24))
         .select(F.col(doc_id).alias("i"), F.substring(F.col(text), at, F.lit(cfg.max_chars)).alias("t"), F.col(lang).alias("l"))
-        .limit(2 * cfg.per_lang * len(counts))
+        .limit(2 * each * len(counts))
         .collect()
     )
     return [(r["t"], r["l"]) for r in sorted(got, key=lambda r: (r["i"] is None, r["i"], r["t"], r["l"]))]

@@ -54,6 +54,52 @@ def test_language_scores_do_not_depend_on_the_stretch(monkeypatch):
     assert np.allclose(whole, L.scores(model, texts), atol=1e-9)
 
 
+def test_language_scores_equal_brute_force():
+    """Every window's bucket looked up alone, averaged, in plain Python."""
+    model = L.fit([("the cat and the dog ran", "en")] * 30 + [("le chat et le chien dans", "fr")] * 30 + [("der hund und die katze", "de")] * 30)
+    texts = ["the dog", "Le CHIEN, 12 chats!", "x", "", "Größe und straße " * 30, "a1b2c3"]
+    for text, got in zip(texts, L.scores(model, texts), strict=True):
+        raw = b" " + bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in text.lower().encode()) + b" "
+        z, n = np.zeros(len(model.langs)), 0
+        for size in (2, 3, 4):
+            for a in range(len(raw) - size + 1):
+                x = int.from_bytes(raw[a : a + size], "little")
+                bucket = ((x * 2654435761 + size * 40503) % 2**32 * 2246822519) % 2**32 >> (32 - model.bits)
+                z += model.table[bucket]
+                n += 1
+        z = (z / max(n, 1) + model.bias) / model.temperature
+        want = np.exp(z - z.max())
+        assert np.allclose(got, want / want.sum(), atol=1e-6), text
+
+
+def test_language_sample_is_bounded_in_all(spark):
+    rows = [(k, f"text of language {k % 12} number {k}") for k in range(1200)]
+    from pyspark.sql import functions as F
+
+    table = docs(spark, rows).withColumn("lang", (F.col("doc_id") % 12).cast("string"))
+    got = L.sample(table, L.Training(per_lang=1500, total=240), "doc_id", "text", "lang", F.lit(True))
+    assert 120 < len(got) <= 480 and len({y for _, y in got}) == 12
+    whole = L.sample(table, L.Training(), "doc_id", "text", "lang", F.lit(True))
+    assert len(whole) == 1200
+
+
+def test_quality_scores_equal_brute_force():
+    """The network's formula, filter by filter and window by window, in plain numpy."""
+    model = small_quality_model()
+    for text in ("", "x", "plain words in a calm order. " * 40, "@@## $$%% é ü 日本 " * 30):
+        raw = text.encode()
+        n = max(2, -(-len(raw) // C.HALF)) * C.HALF
+        sym = [*raw, *[256] * (n + C.WIDTH - 1 - len(raw))]
+        emb, conv = model.emb.astype(float), model.conv.astype(float)
+        response = np.array([sum(emb[sym[p + j]] @ conv[j] for j in range(C.WIDTH)) for p in range(n)])
+        # chunks of two halves, moved by one half
+        chunks = np.array([response[a : a + 2 * C.HALF].max(axis=0) for a in range(0, n - C.HALF, C.HALF)])
+        v = np.maximum(chunks, 0)
+        x = np.concatenate([v.mean(axis=0), v.max(axis=0), v.min(axis=0)])
+        z = np.maximum(x @ model.w1 + model.b1, 0) @ model.w2 + model.b2 + model.shift
+        assert np.isclose(C.score(model, text), 1 / (1 + np.exp(-z)), atol=1e-4), text
+
+
 def test_quality_held_out(spark):
     rows = queries.op7_quality_classifier(spark, SF).collect()
     label = dict(duckdb.connect().execute(f"select doc_id, quality from '{SF}/labels.parquet'").fetchall())
