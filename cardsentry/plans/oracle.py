@@ -234,6 +234,9 @@ _MONEY_OUT = {
     "reconcile_distinct": [
         "total_ingested", "fraud_amount", "validated_amt", "expected_valid", "difference",
     ],
+    "stream_two_writers_reconcile": [
+        "total_ingested", "fraud_amount", "validated_amt", "expected_valid", "difference",
+    ],
     "round_amount": ["amount"],
     "scan_transactions": ["amount"],
     "stream_transactions": ["amount"],
@@ -251,7 +254,7 @@ def _as_double(sql: str, cols: list[str]) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import etl, reports  # noqa: F401  (their statements register below)
+    from . import audits, etl, reports  # noqa: F401  (their statements register below)
     from ..streaming import detector  # noqa: F401
 
     return {k: _as_double(v, _MONEY_OUT[k]) if k in _MONEY_OUT else v for k, v in _SQL.items()}
