@@ -15,7 +15,8 @@ Hot groups stay linear: in an oversize bucket every set is first compared with
 a leader that is not yet linked, and a bucket whose sets all belong to one
 verified component is finished, since its links are already implied.  Sets
 that stay together in an oversize bucket through ``DEPTH`` splits are compared
-block by block, each pair of blocks in a task of its own.
+block by block, each pair of blocks in a bucket of its own and each pair of sets in one
+of them; of oversize buckets with equal members one is compared.
 
 In a bucket, the strongest links of each set and a maximum spanning forest are
 verified first; a second pass verifies every remaining candidate between
@@ -55,6 +56,9 @@ DEPTH = 4
 DEVIATIONS = 4
 #: Links of each set that a bucket sends to verification in the first pass, beside the forest.
 STRONGEST = 2
+#: A set in a bucket that is compared by brute force: the bucket, its group (itself, or the oversize bucket of which
+#: it is two blocks), the set's block there, and whether pairs within one block are compared too.
+MEMBER = ("bucket", "id", "grp", "side", "whole")
 #: Texts and characters of a block when the links inside a component are counted.
 BLOCK, BLOCK_CHARS = 1000, 1 << 23
 #: Shingles in at most this many texts of a cell are counted pair by pair, others by a product.
@@ -168,20 +172,30 @@ def agreement(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bucket_pairs(
-    ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, similarity: float, everything: bool
+    ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, similarity: float, everything: bool,
+    group: int = 0, meets: list[set] | None = None, sides: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
-    """Candidate pairs of one bucket between different components: all of them, or the strongest and a forest."""
+    """Candidate pairs of one bucket between different components: the strongest and a forest, or ``everything``.
+
+    ``meets`` has the groups of each set: in the second pass a pair is left to the first
+    group in which it meets.  ``sides`` are the blocks of two blocks of an oversize bucket:
+    then only pairs between them count here.
+    """
     n = len(ids)
     names, count = np.unique(labels, return_counts=True)
     # links inside the largest component are implied: only the other sets are compared
     rows = np.flatnonzero(labels != names[count.argmax()])
     agree, filled = agreement(sketches[rows], sketches)
     found = close(agree, filled, sizes[rows, None] + sizes[None, :], similarity) & (labels[rows, None] != labels[None, :])
+    if sides is not None:
+        found &= sides[rows, None] != sides[None, :]
     x, b = np.nonzero(found)
     a = rows[x]
     once = (a < b) | ~np.isin(b, rows)
     x, a, b = x[once], a[once], b[once]
-    if everything or len(a) <= (STRONGEST + 1) * n:
+    if everything and meets is not None:
+        keep = np.array([min(meets[i] & meets[j]) == group for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
+    elif everything or len(a) <= (STRONGEST + 1) * n:
         keep = np.arange(len(a))
     else:
         order = np.lexsort((b, a, -agree[x, b] / filled[x, b]))
@@ -207,7 +221,7 @@ def bucket_pairs(
 
 
 def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFrame:
-    """Distinct candidate pairs of bounded buckets; rows are ``bucket, id, label, sketch``."""
+    """Distinct candidate pairs of bounded buckets; rows are ``MEMBER`` columns with ``label, sketch, meets``."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -216,11 +230,17 @@ def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFra
             bucket = np.array(part.column("bucket"), np.int64)
             ids, labels = (np.array(part.column(c), np.int64) for c in ("id", "label"))
             sketches, sizes = _sketches(part.column("sketch"))
+            groups, sides = (np.array(part.column(c), np.int64) for c in ("grp", "side"))
+            whole = np.array(part.column("whole"))
+            meets = [set(x) for x in part.column("meets").to_pylist()] if everything else None
             cut = np.flatnonzero(np.diff(bucket)) + 1
             found = set()
             for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
                 if j - i > 1:
-                    pairs = bucket_pairs(ids[i:j], labels[i:j], sketches[i:j], sizes[i:j], similarity, everything)
+                    pairs = bucket_pairs(
+                        ids[i:j], labels[i:j], sketches[i:j], sizes[i:j], similarity, everything,
+                        int(groups[i]), meets[i:j] if everything else None, None if whole[i] else sides[i:j],
+                    )
                     found.update((min(p), max(p)) for p in pairs)
             pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -239,7 +259,7 @@ def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFra
         if rest is not None and len(rest):
             yield emit(rest)
 
-    dealt = rows.select("bucket", "id", "label", "sketch").repartition("bucket").sortWithinPartitions("bucket", "id")
+    dealt = rows.select(*MEMBER, "label", "sketch", "meets").repartition("bucket").sortWithinPartitions("bucket", "id")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -431,7 +451,8 @@ def _joined(
         # written before the join, else the counts' own shuffle keeps Spark from splitting a hot bucket
         buckets = materialize(spark, sized(labelled(found, labels)), f"bucket-sizes-{level}")
         kept = materialize(spark, found.join(buckets, "bucket"), f"bucket-members-{level}")
-        few = kept.where(F.col("n") <= limit).select("bucket", "id")
+        few = kept.where(F.col("n") <= limit).select(
+            "bucket", "id", F.col("bucket").alias("grp"), F.lit(0).cast("long").alias("side"), F.lit(True).alias("whole"))
         small = few if small is None else small.unionByName(few)
         hot = kept.where(F.col("n") > limit)
         if not hot.limit(1).count():
@@ -441,7 +462,9 @@ def _joined(
             hot = hot.join(distinct_buckets(hot), "bucket", "left_semi")
             blocks = F.ceil(F.col("n") / F.lit(max(1, limit // 2))).cast("long")
             dealt = hot.withColumn("x", F.pmod(F.xxhash64("id"), blocks)).withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-            met = dealt.select(F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")).alias("bucket"), "id")
+            met = dealt.select(
+                F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")).alias("bucket"), "id",
+                F.col("bucket").alias("grp"), F.col("x").alias("side"), (F.col("x") == F.col("y")).alias("whole"))
             small = small.unionByName(met)
             break
         # every member of an oversize bucket against its leader
@@ -457,7 +480,9 @@ def _joined(
         found = materialize(spark, found, f"buckets-{level + 1}")
 
     small = small.distinct()
-    small = materialize(spark, small.join(sketches, "id"), "small-buckets")
+    # a few groups of each run: their number depends neither on the corpus nor on the blocks
+    meets = small.select("id", "grp").distinct().groupBy("id").agg(F.collect_list("grp").alias("meets"))
+    small = materialize(spark, small.join(sketches.join(meets, "id"), "id"), "small-buckets")
     tried = links
     for everything in (False, True):
         meeting = labelled(small, labels)

@@ -174,21 +174,26 @@ def test_template_texts_stay_linear_in_the_blocks(spark, monkeypatch):
     template = words(rng, 60)
     rows = [(k, " ".join([*template, *words(rng, 30)])) for k in range(240)]
     rows += [(1000 + k, rows[k][1] + " " + words(rng, 1)[0]) for k in range(20)]
-    limit, written, real = 20, {}, J.materialize
+    limit, written, lists, emitted, real, brute = 20, {}, {}, [], J.materialize, J.brute_force
 
     def counting(session, df, label):
         out = real(session, df, label)
         written[label] = (out.count(), out.columns, [t for _, t in out.dtypes])
+        if "meets" in out.columns:
+            lists[label] = max((len(r["meets"]) for r in out.select("meets").collect()), default=0)
         return out
 
     monkeypatch.setattr(J, "materialize", counting)
+    monkeypatch.setattr(J, "brute_force", lambda *a: emitted.append((pairs := brute(*a)).count()) or pairs)
     members, _ = J.near_duplicates(spark, docs(spark, rows), limit=limit, depth=1)
     assert {r["doc_id"]: r["class_id"] for r in members.collect()} == classes(rows)
-    n, columns, kinds = written["small-buckets"]
+    n, columns, _ = written["small-buckets"]
     hot = written["bucket-members-1"][0]
-    assert not any(k.startswith("array") for k in kinds) and "meets" not in columns
     # each member of a bucket goes to at most ceil(size / (limit / 2)) blocks, and equal buckets go once
     assert n <= 26 * (hot + written["bucket-members-0"][0])
+    # the groups that a member names do not grow with the blocks, and no pair is sent twice
+    assert lists["small-buckets"] <= 3 * J.RUNS
+    assert emitted and max(emitted) <= 1.5 * 260
 
 
 def test_equal_buckets_are_compared_once(spark):
