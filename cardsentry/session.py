@@ -15,6 +15,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Keeps streaming state off the JVM heap.
+STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "cardsentry",
@@ -33,11 +38,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        # RocksDB keeps streaming window state off the JVM heap.
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state."
-            "RocksDBStateStoreProvider"
-        ),
+        STATE_PROVIDER_KEY: STATE_PROVIDER,
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -45,7 +45,7 @@ from ..operators import joins, offsets, quality, rules
 from ..plans import oracle
 from ..plans.catalog import register
 from ..schemas import ALERT_COLUMNS, SOURCE_COLUMNS, TXN_COLUMNS
-from ..session import default_parallelism, ensure_utc, scratch_path
+from ..session import STATE_PROVIDER, STATE_PROVIDER_KEY, default_parallelism, ensure_utc, scratch_path
 from ..sinks.store import TableStore, checkpoint_writer
 from ..sources import fixture
 from ..sources.kafka import kafka_stream, start_now
@@ -222,20 +222,22 @@ def _trigger(writer, trigger: dict | None):
 
 @contextmanager
 def state_partitions(spark: SparkSession, cfg: RuleConfig = DEFAULT):
-    """Start queries with an explicit state-partition count.
+    """Start queries with an explicit state-partition count and the RocksDB state provider.
 
-    A stateful query keeps the shuffle-partition count of its first start
-    in the checkpoint; it is sized here (default: the cluster's total
-    cores) and the session setting is restored afterwards.
+    A stateful query keeps the shuffle-partition count and the provider of its first start
+    in the checkpoint; both are set here (default: the cluster's total
+    cores), whoever built the session, and the session's settings are restored afterwards.
     """
-    key = "spark.sql.shuffle.partitions"
     n = cfg.state_partitions or default_parallelism(spark)
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    wanted = {"spark.sql.shuffle.partitions": str(n), STATE_PROVIDER_KEY: STATE_PROVIDER}
+    old = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield n
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def start_detector(

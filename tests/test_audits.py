@@ -188,6 +188,24 @@ def test_the_listener_keeps_batches_until_it_knows_the_query(spark):
 # -- settings -----------------------------------------------------------------
 
 
+def test_a_detector_brings_its_state_provider(spark, tmp_path):
+    """Also in a session that another program built."""
+    key, feed = "spark.sql.streaming.stateStore.providerClass", Feed(str(tmp_path))
+    feed.push([txn("t1", "A", base(), "US")])
+    store = TableStore(spark, scratch_path(spark, "provider"))
+    old, other = spark.conf.get(key), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, other)
+    try:
+        detector.start_detector(detector.json_file_stream(spark, feed.dir), detector.json_file_stream(spark, feed.dir),
+                                store, f"{store.root}/_ckpt").await_all()
+        assert spark.conf.get(key) == other  # the session's own setting is back
+    finally:
+        spark.conf.set(key, old)
+    for query in ("all_txn", "flagged"):
+        with open(local_path(f"{store.root}/_ckpt/{query}/offsets/0")) as f:
+            assert "RocksDBStateStoreProvider" in f.read()
+
+
 def test_session_settings_from_environment_and_flags(monkeypatch):
     for name in jobs.SESSION_ENVIRONMENT:
         monkeypatch.delenv(name, raising=False)
