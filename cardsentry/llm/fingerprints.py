@@ -261,7 +261,8 @@ def with_next(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text
     Rows are dealt to buckets by quantiles of the ids, and the first rows of a bucket
     also go to the bucket before it, so every row meets its successor in one window of
     bounded size: one shuffle of the texts, no global sort.  Rows of one id go by a
-    hash of their text; null ids come last.
+    hash of their text, in one window: ids are expected to tell nearly all rows apart.
+    Null ids come last.
     """
     n = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))

@@ -361,6 +361,8 @@ def counted(contexts: DataFrame, later_only: bool) -> DataFrame:
 
     strings = contexts.mapInArrow(run, "s binary, row long, b long")
     again = strings.groupBy("s").agg(F.count("*").alias("n"), F.min(F.struct("row", "b")).alias("first")).where("n > 1")
+    # written before the join, else the counts' own shuffle keeps Spark from splitting a hot string
+    again = materialize(contexts.sparkSession, again, "counted-strings")
     hit = strings.join(again, "s")
     if later_only:
         hit = hit.where((F.col("row") != F.col("first.row")) | (F.col("b") != F.col("first.b")))
