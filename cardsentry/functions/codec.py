@@ -61,6 +61,17 @@ def decode_events(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+def decode_once(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows``, dealt evenly, for a plan that reads them in several branches.
+
+    Each branch would scan and decode the documents again: its own columns and filters are pushed
+    into its copy, so no two copies are alike.  Here a row passes the exchange as one struct and
+    is opened by a generator, which lets neither through: the branches share one exchange.
+    """
+    packed = rows.select(F.struct(*rows.columns).alias("row")).repartition(parts)
+    return packed.select(F.inline(F.array("row")))
+
+
 def encode_events(df: DataFrame, key_col: str | None = None) -> DataFrame:
     """Transactions -> ``value`` BINARY documents, the Kafka sink shape.
 

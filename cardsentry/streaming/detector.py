@@ -40,12 +40,12 @@ from pyspark.sql.types import (
 )
 
 from ..config import DEFAULT, RuleConfig
-from ..functions.codec import decode_events
+from ..functions.codec import decode_events, decode_once
 from ..operators import joins, offsets, quality, rules
 from ..plans import oracle
 from ..plans.catalog import register
 from ..schemas import ALERT_COLUMNS, SOURCE_COLUMNS, TXN_COLUMNS
-from ..session import STATE_PROVIDER, STATE_PROVIDER_KEY, default_parallelism, ensure_utc, scratch_path
+from ..session import STATE_PROVIDER, STATE_PROVIDER_KEY, STATE_ROWS_KEY, default_parallelism, ensure_utc, scratch_path
 from ..sinks.store import TableStore, checkpoint_writer
 from ..sources import fixture
 from ..sources.kafka import kafka_stream, start_now
@@ -75,6 +75,7 @@ def events_file_stream(
         .option("pathGlobFilter", "events*.parquet")
         .option("maxFilesPerTrigger", max_files)
         .parquet(sf_dir)
+        .repartition(default_parallelism(spark))  # a file of few row groups is read by few tasks
     )
     return fixture.wire_from_transactions(fixture.transactions_from_events(events), faults=faults)
 
@@ -91,13 +92,19 @@ def json_file_stream(spark: SparkSession, path: str, max_files: int = 1) -> Data
 # -- plans ---------------------------------------------------------------------
 
 
-def decoded_stream(raw: DataFrame) -> DataFrame:
-    return decode_events(raw)
+#: What the rules read of a decoded row.
+RULE_COLUMNS = ("txn_ref", "account_id", "event_time", "merchant_category", "amount", "country")
+
+
+def decoded_stream(raw: DataFrame, *columns: str) -> DataFrame:
+    """Decoded rows (all columns or these), which the plans below read in two or three branches."""
+    rows = decode_events(raw)
+    return decode_once(rows.select(*columns) if columns else rows, default_parallelism(raw.sparkSession))
 
 
 def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     """Both rules over the decoded rows of a wire stream (or batch)."""
-    txns = decoded_stream(raw)
+    txns = decoded_stream(raw, *RULE_COLUMNS)
     if cfg.dedupe_within_watermark and txns.isStreaming:
         txns = txns.withWatermark("event_time", cfg.watermark_delay).dropDuplicatesWithinWatermark(
             ["txn_ref"]
@@ -107,7 +114,7 @@ def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
 
 
 def travel_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    return rules.travel_alerts(decoded_stream(raw), cfg)
+    return rules.travel_alerts(decoded_stream(raw, *RULE_COLUMNS), cfg)
 
 
 # -- sinks ---------------------------------------------------------------------
@@ -221,15 +228,17 @@ def _trigger(writer, trigger: dict | None):
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, cfg: RuleConfig = DEFAULT):
+def state_partitions(spark: SparkSession, cfg: RuleConfig = DEFAULT, count_state: bool = True):
     """Start queries with an explicit state-partition count and the RocksDB state provider.
 
     A stateful query keeps the shuffle-partition count and the provider of its first start
     in the checkpoint; both are set here (default: the cluster's total
     cores), whoever built the session, and the session's settings are restored afterwards.
+    ``count_state``: whether progress tells the rows in state.  Counting looks each key up once
+    more with every write and removal; the registered queries, which store no progress, do without.
     """
     n = cfg.state_partitions or default_parallelism(spark)
-    wanted = {"spark.sql.shuffle.partitions": str(n), STATE_PROVIDER_KEY: STATE_PROVIDER}
+    wanted = {"spark.sql.shuffle.partitions": str(n), STATE_PROVIDER_KEY: STATE_PROVIDER, STATE_ROWS_KEY: str(count_state).lower()}
     old = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -248,9 +257,10 @@ def start_detector(
     cfg: RuleConfig = DEFAULT,
     trigger: dict | None = None,
     log: ProgressLog | None = None,
+    count_state: bool = True,
 ) -> Detector:
     """Start both queries; pass two reads of one source (same start).  ``log`` stores what each batch read and dropped."""
-    with state_partitions(raw_transactions.sparkSession, cfg):
+    with state_partitions(raw_transactions.sparkSession, cfg, count_state):
         found = _start_both(raw_transactions, raw_alerts, store, checkpoint_dir, cfg, trigger)
     if log:
         log.follow(found.transactions, "transactions")
@@ -302,7 +312,7 @@ def run_kafka_detector(spark: SparkSession, store: TableStore, cfg: RuleConfig =
 def q_stream_travel(spark, sf_dir):
     """Rule 2 as a stateful stream over ``events`` (availableNow), read back."""
     store = TableStore(spark, scratch_path(spark, "stream-travel"))
-    with state_partitions(spark):
+    with state_partitions(spark, count_state=False):
         q = (
             travel_stream(events_file_stream(spark, sf_dir))
             .writeStream.foreachBatch(alerts_sink(store, Writer(spark, f"{store.root}/_checkpoints/travel")))
@@ -324,6 +334,7 @@ def q_stream_all_alerts(spark, sf_dir):
         events_file_stream(spark, sf_dir),
         store,
         f"{store.root}/_checkpoints",
+        count_state=False,
     )
     det.await_all()
     return store.read("flagged_transactions").select("txn_ref", "account_id", "fraud_type", "details")
@@ -333,7 +344,7 @@ def _run_transactions_query(spark: SparkSession, sf_dir: str, label: str, faults
     """The transactions query alone over ``events`` (availableNow)."""
     store = TableStore(spark, scratch_path(spark, label))
     raw = events_file_stream(spark, sf_dir, faults=faults)
-    with state_partitions(spark):
+    with state_partitions(spark, count_state=False):
         q = start_transactions(raw, store, f"{store.root}/_checkpoints/all_txn")
     q.awaitTermination()
     return store
@@ -358,7 +369,7 @@ def q_stream_alerts_faulty(spark, sf_dir):
     """Both rules over wire documents with defects: what the table rejects is still judged."""
     store = TableStore(spark, scratch_path(spark, "stream-faulty"))
     checkpoint = f"{store.root}/_checkpoints/flagged"
-    with state_partitions(spark):
+    with state_partitions(spark, count_state=False):
         q = (
             alert_stream(events_file_stream(spark, sf_dir, faults=True))
             .select(*ALERT_COLUMNS)
@@ -377,7 +388,7 @@ def _two_writers(spark: SparkSession, sf_dir: str, label: str) -> TableStore:
     from ..plans.etl import seed_store
 
     store = seed_store(spark, sf_dir, root=scratch_path(spark, label))
-    with state_partitions(spark):
+    with state_partitions(spark, count_state=False):
         q = start_transactions(events_file_stream(spark, sf_dir), store, f"{store.root}/_checkpoints/all_txn")
     q.awaitTermination()
     return store
