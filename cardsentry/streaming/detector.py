@@ -96,15 +96,14 @@ def json_file_stream(spark: SparkSession, path: str, max_files: int = 1) -> Data
 RULE_COLUMNS = ("txn_ref", "account_id", "event_time", "merchant_category", "amount", "country")
 
 
-def decoded_stream(raw: DataFrame, *columns: str) -> DataFrame:
-    """Decoded rows (all columns or these), which the plans below read in two or three branches."""
-    rows = decode_events(raw)
-    return decode_once(rows.select(*columns) if columns else rows, default_parallelism(raw.sparkSession))
+def decoded_stream(raw: DataFrame) -> DataFrame:
+    """Decoded rows for the rules, which read them in two or three branches."""
+    return decode_once(decode_events(raw).select(*RULE_COLUMNS), default_parallelism(raw.sparkSession))
 
 
 def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     """Both rules over the decoded rows of a wire stream (or batch)."""
-    txns = decoded_stream(raw, *RULE_COLUMNS)
+    txns = decoded_stream(raw)
     if cfg.dedupe_within_watermark and txns.isStreaming:
         txns = txns.withWatermark("event_time", cfg.watermark_delay).dropDuplicatesWithinWatermark(
             ["txn_ref"]
@@ -114,7 +113,7 @@ def alert_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
 
 
 def travel_stream(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
-    return rules.travel_alerts(decoded_stream(raw, *RULE_COLUMNS), cfg)
+    return rules.travel_alerts(decoded_stream(raw), cfg)
 
 
 # -- sinks ---------------------------------------------------------------------
@@ -134,7 +133,8 @@ def transaction_rows(raw: DataFrame, cfg: RuleConfig = DEFAULT) -> DataFrame:
     remembered for the watermark delay only (bounded state; a copy arriving later is
     written again).
     """
-    tagged = quality.with_reject_reason(decoded_stream(raw))
+    # not shared: a batch's input rows are logged once for each branch that reads them
+    tagged = quality.with_reject_reason(decode_events(raw))
     valid = tagged.where(F.col("reject_reason").isNull())
     if cfg.txn_dedupe == "global":
         seen = valid.groupBy("txn_ref").agg(F.min("proc_ts").alias("first_seen"), F.max("proc_ts").alias("last_seen"))
