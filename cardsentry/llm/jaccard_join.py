@@ -18,9 +18,10 @@ that stay together in an oversize bucket through ``DEPTH`` splits are compared
 block by block, each pair of blocks in a bucket of its own and each pair of sets in one
 of them; of oversize buckets with equal members one is compared.
 
-In a bucket, the strongest links of each set and a maximum spanning forest are
-verified first; a second pass verifies every remaining candidate between
-different components, so that no component is left split by a rejected link.
+In a bucket with many candidates, the strongest links of each set and a maximum
+spanning forest are verified first; a second pass over these buckets verifies every
+remaining candidate between different components, so that no component is left split
+by a rejected link.  All candidates of the other buckets are verified at once.
 
 These links only name the components.  A link never leaves its component, so
 ``link_counts`` counts the links of a text on all pairs of its component,
@@ -43,7 +44,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, fresh, materialize, prepare, with_row_key, without
+from .common import BROADCAST_ROWS, fitting, fresh, materialize, prepare, with_row_key, without
 from .components import components
 from .shingles import BINS, COORDS, jaccard, mix, shingle_set, signature, sketch, word_hashes
 
@@ -61,12 +62,14 @@ STRONGEST = 2
 MEMBER = ("bucket", "id", "grp", "side", "whole")
 #: Texts and characters of a block when the links inside a component are counted.
 BLOCK, BLOCK_CHARS = 1000, 1 << 23
+#: Rows of a partition that hold a sketch, and pairs of texts (or texts of a cell) of one.
+SKETCHES, TEXTS = 2000, 500
 #: Shingles in at most this many texts of a cell are counted pair by pair, others by a product.
 RARE, COLUMNS = 16, 4096
 
 
 def features(rows: DataFrame) -> DataFrame:
-    """``row, key, sig, sketch``: the key is a 128-bit hash of the word sequence (null without words)."""
+    """Rows ``row, text, doc_id`` -> ``row, key, sig, sketch, doc_id``: the key is a 128-bit hash of the word sequence (null without words)."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -80,10 +83,11 @@ def features(rows: DataFrame) -> DataFrame:
                 sigs.append(signature(found).tobytes() if len(w) else None)
                 sketches.append(sketch(found).tobytes() + len(found).to_bytes(4, "little") if len(w) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(x, pa.binary()) for x in (keys, sigs, sketches)]], names=["row", "key", "sig", "sketch"]
+                [batch.column(0), *[pa.array(x, pa.binary()) for x in (keys, sigs, sketches)], batch.column(2)],
+                names=["row", "key", "sig", "sketch", "doc_id"],
             )
 
-    return rows.mapInArrow(run, "row long, key binary, sig binary, sketch binary")
+    return rows.mapInArrow(run, "row long, key binary, sig binary, sketch binary, doc_id long")
 
 
 def children(paths: np.ndarray, sigs: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -97,6 +101,11 @@ def children(paths: np.ndarray, sigs: np.ndarray, similarity: float) -> tuple[np
         return row, mix(paths[row] ^ mix(value))
 
 
+def few(rows: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Narrow, written ``rows``, broadcast while measured few."""
+    return F.broadcast(rows) if rows.limit(broadcast_rows + 1).count() <= broadcast_rows else rows
+
+
 def _signatures(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDS)
 
@@ -174,9 +183,10 @@ def agreement(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def bucket_pairs(
     ids: np.ndarray, labels: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, similarity: float, everything: bool,
     group: int = 0, meets: list[set] | None = None, sides: np.ndarray | None = None,
-) -> list[tuple[int, int]]:
-    """Candidate pairs of one bucket between different components: the strongest and a forest, or ``everything``.
+) -> tuple[list[tuple[int, int]], bool]:
+    """Candidate pairs of one bucket between different components, and whether some are left to the second pass.
 
+    Few candidates are sent all at once, of many the strongest and a forest, or ``everything``.
     ``meets`` has the groups of each set: in the second pass a pair is left to the first
     group in which it meets.  ``sides`` are the blocks of two blocks of an oversize bucket:
     then only pairs between them count here.
@@ -193,6 +203,7 @@ def bucket_pairs(
     a = rows[x]
     once = (a < b) | ~np.isin(b, rows)
     x, a, b = x[once], a[once], b[once]
+    total = len(a)
     if everything and meets is not None:
         keep = np.array([min(meets[i] & meets[j]) == group for i, j in zip(a.tolist(), b.tolist(), strict=True)], bool)
     elif everything or len(a) <= (STRONGEST + 1) * n:
@@ -217,11 +228,15 @@ def bucket_pairs(
                 keep.append(k)
                 used[[i, j]] += 1
         keep = np.array(keep, int)
-    return list(zip(ids[a[keep]].tolist(), ids[b[keep]].tolist(), strict=True))
+    pairs = list(zip(ids[a[keep]].tolist(), ids[b[keep]].tolist(), strict=True))
+    return pairs, not everything and len(pairs) < total
 
 
 def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFrame:
-    """Distinct candidate pairs of bounded buckets; rows are ``MEMBER`` columns with ``label, sketch, meets``."""
+    """Distinct candidate pairs ``a, b`` of bounded buckets; rows are ``MEMBER`` columns with ``label, sketch, meets``.
+
+    A row with ``cut`` instead of a pair names a bucket of which candidates are left to the second pass.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -234,16 +249,17 @@ def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFra
             whole = np.array(part.column("whole"))
             meets = [set(x) for x in part.column("meets").to_pylist()] if everything else None
             cut = np.flatnonzero(np.diff(bucket)) + 1
-            found = set()
+            found, part_cut = set(), []
             for i, j in zip([0, *cut.tolist()], [*cut.tolist(), len(bucket)], strict=True):
                 if j - i > 1:
-                    pairs = bucket_pairs(
+                    pairs, left = bucket_pairs(
                         ids[i:j], labels[i:j], sketches[i:j], sizes[i:j], similarity, everything,
                         int(groups[i]), meets[i:j] if everything else None, None if whole[i] else sides[i:j],
                     )
                     found.update((min(p), max(p)) for p in pairs)
-            pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                    part_cut += [int(bucket[i])] if left else []
+            out = [(a, b, None) for a, b in sorted(found)] + [(None, None, c) for c in part_cut]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["a", "b", "cut"])
 
         rest = None
         for batch in batches:  # sorted by bucket; the last bucket may go on in the next batch
@@ -260,7 +276,7 @@ def brute_force(rows: DataFrame, similarity: float, everything: bool) -> DataFra
             yield emit(rest)
 
     dealt = rows.select(*MEMBER, "label", "sketch", "meets").repartition("bucket").sortWithinPartitions("bucket", "id")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long, cut long").distinct()
 
 
 def verify(
@@ -269,13 +285,14 @@ def verify(
     """``a, b, similarity`` for the (written) pairs whose exact similarity reaches the threshold.
 
     ``texts`` has ``row, text``, a row once.  Only the texts that occur in a
-    pair move: their rows are broadcast while measured few, else they meet the
+    pair move: pairs and rows are broadcast while measured few, else they meet the
     texts in a shuffle join.
     """
-    ids = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    ids = materialize(spark, ids, "candidate-ids")
-    if ids.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        ids = F.broadcast(ids)
+    ids, n = pairs.select(F.col("a").alias("row")).union(pairs.select("b")), pairs.count()
+    if 2 * n <= broadcast_rows:
+        ids, pairs = F.broadcast(ids), F.broadcast(pairs)
+    else:
+        ids = few(materialize(spark, ids.distinct(), "candidate-ids"), broadcast_rows)
     texts = texts.join(ids, "row", "left_semi")
 
     def run(batches: Iterator) -> Iterator:
@@ -297,9 +314,9 @@ def verify(
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(s, pa.float64())], names=["a", "b", "similarity"])
             yield out.filter(ok)
 
-    both = pairs.join(texts.select(F.col("row").alias("a"), F.col("text").alias("ta")), "a")
+    both = texts.select(F.col("row").alias("a"), F.col("text").alias("ta")).join(pairs, "a")
     both = both.join(texts.select(F.col("row").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return materialize(spark, both.mapInArrow(run, "a long, b long, similarity double"), "links")
+    return materialize(spark, fitting(both, n, TEXTS).mapInArrow(run, "a long, b long, similarity double"), "links")
 
 
 def near_duplicates(
@@ -339,15 +356,13 @@ def link_counts(
     A component is one cell, or meets in cells of two blocks each when it is
     large; a cell sends one number for each text, not its pairs.
     """
-    near = F.broadcast(labels) if labels.limit(broadcast_rows + 1).count() <= broadcast_rows else labels
-    near = texts.select(F.col("row").alias("id"), "text").join(near, "id")
+    near = texts.select(F.col("row").alias("id"), "text").join(few(labels, broadcast_rows), "id")
     # written before the join, else the counts' own shuffle keeps Spark from splitting a hot component
     sizes = near.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
-    sizes = sizes.select("component", F.ceil(F.greatest(F.col("n") / block, F.col("chars") / block_chars)).cast("long").alias("blocks"))
-    sizes = materialize(spark, sizes, "component-sizes")
-    if sizes.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        sizes = F.broadcast(sizes)
-    dealt = near.join(sizes, "component").withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
+    sizes = sizes.select("component", "n", F.ceil(F.greatest(F.col("n") / block, F.col("chars") / block_chars)).cast("long").alias("blocks"))
+    sizes = materialize(spark, fitting(sizes, labels.count()), "component-sizes")
+    n = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    dealt = near.join(few(sizes.drop("n"), broadcast_rows), "component").withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cells = dealt.select(
         F.xxhash64("component", F.least("side", "other"), F.greatest("side", "other")).alias("cell"),
@@ -376,8 +391,8 @@ def link_counts(
         if ids:
             yield emit(ids, sets, sides, now[2] != now[3])
 
-    parts = cells.repartition("cell").sortWithinPartitions(*order).mapInArrow(run, "id long, n_links long")
-    return materialize(spark, parts.groupBy("id").agg(F.sum("n_links").alias("n_links")), "link-counts")
+    parts = fitting(cells.repartition("cell"), n, TEXTS).sortWithinPartitions(*order).mapInArrow(run, "id long, n_links long")
+    return materialize(spark, fitting(parts.groupBy("id").agg(F.sum("n_links").alias("n_links")), labels.count()), "link-counts")
 
 
 def cell_links(sets: list[np.ndarray], sides: np.ndarray, apart: bool, similarity: float) -> np.ndarray:
@@ -424,18 +439,18 @@ def _joined(
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows, unique = with_row_key(own, "row")
     texts = rows.select("row", "text") if unique else rows.select("row", "text").dropDuplicates(["row"])
-    feats = materialize(spark, features(rows.select("row", "text")), "shingle-features")
+    feats = materialize(spark, features(rows.select("row", "text", "doc_id")), "shingle-features")
     classes = feats.where("key is not null").groupBy("key").agg(
         F.min("row").alias("id"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch")
     )
-    classes = materialize(spark, classes, "text-classes")
+    classes = materialize(spark, fitting(classes, feats.count(), SKETCHES), "text-classes")
     sets, sketches = classes.select("id", "sig"), classes.select("id", "sketch")
 
     def labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Adds ``label``: the verified component so far, else the id itself (then it is ``open``)."""
         if labels is None:
             return rows.withColumn("label", F.col("id")).withColumn("open", F.lit(True))
-        rows = rows.join(labels, "id", "left").withColumn("open", F.col("component").isNull())
+        rows = rows.join(few(labels, broadcast_rows), "id", "left").withColumn("open", F.col("component").isNull())
         return rows.withColumn("label", F.coalesce("component", "id")).drop("component")
 
     def sized(rows: DataFrame) -> DataFrame:
@@ -445,17 +460,21 @@ def _joined(
             F.coalesce(F.min(F.when(F.col("open"), F.col("id"))), F.min("id")).alias("leader"),
         ).where("n > 1 and lo <> hi").select("bucket", "n", "leader")
 
-    links, labels, small = None, None, None
+    links, labels, small, n_small = None, None, None, 0
     found = materialize(spark, roots(sets, runs, similarity), "buckets-0")
     for level in range(depth + 1):
         # written before the join, else the counts' own shuffle keeps Spark from splitting a hot bucket
-        buckets = materialize(spark, sized(labelled(found, labels)), f"bucket-sizes-{level}")
-        kept = materialize(spark, found.join(buckets, "bucket"), f"bucket-members-{level}")
-        few = kept.where(F.col("n") <= limit).select(
+        n_found = found.count()
+        buckets = materialize(spark, fitting(sized(labelled(found, labels)), n_found), f"bucket-sizes-{level}")
+        kept = materialize(spark, fitting(found.join(buckets, "bucket"), n_found), f"bucket-members-{level}")
+        within = kept.where(F.col("n") <= limit).select(
             "bucket", "id", F.col("bucket").alias("grp"), F.lit(0).cast("long").alias("side"), F.lit(True).alias("whole"))
-        small = few if small is None else small.unionByName(few)
+        small = within if small is None else small.unionByName(within)
         hot = kept.where(F.col("n") > limit)
-        if not hot.limit(1).count():
+        over = F.when(F.col("n") > limit, F.col("n"))
+        n_hot, held, n_within = buckets.agg(F.count(over), F.coalesce(F.sum(over), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        n_small += n_within - held
+        if not n_hot:
             break
         if level == depth:
             # blocks of an oversize bucket meet pairwise, each two in a bucket of their own
@@ -466,33 +485,40 @@ def _joined(
                 F.xxhash64("bucket", F.least("x", "y"), F.greatest("x", "y")).alias("bucket"), "id",
                 F.col("bucket").alias("grp"), F.col("x").alias("side"), (F.col("x") == F.col("y")).alias("whole"))
             small = small.unionByName(met)
+            n_small += hot.agg(F.sum(blocks)).first()[0]
             break
-        # every member of an oversize bucket against its leader
-        lead = sketches.select(F.col("id").alias("leader"), F.col("sketch").alias("lead_sketch"))
-        star = agreeing(hot.where("id <> leader").join(sketches, "id").join(lead, "leader"), similarity).distinct()
-        star = materialize(spark, star, "leader-pairs")
+        # every member of an oversize bucket against its leader, once for all buckets that the two share
+        leaders = buckets.where(F.col("n") > limit).select("leader").distinct()
+        lead = sketches.select(F.col("id").alias("leader"), F.col("sketch").alias("lead_sketch")).join(leaders, "leader", "left_semi")
+        star = hot.where("id <> leader").select("id", "leader").distinct()
+        star = sketches.join(F.broadcast(star) if held <= broadcast_rows else star, "id")
+        # a sketch is as wide as 32 pairs of ids
+        star = star.join(F.broadcast(lead) if 32 * n_hot <= broadcast_rows else lead, "leader")
+        star = materialize(spark, agreeing(fitting(star, held, SKETCHES), similarity), "leader-pairs")
         star = verify(spark, star, texts, similarity, broadcast_rows)
         links = star if links is None else links.unionByName(star)
-        labels = materialize(spark, components(spark, links), "components")
-        alive = labelled(hot.select("bucket", "id"), labels).groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-        alive = materialize(spark, alive.select("bucket"), f"open-buckets-{level}")
-        found = split(hot.join(alive, "bucket", "left_semi").join(sets, "id"), similarity)
+        labels = materialize(spark, components(spark, links, broadcast_rows=broadcast_rows), "components")
+        alive = materialize(spark, fitting(unfinished(labelled(hot.select("bucket", "id"), labels)), n_hot), f"open-buckets-{level}")
+        if not alive.limit(1).count():
+            break
+        hot = hot.select("bucket", "id").join(few(alive, broadcast_rows), "bucket", "left_semi")
+        found = fitting(sets.join(F.broadcast(hot) if held <= broadcast_rows else hot, "id"), held, SKETCHES)
+        found = split(found, similarity)
         found = materialize(spark, found, f"buckets-{level + 1}")
 
-    small = small.distinct()
+    if labels is not None:
+        small = small.join(unfinished(labelled(small, labels)), "bucket", "left_semi")
     # a few groups of each run: their number depends neither on the corpus nor on the blocks
-    meets = small.select("id", "grp").distinct().groupBy("id").agg(F.collect_list("grp").alias("meets"))
-    small = materialize(spark, small.join(sketches.join(meets, "id"), "id"), "small-buckets")
-    tried = links
+    meets = small.groupBy("id").agg(F.collect_set("grp").alias("meets"))
+    small = small.join(sketches.join(meets, "id"), "id")
+    small = materialize(spark, fitting(small, n_small, SKETCHES), "small-buckets")
+    tried, meeting = links, small
     for everything in (False, True):
-        meeting = labelled(small, labels)
-        if labels is not None:
-            alive = meeting.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-            meeting = meeting.join(alive.select("bucket"), "bucket", "left_semi")
-        pairs = brute_force(meeting, similarity, everything)
-        if everything:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = brute_force(labelled(meeting, labels), similarity, everything)
         pairs = materialize(spark, pairs, "bucket-pairs")
+        cut, pairs = pairs.where("cut is not null").select(F.col("cut").alias("bucket")), pairs.where("cut is null").select("a", "b")
+        if everything:
+            pairs = materialize(spark, pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "untried-pairs")
         true = verify(spark, pairs, texts, similarity, broadcast_rows)
         links = true if links is None else links.unionByName(true)
         if everything and not true.limit(1).count():
@@ -501,15 +527,24 @@ def _joined(
         # a later pass only adds its links to the components so far
         edges = links.select("a", "b") if labels is None else (
             labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(true.select("a", "b")))
-        labels = materialize(spark, components(spark, edges), "components")
+        labels = materialize(spark, components(spark, edges, broadcast_rows=broadcast_rows), "components")
+        # the candidates of a bucket that is not cut are all tried
+        if not cut.limit(1).count():
+            break
+        meeting = small.join(few(cut, broadcast_rows), "bucket", "left_semi")
+        meeting = meeting.join(unfinished(labelled(meeting, labels)), "bucket", "left_semi")
 
-    keys = feats.select("row", "key") if unique else feats.select("row", "key").distinct()
-    members = rows.select("doc_id", "row").join(keys, "row").join(classes.select("key", F.col("id").alias("text_class")), "key", "left")
+    members = feats.select("doc_id", "row", "key").join(classes.select("key", F.col("id").alias("text_class")), "key", "left")
     members = members.join(labels.select(F.col("id").alias("text_class"), "component"), "text_class", "left")
     alone = F.coalesce("text_class", "row")
     return members.select("doc_id", "row", alone.alias("text_class"), F.coalesce("component", alone).alias("class_id")), links, texts, labels
 
 
+def unfinished(rows: DataFrame) -> DataFrame:
+    """``bucket`` of the buckets in which two components meet (rows have ``bucket, label``)."""
+    return rows.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+
+
 def distinct_buckets(rows: DataFrame) -> DataFrame:
     """``bucket``: one of each group of buckets that hold the same sets.
 

@@ -227,3 +227,83 @@ def test_trees_find_pairs_at_the_threshold(similarity):
             met[splits][[p for p, _ in pairs]] = True
             nodes.append((np.array([p for p, _ in pairs], np.int64), np.array([c for _, c in pairs], np.uint64)))
     assert all(hit.mean() >= 0.99 for hit in met.values()), {k: v.mean() for k, v in met.items()}
+
+
+def test_buckets_without_pruned_candidates_are_compared_once(spark, monkeypatch):
+    """A second pass runs only over buckets of which candidates were left, and then finds the rest."""
+    passes, real = [], J.brute_force
+
+    def counting(rows, similarity, everything):
+        passes.append((everything, rows.select("bucket").distinct().count()))
+        return real(rows, similarity, everything)
+
+    monkeypatch.setattr(J, "brute_force", counting)
+    rows = corpus(31, families=6, copies=3)
+    members, _ = J.near_duplicates(spark, docs(spark, rows))
+    assert {r["doc_id"]: r["class_id"] for r in members.collect()} == classes(rows)
+    assert [everything for everything, _ in passes] == [False]
+    passes.clear()
+    rows = corpus(32, families=6, copies=3, hot=40)
+    members, _ = J.near_duplicates(spark, docs(spark, rows))
+    assert {r["doc_id"]: r["class_id"] for r in members.collect()} == classes(rows)
+    assert len(passes) == 1 or passes[1][1] < passes[0][1]
+
+
+def test_pruned_buckets_are_named():
+    """Of many candidates a forest is sent and the bucket is cut; ``everything`` and few candidates leave none."""
+    rng = np.random.default_rng(5)
+    base = np.unique(rng.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2))
+    for n, pruned in ((4, False), (30, True)):
+        sketches = np.array([J.sketch(base)] * n)
+        ids, sizes = np.arange(n), np.full(n, len(base))
+        pairs, cut = J.bucket_pairs(ids, ids, sketches, sizes, 0.8, False)
+        assert cut is pruned and (len(pairs) < n * (n - 1) // 2) is pruned
+        pairs, cut = J.bucket_pairs(ids, ids, sketches, sizes, 0.8, True, 1, [{1}] * n)
+        assert not cut and len(pairs) == n * (n - 1) // 2
+
+
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """Tables that are measured small are written by few tasks, however many shuffle partitions there are."""
+    from cardsentry.llm import components as C
+
+    files, real = {}, J.materialize
+
+    def counting(session, df, label):
+        out = real(session, df, label)
+        files.setdefault(label, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(J, "materialize", counting)
+    monkeypatch.setattr(C, "materialize", counting)
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    was = [spark.conf.get(k) for k in keys]
+    rows = corpus(33, families=30, copies=5, hot=40)
+    try:
+        for k, v in zip(keys, ("64", "false"), strict=True):
+            spark.conf.set(k, v)
+        got = J.counted(spark, docs(spark, rows)).collect()
+        files_of = {k: max(v) for k, v in files.items()}
+    finally:
+        for k, v in zip(keys, was, strict=True):
+            spark.conf.set(k, v)
+    assert {r["doc_id"]: r["class_id"] for r in got} == classes(rows)
+    assert {r["doc_id"]: r["n_links"] for r in got} == degrees(rows)
+    cores = spark.sparkContext.defaultParallelism
+    assert cores < 40
+    for label in ("text-classes", "bucket-sizes-0", "bucket-members-0", "small-buckets", "links", "cc", "component-sizes", "link-counts"):
+        assert files_of[label] <= cores, (label, files_of[label])
+
+
+def test_components_end_when_the_links_are_stars(spark, monkeypatch):
+    from cardsentry.llm import components as C
+
+    rounds, real = [], C.materialize
+    monkeypatch.setattr(C, "materialize", lambda *a: rounds.append(a[2]) or real(*a))
+    edges = [(2000, 2000 + k) for k in range(1, 50)] + [(7, 3), (7, 7)]
+    for rows in (0, 1000):  # by a shuffle join, by a broadcast
+        rounds.clear()
+        got = {r["id"]: r["component"] for r in components(spark, spark.createDataFrame(edges, "a long, b long"), broadcast_rows=rows).collect()}
+        assert got == {2000 + k: 2000 for k in range(50)} | {3: 3, 7: 3}
+        assert len(rounds) == 1  # the links as given
+        chain = spark.createDataFrame([(k, k + 1) for k in range(20)], "a long, b long")
+        assert {r["id"]: r["component"] for r in components(spark, chain, broadcast_rows=rows).collect()} == dict.fromkeys(range(21), 0)
