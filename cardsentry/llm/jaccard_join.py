@@ -506,15 +506,14 @@ def _joined(
         found = split(found, similarity)
         found = materialize(spark, found, f"buckets-{level + 1}")
 
-    if labels is not None:
-        small = small.join(unfinished(labelled(small, labels)), "bucket", "left_semi")
     # a few groups of each run: their number depends neither on the corpus nor on the blocks
     meets = small.groupBy("id").agg(F.collect_set("grp").alias("meets"))
-    small = small.join(sketches.join(meets, "id"), "id")
+    # a set's label is looked up once, not in each of its buckets
+    small = small.join(labelled(sketches, labels).drop("open").join(meets, "id"), "id")
     small = materialize(spark, fitting(small, n_small, SKETCHES), "small-buckets")
     tried, meeting = links, small
     for everything in (False, True):
-        pairs = brute_force(labelled(meeting, labels), similarity, everything)
+        pairs = brute_force(meeting, similarity, everything)
         pairs = materialize(spark, pairs, "bucket-pairs")
         cut, pairs = pairs.where("cut is not null").select(F.col("cut").alias("bucket")), pairs.where("cut is null").select("a", "b")
         if everything:
@@ -531,8 +530,7 @@ def _joined(
         # the candidates of a bucket that is not cut are all tried
         if not cut.limit(1).count():
             break
-        meeting = small.join(few(cut, broadcast_rows), "bucket", "left_semi")
-        meeting = meeting.join(unfinished(labelled(meeting, labels)), "bucket", "left_semi")
+        meeting = labelled(small.drop("label").join(few(cut, broadcast_rows), "bucket", "left_semi"), labels)
 
     members = feats.select("doc_id", "row", "key").join(classes.select("key", F.col("id").alias("text_class")), "key", "left")
     members = members.join(labels.select(F.col("id").alias("text_class"), "component"), "text_class", "left")
